@@ -12,10 +12,12 @@ NULL_TOKEN = "\\N"
 
 
 def _canonical_text(name: str, dtype: T.DataType) -> Column:
-    c = F.col(name)
+    c = F.col(f"`{name}`")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # fixed scale so that 1.5 and 1.50 hash alike in every engine
-        c = c.try_cast(T.DecimalType(18, 6))
+        # millionths as an integer: the same text in every engine, and much
+        # cheaper than a decimal cast; NaN and infinities -> NULL
+        c = F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None)).otherwise(
+            F.floor(c * F.lit(1e6) + F.lit(0.5)))
     return F.coalesce(c.cast(T.StringType()), F.lit(NULL_TOKEN))
 
 

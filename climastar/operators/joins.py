@@ -17,7 +17,7 @@ physical forms are used:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,23 @@ def fits_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def probe_rows(relations: Mapping[str, tuple[DataFrame, int]]) -> dict[str, int]:
+    """Row counts capped at ``cap + 1`` for several relations in one job.
+
+    Each relation contributes ``limit(cap + 1)`` and a count, so a large
+    input is read only until the cap is passed.  The result has one row per
+    relation.  Used to prove broadcast sides small and sources non-empty
+    without one job per check.
+    """
+    parts = [df.limit(cap + 1).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(name).alias("name"), "n")
+             for name, (df, cap) in relations.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["name"]: int(r["n"]) for r in union.collect()}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        bound_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Broadcast hint on ``df`` when its size is proven to be at most
@@ -99,13 +116,18 @@ def salted_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
 def fanout_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                 bound_from: DataFrame | None = None,
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                rows_per_task: int = ROWS_PER_TASK,
+                other_is_small: bool | None = None) -> DataFrame:
     """Inner equi-join of a large relation with a smaller one on one key.
 
-    Broadcast when ``other`` is proven small, otherwise salted shuffle join.
-    Output columns: all of ``big`` then all of ``other``.
+    Broadcast when ``other`` is proven small (``other_is_small`` passes the
+    result of an earlier probe; None runs the check here), otherwise salted
+    shuffle join.  Output columns: all of ``big`` then all of ``other``.
     """
-    small, is_small = broadcast_if_small(other, max_broadcast_rows, bound_from)
+    if other_is_small is None:
+        small, is_small = broadcast_if_small(other, max_broadcast_rows, bound_from)
+    else:
+        small, is_small = (F.broadcast(other), True) if other_is_small else (other, False)
     if is_small:
         b, o = big.alias("__b"), small.alias("__o")
         joined = b.join(o, F.col(f"__b.`{big_key}`") == F.col(f"__o.`{other_key}`"), "inner")
@@ -114,15 +136,6 @@ def fanout_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
     return salted_join(big, other, big_key, other_key, rows_per_task=rows_per_task)
 
 
-def semi_join_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str,
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys`` (left semi join).  The key
-    list is de-duplicated first and broadcast only when proven small."""
-    k = keys.select(F.col(f"`{keys_col}`").alias("__k")).distinct()
-    k, _ = broadcast_if_small(k, max_broadcast_rows)
-    return df.join(k, F.col(f"`{key}`") == F.col("__k"), "left_semi")
-
-
 def join_columns(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                  how: str = "inner") -> DataFrame:
     """Plain equi-join on pairs of column names, both sides aliased so that

@@ -142,7 +142,7 @@ _DOUBLE_COLUMNS = {"average_temperature", "average_temperature_uncertainty", "av
 def _canon(col: str, double: bool) -> str:
     c = f'"{col}"'
     if double:
-        c = f"TRY_CAST({c} AS DECIMAL(18,6))"
+        c = f"TRY_CAST(floor({c} * 1000000.0 + 0.5) AS BIGINT)"
     return f"COALESCE(CAST({c} AS VARCHAR), '\\N')"
 
 

@@ -26,11 +26,11 @@ from climastar.operators.quality import (
 )
 from climastar.plans import reports as R
 from climastar.plans.clean import (
-    TEMPERATURE_RENAMES, clean_airports, clean_demographics, clean_temperatures,
+    TEMPERATURE_RENAMES, CleanInputs, clean_all, clean_demographics,
 )
 from climastar.plans.model import (
     DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, FACT_COLUMNS, FACT_TEMPERATURE_COLUMNS,
-    StarModel, build_fact, build_model, read_model, write_model,
+    StarModel, build_fact, build_model, model_from_clean, read_model, write_model,
 )
 from climastar.plans.pipeline import RawInputs, run_pipeline
 from climastar.session import new_run_dir
@@ -40,7 +40,7 @@ from climastar.sources.readers import (
 )
 from climastar.sources.sinks import write_parquet_overwrite
 from climastar.sources.standins import (
-    STANDIN_COUNTRY, raw_airports, raw_demographics, raw_temperatures,
+    STANDIN_COUNTRY, geography, raw_airports, raw_demographics, raw_temperatures,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,19 +52,24 @@ VETERAN_MAX_TEMPERATURE = 270000.0
 
 
 def raw_inputs(spark: SparkSession, sf: str) -> RawInputs:
-    return RawInputs(raw_temperatures(spark, sf), raw_airports(spark, sf), raw_demographics(spark, sf))
+    geo = geography(spark, sf)
+    return RawInputs(raw_temperatures(spark, sf, geo), raw_airports(spark, sf, geo),
+                     raw_demographics(spark, sf, geo))
 
 
-def cleaned(spark: SparkSession, sf: str, check: bool = True):
+def clean_inputs(spark: SparkSession, sf: str, check: bool = True) -> CleanInputs:
     raw = raw_inputs(spark, sf)
-    return (clean_temperatures(raw.temperatures, STANDIN_COUNTRY, check),
-            clean_airports(raw.airports, STANDIN_COUNTRY, check),
-            clean_demographics(raw.demographics, check))
+    return clean_all(raw.temperatures, raw.airports, raw.demographics,
+                     STANDIN_COUNTRY, STANDIN_COUNTRY, check)
+
+
+def cleaned(spark: SparkSession, sf: str, check: bool = True):
+    c = clean_inputs(spark, sf, check)
+    return c.temperatures, c.airports, c.demographics
 
 
 def model(spark: SparkSession, sf: str) -> StarModel:
-    t, a, d = cleaned(spark, sf)
-    return build_model(t, a, d)
+    return model_from_clean(clean_inputs(spark, sf))
 
 
 # ---- sources and sinks ---------------------------------------------------
@@ -181,8 +186,9 @@ def q_surrogate_key_stable(spark, sf):
 
 
 def q_surrogate_key_monotonic(spark, sf):
-    t, a, d = cleaned(spark, sf)
-    return build_fact(t, a, d, key="monotonic")
+    c = clean_inputs(spark, sf)
+    return build_fact(c.temperatures, c.airports, c.demographics, key="monotonic",
+                      airports_small=c.airports_small, demographics_small=c.demographics_small)
 
 
 # ---- filters ----------------------------------------------------------------
@@ -205,9 +211,9 @@ def q_filter_drop_null_measure(spark, sf):
 # ---- joins, aggregates ------------------------------------------------------
 
 def q_join_city_municipality(spark, sf):
-    t, a, _ = cleaned(spark, sf)
-    air = a.select("municipality", "ident", "airport_name", "elevation_ft")
-    return fanout_join(t, air, "city", "municipality", bound_from=a.select("municipality"))
+    c = clean_inputs(spark, sf)
+    air = c.airports.select("municipality", "ident", "airport_name", "elevation_ft")
+    return fanout_join(c.temperatures, air, "city", "municipality", other_is_small=c.airports_small)
 
 
 def q_join_star_report(spark, sf):
@@ -215,9 +221,9 @@ def q_join_star_report(spark, sf):
 
 
 def q_agg_count(spark, sf):
-    t, a, d = cleaned(spark, sf)
-    m = build_model(t, a, d)
-    tables = {"temperatures": t, "airports": a, "demographics": d}
+    c = clean_inputs(spark, sf)
+    m = model_from_clean(c)
+    tables = {"temperatures": c.temperatures, "airports": c.airports, "demographics": c.demographics}
     tables.update(m.tables())
     return row_counts(tables)
 

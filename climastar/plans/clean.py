@@ -9,6 +9,7 @@ no output uses.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from climastar.functions import (
 )
 from climastar.operators.filters import drop_missing, equals
 from climastar.operators.projection import rename
-from climastar.operators.quality import ensure_non_empty
+from climastar.operators.joins import BROADCAST_MAX_ROWS, probe_rows
+from climastar.operators.quality import EmptySourceError, ensure_non_empty
 
 # Column names of the surface-temperature file and their new names.
 TEMPERATURE_RENAMES = {
@@ -121,3 +123,33 @@ def clean_demographics(raw: DataFrame, check: bool = True) -> DataFrame:
         to_int(c["count"]).alias("count"),
     )
     return ensure_non_empty(d, "demographics") if check else d
+
+
+@dataclass
+class CleanInputs:
+    temperatures: DataFrame
+    airports: DataFrame
+    demographics: DataFrame
+    # proven at most ``max_broadcast_rows`` rows (None: not probed)
+    airports_small: bool | None = None
+    demographics_small: bool | None = None
+
+
+def clean_all(temperatures_raw: DataFrame, airports_raw: DataFrame, demographics_raw: DataFrame,
+              country_code: str = US_COUNTRY_CODE, country_name: str = US_COUNTRY_NAME,
+              check: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> CleanInputs:
+    """Clean the three inputs; with ``check`` one job both gates every source
+    (non-empty) and bounds the airport and demographics sizes for the joins."""
+    t = clean_temperatures(temperatures_raw, country_name, check=False)
+    a = clean_airports(airports_raw, country_code, check=False)
+    d = clean_demographics(demographics_raw, check=False)
+    if not check:
+        return CleanInputs(t, a, d)
+    n = probe_rows({"temperatures": (t, 1),
+                    "airports": (a.select("municipality"), max_broadcast_rows),
+                    "demographics": (d.select("city"), max_broadcast_rows)})
+    for name, rows in n.items():
+        if rows == 0:
+            raise EmptySourceError(f"{name}: no rows to process")
+    return CleanInputs(t, a, d, n["airports"] <= max_broadcast_rows,
+                       n["demographics"] <= max_broadcast_rows)

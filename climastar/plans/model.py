@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from climastar.functions.keys import monotonic_key, stable_key
 from climastar.operators.aggregates import dedup
-from climastar.operators.joins import BROADCAST_MAX_ROWS, fanout_join
+from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, fanout_join
 from climastar.sources.readers import read_parquet, source_path
 
 # Fact columns by origin, in output order.
@@ -51,9 +51,10 @@ class StarModel:
     fact: DataFrame
     dim_airport: DataFrame
     dim_demographics: DataFrame
-    # Distinct temperature rows of the cities present on all three sides;
-    # set when the model is built in the same plan, so per-city means can be
-    # taken before the fan-out instead of over the fact.
+    # Distinct temperature rows (fact columns), set when the model is built
+    # in the same plan: per-city means can then be taken before the fan-out.
+    # Cities without airports or demographics are still in it; reports drop
+    # them by their inner joins with the per-city dimension aggregates.
     temperature_part: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
@@ -68,19 +69,39 @@ def fact_parts(temperatures: DataFrame, airports: DataFrame, demographics: DataF
     return t, a, d
 
 
+def _fanout_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def build_fact(temperatures: DataFrame, airports: DataFrame, demographics: DataFrame,
-               key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+               airports_small: bool | None = None,
+               demographics_small: bool | None = None) -> DataFrame:
     """Fact table: 20 business columns + ``id``.
 
     ``key="stable"`` gives a SHA-256 of the business columns (same value on
     every run and engine); ``key="monotonic"`` gives
     ``monotonically_increasing_id`` as the source job did.
+    ``airports_small``/``demographics_small`` pass the result of an earlier
+    size probe; None checks here.
+
+    When both sides are broadcast the fan-out runs in the tasks of the
+    de-duplicated temperatures.  That shuffle is small, so AQE would coalesce
+    it into very few partitions while each row multiplies by |A|·|D| of its
+    city; a round-robin repartition to the session's shuffle-partition count
+    (not coalesced by AQE) spreads the output over the cluster.
     """
     t, a, d = fact_parts(temperatures, airports, demographics)
-    ta = fanout_join(t, a, "city", "municipality", max_broadcast_rows,
-                     bound_from=airports.select("municipality"))
-    tad = fanout_join(ta, d, "city", "__d_city", max_broadcast_rows,
-                      bound_from=demographics.select("city"))
+    if airports_small is None:
+        _, airports_small = broadcast_if_small(a, max_broadcast_rows,
+                                               bound_from=airports.select("municipality"))
+    if demographics_small is None:
+        _, demographics_small = broadcast_if_small(d, max_broadcast_rows,
+                                                   bound_from=demographics.select("city"))
+    if airports_small and demographics_small:
+        t = t.repartition(_fanout_partitions(temperatures.sparkSession))
+    ta = fanout_join(t, a, "city", "municipality", other_is_small=airports_small)
+    tad = fanout_join(ta, d, "city", "__d_city", other_is_small=demographics_small)
     fact = tad.select(*[F.col(f"`{c}`") for c in FACT_COLUMNS])
     if key == "monotonic":
         return fact.withColumn("id", monotonic_key())
@@ -96,14 +117,19 @@ def build_dim_demographics(demographics: DataFrame) -> DataFrame:
 
 
 def build_model(temperatures: DataFrame, airports: DataFrame, demographics: DataFrame,
-                key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> StarModel:
-    fact = build_fact(temperatures, airports, demographics, key, max_broadcast_rows)
-    t, a, d = fact_parts(temperatures, airports, demographics)
-    from climastar.operators.joins import semi_join_keys
-    t_matched = semi_join_keys(semi_join_keys(t, "city", a, "municipality", max_broadcast_rows),
-                               "city", d, "__d_city", max_broadcast_rows)
+                key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                airports_small: bool | None = None,
+                demographics_small: bool | None = None) -> StarModel:
+    fact = build_fact(temperatures, airports, demographics, key, max_broadcast_rows,
+                      airports_small, demographics_small)
     return StarModel(fact, build_dim_airport(airports), build_dim_demographics(demographics),
-                     temperature_part=t_matched)
+                     temperature_part=dedup(temperatures, FACT_TEMPERATURE_COLUMNS))
+
+
+def model_from_clean(c, key: str = "stable") -> StarModel:
+    """Model from ``plans.clean.CleanInputs`` (uses its size probe)."""
+    return build_model(c.temperatures, c.airports, c.demographics, key=key,
+                       airports_small=c.airports_small, demographics_small=c.demographics_small)
 
 
 def write_model(model: StarModel, base: str) -> dict[str, int]:

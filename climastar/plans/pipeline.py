@@ -18,11 +18,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from climastar.operators.quality import qa_report
-from climastar.plans.clean import (
-    US_COUNTRY_CODE, US_COUNTRY_NAME, clean_airports, clean_demographics, clean_temperatures,
-)
+from climastar.plans.clean import US_COUNTRY_CODE, US_COUNTRY_NAME, clean_all
 from climastar.plans.model import (
-    DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, build_model, read_model, write_model,
+    DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, model_from_clean, read_model, write_model,
 )
 from climastar.plans.reports import report_city_climate, report_city_veterans
 from climastar.sources.readers import (
@@ -68,10 +66,9 @@ class QualityCheckFailed(RuntimeError):
 def run_pipeline(spark: SparkSession, inputs: RawInputs, output: str,
                  country_code: str = US_COUNTRY_CODE, country_name: str = US_COUNTRY_NAME,
                  key: str = "stable", fail_on_qa: bool = False) -> PipelineResult:
-    temps = clean_temperatures(inputs.temperatures, country_name)
-    airports = clean_airports(inputs.airports, country_code)
-    demog = clean_demographics(inputs.demographics)
-    model = build_model(temps, airports, demog, key=key)
+    clean = clean_all(inputs.temperatures, inputs.airports, inputs.demographics,
+                      country_code, country_name)
+    model = model_from_clean(clean, key=key)
     written = write_model(model, output)
 
     stored = read_model(spark, output)

@@ -31,8 +31,10 @@ DEMOGRAPHICS_ORDER = ["state", "race"]
 def city_mean_temperature(model: StarModel) -> DataFrame:
     """(city, average_temperature) rounded to ``MEAN_DIGITS``.
 
-    From the distinct temperature rows of matched cities when the model is
-    built in the same plan (before the fan-out), else from the fact table.
+    From the distinct temperature rows when the model is built in the same
+    plan (before the fan-out), else from the fact table.  The first form
+    also has cities that have no fact rows; callers inner-join with the
+    per-city airport and demographics aggregates, which removes them.
     """
     src = model.temperature_part if model.temperature_part is not None else model.fact
     return src.groupBy("city").agg(
@@ -136,7 +138,10 @@ def adjust_elevation(model: StarModel, lapse_rate_per_ft: float = LAPSE_RATE_PER
     temp = city_mean_temperature(model)
     elev = (model.dim_airport.groupBy("municipality")
             .agg(F.avg("elevation_ft").alias("mean_elevation_ft")))
-    j = temp.join(elev, temp.city == elev.municipality)
+    # cities of the fact only: present in the demographics as well
+    demo = model.dim_demographics.select(F.col("city").alias("__d_city")).distinct()
+    j = (temp.join(elev, temp.city == elev.municipality)
+             .join(demo, temp.city == demo.__d_city, "left_semi"))
     return j.select(
         "city", "average_temperature",
         F.round("mean_elevation_ft", MEAN_DIGITS).alias("mean_elevation_ft"),

@@ -55,12 +55,12 @@ def _hemisphere_text(c, neg: str, pos: str) -> F.Column:
                     F.when(c < 0, F.lit(neg)).otherwise(F.lit(pos)))
 
 
-def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_temperatures(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
     """Columns of the temperature CSV: dt, AverageTemperature,
     AverageTemperatureUncertainty, City, Country, Latitude, Longitude."""
     o = _table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     c = _table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
-    cg = c.join(geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    cg = c.join(geo if geo is not None else geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
     t = o.join(cg, o.o_custkey == cg.c_custkey)
     return t.select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
@@ -74,10 +74,10 @@ def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_airports(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
     """Columns of the airport-codes CSV (all text)."""
     s = _table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
-    sg = s.join(geography(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"))
+    sg = s.join(geo if geo is not None else geography(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"))
     key = F.col("s_suppkey").cast("string")
     return sg.select(
         key.alias("ident"),
@@ -95,7 +95,7 @@ def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_demographics(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
     """Columns of the demographics JSON: one row per (city, state, race).
 
     Customers are aggregated per (nation, region, segment) first; the
@@ -103,7 +103,7 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     so no city's customers are ever gathered in one task.
     """
     c = _table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    cg = c.join(geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    cg = c.join(geo if geo is not None else geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
 
     def n_if(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
