@@ -317,8 +317,10 @@ FROM v_temperature"""
        WHEN abs(corr_airports_temperature) < abs(corr_population_temperature) THEN 'population'
        ELSE 'tie' END AS stronger
 FROM (SELECT count(*) AS cities,
-             round(corr(total_airports, average_temperature), 6) AS corr_airports_temperature,
-             round(corr(total_population, average_temperature), 6) AS corr_population_temperature
+             round(CASE WHEN count(*) > 1 THEN corr(total_airports, average_temperature) END, 6)
+               AS corr_airports_temperature,
+             round(CASE WHEN count(*) > 1 THEN corr(total_population, average_temperature) END, 6)
+               AS corr_population_temperature
       FROM report)"""
     q["rank_veteran_cities"] = _with(_report_cte("veteran_population")) + (
         f"SELECT * FROM report WHERE average_temperature >= {VETERAN_MIN_TEMPERATURE} "
