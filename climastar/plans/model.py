@@ -45,6 +45,9 @@ DIM_DEMOGRAPHICS_COLUMNS = ["city", "state", "median_age", "male_population",
 
 TABLE_NAMES = ("fact_table", "dimension_table_airport", "dimension_table_demographics")
 
+# Rows per written Parquet file (about 100-200 MB of fact rows).
+FACT_RECORDS_PER_FILE = 2_000_000
+
 
 @dataclass
 class StarModel:
@@ -137,7 +140,8 @@ def write_model(model: StarModel, base: str) -> dict[str, int]:
     count of each write, taken during the write."""
     from climastar.sources.sinks import write_parquet_overwrite
 
-    return {name: write_parquet_overwrite(df, source_path(base, name), name)
+    return {name: write_parquet_overwrite(df, source_path(base, name), name,
+                                          max_records_per_file=FACT_RECORDS_PER_FILE)
             for name, df in model.tables().items()}
 
 

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from climastar.operators.quality import qa_report
 from climastar.plans.clean import US_COUNTRY_CODE, US_COUNTRY_NAME, clean_all
 from climastar.plans.model import (
-    DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, model_from_clean, read_model, write_model,
+    DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, FACT_COLUMNS, model_from_clean, read_model,
+    write_model,
 )
 from climastar.plans.reports import report_city_climate, report_city_veterans
 from climastar.sources.readers import (
@@ -72,13 +73,10 @@ def run_pipeline(spark: SparkSession, inputs: RawInputs, output: str,
     written = write_model(model, output)
 
     stored = read_model(spark, output)
-    # the fact key is a hash of its business columns: distinct keys = distinct rows
-    dedup_cols = {"fact_table": ["id"],
+    # business columns, without the key (a key would make every row distinct)
+    dedup_cols = {"fact_table": FACT_COLUMNS,
                   "dimension_table_airport": DIM_AIRPORT_COLUMNS,
                   "dimension_table_demographics": DIM_DEMOGRAPHICS_COLUMNS}
-    if key != "stable":
-        from climastar.plans.model import FACT_COLUMNS
-        dedup_cols["fact_table"] = FACT_COLUMNS
     qa = qa_report(written, stored.tables(), dedup_cols)
     if fail_on_qa:
         failed = qa.filter("NOT passed").limit(1).collect()

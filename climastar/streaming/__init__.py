@@ -1,0 +1,16 @@
+"""Incremental ingestion of arriving source files.
+
+The source project has no streaming operator: every source is a batch read,
+rerun daily.  The cleansing steps are stateless projections and filters, so
+the same functions apply unchanged to a Structured Streaming file source;
+``ingest_available`` runs one ``availableNow`` trigger that cleans only the
+files that arrived since the previous run and appends them to Parquet, with
+its progress kept in a checkpoint under the shared folder.  No windows,
+watermarks or state are involved (the source defines none).
+"""
+
+from climastar.streaming.ingest import (
+    AIRPORT_CSV_FIELDS, TEMPERATURE_CSV_FIELDS, ingest_available, stream_clean,
+)
+
+__all__ = ["AIRPORT_CSV_FIELDS", "TEMPERATURE_CSV_FIELDS", "ingest_available", "stream_clean"]

@@ -1,0 +1,51 @@
+"""File-source streams of the CSV inputs, cleaned with the batch functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from climastar.plans.clean import (
+    US_COUNTRY_CODE, US_COUNTRY_NAME, clean_airports, clean_temperatures,
+)
+
+# Header fields of the two CSV inputs, in file order.
+TEMPERATURE_CSV_FIELDS = ["dt", "AverageTemperature", "AverageTemperatureUncertainty",
+                          "City", "Country", "Latitude", "Longitude"]
+AIRPORT_CSV_FIELDS = ["ident", "type", "name", "elevation_ft", "continent", "iso_country",
+                      "iso_region", "municipality", "gps_code", "iata_code", "local_code",
+                      "coordinates"]
+
+
+def _strings(fields: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(f, T.StringType()) for f in fields])
+
+
+def stream_clean(spark: SparkSession, source_dir: str, kind: str,
+                 country: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of cleaned rows from CSV files arriving in
+    ``source_dir``; ``kind`` is ``"temperatures"`` or ``"airports"``.
+    A file stream needs a declared schema: all fields are text, as in the
+    batch reader."""
+    fields = TEMPERATURE_CSV_FIELDS if kind == "temperatures" else AIRPORT_CSV_FIELDS
+    reader = spark.readStream.schema(_strings(fields)).option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(source_dir)
+    if kind == "temperatures":
+        return clean_temperatures(raw, country or US_COUNTRY_NAME, check=False)
+    if kind == "airports":
+        return clean_airports(raw, country or US_COUNTRY_CODE, check=False)
+    raise ValueError(f"unknown kind {kind!r}")
+
+
+def ingest_available(stream: DataFrame, output: str, checkpoint: str) -> int:
+    """Process every file available now, append to ``output`` and stop.
+    Returns the number of rows appended by this run.  The checkpoint makes
+    reruns exactly-once per file and lets a failed run resume."""
+    q = (stream.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True)
+         .start(output))
+    q.awaitTermination()
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress) if q.recentProgress else 0

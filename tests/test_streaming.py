@@ -1,0 +1,27 @@
+"""The batch cleansing applied to a file stream, one availableNow run per
+arrival of files."""
+
+from climastar.plans.catalog import raw_inputs
+from climastar.plans.clean import clean_temperatures
+from climastar.session import new_run_dir
+from climastar.sources.standins import STANDIN_COUNTRY
+from climastar.streaming import ingest_available, stream_clean
+from conftest import SF001
+
+
+def test_incremental_ingest_equals_batch(spark):
+    base = new_run_dir(spark, "t-stream")
+    raw = raw_inputs(spark, SF001).temperatures
+    first = raw.filter("dt < '1998-01-01'")
+    second = raw.filter("dt >= '1998-01-01'")
+    first.write.option("header", True).csv(f"{base}/in/part1")
+    stream = stream_clean(spark, f"{base}/in/*", "temperatures", STANDIN_COUNTRY)
+    ingest_available(stream, f"{base}/out", f"{base}/ckpt")
+    n1 = spark.read.parquet(f"{base}/out").count()
+    second.write.option("header", True).csv(f"{base}/in/part2")
+    stream = stream_clean(spark, f"{base}/in/*", "temperatures", STANDIN_COUNTRY)
+    ingest_available(stream, f"{base}/out", f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/out")
+    batch = clean_temperatures(raw, STANDIN_COUNTRY)
+    assert 0 < n1 < out.count()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
