@@ -41,6 +41,7 @@ from climastar.sources.readers import (
 from climastar.sources.sinks import write_parquet_overwrite
 from climastar.sources.standins import (
     STANDIN_COUNTRY, geography, raw_airports, raw_demographics, raw_temperatures,
+    source_bounds,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,9 +53,10 @@ VETERAN_MAX_TEMPERATURE = 270000.0
 
 
 def raw_inputs(spark: SparkSession, sf: str) -> RawInputs:
-    geo = geography(spark, sf)
-    return RawInputs(raw_temperatures(spark, sf, geo), raw_airports(spark, sf, geo),
-                     raw_demographics(spark, sf, geo))
+    bounds = source_bounds(spark, sf)
+    geo = geography(spark, sf, bounds["nation"])
+    return RawInputs(raw_temperatures(spark, sf, geo, bounds["customer"]),
+                     raw_airports(spark, sf, geo), raw_demographics(spark, sf, geo))
 
 
 def clean_inputs(spark: SparkSession, sf: str, check: bool = True) -> CleanInputs:

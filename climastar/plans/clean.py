@@ -138,18 +138,24 @@ class CleanInputs:
 def clean_all(temperatures_raw: DataFrame, airports_raw: DataFrame, demographics_raw: DataFrame,
               country_code: str = US_COUNTRY_CODE, country_name: str = US_COUNTRY_NAME,
               check: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> CleanInputs:
-    """Clean the three inputs; with ``check`` one job both gates every source
-    (non-empty) and bounds the airport and demographics sizes for the joins."""
+    """Clean the three inputs.  With ``check``:
+
+    * one job bounds the airport and demographics sizes for the joins
+      (``limit(N+1)`` counts); a zero count is the non-empty gate of both;
+    * the large temperature input is gated with ``isEmpty``, an incremental
+      take that reads one partition first and widens only if needed (a
+      ``limit`` inside an aggregate would start a task on every split).
+    """
     t = clean_temperatures(temperatures_raw, country_name, check=False)
     a = clean_airports(airports_raw, country_code, check=False)
     d = clean_demographics(demographics_raw, check=False)
     if not check:
         return CleanInputs(t, a, d)
-    n = probe_rows({"temperatures": (t, 1),
-                    "airports": (a.select("municipality"), max_broadcast_rows),
+    n = probe_rows({"airports": (a.select("municipality"), max_broadcast_rows),
                     "demographics": (d.select("city"), max_broadcast_rows)})
     for name, rows in n.items():
         if rows == 0:
             raise EmptySourceError(f"{name}: no rows to process")
+    ensure_non_empty(t, "temperatures")
     return CleanInputs(t, a, d, n["airports"] <= max_broadcast_rows,
                        n["demographics"] <= max_broadcast_rows)

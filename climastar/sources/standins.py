@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climastar.operators.joins import broadcast_if_small
+from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, probe_rows
 from climastar.sources.readers import read_parquet, source_path
 
 STANDIN_COUNTRY = "AMERICA"
@@ -37,13 +37,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> Data
     return read_parquet(spark, source_path(sf_dir, f"{name}.parquet"), cols)
 
 
-def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(n_nationkey, n_name, r_name), checked small enough to broadcast."""
+def source_bounds(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    """One probe job: is the nation table small enough to broadcast, and is
+    the customer table (the build side of the temperature stand-in)?"""
+    n = probe_rows({
+        "nation": (_table(spark, sf_dir, "nation", ["n_nationkey"]), _GEO_MAX_ROWS),
+        "customer": (_table(spark, sf_dir, "customer", ["c_custkey"]), BROADCAST_MAX_ROWS),
+    })
+    return {"nation": n["nation"] <= _GEO_MAX_ROWS, "customer": n["customer"] <= BROADCAST_MAX_ROWS}
+
+
+def geography(spark: SparkSession, sf_dir: str, small: bool | None = None) -> DataFrame:
+    """(n_nationkey, n_name, r_name), broadcast when checked small (one row
+    per nation; ``small`` passes an earlier probe result)."""
     n = _table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = _table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    geo, _ = broadcast_if_small(geo, _GEO_MAX_ROWS, bound_from=n)
-    return geo
+    if small is None:
+        geo, _ = broadcast_if_small(geo, _GEO_MAX_ROWS, bound_from=n)
+        return geo
+    return F.broadcast(geo) if small else geo
 
 
 def _money_text(c) -> F.Column:
@@ -55,12 +68,18 @@ def _hemisphere_text(c, neg: str, pos: str) -> F.Column:
                     F.when(c < 0, F.lit(neg)).otherwise(F.lit(pos)))
 
 
-def raw_temperatures(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
+def raw_temperatures(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None,
+                     customers_small: bool = False) -> DataFrame:
     """Columns of the temperature CSV: dt, AverageTemperature,
-    AverageTemperatureUncertainty, City, Country, Latitude, Longitude."""
+    AverageTemperatureUncertainty, City, Country, Latitude, Longitude.
+
+    ``customers_small`` (from ``source_bounds``) broadcasts the customer side
+    so the orders stream through; otherwise Spark plans a shuffle join."""
     o = _table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     c = _table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
     cg = c.join(geo if geo is not None else geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    if customers_small:
+        cg = F.broadcast(cg)
     t = o.join(cg, o.o_custkey == cg.c_custkey)
     return t.select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
