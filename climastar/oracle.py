@@ -222,6 +222,14 @@ def oracle_sql() -> dict[str, str]:
     q["table_reset"] = _with() + (
         "SELECT year, mon, average_temperature, average_temperature_uncertainty, city, country, "
         "CAST(latitude AS VARCHAR) AS latitude, CAST(longitude AS VARCHAR) AS longitude FROM t_clean")
+    q["table_reset_all"] = _with() + (
+        "SELECT 'cities_demog' AS \"table\", count(*) AS rows FROM d_clean "
+        "UNION ALL SELECT 'airport_codes', CAST(0 AS BIGINT) "
+        "UNION ALL SELECT 'immigration', CAST(0 AS BIGINT) "
+        "UNION ALL SELECT 'city_surface_temps', count(*) FROM t_clean "
+        "UNION ALL SELECT 'state_surface_temps', CAST(0 AS BIGINT)")
+    q["schema_conform_demographics"] = _with() + "SELECT * FROM d_clean"
+    q["schema_conform_temperatures"] = q["table_reset"]
     q["schema_conform"] = _with() + (
         "SELECT ident, \"type\", airport_name, elevation_ft, continent, iso_country, iso_region, "
         "municipality, gps_code, iata_code, local_code, latitude, longitude FROM a_clean")

@@ -115,11 +115,40 @@ def q_table_reset(spark, sf):
     return spark.table("city_surface_temps")
 
 
+def q_table_reset_all(spark, sf):
+    """Reset all five declared tables, load the ones with a source whose
+    rows meet the declared lengths, reset and load again: (table, rows)."""
+    t, _, d = cleaned(spark, sf)
+    base = new_run_dir(spark, "tables-all")
+    names = list(contracts.CONTRACTS)
+    loads = {"cities_demog": d, "city_surface_temps": t}
+    for _ in range(2):
+        contracts.reset_tables(spark, names, base)
+        for name, df in loads.items():
+            contracts.load_table(df, name)
+    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
+             for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_schema_conform(spark, sf):
     _, a, _ = cleaned(spark, sf)
     return contracts.conform(a, "airport_codes")
 
 
+def q_schema_conform_demographics(spark, sf):
+    _, _, d = cleaned(spark, sf)
+    return contracts.conform(d, "cities_demog")
+
+
+def q_schema_conform_temperatures(spark, sf):
+    t, _, _ = cleaned(spark, sf)
+    return contracts.conform(t, "city_surface_temps")
+
+
 def q_constraint_violations(spark, sf):
     t, a, d = cleaned(spark, sf)
     return (constraint_violations(d, "cities_demog")
@@ -360,7 +389,10 @@ QUERIES: dict[str, Query] = {
     "sink_parquet_overwrite": q_sink_parquet_overwrite,
     "preview_top20": q_preview_top20,
     "table_reset": q_table_reset,
+    "table_reset_all": q_table_reset_all,
     "schema_conform": q_schema_conform,
+    "schema_conform_demographics": q_schema_conform_demographics,
+    "schema_conform_temperatures": q_schema_conform_temperatures,
     "constraint_violations": q_constraint_violations,
     "project_rename": q_project_rename,
     "cast_tolerant": q_cast_tolerant,

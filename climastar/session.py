@@ -32,14 +32,17 @@ def shared_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    key = id(sc)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # remote (Connect) session: no driver context here
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    key = id(sc) if sc is not None else id(spark)
     if key not in _fallback_dirs:
         _fallback_dirs[key] = tempfile.mkdtemp(prefix="climastar-ckpt-")
-        sc.setCheckpointDir(_fallback_dirs[key])
+        if sc is not None:
+            sc.setCheckpointDir(_fallback_dirs[key])
     return _fallback_dirs[key]
 
 
