@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, probe_rows
-from climastar.sources.readers import read_parquet, source_path
+from climastar.sources.readers import source_path
 
 STANDIN_COUNTRY = "AMERICA"
 
@@ -33,8 +33,22 @@ STANDIN_COUNTRY = "AMERICA"
 _GEO_MAX_ROWS = 100_000
 
 
+# Types of the driver-table columns the stand-ins read.
+DRIVER_COLUMN_TYPES = {
+    "n_nationkey": "int", "n_name": "string", "n_regionkey": "int",
+    "r_regionkey": "int", "r_name": "string",
+    "c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string",
+    "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
+    "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    return read_parquet(spark, source_path(sf_dir, f"{name}.parquet"), cols)
+    """Parquet scan of the named columns with their declared types, so no
+    job is spent inferring the schema from the file footers."""
+    ddl = ", ".join(f"{c} {DRIVER_COLUMN_TYPES[c]}" for c in cols)
+    return spark.read.schema(ddl).parquet(source_path(sf_dir, f"{name}.parquet"))
 
 
 def source_bounds(spark: SparkSession, sf_dir: str) -> dict[str, bool]:

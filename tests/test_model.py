@@ -111,3 +111,15 @@ def test_title_case_demographics(spark):
                                 "city string, state string, `Median Age` string, number_of_veterans string")
     d = clean_demographics(raw).collect()[0]
     assert d.median_age == 35.5 and d.veteran_population == 7 and d["count"] is None
+
+
+def test_declared_schemas_match_built_tables(spark):
+    from climastar.plans.catalog import model
+    from climastar.plans.model import table_schema
+    from conftest import SF0001
+
+    m = model(spark, SF0001)
+    for name, df in m.tables().items():
+        got = [(f.name, f.dataType) for f in df.schema.fields]
+        want = [(f.name, f.dataType) for f in table_schema(name).fields]
+        assert got == want, name
