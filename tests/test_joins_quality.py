@@ -88,3 +88,35 @@ def test_star_join_equals_preaggregated(spark):
                           F.struct("d.state", "d.race", "d.total_population")).alias("total_population"),
                  F.count_distinct("a.airport_name").alias("total_airports")))
     assert _rows(star) == _rows(report_city_climate(m))
+
+
+def test_fact_plan_spreads_fanout_and_broadcasts_small_sides(spark):
+    from climastar.plans.catalog import model
+
+    plan = _plan(model(spark, SF001).fact)
+    assert "RoundRobinPartitioning" in plan
+    assert plan.count("BroadcastHashJoin") >= 2
+    assert "SortMergeJoin" not in plan
+
+
+def test_stored_report_reads_two_fact_columns(spark):
+    from climastar.plans.catalog import model
+    from climastar.plans.model import read_model, write_model
+    from climastar.plans.reports import report_city_climate
+    from climastar.session import new_run_dir
+
+    d = new_run_dir(spark, "t-plan")
+    write_model(model(spark, SF001), d)
+    plan = _plan(report_city_climate(read_model(spark, d)))
+    assert "ReadSchema: struct<average_temperature:double,city:string>" in plan or \
+           "struct<average_temperature:double,city:string>" in plan
+
+
+def test_duplicate_check_shuffles_fingerprints_only(spark):
+    from climastar.plans.catalog import model
+    from climastar.plans.model import FACT_COLUMNS
+
+    plan = _plan(duplicate_summary(model(spark, SF001).fact, "f", FACT_COLUMNS))
+    exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
+    fp = [l for l in exchanges if "__fp1" in l and "__fp2" in l]
+    assert fp and all("ident" not in l for l in fp)
