@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 # Default bound for a broadcast side: a few hundred bytes per row keeps the
 # broadcast relation well under the executor memory of any cluster.
 BROADCAST_MAX_ROWS = 500_000
-# Upper bound for the rows of one salted task on the large side.
-ROWS_PER_TASK = 2_000_000
-MAX_SALTS = 512
+# Target join output rows of one salted task.
+ROWS_PER_TASK = 20_000_000
+MAX_SALTS = 4096
 MAX_HOT_KEYS = 100_000
 
 _SALT = "__salt"
@@ -81,26 +81,33 @@ def salted_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
                 max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Inner equi-join ``big.big_key == other.other_key`` with hot-key salting.
 
-    1. per-key counts of ``big`` (partial aggregation: one row per key and
-       map task crosses the shuffle);
-    2. hot keys = count above ``rows_per_task``; their number is at most
-       rows(big) / rows_per_task, and is checked before it is broadcast;
-    3. a hot key gets ``ceil(count / rows_per_task)`` salts (at most
-       ``max_salts``); its ``big`` rows take one salt each by row hash, its
-       ``other`` rows are copied to every salt.  Cold keys keep salt 0.
-    All rows are kept; only the task layout changes.
+    1. per-key row counts of both sides (partial aggregation: one row per
+       key and map task crosses the shuffle);
+    2. a key is hot when its join output, n_big * n_other, exceeds
+       ``rows_per_task``; it gets ``ceil(n_big * n_other / rows_per_task)``
+       salts (at most ``max_salts`` and at most n_big).  The hot-key table
+       is broadcast only after a bounded count proves it small;
+    3. a hot key's ``big`` rows take one salt each by row hash, its
+       ``other`` rows are copied to every salt; cold keys keep salt 0.
+    Each task then produces about ``rows_per_task`` rows, whatever the key
+    skew on either side.  All rows are kept; only the task layout changes.
     """
-    hot = (big.groupBy(F.col(f"`{big_key}`").alias(_HKEY)).count()
-           .filter(F.col("count") > rows_per_task)
-           .select(_HKEY, F.least(F.ceil(F.col("count") / F.lit(rows_per_task)),
-                                  F.lit(max_salts)).cast("int").alias(_NSALT)))
+    bk = F.col(f"`{big_key}`")
+    ok = F.col(f"`{other_key}`")
+    n_big = big.groupBy(bk.alias(_HKEY)).agg(F.count(F.lit(1)).alias("__nb"))
+    n_other = other.groupBy(ok.alias("__ok")).agg(F.count(F.lit(1)).alias("__no"))
+    out_rows = F.col("__nb") * F.col("__no")
+    hot = (n_big.join(n_other, F.col(_HKEY) == F.col("__ok"))
+           .filter(out_rows > F.lit(rows_per_task))
+           .select(_HKEY, F.least(F.ceil(out_rows / F.lit(rows_per_task)), F.lit(max_salts),
+                                  F.col("__nb")).cast("int").alias(_NSALT)))
     hot, _ = broadcast_if_small(hot, max_hot_keys)
 
-    b = (big.join(hot, F.col(f"`{big_key}`") == F.col(_HKEY), "left").drop(_HKEY)
+    b = (big.join(hot, bk == F.col(_HKEY), "left").drop(_HKEY)
          .withColumn(_SALT, F.when(F.col(_NSALT).isNull(), F.lit(0))
                      .otherwise(F.pmod(_row_hash(big), F.col(_NSALT))))
          .drop(_NSALT))
-    o = (other.join(hot, F.col(f"`{other_key}`") == F.col(_HKEY), "left").drop(_HKEY)
+    o = (other.join(hot, ok == F.col(_HKEY), "left").drop(_HKEY)
          .withColumn(_SALT, F.explode(F.sequence(
              F.lit(0), F.coalesce(F.col(_NSALT), F.lit(1)) - 1)))
          .drop(_NSALT))

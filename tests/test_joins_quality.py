@@ -120,3 +120,16 @@ def test_duplicate_check_shuffles_fingerprints_only(spark):
     exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
     fp = [l for l in exchanges if "__fp1" in l and "__fp2" in l]
     assert fp and all("ident" not in l for l in fp)
+
+
+def test_salts_follow_output_size(spark):
+    """A key that is hot only through the fan-out (few big rows, many
+    partners) is salted too, and the result is still the plain join."""
+    big = spark.range(200).select(F.when(F.col("id") < 100, F.lit("a")).otherwise(F.lit("b")).alias("k"),
+                                  F.col("id").alias("v"))
+    other = spark.range(300).select(F.when(F.col("id") < 290, F.lit("a")).otherwise(F.lit("b")).alias("ok"),
+                                    F.col("id").alias("w"))
+    plain = big.join(other, big.k == other.ok).select("k", "v", "ok", "w")
+    salted = salted_join(big, other, "k", "ok", rows_per_task=1000)
+    assert salted.count() == 100 * 290 + 100 * 10
+    assert _rows(salted) == _rows(plain)
