@@ -33,3 +33,16 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["city", "average_temperature", "total_population", "total_airports"]
     assert df.count() > 0
+
+
+def test_sized_fact_write_equals_lazy_fact(spark):
+    from climastar.plans.catalog import model
+    from climastar.plans.model import write_fact
+
+    m = model(spark, SF001)
+    path = new_run_dir(spark, "t-fact") + "/fact"
+    n = write_fact(m.source, path)
+    stored = spark.read.parquet(path)
+    assert n == stored.count() == m.fact.count()
+    assert stored.select("id").subtract(m.fact.select("id")).count() == 0
+    assert stored.rdd.getNumPartitions() >= 1
