@@ -17,7 +17,7 @@ physical forms are used:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,15 +141,3 @@ def fanout_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
         return joined.select(*[F.col(f"__b.`{c}`") for c in big.columns],
                              *[F.col(f"__o.`{c}`") for c in other.columns])
     return salted_join(big, other, big_key, other_key, rows_per_task=rows_per_task)
-
-
-def join_columns(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                 how: str = "inner") -> DataFrame:
-    """Plain equi-join on pairs of column names, both sides aliased so that
-    re-joining related DataFrames never gives ambiguous references."""
-    l, r = left.alias("__l"), right.alias("__r")
-    cond = None
-    for a, b in on:
-        c = F.col(f"__l.`{a}`") == F.col(f"__r.`{b}`")
-        cond = c if cond is None else cond & c
-    return l.join(r, cond, how)

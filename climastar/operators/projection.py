@@ -1,8 +1,8 @@
-"""Projections: rename, drop, select."""
+"""Projections: rename, drop."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
@@ -15,7 +15,3 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 def drop(df: DataFrame, *columns: str) -> DataFrame:
     return df.drop(*columns)
-
-
-def select(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[f"`{c}`" for c in columns])

@@ -30,7 +30,7 @@ from climastar.plans.clean import (
 )
 from climastar.plans.model import (
     DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, FACT_COLUMNS, FACT_TEMPERATURE_COLUMNS,
-    StarModel, build_fact, build_model, model_from_clean, read_model, write_model,
+    StarModel, build_fact, model_from_clean, read_model, write_model,
 )
 from climastar.plans.pipeline import RawInputs, run_pipeline
 from climastar.session import new_run_dir

@@ -3,8 +3,6 @@ NULLs, malformed text or short splits)."""
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from climastar.functions import (
     date_month, date_year, hemisphere_coordinate, split_part, stable_key, to_double, to_int,
 )

@@ -1,10 +1,8 @@
 """Model semantics on hand-written edge rows (FIXTURES §4)."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from climastar.operators.quality import EmptySourceError
-from climastar.plans.clean import clean_airports, clean_all, clean_demographics, clean_temperatures
+from climastar.plans.clean import clean_all, clean_demographics
 from climastar.plans.model import FACT_COLUMNS, build_model
 from climastar.plans.reports import report_city_climate
 
