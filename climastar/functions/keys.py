@@ -22,17 +22,24 @@ def _canonical_sql(name: str, dtype: T.DataType) -> str:
     return f"coalesce(CAST({c} AS STRING), '{token}')"
 
 
+KEY_HEX_CHARS = 32   # 128 bits
+
+
 def stable_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 over the business columns, ``|``-separated, NULL as ``\\N``.
+    """First 128 bits (32 hex characters) of SHA-256 over the business
+    columns, ``|``-separated, NULL as ``\\N``.
 
     Unlike ``monotonically_increasing_id`` the value depends only on the row,
     so reruns, retries after executor loss and other engines give the same
-    key.  Rows must be de-duplicated on ``columns`` first for it to be unique.
+    key.  Rows must be de-duplicated on ``columns`` first for it to be unique;
+    two distinct rows share a key with probability about n^2 / 2^129
+    (1e-15 for 10^12 rows).  128 bits instead of 256 halves the key, which is
+    most of the fact table's bytes (random hex does not compress).
     Built as one SQL expression (one JVM call instead of one per column part).
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     parts = ", ".join(_canonical_sql(c, types[c]) for c in columns)
-    return F.expr(f"sha2(concat_ws('|', {parts}), 256)")
+    return F.expr(f"substring(sha2(concat_ws('|', {parts}), 256), 1, {KEY_HEX_CHARS})")
 
 
 def monotonic_key() -> Column:

@@ -147,7 +147,8 @@ def _canon(col: str, double: bool) -> str:
 
 
 def _key(cols: list[str], doubles: set[str]) -> str:
-    return "sha256(concat_ws('|', " + ", ".join(_canon(c, c in doubles) for c in cols) + "))"
+    return ("substr(sha256(concat_ws('|', " + ", ".join(_canon(c, c in doubles) for c in cols)
+            + ")), 1, 32)")
 
 
 FACT = f"fact AS (SELECT *, {_key(FACT_COLUMNS, _DOUBLE_COLUMNS)} AS id FROM fact0)"
