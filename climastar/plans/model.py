@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from climastar.functions.keys import monotonic_key, stable_key
 from climastar.operators.aggregates import dedup
-from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, fanout_join
+from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, fanout_join, fits_rows
 from climastar.sources.readers import source_path
 from climastar.sources.sinks import write_parquet_overwrite
 
@@ -105,8 +105,8 @@ def build_fact(temperatures: DataFrame, airports: DataFrame, demographics: DataF
                demographics_small: bool | None = None) -> DataFrame:
     """Fact table: 20 business columns + ``id``.
 
-    ``key="stable"`` gives a SHA-256 of the business columns (same value on
-    every run and engine); ``key="monotonic"`` gives
+    ``key="stable"`` gives the first 128 bits of a SHA-256 of the business
+    columns (same value on every run and engine); ``key="monotonic"`` gives
     ``monotonically_increasing_id`` as the source job did.
     ``airports_small``/``demographics_small`` pass the result of an earlier
     size probe; None checks here.
@@ -202,13 +202,14 @@ def build_model(temperatures: DataFrame, airports: DataFrame, demographics: Data
                 key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                 airports_small: bool | None = None,
                 demographics_small: bool | None = None) -> StarModel:
+    if airports_small is None:
+        airports_small = fits_rows(airports.select("municipality"), max_broadcast_rows)
+    if demographics_small is None:
+        demographics_small = fits_rows(demographics.select("city"), max_broadcast_rows)
     fact = build_fact(temperatures, airports, demographics, key, max_broadcast_rows,
                       airports_small, demographics_small)
-    if airports_small is None or demographics_small is None:
-        source = None
-    else:
-        source = FactSource(temperatures, airports, demographics, key,
-                            airports_small, demographics_small)
+    source = FactSource(temperatures, airports, demographics, key,
+                        airports_small, demographics_small)
     return StarModel(fact, build_dim_airport(airports), build_dim_demographics(demographics),
                      temperature_part=dedup(temperatures, FACT_TEMPERATURE_COLUMNS),
                      source=source)

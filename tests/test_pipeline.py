@@ -46,3 +46,17 @@ def test_sized_fact_write_equals_lazy_fact(spark):
     assert n == stored.count() == m.fact.count()
     assert stored.select("id").subtract(m.fact.select("id")).count() == 0
     assert stored.rdd.getNumPartitions() >= 1
+
+
+def test_fact_write_tasks_follow_fact_rows(spark, monkeypatch):
+    """With 5,000 fact rows per task, the ~46k-row fact at sf0.01 is written
+    by at least 10 tasks (more than the 8 local slots)."""
+    import climastar.plans.model as M
+    from climastar.plans.catalog import model
+
+    monkeypatch.setattr(M, "FANOUT_ROWS_PER_TASK", 5000)
+    m = model(spark, SF001)
+    path = new_run_dir(spark, "t-fact-sized") + "/fact"
+    n = M.write_fact(m.source, path)
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) >= -(-n // 5000) >= 10
