@@ -7,7 +7,7 @@ physical forms are used:
 * map-side fan-out: the smaller side is broadcast, but only after a bounded
   row count has proven it small (``fits_rows``).  The large side is never
   shuffled, so a hot key costs nothing extra;
-* salted shuffle join otherwise: keys whose row count exceeds
+* salted shuffle join otherwise: keys whose join output exceeds
   ``rows_per_task`` are spread over several salt values on the large side and
   the matching rows of the other side are replicated once per salt, so no
   single task receives a whole hot key.  Salts come from a hash of the row,
@@ -38,8 +38,9 @@ _HKEY = "__hot_key"
 def fits_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, so on a large input it stops early
-    instead of counting everything.
+    Every task stops after ``max_rows + 1`` rows, so a large input is not
+    counted in full.  Meant for relations expected to be small (dimension
+    inputs, key tables); a large input is gated with ``isEmpty`` instead.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
@@ -91,6 +92,9 @@ def salted_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
        ``other`` rows are copied to every salt; cold keys keep salt 0.
     Each task then produces about ``rows_per_task`` rows, whatever the key
     skew on either side.  All rows are kept; only the task layout changes.
+    Should the hot-key table itself be too large to broadcast (more than
+    ``max_hot_keys`` keys, each above ``rows_per_task`` output rows), it is
+    joined by a shuffle, and AQE's skew-join split is the remaining guard.
     """
     bk = F.col(f"`{big_key}`")
     ok = F.col(f"`{other_key}`")
