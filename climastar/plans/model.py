@@ -187,7 +187,22 @@ def write_fact(src: FactSource, path: str) -> int:
     t_staged = (spark.read.schema(stage_schema).parquet(stage_dir).drop("__f")
                 .repartition(tasks))
     fact = _join_parts(t_staged, a, d, src.key, True, True)
-    return write_parquet_overwrite(fact, path, "fact_table", max_records_per_file=FACT_RECORDS_PER_FILE)
+    rows = write_parquet_overwrite(fact, path, "fact_table", max_records_per_file=FACT_RECORDS_PER_FILE)
+    _remove_staging(spark, stage_dir)
+    return rows
+
+
+def _remove_staging(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder once the table built from it is written, so
+    intermediate rows do not pile up in the shared folder.  Best effort: a
+    remote session without a JVM gateway leaves it for the storage's
+    lifecycle rules."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:
+        pass
 
 
 def build_dim_airport(airports: DataFrame) -> DataFrame:

@@ -60,3 +60,18 @@ def test_fact_write_tasks_follow_fact_rows(spark, monkeypatch):
     n = M.write_fact(m.source, path)
     files = spark.read.parquet(path).inputFiles()
     assert len(files) >= -(-n // 5000) >= 10
+
+
+def test_fact_write_removes_its_staging(spark):
+    import os
+
+    import climastar.plans.model as M
+    from climastar.plans.catalog import model
+    from climastar.session import shared_root
+
+    root = shared_root(spark).replace("file:", "")
+    before = {d for d in os.listdir(root + "/climastar") if d.startswith("fact-stage-")}
+    m = model(spark, SF001)
+    M.write_fact(m.source, new_run_dir(spark, "t-stage") + "/fact")
+    after = {d for d in os.listdir(root + "/climastar") if d.startswith("fact-stage-")}
+    assert after - before == set()
