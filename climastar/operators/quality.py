@@ -28,11 +28,18 @@ def ensure_non_empty(df: DataFrame, name: str) -> DataFrame:
 
 
 def non_empty_flags(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(source, non_empty) per table; each reads at most one row."""
-    parts = [df.limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty"))
-             .select(F.lit(name).alias("source"), "non_empty")
-             for name, df in tables.items()]
-    return _union(parts)
+    """(source, non_empty) per table.
+
+    Each flag comes from ``isEmpty``, an incremental take: it reads one
+    partition first and widens only while nothing is found.  (A ``limit(1)``
+    inside an aggregate would start one task on every split of the input.)
+    The result has one row per table.
+    """
+    if not tables:
+        raise ValueError("no tables to check")
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(name, not df.isEmpty()) for name, df in tables.items()]
+    return spark.createDataFrame(rows, "source string, non_empty boolean")
 
 
 def constraint_violations(df: DataFrame, table: str) -> DataFrame:
