@@ -157,7 +157,10 @@ FACT = f"fact AS (SELECT *, {_key(FACT_COLUMNS, _DOUBLE_COLUMNS)} AS id FROM fac
 def _report_cte(attribute: str) -> str:
     return f"""report AS (
   SELECT f.city,
-         round(avg(f.average_temperature), 6) AS average_temperature,
+         -- favg: compensated summation; the star join repeats each fact row
+         -- |D|*|A| times, and a plain sum over ~10^8 rows per city drifts
+         -- into the sixth decimal
+         round(favg(f.average_temperature), 6) AS average_temperature,
          first(d.{attribute} ORDER BY d.state NULLS FIRST, d.race NULLS FIRST,
                d.{attribute} NULLS FIRST) AS {attribute},
          count(DISTINCT a.airport_name) AS total_airports
