@@ -272,16 +272,19 @@ _TYPES = {
 }
 
 
-def table_schema(name: str) -> T.StructType:
+def table_schema(name: str, key: str = "stable") -> T.StructType:
+    """Published schema of a model table; the fact's ``id`` is a string for
+    the stable key and a bigint for the monotonic one."""
     cols = {"fact_table": FACT_COLUMNS + ["id"],
             "dimension_table_airport": DIM_AIRPORT_COLUMNS,
             "dimension_table_demographics": DIM_DEMOGRAPHICS_COLUMNS}[name]
-    return T.StructType.fromDDL(", ".join(f"`{c}` {_TYPES[c]}" for c in cols))
+    types = dict(_TYPES, id="bigint" if key == "monotonic" else "string")
+    return T.StructType.fromDDL(", ".join(f"`{c}` {types[c]}" for c in cols))
 
 
-def read_model(spark: SparkSession, base: str) -> StarModel:
+def read_model(spark: SparkSession, base: str, key: str = "stable") -> StarModel:
     """The written tables, read with their declared schemas (no footer scan
     to infer them)."""
-    fact, air, demo = (spark.read.schema(table_schema(n)).parquet(source_path(base, n))
+    fact, air, demo = (spark.read.schema(table_schema(n, key)).parquet(source_path(base, n))
                        for n in TABLE_NAMES)
     return StarModel(fact, air, demo)

@@ -72,7 +72,7 @@ def run_pipeline(spark: SparkSession, inputs: RawInputs, output: str,
     model = model_from_clean(clean, key=key)
     written = write_model(model, output)
 
-    stored = read_model(spark, output)
+    stored = read_model(spark, output, key)
     # Duplicates of the business rows.  The stable key is a hash of exactly
     # those columns, so equal rows have equal keys and grouping on the key
     # (one column instead of twenty) finds every duplicate; a monotonic key
