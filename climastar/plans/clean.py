@@ -145,17 +145,26 @@ def clean_all(temperatures_raw: DataFrame, airports_raw: DataFrame, demographics
     * the large temperature input is gated with ``isEmpty``, an incremental
       take that reads one partition first and widens only if needed (a
       ``limit`` inside an aggregate would start a task on every split).
+
+    Both checks are submitted together from two driver threads.
     """
     t = clean_temperatures(temperatures_raw, country_name, check=False)
     a = clean_airports(airports_raw, country_code, check=False)
     d = clean_demographics(demographics_raw, check=False)
     if not check:
         return CleanInputs(t, a, d)
-    n = probe_rows({"airports": (a.select("municipality"), max_broadcast_rows),
-                    "demographics": (d.select("city"), max_broadcast_rows)})
+    from concurrent.futures import ThreadPoolExecutor
+
+    # the two checks are independent actions: submit them together
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        probe = pool.submit(probe_rows, {"airports": (a.select("municipality"), max_broadcast_rows),
+                                         "demographics": (d.select("city"), max_broadcast_rows)})
+        temps_empty = pool.submit(t.isEmpty)
+        n, t_empty = probe.result(), temps_empty.result()
     for name, rows in n.items():
         if rows == 0:
             raise EmptySourceError(f"{name}: no rows to process")
-    ensure_non_empty(t, "temperatures")
+    if t_empty:
+        raise EmptySourceError("temperatures: no rows to process")
     return CleanInputs(t, a, d, n["airports"] <= max_broadcast_rows,
                        n["demographics"] <= max_broadcast_rows)
