@@ -84,10 +84,28 @@ def preview(df: DataFrame, n: int = 20, order: str = "city") -> DataFrame:
     return df.orderBy(order).limit(n)
 
 
+def city_fact_rows(model: StarModel) -> DataFrame:
+    """(city, fact_rows).  When the model is built in the same plan, the fact
+    is never generated for this: its rows per city are the product of the
+    distinct parts, |T_c|·|A_c|·|D_c|, three small per-city counts.  For a
+    model read from written tables, the stored fact is counted."""
+    if model.source is None:
+        return model.fact.groupBy("city").agg(F.count(F.lit(1)).alias("fact_rows"))
+    from climastar.plans.model import fact_parts
+
+    src = model.source
+    t, a, d = fact_parts(src.temperatures, src.airports, src.demographics)
+    tc = t.groupBy("city").agg(F.count(F.lit(1)).alias("__t"))
+    ac = a.groupBy("municipality").agg(F.count(F.lit(1)).alias("__a"))
+    dc = d.groupBy("__d_city").agg(F.count(F.lit(1)).alias("__d"))
+    j = tc.join(ac, tc.city == ac.municipality).join(dc, tc.city == dc.__d_city)
+    return j.select("city", (F.col("__t") * F.col("__a") * F.col("__d")).alias("fact_rows"))
+
+
 def star_join_counts(model: StarModel) -> DataFrame:
     """(city, fact_rows, demographics_rows, airport_rows, joined_rows): the
     size of fact x demographics x airports per city, from per-city counts."""
-    f = model.fact.groupBy("city").agg(F.count(F.lit(1)).alias("fact_rows"))
+    f = city_fact_rows(model)
     d = (model.dim_demographics.groupBy(F.col("city").alias("__d_city"))
          .agg(F.count(F.lit(1)).alias("demographics_rows")))
     a = (model.dim_airport.groupBy("municipality")

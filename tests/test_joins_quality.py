@@ -133,3 +133,16 @@ def test_salts_follow_output_size(spark):
     salted = salted_join(big, other, "k", "ok", rows_per_task=1000)
     assert salted.count() == 100 * 290 + 100 * 10
     assert _rows(salted) == _rows(plain)
+
+
+def test_fact_rows_from_parts_equal_counted_fact(spark):
+    from climastar.plans.catalog import model
+    from climastar.plans.model import StarModel
+    from climastar.plans.reports import city_fact_rows
+
+    m = model(spark, SF001)
+    counted = city_fact_rows(StarModel(m.fact, m.dim_airport, m.dim_demographics))
+    assert _rows(city_fact_rows(m)) == _rows(counted)
+    # the fact (and its round-robin fan-out exchange) is never generated
+    assert "RoundRobinPartitioning" not in _plan(city_fact_rows(m))
+    assert "RoundRobinPartitioning" in _plan(m.fact)
