@@ -25,4 +25,18 @@ SELECT page_id, host, path, split_part(hit, ' ', 1) AS rule, canonical_url, list
 FROM j
 """
 
-ORACLE = {"op1_url_filter": OP1}
+# Base 32 of SHA-1: five hexadecimal digits are 20 bits, four letters.
+OP5 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS x FROM p),
+b AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(x, CAST(5 * (i // 4) + 1 AS INT), 5))::INT >> CAST(15 - 5 * (i % 4) AS INT)) & 31), 1)), '') AS payload_digest
+      FROM d),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM k
+"""
+
+ORACLE = {"op1_url_filter": OP1, "op5_warc": OP5}

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, url_filter
+from climastar.session import new_run_dir
+
+from . import bpe, fingerprints, simhash_dedup, url_filter, warc
 from .common import table
 
 # Fixed values of the contract.
@@ -28,11 +30,36 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed"))
 
 
+#: Lies with the tokenizer files of the installed package; never copied.
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
+    return found.select("doc_id", fingerprints.hex_of(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_run_dir(spark, "warc")
+    warc.write_archives(warc.chunk_table(table(spark, sf_dir, "pages")), path)
+    return warc.read_records(spark, path)
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_bpe": op4_bpe,
+    "op5_warc": op5_warc,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
