@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from climastar.session import new_run_dir
 
-from . import bpe, fingerprints, simhash_dedup, url_filter, warc
+from . import bpe, fingerprints, simhash_dedup, suffix_dedup, url_filter, warc
 from .common import table
 
 # Fixed values of the contract.
@@ -52,6 +52,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, path)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -61,5 +65,6 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op4_bpe": op4_bpe,
     "op5_warc": op5_warc,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
