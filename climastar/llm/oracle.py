@@ -39,4 +39,17 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN '
 FROM k
 """
 
-ORACLE = {"op1_url_filter": OP1, "op5_warc": OP5}
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
+_SHINGLES = """CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) END"""
+
+OP7 = f"""
+WITH d AS (SELECT doc_id, unnest(list_distinct({_SHINGLES})) AS s FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+i AS (SELECT item_id, list_distinct({_SHINGLES}) AS ss FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+e AS (SELECT item_id, len(ss) AS n, unnest(ss) AS s FROM i)
+SELECT doc_id, item_id, n AS n_shingles, count(DISTINCT s) AS n_shared, count(DISTINCT s) / n AS containment
+FROM d JOIN e USING (s) GROUP BY doc_id, item_id, n HAVING 5 * count(DISTINCT s) >= 4 * n
+"""
+
+ORACLE = {"op1_url_filter": OP1, "op5_warc": OP5, "op7_decontaminate": OP7}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from climastar.session import new_run_dir
 
-from . import bpe, fingerprints, simhash_dedup, suffix_dedup, url_filter, warc
+from . import bpe, decontaminate, fingerprints, langid, simhash_dedup, suffix_dedup, url_filter, warc
 from .common import table
 
 # Fixed values of the contract.
@@ -56,6 +56,17 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_shingles")).alias("m"))
+            .select("doc_id", "item_id", "m.n_shingles", "m.n_shared", "m.containment"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -66,5 +77,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_warc": op5_warc,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_language_id": op8_language_id,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
