@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from climastar.session import new_run_dir
 
-from . import bpe, decontaminate, fingerprints, langid, simhash_dedup, suffix_dedup, url_filter, warc
+from . import bpe, decontaminate, fingerprints, langid, maxent_lm, simhash_dedup, suffix_dedup, url_filter, warc
 from .common import table
 
 # Fixed values of the contract.
@@ -67,6 +67,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -79,5 +83,6 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_language_id": op8_language_id,
+    "op9_lm_score": op9_lm_score,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
