@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from climastar.session import new_run_dir
 
-from . import bpe, decontaminate, fingerprints, langid, maxent_lm, simhash_dedup, suffix_dedup, url_filter, warc
+from . import bpe, decontaminate, fingerprints, html_extract, langid, maxent_lm, simhash_dedup, suffix_dedup, url_filter, warc
 from .common import table
 
 # Fixed values of the contract.
@@ -71,6 +71,11 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (html_extract.extract(table(spark, sf_dir, "pages"))
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_html_extract": op3_html_extract,
     "op4_bpe": op4_bpe,
     "op5_warc": op5_warc,
     "op6_suffix_dedup": op6_suffix_dedup,
