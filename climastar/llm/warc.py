@@ -23,8 +23,10 @@ RECORDS_PER_FILE = 100_000
 SALTS = 8
 # Fixed values of the format.
 VERSION = "WARC/1.1\r\n"
-#: What ends a record and begins the next one; no chunk may hold it.
-BOUNDARY = "\r\n\r\n" + VERSION
+#: What begins a record, and where the reader splits: no chunk may hold it.  Unlike the blank line before it,
+#: it does not overlap itself, so that a split is found wherever Spark's read buffers end.
+BOUNDARY = VERSION
+
 
 _CHUNKS = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
            "record_id string, chunk_no int, is_last boolean, running_digest string, chunk string")
@@ -36,27 +38,17 @@ def _b32(digest: bytes) -> str:
 
 
 def chunk_ends(data: memoryview, size: int) -> Iterator[int]:
-    """Where the chunks of a payload end.
-
-    A chunk ends within a character nowhere, and after the second letter of the version line
-    wherever the payload would look like the end of a record (also at its beginning,
-    where a header's blank line precedes it)."""
-    n, at, mark = len(data), 0, VERSION.encode()
-    boundary = BOUNDARY.encode()
-    raw = data if isinstance(data, bytes) else None
+    """Where the chunks of a payload end: within a character nowhere, and after the second letter
+    wherever the payload has the version line that begins a record."""
+    n, at, mark = len(data), 0, BOUNDARY.encode()
     while at < n:
         stop = min(n, at + size)
-        window = raw[at:stop + len(boundary)] if raw is not None else bytes(data[at:min(n, stop + len(boundary))])
-        cut = 2 if window.startswith(mark) else 0
-        if not cut and (i := window.find(boundary)) >= 0 and i + 6 <= stop - at:
-            cut = i + 6
-        if cut:
-            stop = at + cut
-        elif stop < n:
-            while stop > at + 1 and data[stop] & 0xC0 == 0x80:
+        i = bytes(data[at:stop + len(mark)]).find(mark)
+        if 0 <= i <= stop - at - 2:
+            stop = at + i + 2
+        else:
+            while stop < n and data[stop] & 0xC0 == 0x80:
                 stop -= 1
-            if bytes(data[stop:stop + len(mark)]) == mark:
-                stop = min(n, stop + 2)
         yield stop
         at = stop
 
@@ -125,7 +117,8 @@ def _record_text(chunks: DataFrame) -> DataFrame:
     def field(name: str, value, when=None):
         line = F.concat(F.lit(name + ": "), value.cast("string"), F.lit("\r\n"))
         return F.coalesce(F.when(when, line) if when is not None else line, F.lit(""))
-    safe_url = F.regexp_replace(F.col("url"), r"[\x00-\x1F]", "_")
+    # Control characters cannot stand in a field; an escaped full stop is the same URL, and no version line.
+    safe_url = F.regexp_replace(F.regexp_replace(F.col("url"), r"[\x00-\x1F]", "_"), r"WARC/1\.1$", "WARC/1%2E1")
     whole = first & F.col("is_last")
     kind = F.when(first, F.col("record_type")).otherwise("continuation")
     http = F.when(first & (F.col("record_type") == "response"), F.concat(
