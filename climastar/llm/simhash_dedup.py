@@ -72,14 +72,14 @@ def simhash(text: str | None, size: int) -> int:
 
 
 def fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fingerprint long) of every row; NULL texts have no words."""
+    """(id, text_hash long, fingerprint long) of every row; NULL texts have no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = pa.array([simhash(t, shingle) for t in b.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("id"), prints], names=["id", "fingerprint"])
+            prints = pa.array([simhash(t.as_py(), shingle) for t in b.column("text")], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_hash"), prints], names=["id", "text_hash", "fingerprint"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, fingerprint long"))
+    return (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+            .mapInArrow(run, "id long, text_hash long, fingerprint long"))
 
 
 def _variants(max_distance: int) -> F.Column:
@@ -122,7 +122,7 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """(id, fingerprint long, component_id) of every row of ``docs``.
+    """(id, text_hash long, fingerprint long, component_id) of every row of ``docs``.
 
     Rows with equal fingerprints, or linked by a chain of fingerprints at most
     ``max_distance`` bits apart, have the same component_id, the smallest id among
@@ -138,4 +138,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = classes.groupBy(F.col("class").alias("c")).agg(F.min("first").alias("component_id"))
     named = classes.join(smallest, F.col("class") == F.col("c")).select("fp", "component_id")
     return (prints.join(named, prints["fingerprint"] == named["fp"])
-            .select(F.col("id").alias(id_col), "fingerprint", "component_id"))
+            .select(F.col("id").alias(id_col), "text_hash", "fingerprint", "component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one of each component stays: that with the smallest id.
+
+    Among rows with that id it is one with the least hash of its text.  Rows without an id go by their
+    text's hash instead."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col), F.lit("no id")))
+    rows = docs.withColumn("__key", key)
+    found = near_duplicates(rows, "__key", text_col, shingle, max_distance)
+    kept = (found.where("__key = component_id").groupBy(F.col("__key").alias("__k")).agg(F.min("text_hash").alias("__h")))
+    first = F.row_number().over(Window.partitionBy("__key", "__hash").orderBy("__key"))
+    return (rows.withColumn("__hash", F.xxhash64(text_col))
+            .join(kept.hint("shuffle_hash"), (F.col("__key") == F.col("__k")) & (F.col("__hash") == F.col("__h")))
+            .withColumn("__first", first).where("__first = 1").select(docs.columns))

@@ -362,8 +362,10 @@ def merged_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                   as_text: bool = False) -> DataFrame:
     """All columns of ``docs`` and ``__kept`` (binary, the bytes left), ``__n_bytes``, ``__n_removed``, ``__n_spans``.
+    With ``as_text``, ``__kept`` is a string, without the bytes of characters that lost some of theirs.
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else, in the same
     row or another, is removed; strings are judged on the input.  NULL texts are empty.  Repeated
@@ -376,10 +378,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = rows.join(spans.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__rep")) & (F.col("__digest") == F.col("__d")), "left")
     # Rows without a partner are copies of another row's text.
     joined = joined.withColumn("__whole", F.coalesce(F.col("__copies") > 1, F.lit(True))).drop("__rep", "__d", "__digest", "__copies")
-    extra = "__kept binary, __n_bytes long, __n_removed long, __n_spans long"
-    schema = docs.schema.simpleString()[len("struct<"):-1]
+    extra = f"__kept {'string' if as_text else 'binary'}, __n_bytes long, __n_removed long, __n_spans long"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    del schema
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,7 +398,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 total.append(n)
                 removed.append(n - len(kept[-1]))
                 count.append(len(runs))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(kept, pa.binary()),
+            if as_text:
+                left = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+            else:
+                left = pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), left,
                                               *(pa.array(x, pa.int64()) for x in (total, removed, count))],
                                              names=[*names, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
 

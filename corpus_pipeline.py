@@ -1,13 +1,65 @@
-"""The corpus pipeline: stages over table ``documents``, each written and read again."""
+"""The corpus pipeline: stages over table ``documents``, each written as Parquet and read again.
+
+Every stage but the last returns the columns of ``documents``; it works on all rows that the stage
+before it kept.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from climastar.llm import bpe, decontaminate, langid, simhash_dedup, suffix_dedup
+from climastar.llm.common import staged, table
+from climastar.llm.queries import tokenizer_path
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; texts without a letter go."""
+    return langid.identify(docs).where(F.col("lang_pred") != langid.UNDETERMINED).select(docs.columns)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: three-word shingles, two bits."""
+    return simhash_dedup.keep_one(docs, shingle=3, max_distance=2)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 200 bytes or more that also are elsewhere; n_chars is that of the text left."""
+    found = suffix_dedup.remove_repeats(docs, as_text=True)
+    new = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    bad = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash"))
+    return docs.join(bad.hint("shuffle_hash"), same, "left_anti")
+
+
+def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text decoded from them."""
+    path = tokenizer_path()
+    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
+    return bpe.decode(ids, path).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe", bpe_round_trip),
+]
+
+#: SQL expresses none of language ID, SimHash and BPE; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
