@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_PAGES = 300
-LAYOUTS = 3                  # other layouts of each training page
+LAYOUTS = 4                  # other layouts of each training page
 NODES_PER_PAGE = 400         # of a training page
 
 # Element names of HTML, in groups.
@@ -287,8 +287,10 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 24, l2: float = 2.0) -> Boosted:
-    """Second-order gradient boosting with logistic loss on histograms of ``bins`` quantiles."""
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 120, depth: int = 5, rate: float = 0.2, bins: int = 24, l2: float = 2.0,
+          share: float = 0.4, seed: int = 1) -> Boosted:
+    """Second-order gradient boosting with logistic loss on histograms of ``bins`` quantiles; each tree is grown
+    on a random ``share`` of the rows."""
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], 1)     # x > cut[b] <=> bin > b
     mean = min(max(y.mean(), 1e-3), 1 - 1e-3)
@@ -296,12 +298,14 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: f
     score = np.full(len(y), start)
     fs, cs, ls = [], [], []
     d = x.shape[1]
-    flat = (binned + np.arange(d) * bins).ravel()
+    rng = np.random.default_rng(seed)
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-score))
-        g, h = y - p, p * (1 - p)
-        node = np.zeros(len(y), np.int64)
-        f_row, c_row = [], []
+        some = rng.random(len(y)) < share if len(y) > 1000 else np.ones(len(y), bool)
+        part, flat = binned[some], (binned[some] + np.arange(d) * bins).ravel()
+        p = 1 / (1 + np.exp(-score[some]))
+        g, h = y[some] - p, p * (1 - p)
+        node = np.zeros(len(part), np.int64)
+        f_row, c_row, b_row = [], [], []
         for level in range(depth):
             k = 1 << level
             code = flat + np.repeat(node, d) * (d * bins)
@@ -314,9 +318,13 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: f
             j, b = np.unravel_index(gain.argmax(), gain.shape)
             f_row.append(j)
             c_row.append(cuts[j][b] if len(cuts[j]) else np.inf)
-            node = node * 2 + (binned[:, j] > b)
+            b_row.append(b)
+            node = node * 2 + (part[:, j] > b)
         leaf = rate * np.bincount(node, g, 1 << depth) / (np.bincount(node, h, 1 << depth) + l2)
-        score += leaf[node]
+        at = np.zeros(len(y), np.int64)
+        for j, b in zip(f_row, b_row):
+            at = at * 2 + (binned[:, j] > b)
+        score += leaf[at]
         fs.append(f_row)
         cs.append(c_row)
         ls.append(leaf)

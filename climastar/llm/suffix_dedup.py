@@ -177,7 +177,7 @@ def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
         twice = np.zeros(len(p), bool)
         if more.any():
             a, b = p[more] + 1, (last + w - 1)[more]
-            far = b - a >= 2 * span                          # beyond the table: surely more than one place
+            far = b - a + 1 >= 2 * span                      # beyond the table: surely more than one place
             twice[more] = np.where(far, True, least(a, np.where(far, a, b)) == key[more])
         out.append((key.view(np.int64), first + at, (last + at) << 1 | twice))
     if not out:
