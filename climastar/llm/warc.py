@@ -158,12 +158,20 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:n]
 
 
+def _verify(record: str, n: int, sha, size: int, digest: str) -> None:
+    if (n, _b32(sha.digest())) != (size, digest):
+        raise ValueError(f"record {record}: payload does not have its length and digest")
+
+
 _PARTS = ("record_id string, page_id long, record_type string, refers_to long, payload_bytes long, payload_digest string, "
           "chunk_no int, is_last boolean, running_digest string, chunk binary")
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunk rows of the archives' records, in no order; ``chunk`` is binary."""
+def read_chunks(spark: SparkSession, path: str, digest_whole: bool = False) -> DataFrame:
+    """Chunk rows of the archives' records, in no order; ``chunk`` is binary.
+
+    With ``digest_whole``, a payload of one chunk is held against its length and digest
+    right here, and its chunk is NULL in the result."""
     text = (spark.read.schema("value string").option("lineSep", BOUNDARY).text(path)
             .where("octet_length(value) > 0").select(F.col("value").cast("binary").alias("value")))
 
@@ -177,6 +185,10 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
                 if kind == "response":
                     block = block.partition(b"\r\n\r\n")[2]
                 no = int(f.get("WARC-Segment-Number", 1))
+                if digest_whole and "WARC-Segment-Number" not in f:
+                    if kind == "response":
+                        _verify(f["WARC-Record-ID"], len(block), hashlib.sha1(block), number("Payload-Length"), f["WARC-Payload-Digest"][5:])
+                    block = None
                 rows.append((f.get("WARC-Segment-Origin-ID", f["WARC-Record-ID"])[10:-1], number("Page-ID"), kind,
                              number("Refers-To-Page-ID"), number("Payload-Length"),
                              f["WARC-Payload-Digest"].removeprefix("sha1:") if no == 1 else None, no,
@@ -197,7 +209,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     digest and the payload's digest must agree with the archive, or the job fails.  A
     revisit's length and digest are those its header states.  An archive without records
     gives an empty result."""
-    chunks = read_chunks(spark, path)
+    chunks = read_chunks(spark, path, digest_whole=True)      # only payloads of several chunks are shuffled
     ordered = chunks.repartition("record_id").sortWithinPartitions("record_id", "chunk_no")
     out = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -214,15 +226,17 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     head, sha, n, expect = row, hashlib.sha1(), 0, 1
                 if head is None or record != head[0] or no != expect:
                     raise ValueError(f"record {record}: chunk {no} is out of order")
-                data = chunk.as_buffer()
-                sha.update(data)
-                n, expect = n + data.size, expect + 1
-                if running is not None and running != _b32(sha.digest()):
+                expect += 1
+                if chunk.is_valid:
+                    data = chunk.as_buffer()
+                    sha.update(data)
+                    n += data.size
+                if chunk.is_valid and running is not None and running != _b32(sha.digest()):
                     raise ValueError(f"record {record}: chunk {no} does not have its digest")
                 if last:
                     _, page, kind, refers, size, digest = head[:6]
-                    if kind == "response" and (n, _b32(sha.digest())) != (size, digest):
-                        raise ValueError(f"record {record}: payload does not have its length and digest")
+                    if chunk.is_valid and kind == "response":
+                        _verify(record, n, sha, size, digest)
                     rows.append((page, size, digest, kind, refers))
                     head = None
             yield pa.RecordBatch.from_arrays(
