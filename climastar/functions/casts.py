@@ -31,8 +31,9 @@ def to_float(c: ColumnOrName) -> Column:
 
 
 def _integral(c: ColumnOrName, target: T.DataType) -> Column:
-    # via double: '12.7' -> 12, '-12.7' -> -12, ' 7 ' -> 7; NaN, overflow -> NULL
-    return to_double(c).try_cast(target)
+    # via an exact decimal: '12.7' -> 12, '-12.7' -> -12, ' 7 ' -> 7 and every
+    # bigint unchanged; NaN, overflow and text such as '12d' -> NULL
+    return _col(c).try_cast(T.DecimalType(38, 18)).try_cast(target)
 
 
 def to_int(c: ColumnOrName) -> Column:

@@ -8,18 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_TOKEN = "\\N"
-
-
 def _canonical_sql(name: str, dtype: T.DataType) -> str:
+    """A text from which the value can be told again: its length, a colon
+    and the value, or a dash for NULL.  The text of a double is the one that
+    reads back as the same double (NaN and the infinities have their own);
+    -0.0 is 0.0, as in grouping."""
     c = f"`{name}`"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # millionths as an integer: the same text in every engine, and much
-        # cheaper than a decimal cast; NaN and infinities -> NULL
-        c = (f"CASE WHEN isnan({c}) OR abs({c}) = double('inf') THEN NULL "
-             f"ELSE floor({c} * 1000000.0D + 0.5D) END")
-    token = NULL_TOKEN.replace("\\", "\\\\")   # backslash escapes in SQL literals
-    return f"coalesce(CAST({c} AS STRING), '{token}')"
+        c = f"({c} + 0.0D)"
+    text = f"CAST({c} AS STRING)"
+    return f"coalesce(concat(length({text}), ':', {text}), '-')"
 
 
 KEY_HEX_CHARS = 32   # 128 bits
@@ -27,7 +25,8 @@ KEY_HEX_CHARS = 32   # 128 bits
 
 def stable_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """First 128 bits (32 hex characters) of SHA-256 over the business
-    columns, ``|``-separated, NULL as ``\\N``.
+    columns, each with its length before it, so that different rows never
+    give the same text.
 
     Unlike ``monotonically_increasing_id`` the value depends only on the row,
     so reruns, retries after executor loss and other engines give the same
@@ -39,7 +38,7 @@ def stable_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     parts = ", ".join(_canonical_sql(c, types[c]) for c in columns)
-    return F.expr(f"substring(sha2(concat_ws('|', {parts}), 256), 1, {KEY_HEX_CHARS})")
+    return F.expr(f"substring(sha2(concat({parts}), 256), 1, {KEY_HEX_CHARS})")
 
 
 def monotonic_key() -> Column:

@@ -1,147 +1,140 @@
-"""Equi-joins that stay fast when one key holds a large share of the rows.
-
-The model joins on a city name: a few cities can hold most temperature rows
-and every airport and demographics row of a city multiplies them.  Two
-physical forms are used:
-
-* map-side fan-out: the smaller side is broadcast, but only after a bounded
-  row count has proven it small (``fits_rows``).  The large side is never
-  shuffled, so a hot key costs nothing extra;
-* salted shuffle join otherwise: keys whose join output exceeds
-  ``rows_per_task`` are spread over several salt values on the large side and
-  the matching rows of the other side are replicated once per salt, so no
-  single task receives a whole hot key.  Salts come from a hash of the row,
-  not ``rand()``, so a task retried after executor loss rebuilds the same
-  rows.
+"""Equi-joins that stay balanced when one key holds a large share of the rows.
+
+The model joins on a city name: a few cities can hold most temperature rows,
+and every airport and demographics row of a city multiplies them.  One plan
+serves every size (``grid_join``):
+
+1. rows per key and side are counted by partial aggregates;
+2. a key whose join output exceeds ``rows_per_cell`` is cut into a grid over
+   all its sides.  A side's rows take one of its own slices by row hash and
+   are copied to every slice of the other sides, so a cell of the grid holds
+   one slice of each side and its output is about ``rows_per_cell``,
+   whichever side makes the key hot;
+3. identical rows are carried once with their multiplicity, cut into pieces
+   that fit a slice, and written out again after the join: equal rows, which
+   share a hash, cannot pile up in one cell;
+4. every side is dealt by (key, cell) to a stated number of tasks, a layout
+   that adaptive execution does not coalesce (it would go by the small input,
+   not by the output).
+
+Nothing runs while the plan is built and no side is broadcast by hint: Spark
+broadcasts the small table of hot keys, or a small side, by its measured
+bytes.  Slices come from row hashes, so a task retried after executor loss
+rebuilds the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for a broadcast side: a few hundred bytes per row keeps the
-# broadcast relation well under the executor memory of any cluster.
-BROADCAST_MAX_ROWS = 500_000
-# Target join output rows of one salted task.
-ROWS_PER_TASK = 20_000_000
-MAX_SALTS = 4096
-MAX_HOT_KEYS = 100_000
+# Target join output rows of one cell of a hot key's grid.
+ROWS_PER_CELL = 250_000
 
-_SALT = "__salt"
-_NSALT = "__n_salt"
-_HKEY = "__hot_key"
 
+@dataclass(frozen=True)
+class Side:
+    """One relation of a grid join.  ``distinct`` says that its rows are
+    known to differ, which saves counting identical ones."""
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    df: DataFrame
+    key: str
+    distinct: bool = False
 
-    Every task stops after ``max_rows + 1`` rows, so a large input is not
-    counted in full.  Meant for relations expected to be small (dimension
-    inputs, key tables); a large input is gated with ``isEmpty`` instead.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def key_counts(df: DataFrame, key: str, out: str = "rows", name: str = "key") -> DataFrame:
+    """(``name``, ``out``): rows per non-NULL value of ``key``; at most one
+    row per key and map task crosses the shuffle."""
+    k = F.col(f"`{key}`")
+    return df.where(k.isNotNull()).groupBy(k.alias(name)).agg(F.count(F.lit(1)).alias(out))
 
-def probe_rows(relations: Mapping[str, tuple[DataFrame, int]]) -> dict[str, int]:
-    """Row counts capped at ``cap + 1`` for several relations in one job.
 
-    Each relation contributes ``limit(cap + 1)`` and a count, so a large
-    input is read only until the cap is passed.  The result has one row per
-    relation.  Used to prove broadcast sides small and sources non-empty
-    without one job per check.
-    """
-    parts = [df.limit(cap + 1).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(name).alias("name"), "n")
-             for name, (df, cap) in relations.items()]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    return {r["name"]: int(r["n"]) for r in union.collect()}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       bound_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast hint on ``df`` when its size is proven to be at most
-    ``max_rows``.  ``bound_from`` may name a cheaper relation whose row count
-    bounds ``df`` (e.g. the input of a de-duplication)."""
-    probe = bound_from if bound_from is not None else df
-    if fits_rows(probe, max_rows):
-        return F.broadcast(df), True
-    return df, False
-
-
-def _row_hash(df: DataFrame):
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-
-
-def salted_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
-                rows_per_task: int = ROWS_PER_TASK, max_salts: int = MAX_SALTS,
-                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Inner equi-join ``big.big_key == other.other_key`` with hot-key salting.
-
-    1. per-key row counts of both sides (partial aggregation: one row per
-       key and map task crosses the shuffle);
-    2. a key is hot when its join output, n_big * n_other, exceeds
-       ``rows_per_task``; it gets ``ceil(n_big * n_other / rows_per_task)``
-       salts (at most ``max_salts`` and at most n_big).  The hot-key table
-       is broadcast only after a bounded count proves it small;
-    3. a hot key's ``big`` rows take one salt each by row hash, its
-       ``other`` rows are copied to every salt; cold keys keep salt 0.
-    Each task then produces about ``rows_per_task`` rows, whatever the key
-    skew on either side.  All rows are kept; only the task layout changes.
-    Should the hot-key table itself be too large to broadcast (more than
-    ``max_hot_keys`` keys, each above ``rows_per_task`` output rows), it is
-    joined by a shuffle, and AQE's skew-join split is the remaining guard.
+def _slices(counts: DataFrame, n: int, rows_per_cell: int) -> DataFrame:
+    """Slice sizes ``s_i`` and numbers ``g_i`` of each side for hot keys.
+
+    The last sides get an equal share of the cell's output first (their rows
+    are the ones copied most), the first side what is left."""
+    out = counts
+    budget = F.lit(float(rows_per_cell))
+    for i in range(n - 1, 0, -1):
+        size = F.greatest(F.lit(1.0), F.least(F.col(f"n_{i}").cast("double"), F.floor(F.pow(budget, F.lit(1.0 / (i + 1))))))
+        out = out.withColumn(f"s_{i}", size)
+        budget = budget / F.col(f"s_{i}")
+    out = out.withColumn("s_0", F.greatest(F.lit(1.0), F.floor(budget)))
+    return out.select("hot_key", *[F.col(f"s_{i}").cast("long").alias(f"s_{i}") for i in range(n)],
+                      *[F.ceil(F.col(f"n_{i}") / F.col(f"s_{i}")).cast("int").alias(f"g_{i}") for i in range(n)])
+
+
+def hot_keys(sides: Sequence[Side], rows_per_cell: int) -> DataFrame:
+    """Keys whose join output exceeds ``rows_per_cell``, with the slice sizes
+    and numbers of every side.  There are at most (join output /
+    rows_per_cell) of them."""
+    counts = key_counts(sides[0].df, sides[0].key, "n_0", "hot_key")
+    product = F.col("n_0").cast("double")
+    for i, s in enumerate(sides[1:], 1):
+        counts = counts.join(key_counts(s.df, s.key, f"n_{i}", f"k_{i}"), F.col("hot_key") == F.col(f"k_{i}")).drop(f"k_{i}")
+        product = product * F.col(f"n_{i}")
+    return _slices(counts.where(product > rows_per_cell), len(sides), rows_per_cell)
+
+
+def grid_join(sides: Sequence[Side], rows_per_cell: int | None = None, tasks: int | None = None) -> DataFrame:
+    """Inner equi-join of two or more relations on one key each.
+
+    Output: the columns of all sides in order, every row as often as the
+    plain join gives it.  ``tasks`` is the number of tasks the cells are
+    dealt to (the session's shuffle partitions by default).
     """
-    bk = F.col(f"`{big_key}`")
-    ok = F.col(f"`{other_key}`")
-    n_big = big.groupBy(bk.alias(_HKEY)).agg(F.count(F.lit(1)).alias("__nb"))
-    n_other = other.groupBy(ok.alias("__ok")).agg(F.count(F.lit(1)).alias("__no"))
-    out_rows = F.col("__nb") * F.col("__no")
-    hot = (n_big.join(n_other, F.col(_HKEY) == F.col("__ok"))
-           .filter(out_rows > F.lit(rows_per_task))
-           .select(_HKEY, F.least(F.ceil(out_rows / F.lit(rows_per_task)), F.lit(max_salts),
-                                  F.col("__nb")).cast("int").alias(_NSALT)))
-    hot, _ = broadcast_if_small(hot, max_hot_keys)
-
-    b = (big.join(hot, bk == F.col(_HKEY), "left").drop(_HKEY)
-         .withColumn(_SALT, F.when(F.col(_NSALT).isNull(), F.lit(0))
-                     .otherwise(F.pmod(_row_hash(big), F.col(_NSALT))))
-         .drop(_NSALT))
-    o = (other.join(hot, ok == F.col(_HKEY), "left").drop(_HKEY)
-         .withColumn(_SALT, F.explode(F.sequence(
-             F.lit(0), F.coalesce(F.col(_NSALT), F.lit(1)) - 1)))
-         .drop(_NSALT))
-    b = b.alias("__b")
-    o = o.alias("__o")
-    joined = b.join(o, (F.col(f"__b.`{big_key}`") == F.col(f"__o.`{other_key}`"))
-                    & (F.col(f"__b.{_SALT}") == F.col(f"__o.{_SALT}")), "inner")
-    keep = [F.col(f"__b.`{c}`") for c in big.columns] + \
-           [F.col(f"__o.`{c}`") for c in other.columns]
-    return joined.select(*keep)
+    spark = sides[0].df.sparkSession
+    rows_per_cell = rows_per_cell or ROWS_PER_CELL
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = len(sides)
+    hot = hot_keys(sides, rows_per_cell)
+    parts = []
+    for i, s in enumerate(sides):
+        names = {c: f"c{i}_{j}" for j, c in enumerate(s.df.columns)}
+        rows = s.df.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()])
+        own, columns = names[s.key], list(names.values())
+        rows = rows.where(F.col(own).isNotNull())
+        if not s.distinct:
+            rows = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(f"m{i}"))
+        rows = rows.join(hot, F.col(own) == F.col("hot_key"), "left")
+        piece = F.lit(0)
+        if not s.distinct:
+            rows = rows.withColumn("piece", F.explode(F.sequence(
+                F.lit(0), F.coalesce(F.ceil(F.col(f"m{i}") / F.col(f"s_{i}")).cast("int"), F.lit(1)) - 1)))
+            rows = rows.withColumn(f"m{i}", F.when(F.col(f"s_{i}").isNull(), F.col(f"m{i}")).otherwise(
+                F.least(F.col(f"s_{i}"), F.col(f"m{i}") - F.col("piece") * F.col(f"s_{i}"))))
+            piece = F.col("piece")
+        for k in range(n):
+            cell = (F.coalesce(F.pmod(F.xxhash64(*columns) + piece, F.col(f"g_{i}")).cast("int"), F.lit(0)) if k == i
+                    else F.explode(F.sequence(F.lit(0), F.coalesce(F.col(f"g_{k}"), F.lit(1)) - 1)))
+            rows = rows.withColumn(f"x{k}_{i}", cell)
+        keep = columns + ([] if s.distinct else [f"m{i}"]) + [f"x{k}_{i}" for k in range(n)]
+        parts.append(rows.select(*keep).repartition(tasks, own, *[f"x{k}_{i}" for k in range(n)]))
+
+    def keys(i: int) -> list[str]:
+        return [f"c{i}_{sides[i].df.columns.index(sides[i].key)}", *[f"x{k}_{i}" for k in range(n)]]
+
+    out = parts[0]
+    for i in range(1, n):
+        on = None
+        for a, b in zip(keys(0), keys(i)):
+            same = F.col(a) == F.col(b)
+            on = same if on is None else on & same
+        out = out.join(parts[i], on)
+    repeated = [F.col(f"m{i}") for i, s in enumerate(sides) if not s.distinct]
+    if repeated:
+        times = repeated[0]
+        for m in repeated[1:]:
+            times = times * m
+        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return out.select(*[F.col(f"c{i}_{j}").alias(c) for i, s in enumerate(sides) for j, c in enumerate(s.df.columns)])
 
 
 def fanout_join(big: DataFrame, other: DataFrame, big_key: str, other_key: str,
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                bound_from: DataFrame | None = None,
-                rows_per_task: int = ROWS_PER_TASK,
-                other_is_small: bool | None = None) -> DataFrame:
-    """Inner equi-join of a large relation with a smaller one on one key.
-
-    Broadcast when ``other`` is proven small (``other_is_small`` passes the
-    result of an earlier probe; None runs the check here), otherwise salted
-    shuffle join.  Output columns: all of ``big`` then all of ``other``.
-    """
-    if other_is_small is None:
-        small, is_small = broadcast_if_small(other, max_broadcast_rows, bound_from)
-    else:
-        small, is_small = (F.broadcast(other), True) if other_is_small else (other, False)
-    if is_small:
-        b, o = big.alias("__b"), small.alias("__o")
-        joined = b.join(o, F.col(f"__b.`{big_key}`") == F.col(f"__o.`{other_key}`"), "inner")
-        return joined.select(*[F.col(f"__b.`{c}`") for c in big.columns],
-                             *[F.col(f"__o.`{c}`") for c in other.columns])
-    return salted_join(big, other, big_key, other_key, rows_per_task=rows_per_task)
+                rows_per_cell: int | None = None) -> DataFrame:
+    """Inner equi-join of two relations; output: all of ``big`` then all of ``other``."""
+    return grid_join([Side(big, big_key), Side(other, other_key)], rows_per_cell)

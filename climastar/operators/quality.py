@@ -4,9 +4,10 @@ tables and can be written or joined like any other result."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,14 +99,27 @@ def row_count_match(table: str, rows_written: int, read_back: DataFrame) -> Data
     )
 
 
-def readable(table: str, read_back: DataFrame, expected: T.StructType) -> DataFrame:
-    """(table, readable, schema_matches): the table reads back (a footer
-    read) and its columns and types equal the expected schema."""
-    got = [(f.name, f.dataType.simpleString()) for f in read_back.schema.fields]
-    want = [(f.name, f.dataType.simpleString()) for f in expected.fields]
-    return read_back.limit(1).agg(F.count(F.lit(1)).alias("__n")).select(
-        F.lit(table).alias("table"), F.lit(True).alias("readable"),
-        F.lit(got == want).alias("schema_matches"))
+def readable(spark: SparkSession, tables: Mapping[str, str], expected: Mapping[str, T.StructType]) -> DataFrame:
+    """(table, readable, schema_matches, rows_decoded) of written tables
+    (name -> path): the schema is that of the files' footers, and every
+    column of every row is decoded.
+
+    A file that cannot be read gives ``readable`` false instead of an error;
+    columns of another name, type or number give ``schema_matches`` false.
+    """
+    out = []
+    for name, path in tables.items():
+        want = [(f.name, f.dataType.simpleString()) for f in expected[name].fields]
+        try:
+            df = spark.read.option("mergeSchema", True).parquet(path)
+            got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+            digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+            n = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(digest).alias("decoded")).first().n
+            out.append((name, True, got == want, n))
+        except Exception as e:
+            logging.getLogger(__name__).warning("table %s at %s cannot be read: %s", name, path, e)
+            out.append((name, False, False, 0))
+    return spark.createDataFrame(out, "table string, readable boolean, schema_matches boolean, rows_decoded long")
 
 
 def qa_report(rows_written: Mapping[str, int], tables: Mapping[str, DataFrame],

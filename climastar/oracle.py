@@ -136,22 +136,16 @@ dim_demographics AS (
          state_code, race, "count"
   FROM d_clean)"""
 
-_DOUBLE_COLUMNS = {"average_temperature", "average_temperature_uncertainty", "ave_household_size"}
+def _canon(col: str) -> str:
+    text = f'CAST("{col}" AS VARCHAR)'
+    return f"COALESCE(length({text}) || ':' || {text}, '-')"
 
 
-def _canon(col: str, double: bool) -> str:
-    c = f'"{col}"'
-    if double:
-        c = f"TRY_CAST(floor({c} * 1000000.0 + 0.5) AS BIGINT)"
-    return f"COALESCE(CAST({c} AS VARCHAR), '\\N')"
+def _key(cols: list[str]) -> str:
+    return "substr(sha256(" + " || ".join(_canon(c) for c in cols) + "), 1, 32)"
 
 
-def _key(cols: list[str], doubles: set[str]) -> str:
-    return ("substr(sha256(concat_ws('|', " + ", ".join(_canon(c, c in doubles) for c in cols)
-            + ")), 1, 32)")
-
-
-FACT = f"fact AS (SELECT *, {_key(FACT_COLUMNS, _DOUBLE_COLUMNS)} AS id FROM fact0)"
+FACT = f"fact AS (SELECT *, {_key(FACT_COLUMNS)} AS id FROM fact0)"
 
 
 def _report_cte(attribute: str) -> str:
@@ -174,8 +168,29 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join((BASE,) + ctes) + "\n"
 
 
+IMMIGRATION = """v_immigration AS (
+  SELECT o_orderkey AS cicid, CAST(year(o_orderdate) AS INTEGER) AS i94yr, CAST(month(o_orderdate) AS SMALLINT) AS i94mon,
+         CAST(c_nationkey AS INTEGER) AS i94cit, CAST(c_nationkey AS INTEGER) AS i94res, substr(c_mktsegment, 1, 3) AS i94port,
+         CAST(NULL AS INTEGER) AS arrdate, CAST(NULL AS INTEGER) AS i94mode, CAST(NULL AS VARCHAR) AS i94addr,
+         CAST(NULL AS INTEGER) AS depdate, CAST(NULL AS INTEGER) AS i94bir, CAST(NULL AS INTEGER) AS i94visa, 1 AS "count",
+         CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS dtadfile, CAST(NULL AS VARCHAR) AS visapost,
+         CAST(NULL AS VARCHAR) AS occup, o_orderstatus AS entdepa, CAST(NULL AS VARCHAR) AS entdepd,
+         CAST(NULL AS VARCHAR) AS entdepu, CAST(NULL AS VARCHAR) AS matflag, CAST(NULL AS INTEGER) AS biryear,
+         CAST(NULL AS INTEGER) AS dtaddto,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'M' WHEN o_orderkey % 3 = 1 THEN 'F' ELSE 'unknown' END AS gender,
+         CAST(NULL AS VARCHAR) AS insnum, CAST(NULL AS VARCHAR) AS airline,
+         CAST(9007199254740993 + o_orderkey AS BIGINT) AS admnum, CAST(NULL AS VARCHAR) AS fltno, 'B2' AS visatype
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+STATE_TEMPERATURES = """v_state AS (
+  SELECT year, mon, round(avg(average_temperature), 6) AS average_temperature,
+         max(average_temperature_uncertainty) AS average_temperature_uncertainty, city AS state, country
+  FROM t_clean GROUP BY year, mon, city, country)"""
+
+
 def _constraints() -> str:
-    sources = {"cities_demog": "d_clean", "airport_codes": "a_clean", "city_surface_temps": "t_clean"}
+    sources = {"cities_demog": "d_clean", "airport_codes": "a_clean", "city_surface_temps": "t_clean",
+               "immigration": "v_immigration", "state_surface_temps": "v_state"}
     parts = []
     for table, src in sources.items():
         for r in constraint_rules(table):
@@ -219,30 +234,34 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_csv_strings"] = _with() + "SELECT * FROM v_airport"
     q["scan_json"] = _with() + "SELECT * FROM d_clean"
-    q["scan_parquet"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
+    q["scan_parquet"] = "SELECT * FROM orders"
     q["sink_parquet_overwrite"] = _with() + "SELECT * FROM a_clean"
     q["preview_top20"] = _with(_report_cte("total_population")) + \
         "SELECT * FROM report ORDER BY city LIMIT 20"
     q["table_reset"] = _with() + (
         "SELECT year, mon, average_temperature, average_temperature_uncertainty, city, country, "
         "CAST(latitude AS VARCHAR) AS latitude, CAST(longitude AS VARCHAR) AS longitude FROM t_clean")
-    q["table_reset_all"] = _with() + (
+    q["table_reset_all"] = _with(IMMIGRATION, STATE_TEMPERATURES) + (
         "SELECT 'cities_demog' AS \"table\", count(*) AS rows FROM d_clean "
-        "UNION ALL SELECT 'airport_codes', CAST(0 AS BIGINT) "
-        "UNION ALL SELECT 'immigration', CAST(0 AS BIGINT) "
+        "UNION ALL SELECT 'airport_codes', count(*) FROM a_clean "
+        "UNION ALL SELECT 'immigration', count(*) FROM v_immigration WHERE length(gender) <= 1 "
         "UNION ALL SELECT 'city_surface_temps', count(*) FROM t_clean "
-        "UNION ALL SELECT 'state_surface_temps', CAST(0 AS BIGINT)")
+        "UNION ALL SELECT 'state_surface_temps', count(*) FROM v_state")
+    q["schema_conform_immigration"] = _with(IMMIGRATION) + "SELECT * FROM v_immigration"
+    q["schema_conform_state_temperatures"] = _with(STATE_TEMPERATURES) + "SELECT * FROM v_state"
     q["schema_conform_demographics"] = _with() + "SELECT * FROM d_clean"
     q["schema_conform_temperatures"] = q["table_reset"]
     q["schema_conform"] = _with() + (
         "SELECT ident, \"type\", airport_name, elevation_ft, continent, iso_country, iso_region, "
         "municipality, gps_code, iata_code, local_code, latitude, longitude FROM a_clean")
-    q["constraint_violations"] = _with() + _constraints()
+    q["constraint_violations"] = _with(IMMIGRATION, STATE_TEMPERATURES) + _constraints()
     q["project_rename"] = _with() + (
         "SELECT dt AS \"date\", AverageTemperature AS average_temperature, "
         "AverageTemperatureUncertainty AS average_temperature_uncertainty, City AS city, "
         "Country AS country, Latitude AS latitude, Longitude AS longitude FROM v_temperature")
     q["cast_tolerant"] = _with() + f"""SELECT dt, AverageTemperature, AverageTemperatureUncertainty,
+  CAST('90071992547' || lpad(regexp_extract(AverageTemperature, '^\\d+', 0), 8, '0') AS BIGINT) AS large_long,
+  CAST(NULL AS INTEGER) AS suffixed_int,
   {_int("dt")} AS dt_int,
   {_int("AverageTemperature")} AS temperature_int,
   {_int("AverageTemperature", "BIGINT")} AS temperature_long,
@@ -257,7 +276,9 @@ FROM v_temperature"""
         "TRY_CAST(string_split(coordinates, ', ')[2] AS DOUBLE) AS latitude, "
         "TRY_CAST(string_split(coordinates, ', ')[1] AS DOUBLE) AS longitude FROM v_airport")
     q["surrogate_key_stable"] = _with() + (
-        f"SELECT *, {_key(TEMP_KEY_COLUMNS, _DOUBLE_COLUMNS)} AS id FROM t_clean")
+        f"SELECT *, {_key(TEMP_KEY_COLUMNS)} AS id FROM t_clean")
+    q["surrogate_key_monotonic"] = _with() + (
+        "SELECT count(*) AS rows, count(*) AS distinct_ids, true AS passed FROM fact0")
     q["filter_country_code"] = _with() + f"SELECT * FROM v_airport WHERE iso_country = '{C}'"
     q["filter_country_name"] = _with() + f"SELECT * FROM v_temperature WHERE Country = '{C}'"
     q["filter_drop_null_measure"] = _with() + (
@@ -307,7 +328,8 @@ FROM v_temperature"""
         f"SELECT '{n}' AS source, count(*) > 0 AS non_empty FROM (SELECT 1 FROM {rel} LIMIT 1)"
         for n, rel in [("temperatures", "t_clean"), ("airports", "a_clean"), ("demographics", "d_clean")])
     q["dq_readable"] = _with() + "\nUNION ALL\n".join(
-        f"SELECT '{n}' AS \"table\", true AS readable, true AS schema_matches" for n, _ in _MODEL_TABLES)
+        f"SELECT '{n}' AS \"table\", true AS readable, true AS schema_matches, count(*) AS rows_decoded FROM {rel}"
+        for n, rel in _MODEL_TABLES)
     q["dq_row_count_match"] = _with() + "\nUNION ALL\n".join(
         f"SELECT '{n}' AS \"table\", count(*) AS rows_written, count(*) AS rows_read, true AS passed FROM {rel}"
         for n, rel in _MODEL_TABLES)
@@ -346,4 +368,13 @@ FROM (SELECT count(*) AS cities,
         "SELECT tc.city, tc.average_temperature, round(ec.mean_elevation_ft, 6) AS mean_elevation_ft, "
         f"round(tc.average_temperature + CAST({LAPSE_RATE_PER_FT} AS DOUBLE) * ec.mean_elevation_ft, 6) "
         "AS sea_level_temperature FROM tc JOIN ec ON tc.city = ec.municipality")
+    q["adjust_latitude"] = _with(
+        "tc AS (SELECT city, round(avg(average_temperature), 6) AS average_temperature FROM fact0 GROUP BY city)",
+        "lc AS (SELECT municipality, avg(latitude) AS mean_latitude FROM dim_airport GROUP BY municipality)",
+        "j AS (SELECT city, average_temperature, mean_latitude FROM tc JOIN lc ON city = municipality)",
+        "line AS (SELECT regr_slope(average_temperature, mean_latitude) AS b, "
+        "regr_intercept(average_temperature, mean_latitude) AS a FROM j)") + (
+        "SELECT city, average_temperature, round(mean_latitude, 6) AS mean_latitude, "
+        "round(a + b * mean_latitude, 4) AS expected_temperature, "
+        "round(average_temperature - (a + b * mean_latitude), 4) AS residual FROM j, line")
     return q

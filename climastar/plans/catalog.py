@@ -26,11 +26,13 @@ from climastar.operators.quality import (
 )
 from climastar.plans import reports as R
 from climastar.plans.clean import (
-    TEMPERATURE_RENAMES, CleanInputs, clean_all, clean_demographics,
+    TEMPERATURE_RENAMES, CleanInputs, clean_airports, clean_all, clean_demographics,
+    clean_temperatures, gate,
 )
 from climastar.plans.model import (
     DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, FACT_COLUMNS, FACT_TEMPERATURE_COLUMNS,
-    StarModel, build_fact, model_from_clean, read_model, write_model,
+    StarModel, build_dim_airport, build_dim_demographics, build_fact, model_from_clean, read_model,
+    table_schema, write_model,
 )
 from climastar.plans.pipeline import RawInputs, run_pipeline
 from climastar.session import new_run_dir
@@ -40,8 +42,8 @@ from climastar.sources.readers import (
 )
 from climastar.sources.sinks import write_parquet_overwrite
 from climastar.sources.standins import (
-    STANDIN_COUNTRY, geography, raw_airports, raw_demographics, raw_temperatures,
-    source_bounds,
+    STANDIN_COUNTRY, raw_airports, raw_demographics, raw_immigration, raw_temperatures,
+    state_temperatures,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +55,7 @@ VETERAN_MAX_TEMPERATURE = 270000.0
 
 
 def raw_inputs(spark: SparkSession, sf: str) -> RawInputs:
-    bounds = source_bounds(spark, sf)
-    geo = geography(spark, sf, bounds["nation"])
-    return RawInputs(raw_temperatures(spark, sf, geo, bounds["customer"]),
-                     raw_airports(spark, sf, geo), raw_demographics(spark, sf, geo))
+    return RawInputs(raw_temperatures(spark, sf), raw_airports(spark, sf), raw_demographics(spark, sf))
 
 
 def clean_inputs(spark: SparkSession, sf: str, check: bool = True) -> CleanInputs:
@@ -65,9 +64,16 @@ def clean_inputs(spark: SparkSession, sf: str, check: bool = True) -> CleanInput
                      STANDIN_COUNTRY, STANDIN_COUNTRY, check)
 
 
-def cleaned(spark: SparkSession, sf: str, check: bool = True):
-    c = clean_inputs(spark, sf, check)
-    return c.temperatures, c.airports, c.demographics
+def cleaned(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One cleaned and gated input; the others are not touched."""
+    if name == "temperatures":
+        df = clean_temperatures(raw_temperatures(spark, sf), STANDIN_COUNTRY, check=False)
+    elif name == "airports":
+        df = clean_airports(raw_airports(spark, sf), STANDIN_COUNTRY, check=False)
+    else:
+        df = clean_demographics(raw_demographics(spark, sf), check=False)
+    gate({name: df})
+    return df
 
 
 def model(spark: SparkSession, sf: str) -> StarModel:
@@ -83,18 +89,26 @@ def q_scan_csv_strings(spark, sf):
 
 
 def q_scan_json(spark, sf):
+    """Records of two segments have the title-case names, the others the
+    snake-case ones, in one folder."""
     path = new_run_dir(spark, "json") + "/demographics"
-    raw_demographics(spark, sf).write.json(path)
+    raw = raw_demographics(spark, sf)
+    title = F.col("race").isin("BUILDING", "MACHINERY")
+    names = {"city": "City", "state": "State", "median_age": "Median Age", "male_population": "Male Population",
+             "female_population": "Female Population", "total_population": "Total Population",
+             "number_of_veterans": "Number of Veterans", "foreign_born": "Foreign-born",
+             "average_household_size": "Average Household Size", "state_code": "State Code", "race": "Race", "count": "Count"}
+    raw.where(~title).write.json(path)
+    raw.where(title).select(*[F.col(a).alias(b) for a, b in names.items()]).write.mode("append").json(path)
     return clean_demographics(read_demographics_json(spark, path))
 
 
 def q_scan_parquet(spark, sf):
-    return read_parquet(spark, source_path(sf, "orders.parquet"),
-                        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+    return read_parquet(spark, source_path(sf, "orders.parquet"))
 
 
 def q_sink_parquet_overwrite(spark, sf):
-    _, a, _ = cleaned(spark, sf)
+    a = cleaned(spark, sf, "airports")
     path = new_run_dir(spark, "sink") + "/airports"
     write_parquet_overwrite(a, path)
     write_parquet_overwrite(a, path)   # rerun: overwrite, not append
@@ -106,27 +120,51 @@ def q_preview_top20(spark, sf):
 
 
 def q_table_reset(spark, sf):
-    t, _, _ = cleaned(spark, sf)
+    t = cleaned(spark, sf, "temperatures")
+    base, db = _own_database(spark)
+    for _ in range(2):
+        contracts.reset_tables(spark, ["city_surface_temps"], base, db)
+        contracts.load_table(t, "city_surface_temps", db)
+    return spark.table(f"{db}.city_surface_temps")
+
+
+def _own_database(spark) -> tuple[str, str]:
+    """A folder and a database name that no other run uses."""
     base = new_run_dir(spark, "tables")
-    contracts.reset_tables(spark, ["city_surface_temps"], base)
-    contracts.load_table(t, "city_surface_temps")
-    contracts.reset_tables(spark, ["city_surface_temps"], base)
-    contracts.load_table(t, "city_surface_temps")
-    return spark.table("city_surface_temps")
+    return base, "climastar_" + base.rsplit("-", 1)[1]
+
+
+def loadable_airports(airports: DataFrame) -> DataFrame:
+    """Airports with codes as short as the declared table has them (the
+    stand-in's are longer)."""
+    code = F.expr("right(ident, 4)")
+    return airports.withColumns({
+        "ident": F.expr("right(ident, 5)"), "gps_code": code, "local_code": code,
+        "iso_country": F.substring("iso_country", 1, 2),
+        "iso_region": F.concat(F.substring("iso_region", 1, 2), F.lit("-"), F.expr("right(iso_region, 2)"))})
+
+
+def contract_inputs(spark, sf) -> dict[str, DataFrame]:
+    """A source for each of the five declared tables."""
+    t = cleaned(spark, sf, "temperatures")
+    return {"cities_demog": cleaned(spark, sf, "demographics"), "airport_codes": cleaned(spark, sf, "airports"),
+            "immigration": raw_immigration(spark, sf), "city_surface_temps": t, "state_surface_temps": state_temperatures(t)}
 
 
 def q_table_reset_all(spark, sf):
-    """Reset all five declared tables, load the ones with a source whose
-    rows meet the declared lengths, reset and load again: (table, rows)."""
-    t, _, d = cleaned(spark, sf)
-    base = new_run_dir(spark, "tables-all")
+    """Reset and load all five declared tables twice: (table, rows).  Rows of
+    ``immigration`` with a gender longer than declared are left out, as the
+    table enforces the length."""
+    loads = contract_inputs(spark, sf)
+    loads["airport_codes"] = loadable_airports(loads["airport_codes"])
+    loads["immigration"] = loads["immigration"].where(F.length("gender") <= 1)
+    base, db = _own_database(spark)
     names = list(contracts.CONTRACTS)
-    loads = {"cities_demog": d, "city_surface_temps": t}
     for _ in range(2):
-        contracts.reset_tables(spark, names, base)
+        contracts.reset_tables(spark, names, base, db)
         for name, df in loads.items():
-            contracts.load_table(df, name)
-    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
+            contracts.load_table(df, name, db)
+    parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
              for n in names]
     out = parts[0]
     for p in parts[1:]:
@@ -135,25 +173,31 @@ def q_table_reset_all(spark, sf):
 
 
 def q_schema_conform(spark, sf):
-    _, a, _ = cleaned(spark, sf)
-    return contracts.conform(a, "airport_codes")
+    return contracts.conform(cleaned(spark, sf, "airports"), "airport_codes")
 
 
 def q_schema_conform_demographics(spark, sf):
-    _, _, d = cleaned(spark, sf)
-    return contracts.conform(d, "cities_demog")
+    return contracts.conform(cleaned(spark, sf, "demographics"), "cities_demog")
 
 
 def q_schema_conform_temperatures(spark, sf):
-    t, _, _ = cleaned(spark, sf)
-    return contracts.conform(t, "city_surface_temps")
+    return contracts.conform(cleaned(spark, sf, "temperatures"), "city_surface_temps")
+
+
+def q_schema_conform_immigration(spark, sf):
+    return contracts.conform(raw_immigration(spark, sf), "immigration")
+
+
+def q_schema_conform_state_temperatures(spark, sf):
+    return contracts.conform(state_temperatures(cleaned(spark, sf, "temperatures")), "state_surface_temps")
 
 
 def q_constraint_violations(spark, sf):
-    t, a, d = cleaned(spark, sf)
-    return (constraint_violations(d, "cities_demog")
-            .unionByName(constraint_violations(a, "airport_codes"))
-            .unionByName(constraint_violations(t, "city_surface_temps")))
+    parts = [constraint_violations(df, name) for name, df in contract_inputs(spark, sf).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ---- projections, casts, parsing ------------------------------------------
@@ -163,9 +207,14 @@ def q_project_rename(spark, sf):
 
 
 def q_cast_tolerant(spark, sf):
+    """Also text of integers above 2^53, made from each row's price, and text
+    that ends like a Java number, which is none."""
     raw = raw_temperatures(spark, sf)
+    whole = F.concat(F.lit("90071992547"), F.lpad(F.regexp_extract("AverageTemperature", r"^\d+", 0), 8, "0"))
     return raw.select(
         "dt", "AverageTemperature", "AverageTemperatureUncertainty",
+        to_long(whole).alias("large_long"),
+        to_int(F.concat(F.col("AverageTemperature"), F.lit("d"))).alias("suffixed_int"),
         to_int("dt").alias("dt_int"),
         to_int("AverageTemperature").alias("temperature_int"),
         to_long("AverageTemperature").alias("temperature_long"),
@@ -212,14 +261,18 @@ def q_hemisphere_coordinate_udf(spark, sf):
 
 
 def q_surrogate_key_stable(spark, sf):
-    t, _, _ = cleaned(spark, sf)
+    t = cleaned(spark, sf, "temperatures")
     return t.withColumn("id", stable_key(t, t.columns))
 
 
 def q_surrogate_key_monotonic(spark, sf):
+    """(rows, distinct_ids, passed): the ids depend on the partitioning, but
+    every row of the fact must have one of its own."""
     c = clean_inputs(spark, sf)
-    return build_fact(c.temperatures, c.airports, c.demographics, key="monotonic",
-                      airports_small=c.airports_small, demographics_small=c.demographics_small)
+    fact = build_fact(c.temperatures, c.airports, c.demographics, key="monotonic")
+    ids = fact.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return ids.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"), F.count(F.lit(1)).alias("distinct_ids")) \
+        .withColumn("passed", F.col("rows") == F.col("distinct_ids"))
 
 
 # ---- filters ----------------------------------------------------------------
@@ -242,9 +295,9 @@ def q_filter_drop_null_measure(spark, sf):
 # ---- joins, aggregates ------------------------------------------------------
 
 def q_join_city_municipality(spark, sf):
-    c = clean_inputs(spark, sf)
+    c = CleanInputs(cleaned(spark, sf, "temperatures"), cleaned(spark, sf, "airports"), None)
     air = c.airports.select("municipality", "ident", "airport_name", "elevation_ft")
-    return fanout_join(c.temperatures, air, "city", "municipality", other_is_small=c.airports_small)
+    return fanout_join(c.temperatures, air, "city", "municipality")
 
 
 def q_join_star_report(spark, sf):
@@ -260,25 +313,29 @@ def q_agg_count(spark, sf):
 
 
 def q_agg_group_city(spark, sf):
-    fact = model(spark, sf).fact
-    return fact.groupBy("city").agg(
-        F.count(F.lit(1)).alias("fact_rows"),
+    """Of the fact, by city.  A city's fact rows repeat each temperature row
+    equally often, so mean and extremes come from the distinct temperature
+    rows and the count is the product of the parts' counts."""
+    m = model(spark, sf)
+    rows = R.city_fact_rows(m).withColumnRenamed("city", "fact_city")
+    per_city = m.temperature_part.groupBy("city").agg(
         F.round(F.avg("average_temperature"), R.MEAN_DIGITS).alias("average_temperature"),
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"))
+    return per_city.join(rows, per_city.city == rows.fact_city).select(
+        "city", "fact_rows", "average_temperature", "first_year", "last_year")
 
 
 def q_agg_first_deterministic(spark, sf):
-    return R.city_attribute(model(spark, sf), "total_population")
+    return R.city_attribute(StarModel(None, None, build_dim_demographics(cleaned(spark, sf, "demographics"))), "total_population")
 
 
 def q_agg_count_distinct(spark, sf):
-    return R.city_airport_counts(model(spark, sf))
+    return R.city_airport_counts(StarModel(None, build_dim_airport(cleaned(spark, sf, "airports")), None))
 
 
 def q_dedup_full_row(spark, sf):
-    t, _, _ = cleaned(spark, sf)
-    return dedup(t, FACT_TEMPERATURE_COLUMNS)
+    return dedup(cleaned(spark, sf, "temperatures"), FACT_TEMPERATURE_COLUMNS)
 
 
 # ---- data quality -------------------------------------------------------------
@@ -289,21 +346,20 @@ _DEDUP_COLUMNS = {"fact_table": FACT_COLUMNS,
 
 
 def q_dq_non_empty(spark, sf):
-    t, a, d = cleaned(spark, sf, check=False)
-    return non_empty_flags({"temperatures": t, "airports": a, "demographics": d})
+    c = clean_inputs(spark, sf, check=False)
+    return non_empty_flags({"temperatures": c.temperatures, "airports": c.airports, "demographics": c.demographics})
 
 
 def _written_model(spark, sf):
     m = model(spark, sf)
     out = new_run_dir(spark, "model")
     counts = write_model(m, out)
-    return m, counts, read_model(spark, out)
+    return out, counts, read_model(spark, out)
 
 
 def q_dq_readable(spark, sf):
-    m, _, stored = _written_model(spark, sf)
-    parts = [readable(name, stored.tables()[name], df.schema) for name, df in m.tables().items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out, _, stored = _written_model(spark, sf)
+    return readable(spark, {n: source_path(out, n) for n in stored.tables()}, {n: table_schema(n) for n in stored.tables()})
 
 
 def q_dq_row_count_match(spark, sf):
@@ -313,8 +369,11 @@ def q_dq_row_count_match(spark, sf):
 
 
 def q_dq_duplicates(spark, sf):
-    m = model(spark, sf)
-    parts = [duplicate_summary(df, name, _DEDUP_COLUMNS[name]) for name, df in m.tables().items()]
+    """Of the written tables, on their business columns.  The fact's key is a
+    hash of exactly those, so it stands for them."""
+    _, _, stored = _written_model(spark, sf)
+    columns = {**_DEDUP_COLUMNS, "fact_table": ["id"]}
+    parts = [duplicate_summary(df, name, columns[name]) for name, df in stored.tables().items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -326,15 +385,15 @@ def q_dq_report(spark, sf):
 # ---- composed datasets ----------------------------------------------------------
 
 def q_clean_temperatures(spark, sf):
-    return cleaned(spark, sf)[0]
+    return cleaned(spark, sf, "temperatures")
 
 
 def q_clean_airports(spark, sf):
-    return cleaned(spark, sf)[1]
+    return cleaned(spark, sf, "airports")
 
 
 def q_clean_demographics(spark, sf):
-    return cleaned(spark, sf)[2]
+    return cleaned(spark, sf, "demographics")
 
 
 def q_fact_city_airport(spark, sf):
@@ -342,11 +401,11 @@ def q_fact_city_airport(spark, sf):
 
 
 def q_dim_airport(spark, sf):
-    return model(spark, sf).dim_airport
+    return build_dim_airport(cleaned(spark, sf, "airports"))
 
 
 def q_dim_demographics(spark, sf):
-    return model(spark, sf).dim_demographics
+    return build_dim_demographics(cleaned(spark, sf, "demographics"))
 
 
 def q_report_city_climate(spark, sf):
@@ -378,6 +437,10 @@ def q_adjust_elevation(spark, sf):
     return R.adjust_elevation(model(spark, sf))
 
 
+def q_adjust_latitude(spark, sf):
+    return R.adjust_latitude(model(spark, sf))
+
+
 def q_report_city_female(spark, sf):
     return R.report_city_female(model(spark, sf))
 
@@ -393,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "schema_conform": q_schema_conform,
     "schema_conform_demographics": q_schema_conform_demographics,
     "schema_conform_temperatures": q_schema_conform_temperatures,
+    "schema_conform_immigration": q_schema_conform_immigration,
+    "schema_conform_state_temperatures": q_schema_conform_state_temperatures,
     "constraint_violations": q_constraint_violations,
     "project_rename": q_project_rename,
     "cast_tolerant": q_cast_tolerant,
@@ -430,5 +495,6 @@ QUERIES: dict[str, Query] = {
     "influence_correlation": q_influence_correlation,
     "rank_veteran_cities": q_rank_veteran_cities,
     "adjust_elevation": q_adjust_elevation,
+    "adjust_latitude": q_adjust_latitude,
     "report_city_female": q_report_city_female,
 }

@@ -19,8 +19,8 @@ from climastar.functions import (
 )
 from climastar.operators.filters import drop_missing, equals
 from climastar.operators.projection import rename
-from climastar.operators.joins import BROADCAST_MAX_ROWS, probe_rows
 from climastar.operators.quality import EmptySourceError, ensure_non_empty
+from climastar.sources.readers import DEMOGRAPHICS_SPELLINGS
 
 # Column names of the surface-temperature file and their new names.
 TEMPERATURE_RENAMES = {
@@ -36,22 +36,6 @@ TEMPERATURE_RENAMES = {
 # The airport file's name column is renamed.
 AIRPORT_RENAMES = {"name": "airport_name"}
 
-# Accepted spellings of each demographics field.
-DEMOGRAPHICS_SPELLINGS = {
-    "city": ["city", "City"],
-    "state": ["state", "State"],
-    "median_age": ["median_age", "Median Age"],
-    "male_population": ["male_population", "Male Population"],
-    "female_population": ["female_population", "Female Population"],
-    "total_population": ["total_population", "Total Population"],
-    "veteran_population": ["veteran_population", "number_of_veterans"],
-    "foreign_born": ["foreign_born", "Foreign-born"],
-    "ave_household_size": ["ave_household_size", "average_household_size"],
-    "state_code": ["state_code", "State Code"],
-    "race": ["race", "Race"],
-    "count": ["count", "Count"],
-}
-
 # Filter values of the source job.
 US_COUNTRY_CODE = "US"
 US_COUNTRY_NAME = "United States"
@@ -130,41 +114,38 @@ class CleanInputs:
     temperatures: DataFrame
     airports: DataFrame
     demographics: DataFrame
-    # proven at most ``max_broadcast_rows`` rows (None: not probed)
-    airports_small: bool | None = None
-    demographics_small: bool | None = None
 
 
-def clean_all(temperatures_raw: DataFrame, airports_raw: DataFrame, demographics_raw: DataFrame,
-              country_code: str = US_COUNTRY_CODE, country_name: str = US_COUNTRY_NAME,
-              check: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> CleanInputs:
-    """Clean the three inputs.  With ``check``:
+#: The column of each input that the model joins on.
+JOIN_KEYS = {"temperatures": "city", "airports": "municipality", "demographics": "city"}
+
 
-    * one job bounds the airport and demographics sizes for the joins
-      (``limit(N+1)`` counts); a zero count is the non-empty gate of both;
-    * the large temperature input is gated with ``isEmpty``, an incremental
-      take that reads one partition first and widens only if needed (a
-      ``limit`` inside an aggregate would start a task on every split).
+def gate(tables: Mapping[str, DataFrame]) -> None:
+    """Stop when an input has no row that can be joined: it is empty, or its
+    join key is NULL throughout (as when no field had an accepted name).
 
-    Both checks are submitted together from two driver threads.
+    Each check is an incremental take (``isEmpty``), and they are submitted
+    together; inputs that are not passed are not touched.
     """
-    t = clean_temperatures(temperatures_raw, country_name, check=False)
-    a = clean_airports(airports_raw, country_code, check=False)
-    d = clean_demographics(demographics_raw, check=False)
-    if not check:
-        return CleanInputs(t, a, d)
     from concurrent.futures import ThreadPoolExecutor
 
-    # the two checks are independent actions: submit them together
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        probe = pool.submit(probe_rows, {"airports": (a.select("municipality"), max_broadcast_rows),
-                                         "demographics": (d.select("city"), max_broadcast_rows)})
-        temps_empty = pool.submit(t.isEmpty)
-        n, t_empty = probe.result(), temps_empty.result()
-    for name, rows in n.items():
-        if rows == 0:
-            raise EmptySourceError(f"{name}: no rows to process")
-    if t_empty:
-        raise EmptySourceError("temperatures: no rows to process")
-    return CleanInputs(t, a, d, n["airports"] <= max_broadcast_rows,
-                       n["demographics"] <= max_broadcast_rows)
+    def usable(item) -> tuple[str, bool]:
+        name, df = item
+        return name, not df.where(F.col(JOIN_KEYS[name]).isNotNull()).select(JOIN_KEYS[name]).isEmpty()
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        for name, ok in pool.map(usable, tables.items()):
+            if not ok:
+                raise EmptySourceError(f"{name}: no rows with a {JOIN_KEYS[name]} to process")
+
+
+def clean_all(temperatures_raw: DataFrame, airports_raw: DataFrame, demographics_raw: DataFrame,
+              country_code: str = US_COUNTRY_CODE, country_name: str = US_COUNTRY_NAME,
+              check: bool = True) -> CleanInputs:
+    """Clean the three inputs; with ``check`` each must have a usable row (``gate``)."""
+    c = CleanInputs(clean_temperatures(temperatures_raw, country_name, check=False),
+                    clean_airports(airports_raw, country_code, check=False),
+                    clean_demographics(demographics_raw, check=False))
+    if check:
+        gate({"temperatures": c.temperatures, "airports": c.airports, "demographics": c.demographics})
+    return c

@@ -11,23 +11,25 @@ so the inputs are de-duplicated (narrow projections, small shuffles) and the
 join output needs no de-duplication of its own.  The surrogate key is added
 after that, so it can neither hide duplicates nor differ between reruns.
 
-Physical plan: the airport and demographics parts are broadcast when a
-bounded count proves them small, so the T·A·D fan-out happens inside the
-temperature tasks whatever the key skew; otherwise ``fanout_join`` salts the
-hot cities.
+Physical plan: one ``grid_join`` of the three parts at every size.  A city
+whose T·A·D rows exceed a cell is cut into a grid over all three parts, and
+the cells are dealt to a number of tasks that is known before the join: the
+session's shuffle partitions for a lazily built fact, the exact row count
+over ``FACT_ROWS_PER_TASK`` when it is written.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from climastar.functions.keys import monotonic_key, stable_key
 from climastar.operators.aggregates import dedup
-from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, fanout_join, fits_rows
+from climastar.operators.joins import Side, grid_join, key_counts
 from climastar.sources.readers import source_path
 from climastar.sources.sinks import write_parquet_overwrite
 
@@ -61,8 +63,8 @@ class StarModel:
     # Cities without airports or demographics are still in it; reports drop
     # them by their inner joins with the per-city dimension aggregates.
     temperature_part: DataFrame | None = None
-    # The cleaned inputs and join decisions, kept so that ``write_model`` can
-    # size the fan-out from the exact fact row count (see ``write_fact``).
+    # The cleaned inputs, kept so that ``write_model`` can size the join from
+    # the exact fact row count (see ``write_fact``).
     source: "FactSource | None" = None
 
     def tables(self) -> dict[str, DataFrame]:
@@ -75,8 +77,6 @@ class FactSource:
     airports: DataFrame
     demographics: DataFrame
     key: str
-    airports_small: bool
-    demographics_small: bool
 
 
 def fact_parts(temperatures: DataFrame, airports: DataFrame, demographics: DataFrame):
@@ -87,122 +87,79 @@ def fact_parts(temperatures: DataFrame, airports: DataFrame, demographics: DataF
     return t, a, d
 
 
-def _fanout_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _parallelism(spark: SparkSession) -> int:
-    """Task slots of the cluster (at least this many fan-out tasks)."""
+    """Task slots of the cluster (at least this many tasks write the fact)."""
     try:
         return int(spark.sparkContext.defaultParallelism)
     except Exception:      # no driver context (remote session)
-        return _fanout_partitions(spark)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_parts(t: DataFrame, a: DataFrame, d: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """The fact from its three distinct parts."""
+    tad = grid_join([Side(t, "city", True), Side(a, "municipality", True), Side(d, "__d_city", True)], tasks=tasks)
+    fact = tad.select(*[F.col(f"`{c}`") for c in FACT_COLUMNS])
+    if key == "monotonic":
+        return fact.withColumn("id", monotonic_key())
+    return fact.withColumn("id", stable_key(fact, FACT_COLUMNS))
 
 
 def build_fact(temperatures: DataFrame, airports: DataFrame, demographics: DataFrame,
-               key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-               airports_small: bool | None = None,
-               demographics_small: bool | None = None) -> DataFrame:
-    """Fact table: 20 business columns + ``id``.
+               key: str = "stable") -> DataFrame:
+    """Fact table: 20 business columns + ``id``.  Nothing runs here.
 
     ``key="stable"`` gives the first 128 bits of a SHA-256 of the business
     columns (same value on every run and engine); ``key="monotonic"`` gives
     ``monotonically_increasing_id`` as the source job did.
-    ``airports_small``/``demographics_small`` pass the result of an earlier
-    size probe; None checks here.
-
-    When both sides are broadcast the fan-out runs in the tasks of the
-    de-duplicated temperatures.  That shuffle is small, so AQE would coalesce
-    it into very few partitions while each row multiplies by |A|·|D| of its
-    city; a round-robin repartition to the session's shuffle-partition count
-    (not coalesced by AQE) spreads the output over the cluster.
     """
-    t, a, d = fact_parts(temperatures, airports, demographics)
-    if airports_small is None:
-        _, airports_small = broadcast_if_small(a, max_broadcast_rows,
-                                               bound_from=airports.select("municipality"))
-    if demographics_small is None:
-        _, demographics_small = broadcast_if_small(d, max_broadcast_rows,
-                                                   bound_from=demographics.select("city"))
-    if airports_small and demographics_small:
-        t = t.repartition(_fanout_partitions(temperatures.sparkSession))
-    return _join_parts(t, a, d, key, airports_small, demographics_small)
-
-
-def _join_parts(t: DataFrame, a: DataFrame, d: DataFrame, key: str,
-                airports_small: bool, demographics_small: bool) -> DataFrame:
-    ta = fanout_join(t, a, "city", "municipality", other_is_small=airports_small)
-    tad = fanout_join(ta, d, "city", "__d_city", other_is_small=demographics_small)
-    fact = tad.select(*[F.col(f"`{c}`") for c in FACT_COLUMNS])
-    if key == "monotonic":
-        return fact.withColumn("id", monotonic_key())
-    return fact.withColumn("id", stable_key(fact, FACT_COLUMNS))
+    return join_parts(*fact_parts(temperatures, airports, demographics), key)
 
 
-# Target fact rows per fan-out task when the fact is written.
-FANOUT_ROWS_PER_TASK = 5_000_000
+# Target fact rows per task when the fact is written.
+FACT_ROWS_PER_TASK = 5_000_000
 
 
-def write_fact(src: FactSource, path: str) -> int:
-    """Write the fact with the fan-out sized from its exact row count.
+def fact_row_count(t: DataFrame, a: DataFrame, d: DataFrame) -> DataFrame:
+    """(city, fact_rows): |T|·|A|·|D| per city, from three small counts."""
+    tc, ac, dc = key_counts(t, "city", "t", "city"), key_counts(a, "municipality", "a", "ka"), key_counts(d, "__d_city", "d", "kd")
+    j = tc.join(ac, F.col("city") == F.col("ka")).join(dc, F.col("city") == F.col("kd"))
+    return j.select("city", (F.col("t") * F.col("a") * F.col("d")).alias("fact_rows"))
 
-    With both small parts broadcast, one fact task emits (its temperature
-    rows) x |A|·|D| of their cities.  The session's shuffle-partition count is
-    sized for the input, not for that output, so:
 
-    1. the distinct temperature rows of matched cities are written to the
-       shared folder, each with its city's fan-out factor |A|·|D| (from the
-       two proven-small parts); an ``Observation`` on that write sums the
-       factors, which is exactly the fact row count;
-    2. the fact is built from the written rows, round-robin repartitioned to
-       ceil(fact rows / ``FANOUT_ROWS_PER_TASK``) tasks, and written.
+def write_fact(src: FactSource, path: str) -> int:
+    """Write the fact by a number of tasks that its exact row count gives.
 
-    Step 1 also cuts the lineage: a failed fact task restarts from the
-    written temperature rows, not from the raw scan and de-duplication.
-    """
-    from climastar.session import new_run_dir
+    1. The distinct temperature rows are written beside ``path``, so that
+       their scan and de-duplication run once and a failed fact task
+       restarts from written rows.
+    2. Per-city counts of the three parts give the exact number of fact rows
+       (one row on the driver), and ceil(rows / ``FACT_ROWS_PER_TASK``) tasks.
+    3. The fact is joined from the written rows and written.
 
+    The staged rows are emptied afterwards, also when the write fails.
+    """
     t, a, d = fact_parts(src.temperatures, src.airports, src.demographics)
-    if not (src.airports_small and src.demographics_small):
-        fact = _join_parts(t, a, d, src.key, src.airports_small, src.demographics_small)
-        return write_parquet_overwrite(fact, path, "fact_table",
-                                       max_records_per_file=FACT_RECORDS_PER_FILE)
     spark = src.temperatures.sparkSession
-    # one row per city with airports and demographics: at most |A'| rows,
-    # which the probe proved small
-    factor = (a.groupBy(F.col("municipality").alias("__f_city")).agg(F.count(F.lit(1)).alias("__na"))
-              .join(d.groupBy("__d_city").agg(F.count(F.lit(1)).alias("__nd")),
-                    F.col("__f_city") == F.col("__d_city"))
-              .select("__f_city", (F.col("__na") * F.col("__nd")).alias("__f")))
-    staged = (t.join(F.broadcast(factor), t.city == F.col("__f_city"))
-              .select(*FACT_TEMPERATURE_COLUMNS, "__f"))
-    stage_dir = new_run_dir(spark, "fact-stage")
-    obs = Observation("fact_stage")
-    (staged.observe(obs, F.coalesce(F.sum("__f"), F.lit(0)).cast("long").alias("fact_rows"))
-     .write.mode("overwrite").parquet(stage_dir))
-    fact_rows = int(obs.get["fact_rows"])
-    tasks = max(_parallelism(spark), -(-fact_rows // FANOUT_ROWS_PER_TASK))
-    stage_schema = T.StructType(list(table_schema("fact_table").fields[:len(FACT_TEMPERATURE_COLUMNS)])
-                                + [T.StructField("__f", T.LongType())])
-    t_staged = (spark.read.schema(stage_schema).parquet(stage_dir).drop("__f")
-                .repartition(tasks))
-    fact = _join_parts(t_staged, a, d, src.key, True, True)
-    rows = write_parquet_overwrite(fact, path, "fact_table", max_records_per_file=FACT_RECORDS_PER_FILE)
-    _remove_staging(spark, stage_dir)
-    return rows
-
-
-def _remove_staging(spark: SparkSession, path: str) -> None:
-    """Delete a staging folder once the table built from it is written, so
-    intermediate rows do not pile up in the shared folder.  Best effort: a
-    remote session without a JVM gateway leaves it for the storage's
-    lifecycle rules."""
+    stage = f"{path.rstrip('/')}.parts"
+    schema = T.StructType(table_schema("fact_table").fields[:len(FACT_TEMPERATURE_COLUMNS)])
+    try:
+        t.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("overwrite").parquet(stage)
+        staged = spark.read.schema(schema).parquet(stage)
+        total = fact_row_count(staged, a, d).agg(F.coalesce(F.sum("fact_rows"), F.lit(0)).cast("long")).first()[0]
+        tasks = max(_parallelism(spark), -(-total // FACT_ROWS_PER_TASK))
+        return write_parquet_overwrite(join_parts(staged, a, d, src.key, tasks), path, "fact_table",
+                                       max_records_per_file=FACT_RECORDS_PER_FILE)
+    finally:
+        _empty(spark, stage, schema)
+
+
+def _empty(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Free a staging folder: overwrite it with no rows.  A failure is
+    logged; it does not hide an error of the write itself."""
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
     except Exception:
-        pass
+        logging.getLogger(__name__).exception("staging folder %s could not be emptied", path)
 
 
 def build_dim_airport(airports: DataFrame) -> DataFrame:
@@ -214,26 +171,16 @@ def build_dim_demographics(demographics: DataFrame) -> DataFrame:
 
 
 def build_model(temperatures: DataFrame, airports: DataFrame, demographics: DataFrame,
-                key: str = "stable", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                airports_small: bool | None = None,
-                demographics_small: bool | None = None) -> StarModel:
-    if airports_small is None:
-        airports_small = fits_rows(airports.select("municipality"), max_broadcast_rows)
-    if demographics_small is None:
-        demographics_small = fits_rows(demographics.select("city"), max_broadcast_rows)
-    fact = build_fact(temperatures, airports, demographics, key, max_broadcast_rows,
-                      airports_small, demographics_small)
-    source = FactSource(temperatures, airports, demographics, key,
-                        airports_small, demographics_small)
-    return StarModel(fact, build_dim_airport(airports), build_dim_demographics(demographics),
+                key: str = "stable") -> StarModel:
+    return StarModel(build_fact(temperatures, airports, demographics, key),
+                     build_dim_airport(airports), build_dim_demographics(demographics),
                      temperature_part=dedup(temperatures, FACT_TEMPERATURE_COLUMNS),
-                     source=source)
+                     source=FactSource(temperatures, airports, demographics, key))
 
 
 def model_from_clean(c, key: str = "stable") -> StarModel:
-    """Model from ``plans.clean.CleanInputs`` (uses its size probe)."""
-    return build_model(c.temperatures, c.airports, c.demographics, key=key,
-                       airports_small=c.airports_small, demographics_small=c.demographics_small)
+    """Model from ``plans.clean.CleanInputs``."""
+    return build_model(c.temperatures, c.airports, c.demographics, key=key)
 
 
 def write_model(model: StarModel, base: str) -> dict[str, int]:

@@ -91,15 +91,10 @@ def city_fact_rows(model: StarModel) -> DataFrame:
     model read from written tables, the stored fact is counted."""
     if model.source is None:
         return model.fact.groupBy("city").agg(F.count(F.lit(1)).alias("fact_rows"))
-    from climastar.plans.model import fact_parts
+    from climastar.plans.model import fact_parts, fact_row_count
 
     src = model.source
-    t, a, d = fact_parts(src.temperatures, src.airports, src.demographics)
-    tc = t.groupBy("city").agg(F.count(F.lit(1)).alias("__t"))
-    ac = a.groupBy("municipality").agg(F.count(F.lit(1)).alias("__a"))
-    dc = d.groupBy("__d_city").agg(F.count(F.lit(1)).alias("__d"))
-    j = tc.join(ac, tc.city == ac.municipality).join(dc, tc.city == dc.__d_city)
-    return j.select("city", (F.col("__t") * F.col("__a") * F.col("__d")).alias("fact_rows"))
+    return fact_row_count(*fact_parts(src.temperatures, src.airports, src.demographics))
 
 
 def star_join_counts(model: StarModel) -> DataFrame:
@@ -165,3 +160,26 @@ def adjust_elevation(model: StarModel, lapse_rate_per_ft: float = LAPSE_RATE_PER
         F.round("mean_elevation_ft", MEAN_DIGITS).alias("mean_elevation_ft"),
         F.round(F.col("average_temperature") + F.lit(lapse_rate_per_ft) * F.col("mean_elevation_ft"),
                 MEAN_DIGITS).alias("sea_level_temperature"))
+
+
+def adjust_latitude(model: StarModel) -> DataFrame:
+    """(city, average_temperature, mean_latitude, expected_temperature,
+    residual): the temperature that a straight line over the cities' mean
+    latitudes (of their airports) gives, and what is left of a city's mean.
+
+    The line is fitted by two aggregates over one row per city; with one
+    city, or all at one latitude, there is none and both are NULL.
+    """
+    temp = city_mean_temperature(model)
+    where = model.dim_airport.groupBy("municipality").agg(F.avg("latitude").alias("mean_latitude"))
+    demo = model.dim_demographics.select(F.col("city").alias("__d_city")).distinct()
+    j = (temp.join(where, temp.city == where.municipality)
+             .join(demo, temp.city == demo.__d_city, "left_semi")
+             .select("city", "average_temperature", "mean_latitude", F.lit(1).alias("__one")))
+    line = j.agg(F.regr_slope("average_temperature", "mean_latitude").alias("__b"),
+                 F.regr_intercept("average_temperature", "mean_latitude").alias("__a")).withColumn("__k", F.lit(1))
+    fitted = F.col("__a") + F.col("__b") * F.col("mean_latitude")
+    return j.join(line, F.col("__one") == F.col("__k")).select(
+        "city", "average_temperature", F.round("mean_latitude", MEAN_DIGITS).alias("mean_latitude"),
+        F.round(fitted, 4).alias("expected_temperature"),
+        F.round(F.col("average_temperature") - fitted, 4).alias("residual"))

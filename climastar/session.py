@@ -26,8 +26,9 @@ def shared_root(spark: SparkSession) -> str:
 
     On a cluster this setting points at storage every executor can reach, so
     written tables and checkpoints survive executor loss.  Only when it is
-    unset (a bare local session in tests) do we create a folder of our own
-    and register it as the checkpoint directory.
+    unset and the master is local (tests) do we create a folder of our own
+    and register it as the checkpoint directory; on a cluster a folder of one
+    machine would lose rows, so an unset folder is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -38,11 +39,12 @@ def shared_root(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    key = id(sc) if sc is not None else id(spark)
+    if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    key = id(sc)
     if key not in _fallback_dirs:
         _fallback_dirs[key] = tempfile.mkdtemp(prefix="climastar-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(_fallback_dirs[key])
+        sc.setCheckpointDir(_fallback_dirs[key])
     return _fallback_dirs[key]
 
 

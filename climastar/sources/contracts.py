@@ -167,31 +167,30 @@ def _ddl_type(declared: str) -> str:
     return spark_type(declared).simpleString().upper()
 
 
-def create_table_sql(table: str, location: str) -> str:
-    cols = ", ".join(f"`{c}` {_ddl_type(t)}" for c, t, _ in CONTRACTS[table])
-    return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet LOCATION '{location}'"
+def create_table_sql(table: str, database: str) -> str:
+    cols = ", ".join(f"`{c}` {_ddl_type(t)}{' NOT NULL' if nn else ''}" for c, t, nn in CONTRACTS[table])
+    return f"CREATE TABLE `{database}`.`{table}` ({cols}) USING parquet"
 
 
-def reset_tables(spark: SparkSession, tables: list[str], base: str) -> dict[str, str]:
-    """Drop the tables if present, then create them empty at a new location
-    under ``base``.  Returns table -> location.
+def reset_tables(spark: SparkSession, tables: list[str], base: str, database: str) -> None:
+    """Drop the named tables of ``database`` if present and create them empty.
 
-    A dropped table that was created with a LOCATION keeps its files, so each
-    create gets a fresh folder: the recreated table starts empty.
+    The database is one of its own, under ``base``; tables of the same name
+    elsewhere are not touched.  Its tables are managed, so a drop also
+    removes their files and a reset leaves nothing behind.
     """
-    import uuid
-
-    locations = {}
-    for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base.rstrip('/')}/{database}.db'")
     for t in tables:
-        loc = f"{base.rstrip('/')}/{t}/v-{uuid.uuid4().hex[:12]}"
-        spark.sql(create_table_sql(t, loc))
-        locations[t] = loc
-    return locations
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{t}`")
+        spark.sql(create_table_sql(t, database))
 
 
-def load_table(df: DataFrame, table: str) -> None:
+def load_table(df: DataFrame, table: str, database: str) -> None:
     """Append ``df``, conformed to the contract, into the catalog table.
-    Spark enforces the declared ``varchar(n)`` lengths on this insert."""
-    conform(df, table).write.insertInto(table)
+    Spark enforces the declared ``varchar(n)`` lengths on this insert; a NULL
+    in a NOT NULL column, which Parquet would accept, fails the load."""
+    rows = conform(df, table)
+    required = {c for c, _, not_null in CONTRACTS[table] if not_null}
+    checked = [F.when(F.col(f"`{c}`").isNull(), F.raise_error(F.lit(f"NULL in {table}.{c}"))).otherwise(F.col(f"`{c}`")).alias(c)
+               if c in required else F.col(f"`{c}`") for c in rows.columns]
+    rows.select(*checked).write.insertInto(f"`{database}`.`{table}`")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -41,27 +42,42 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return reader.json(path)
 
 
-# Accepted spellings of the demographics fields, snake case
-# first.  Title-case names that differ from the snake name only by case
-# (City, State, Race, Count) cannot be declared next to it; read with
-# ``infer=True`` to accept those.
-DEMOGRAPHICS_JSON_FIELDS = [
-    "city", "state", "median_age", "Median Age", "male_population",
-    "Male Population", "female_population", "Female Population",
-    "total_population", "Total Population", "number_of_veterans",
-    "veteran_population", "foreign_born", "Foreign-born",
-    "average_household_size", "ave_household_size", "state_code",
-    "State Code", "race", "count",
-]
-
-
-def read_demographics_json(spark: SparkSession, path: str, multi_line: bool = False,
-                           infer: bool = False) -> DataFrame:
-    """City demographics JSON; every field read as text and typed later."""
-    if infer:
-        return read_json(spark, path, None, multi_line)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in DEMOGRAPHICS_JSON_FIELDS])
-    return read_json(spark, path, schema, multi_line)
+# Accepted names of each demographics field, first that of the
+# published table.
+DEMOGRAPHICS_SPELLINGS = {
+    "city": ["city", "City"],
+    "state": ["state", "State"],
+    "median_age": ["median_age", "Median Age"],
+    "male_population": ["male_population", "Male Population"],
+    "female_population": ["female_population", "Female Population"],
+    "total_population": ["total_population", "Total Population"],
+    "veteran_population": ["veteran_population", "number_of_veterans", "Number of Veterans"],
+    "foreign_born": ["foreign_born", "Foreign-born"],
+    "ave_household_size": ["ave_household_size", "average_household_size", "Average Household Size"],
+    "state_code": ["state_code", "State Code"],
+    "race": ["race", "Race"],
+    "count": ["count", "Count"],
+}
+
+
+def read_demographics_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """City demographics JSON, every field as text under its published name.
+
+    Each object is read as a map, so that the names need not be known or
+    inferred beforehand and may differ from record to record.  JSON lines are
+    split among tasks; ``multi_line`` takes files that hold one array or one
+    object over several lines, a file per task as such files have no
+    boundary to split at.
+    """
+    if multi_line:
+        docs = spark.read.text(path, wholetext=True)
+        # an object alone counts as an array of one
+        text = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
+        fields = docs.select(F.explode(F.from_json(text, "array<map<string,string>>")).alias("m"))
+    else:
+        fields = spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("m")).where("m is not null")
+    return fields.select(*[F.coalesce(*[F.try_element_at("m", F.lit(n)) for n in names]).alias(c)
+                           for c, names in DEMOGRAPHICS_SPELLINGS.items()])
 
 
 def read_parquet(spark: SparkSession, path: str,

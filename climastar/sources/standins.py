@@ -23,23 +23,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climastar.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, probe_rows
 from climastar.sources.readers import source_path
 
 STANDIN_COUNTRY = "AMERICA"
 
-# Geography is one row per nation; the check keeps the broadcast honest if a
-# larger geography table is ever supplied.
-_GEO_MAX_ROWS = 100_000
-
-
 # Types of the driver-table columns the stand-ins read.
 DRIVER_COLUMN_TYPES = {
     "n_nationkey": "int", "n_name": "string", "n_regionkey": "int",
     "r_regionkey": "int", "r_name": "string",
     "c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string",
     "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
-    "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
     "o_orderdate": "timestamp_ntz",
 }
 
@@ -51,28 +45,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> Data
     return spark.read.schema(ddl).parquet(source_path(sf_dir, f"{name}.parquet"))
 
 
-def source_bounds(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
-    """One probe job: is the nation table small enough to broadcast, and is
-    the customer table (the build side of the temperature stand-in)?"""
-    # zero-column projections: the Parquet reader counts rows from row-group
-    # metadata without decoding any column
-    n = probe_rows({
-        "nation": (_table(spark, sf_dir, "nation", ["n_nationkey"]).select(), _GEO_MAX_ROWS),
-        "customer": (_table(spark, sf_dir, "customer", ["c_custkey"]).select(), BROADCAST_MAX_ROWS),
-    })
-    return {"nation": n["nation"] <= _GEO_MAX_ROWS, "customer": n["customer"] <= BROADCAST_MAX_ROWS}
-
-
-def geography(spark: SparkSession, sf_dir: str, small: bool | None = None) -> DataFrame:
-    """(n_nationkey, n_name, r_name), broadcast when checked small (one row
-    per nation; ``small`` passes an earlier probe result)."""
+def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(n_nationkey, n_name, r_name): one row per nation.  Spark broadcasts
+    it by its measured size."""
     n = _table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = _table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    if small is None:
-        geo, _ = broadcast_if_small(geo, _GEO_MAX_ROWS, bound_from=n)
-        return geo
-    return F.broadcast(geo) if small else geo
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 def _money_text(c) -> F.Column:
@@ -84,18 +62,12 @@ def _hemisphere_text(c, neg: str, pos: str) -> F.Column:
                     F.when(c < 0, F.lit(neg)).otherwise(F.lit(pos)))
 
 
-def raw_temperatures(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None,
-                     customers_small: bool = False) -> DataFrame:
+def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of the temperature CSV: dt, AverageTemperature,
-    AverageTemperatureUncertainty, City, Country, Latitude, Longitude.
-
-    ``customers_small`` (from ``source_bounds``) broadcasts the customer side
-    so the orders stream through; otherwise Spark plans a shuffle join."""
+    AverageTemperatureUncertainty, City, Country, Latitude, Longitude."""
     o = _table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     c = _table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
-    cg = c.join(geo if geo is not None else geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
-    if customers_small:
-        cg = F.broadcast(cg)
+    cg = c.join(geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
     t = o.join(cg, o.o_custkey == cg.c_custkey)
     return t.select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
@@ -109,10 +81,10 @@ def raw_temperatures(spark: SparkSession, sf_dir: str, geo: DataFrame | None = N
     )
 
 
-def raw_airports(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
+def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of the airport-codes CSV (all text)."""
     s = _table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
-    sg = s.join(geo if geo is not None else geography(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"))
+    sg = s.join(geography(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"))
     key = F.col("s_suppkey").cast("string")
     return sg.select(
         key.alias("ident"),
@@ -130,7 +102,7 @@ def raw_airports(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None)
     )
 
 
-def raw_demographics(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
+def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns of the demographics JSON: one row per (city, state, race).
 
     Customers are aggregated per (nation, region, segment) first; the
@@ -138,7 +110,7 @@ def raw_demographics(spark: SparkSession, sf_dir: str, geo: DataFrame | None = N
     so no city's customers are ever gathered in one task.
     """
     c = _table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
-    cg = c.join(geo if geo is not None else geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
+    cg = c.join(geography(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
 
     def n_if(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
@@ -167,3 +139,33 @@ def raw_demographics(spark: SparkSession, sf_dir: str, geo: DataFrame | None = N
         F.col("c_mktsegment").alias("race"),
         F.col("seg_count").alias("count"),
     )
+
+
+def raw_immigration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns of the immigration table, one row per order.  ``admnum``
+    lies above 2^53, where a double no longer holds every integer."""
+    o = _table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    c = _table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        key.cast("string").alias("cicid"),
+        F.year(day).cast("string").alias("i94yr"),
+        F.month(day).cast("string").alias("i94mon"),
+        F.col("c_nationkey").cast("string").alias("i94cit"),
+        F.col("c_nationkey").cast("string").alias("i94res"),
+        F.substring("c_mktsegment", 1, 3).alias("i94port"),
+        F.date_format(day, "yyyyMMdd").alias("dtadfile"),
+        F.lit("1").alias("count"),
+        F.col("o_orderstatus").alias("entdepa"),
+        F.when(key % 3 == 0, F.lit("M")).when(key % 3 == 1, F.lit("F")).otherwise(F.lit("unknown")).alias("gender"),
+        (F.lit(9007199254740993) + key).cast("string").alias("admnum"),
+        F.lit("B2").alias("visatype"),
+    )
+
+
+def state_temperatures(temperatures: DataFrame) -> DataFrame:
+    """Columns of the state temperature table from cleaned temperatures: one
+    row per year, month, city (taken as state) and country."""
+    return temperatures.groupBy("year", "mon", F.col("city").alias("state"), "country").agg(
+        F.round(F.avg("average_temperature"), 6).alias("average_temperature"),
+        F.max("average_temperature_uncertainty").alias("average_temperature_uncertainty"))

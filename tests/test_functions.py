@@ -33,10 +33,21 @@ def test_split_coordinates(spark):
 
 
 def test_text_to_int(spark):
-    vals = ["12.7", "-12.7", "", "abc", " 7 ", "NaN", "99999999999"]
+    vals = ["12.7", "-12.7", "", "abc", " 7 ", "NaN", "99999999999", "12d", "12f", "-0.9"]
     df = spark.createDataFrame([(v,) for v in vals], "c string")
     got = [r.i for r in df.select(to_int("c").alias("i")).collect()]
-    assert got == [12, -12, None, None, 7, None, None]
+    assert got == [12, -12, None, None, 7, None, None, None, None, 0]
+
+
+def test_large_integers_are_exact(spark):
+    from climastar.functions import to_long
+
+    vals = ["9007199254740993", "9223372036854775807", "-9223372036854775808", "9223372036854775808", "9007199254740993.9"]
+    df = spark.createDataFrame([(v,) for v in vals], "c string")
+    assert [r.i for r in df.select(to_long("c").alias("i")).collect()] == [
+        9007199254740993, 9223372036854775807, -9223372036854775808, None, 9007199254740993]
+    whole = spark.createDataFrame([(9007199254740993,)], "c bigint")
+    assert whole.select(to_long("c").alias("i")).first().i == 9007199254740993
 
 
 def test_date_parts(spark):
@@ -62,3 +73,14 @@ def test_stable_key_null_and_empty_differ(spark):
     df = spark.createDataFrame([(None, "x"), ("", "x"), ("x", None)], "a string, b string")
     ids = [r.id for r in df.select(stable_key(df, ["a", "b"]).alias("id")).collect()]
     assert len(set(ids)) == 3
+
+
+def test_stable_key_tells_all_rows_apart(spark):
+    inf = float("inf")
+    rows = [(10.0000001, "a", "b"), (10.0000002, "a", "b"), (float("nan"), "a", "b"), (None, "a", "b"), (inf, "a", "b"), (-inf, "a", "b"),
+            (1e13, "a", "b"), (2e13, "a", "b"), (0.0, "a|b", "c"), (0.0, "a", "b|c"), (0.0, "\\N", "c"), (0.0, None, "c"),
+            (0.0, "-", "c"), (0.0, "1:a", ""), (0.0, "", "1:a")]
+    df = spark.createDataFrame(rows, "x double, y string, z string")
+    assert df.select(stable_key(df, ["x", "y", "z"]).alias("id")).distinct().count() == len(rows)
+    zero = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert zero.select(stable_key(zero, ["x"]).alias("id")).distinct().count() == 1

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from climastar.operators.joins import fanout_join, salted_join
+from climastar.operators.joins import Side, fanout_join, grid_join
 from climastar.operators.quality import duplicate_summary, qa_report
 from conftest import SF001
 
@@ -11,30 +11,71 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_salted_join_equals_plain_join(spark):
-    # one hot key with most rows, plus cold keys
-    big = spark.range(5000).select(
-        F.when(F.col("id") < 4000, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("k"),
-        F.col("id").alias("v"))
-    other = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k3", 4), ("zz", 5)], "ok string, w int")
-    plain = big.join(other, big.k == other.ok).select("k", "v", "ok", "w")
-    salted = salted_join(big, other, "k", "ok", rows_per_task=300)
-    assert _rows(salted) == _rows(plain)
-    forced = fanout_join(big, other, "k", "ok", other_is_small=False, rows_per_task=300)
-    assert _rows(forced) == _rows(plain)
+def _largest_task(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"), F.sum("count"), F.count("p")).first()
+
 
+def _plain(a, b):
+    return a.join(b, a.k == b.ok).select("k", "v", "ok", "w")
 
-def test_fact_same_with_salted_path(spark):
+
+def test_grid_join_equals_plain_join(spark):
+    # one hot key with most rows, cold keys, NULL keys, and keys of one side only
+    big = spark.range(5000).select(
+        F.when(F.col("id") < 4000, F.lit("hot")).when(F.col("id") < 4900, F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("k"),
+        F.col("id").alias("v"))
+    other = spark.createDataFrame([("hot", 1), ("hot", 2), ("hot", 2), ("k1", 3), ("k3", 4), ("zz", 5), (None, 6)], "ok string, w int")
+    for cell in (7, 300, 10**9):
+        assert _rows(fanout_join(big, other, "k", "ok", cell)) == _rows(_plain(big, other))
+
+
+def test_few_rows_with_very_many_partners_are_spread(spark):
+    """The key is hot through the other side alone."""
+    big = spark.range(3).select(F.lit("a").alias("k"), F.col("id").alias("v"))
+    other = spark.range(200_000).select(F.lit("a").alias("ok"), F.col("id").alias("w"))
+    joined = grid_join([Side(big, "k"), Side(other, "ok")], 1000, tasks=64)
+    most, total, tasks = _largest_task(joined)
+    assert total == 600_000 and tasks == 64 and most <= 3 * total / 64
+    assert joined.distinct().count() == total
+
+
+def test_identical_rows_are_spread(spark):
+    big = spark.range(2000).select(F.lit("a").alias("k"), F.lit(1).alias("v"))
+    other = spark.range(50).select(F.lit("a").alias("ok"), F.col("id").alias("w"))
+    joined = grid_join([Side(big, "k"), Side(other, "ok")], 1000, tasks=64)
+    most, total, tasks = _largest_task(joined)
+    assert total == 100_000 and tasks >= 32 and most <= 6 * total / 64
+    assert _rows(joined.groupBy("w").count()) == [(i, 2000) for i in range(50)]
+
+
+def test_three_sides_and_equal_names(spark):
+    a = spark.range(400).select((F.col("id") % 3).alias("k"), F.col("id").alias("x"))
+    b = spark.range(90).select((F.col("id") % 2).alias("k"), F.col("id").alias("y"))
+    c = spark.createDataFrame([(0, "p"), (0, "p"), (1, "q")], "k long, z string")
+    got = grid_join([Side(a, "k", True), Side(b, "k", True), Side(c, "k")], 50, tasks=16).toDF("k1", "x", "k2", "y", "k3", "z")
+    want = a.join(b, "k").join(c, "k").select(F.col("k").alias("k1"), "x", F.col("k").alias("k2"), "y", F.col("k").alias("k3"), "z")
+    assert _rows(got) == _rows(want)
+
+
+def test_fact_with_cut_cities(spark, monkeypatch):
+    """Cells of 200 rows: every city of the fact is cut over its parts.
+    The rows are those of the uncut fact, no task has a whole city, and
+    nothing runs while the plan is built."""
+    from climastar.operators import joins
     from climastar.plans.catalog import clean_inputs
-    from climastar.plans.model import build_fact
+    from climastar.plans.model import build_fact, fact_parts, join_parts
 
     c = clean_inputs(spark, SF001)
-    broadcast = build_fact(c.temperatures, c.airports, c.demographics,
-                           airports_small=True, demographics_small=True)
-    salted = build_fact(c.temperatures, c.airports, c.demographics,
-                        airports_small=False, demographics_small=False)
-    assert broadcast.count() == salted.count()
-    assert broadcast.select("id").subtract(salted.select("id")).count() == 0
+    whole = build_fact(c.temperatures, c.airports, c.demographics).cache()
+    monkeypatch.setattr(joins, "ROWS_PER_CELL", 200)
+    spark.sparkContext.setJobGroup("planning", "the fact's plan")
+    cut = join_parts(*fact_parts(c.temperatures, c.airports, c.demographics), "stable", tasks=64)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("other", "")
+    most, total, tasks = _largest_task(cut)
+    assert total == whole.count() and tasks >= 32 and most <= 5 * total / 64
+    assert cut.select("id").exceptAll(whole.select("id")).count() == 0
+    whole.unpersist()
 
 
 def test_duplicate_check_detects_copies(spark):
@@ -68,8 +109,7 @@ def test_report_plan_has_no_star_join_and_no_python(spark):
 def test_country_filter_reaches_scan(spark):
     from climastar.plans.catalog import cleaned
 
-    t, _, _ = cleaned(spark, SF001)
-    plan = _plan(t)
+    plan = _plan(cleaned(spark, SF001, "temperatures"))
     assert "EqualTo(r_name,AMERICA)" in plan
 
 
@@ -90,13 +130,24 @@ def test_star_join_equals_preaggregated(spark):
     assert _rows(star) == _rows(report_city_climate(m))
 
 
-def test_fact_plan_spreads_fanout_and_broadcasts_small_sides(spark):
+def test_fact_is_dealt_to_a_stated_number_of_tasks(spark):
+    """All sides by key and cell to as many tasks as the session has shuffle
+    partitions, which adaptive execution does not coalesce; no broadcast hint."""
     from climastar.plans.catalog import model
 
-    plan = _plan(model(spark, SF001).fact)
-    assert "RoundRobinPartitioning" in plan
-    assert plan.count("BroadcastHashJoin") >= 2
-    assert "SortMergeJoin" not in plan
+    fact = model(spark, SF001).fact
+    assert "REPARTITION_BY_NUM" in _plan(fact)
+    assert "rightHint=(strategy=broadcast)" not in fact._jdf.queryExecution().optimizedPlan().toString()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert fact.rdd.getNumPartitions() == n
+
+
+def test_dimension_queries_touch_their_own_tables(spark):
+    from climastar.plans.catalog import QUERIES
+
+    for name, table in (("dim_airport", "supplier"), ("clean_airports", "supplier"), ("dim_demographics", "customer")):
+        files = {f.rsplit("/", 1)[1] for f in QUERIES[name](spark, SF001).inputFiles()}
+        assert files == {f"{table}.parquet", "nation.parquet", "region.parquet"}
 
 
 def test_stored_report_reads_two_fact_columns(spark):
@@ -122,19 +173,6 @@ def test_duplicate_check_shuffles_fingerprints_only(spark):
     assert fp and all("ident" not in l for l in fp)
 
 
-def test_salts_follow_output_size(spark):
-    """A key that is hot only through the fan-out (few big rows, many
-    partners) is salted too, and the result is still the plain join."""
-    big = spark.range(200).select(F.when(F.col("id") < 100, F.lit("a")).otherwise(F.lit("b")).alias("k"),
-                                  F.col("id").alias("v"))
-    other = spark.range(300).select(F.when(F.col("id") < 290, F.lit("a")).otherwise(F.lit("b")).alias("ok"),
-                                    F.col("id").alias("w"))
-    plain = big.join(other, big.k == other.ok).select("k", "v", "ok", "w")
-    salted = salted_join(big, other, "k", "ok", rows_per_task=1000)
-    assert salted.count() == 100 * 290 + 100 * 10
-    assert _rows(salted) == _rows(plain)
-
-
 def test_fact_rows_from_parts_equal_counted_fact(spark):
     from climastar.plans.catalog import model
     from climastar.plans.model import StarModel
@@ -143,6 +181,28 @@ def test_fact_rows_from_parts_equal_counted_fact(spark):
     m = model(spark, SF001)
     counted = city_fact_rows(StarModel(m.fact, m.dim_airport, m.dim_demographics))
     assert _rows(city_fact_rows(m)) == _rows(counted)
-    # the fact (and its round-robin fan-out exchange) is never generated
-    assert "RoundRobinPartitioning" not in _plan(city_fact_rows(m))
-    assert "RoundRobinPartitioning" in _plan(m.fact)
+    # the fact (and the exchange of its cells) is never generated
+    assert "REPARTITION_BY_NUM" not in _plan(city_fact_rows(m))
+
+
+def test_unreadable_and_wrong_tables_are_reported(spark, tmp_path):
+    import os
+
+    from pyspark.sql import types as T
+
+    from climastar.operators.quality import readable
+
+    want = T.StructType.fromDDL("x int, y string")
+    spark.createDataFrame([(1, "a"), (2, None)], want).write.parquet(f"{tmp_path}/good")
+    spark.createDataFrame([("1", "a")], "x string, y string").write.parquet(f"{tmp_path}/typed")
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_path}/narrow")
+    spark.range(20000).selectExpr("cast(id as int) x", "uuid() y").coalesce(1).write.parquet(f"{tmp_path}/cut")
+    part = next(f for f in os.listdir(tmp_path / "cut") if f.startswith("part-"))
+    data = (tmp_path / "cut" / part).read_bytes()
+    (tmp_path / "cut" / part).write_bytes(data[:len(data) // 2])
+    for f in os.listdir(tmp_path / "cut"):
+        if f.endswith(".crc"):
+            os.remove(tmp_path / "cut" / f)
+    names = ["good", "typed", "narrow", "cut", "absent"]
+    got = {r.table: (r.readable, r.schema_matches) for r in readable(spark, {n: f"{tmp_path}/{n}" for n in names}, dict.fromkeys(names, want)).collect()}
+    assert got == {"good": (True, True), "typed": (True, False), "narrow": (True, False), "cut": (False, False), "absent": (False, False)}

@@ -111,6 +111,14 @@ def test_title_case_demographics(spark):
     assert d.median_age == 35.5 and d.veteran_population == 7 and d["count"] is None
 
 
+def test_input_without_join_key_raises(spark):
+    T = temps(spark, [t("Portland", "1.0")])
+    A = airports(spark, [airport("P1", "PDX", "Portland")])
+    D = demographics(spark, [demo(None, "Oregon", "1")])
+    with pytest.raises(EmptySourceError, match="demographics"):
+        clean_all(T, A, D)
+
+
 def test_declared_schemas_match_built_tables(spark):
     from climastar.plans.catalog import model
     from climastar.plans.model import table_schema

@@ -1,5 +1,10 @@
 """End-to-end batch and rerun properties."""
 
+import json
+import os
+
+import pytest
+
 from climastar.plans.catalog import raw_inputs
 from climastar.plans.pipeline import run_pipeline
 from climastar.session import new_run_dir
@@ -21,10 +26,10 @@ def test_pipeline_rerun_same_rows_and_qa_passes(spark):
 
 
 def test_monotonic_ids_unique(spark):
-    from __spark_entry__ import queries
+    from climastar.plans.catalog import QUERIES
 
-    df = queries()["surrogate_key_monotonic"](spark, SF001)
-    assert df.select("id").distinct().count() == df.count()
+    r = QUERIES["surrogate_key_monotonic"](spark, SF001).first()
+    assert r.passed and r.rows == r.distinct_ids > 0
 
 
 def test_entry_smoke(spark):
@@ -50,31 +55,36 @@ def test_sized_fact_write_equals_lazy_fact(spark):
 
 def test_fact_write_tasks_follow_fact_rows(spark, monkeypatch):
     """With 5,000 fact rows per task, the ~46k-row fact at sf0.01 is written
-    by at least 10 tasks (more than the 8 local slots)."""
+    by 10 tasks (more than the 8 local slots), none of them with most rows."""
     import climastar.plans.model as M
     from climastar.plans.catalog import model
 
-    monkeypatch.setattr(M, "FANOUT_ROWS_PER_TASK", 5000)
+    monkeypatch.setattr(M, "FACT_ROWS_PER_TASK", 5000)
+    monkeypatch.setattr("climastar.operators.joins.ROWS_PER_CELL", 1000)
     m = model(spark, SF001)
     path = new_run_dir(spark, "t-fact-sized") + "/fact"
     n = M.write_fact(m.source, path)
-    files = spark.read.parquet(path).inputFiles()
-    assert len(files) >= -(-n // 5000) >= 10
-
+    files = [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_name").count().collect()]
+    assert len(files) == -(-n // 5000) == 10 and max(files) <= 3 * n / 10
 
-def test_fact_write_removes_its_staging(spark):
-    import os
 
+def test_fact_write_empties_its_staging(spark, monkeypatch):
+    """Also when the write fails."""
     import climastar.plans.model as M
     from climastar.plans.catalog import model
-    from climastar.session import shared_root
 
-    root = shared_root(spark).replace("file:", "")
-    before = {d for d in os.listdir(root + "/climastar") if d.startswith("fact-stage-")}
     m = model(spark, SF001)
-    M.write_fact(m.source, new_run_dir(spark, "t-stage") + "/fact")
-    after = {d for d in os.listdir(root + "/climastar") if d.startswith("fact-stage-")}
-    assert after - before == set()
+    good = new_run_dir(spark, "t-stage") + "/fact"
+    M.write_fact(m.source, good)
+    assert spark.read.parquet(good + ".parts").count() == 0
+
+    def fail(*args, **kwargs):
+        raise OSError("no space")
+    monkeypatch.setattr(M, "write_parquet_overwrite", fail)
+    bad = new_run_dir(spark, "t-stage") + "/fact"
+    with pytest.raises(OSError):
+        M.write_fact(m.source, bad)
+    assert spark.read.parquet(bad + ".parts").count() == 0
 
 
 def test_pipeline_from_files_in_public_layout(spark):
@@ -82,7 +92,7 @@ def test_pipeline_from_files_in_public_layout(spark):
     by ``read_inputs`` and run end to end, give the same tables as the
     in-memory stand-ins."""
     from climastar.plans.pipeline import (
-        AIRPORT_FILE, DEMOGRAPHICS_FILE, TEMPERATURE_FILE_MAJOR, read_inputs,
+        AIRPORT_FILE, DEMOGRAPHICS_FILE, TEMPERATURE_FILE_ALL, TEMPERATURE_FILE_MAJOR, read_inputs,
     )
 
     raw = raw_inputs(spark, SF001)
@@ -95,6 +105,17 @@ def test_pipeline_from_files_in_public_layout(spark):
     in_memory = run_pipeline(spark, raw, new_run_dir(spark, "t-mem-out"),
                              STANDIN_COUNTRY, STANDIN_COUNTRY)
     assert from_files.rows_written == in_memory.rows_written
+    everything = new_run_dir(spark, "t-files-all")
+    raw.airports.write.option("header", True).csv(f"{everything}/{AIRPORT_FILE}")
+    titles = {"city": "City", "state": "State", "race": "Race", "count": "Count", "total_population": "Total Population"}
+    records = [{titles.get(k, k): v for k, v in r.asDict().items()} for r in raw.demographics.collect()]
+    os.makedirs(f"{everything}/{DEMOGRAPHICS_FILE}".replace("file:", ""))
+    with open(f"{everything}/{DEMOGRAPHICS_FILE}/array.json".replace("file:", ""), "w") as f:
+        json.dump(records, f, indent=1)
+    raw.temperatures.write.option("header", True).csv(f"{everything}/{TEMPERATURE_FILE_ALL}")
+    full = run_pipeline(spark, read_inputs(spark, everything, all_cities=True, multi_line=True), new_run_dir(spark, "t-all-out"),
+                        STANDIN_COUNTRY, STANDIN_COUNTRY, fail_on_qa=True)
+    assert full.rows_written == from_files.rows_written
     a = from_files.reports["report_city_climate"]
     b = in_memory.reports["report_city_climate"]
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
@@ -105,3 +126,45 @@ def test_pipeline_monotonic_key_reads_back(spark):
     r = run_pipeline(spark, raw_inputs(spark, SF001), out, STANDIN_COUNTRY, STANDIN_COUNTRY,
                      key="monotonic", fail_on_qa=True)
     assert all(x.passed for x in r.qa.collect())
+
+
+def test_nearly_equal_rows_pass_and_empty_fact_raises(spark):
+    """Four distinct temperature rows that rounding or joined text would
+    merge stay four facts with four keys; a batch whose cities do not meet stops."""
+    from climastar.operators.quality import EmptySourceError
+    from climastar.plans.pipeline import RawInputs
+    from test_model import airport, airports, demo, demographics, t, temps
+
+    A = airports(spark, [airport("P1", "PDX", "Portland")])
+    D = demographics(spark, [demo("Portland", "Oregon", "1")])
+    T = temps(spark, [t("Portland", v) for v in ("10.0000001", "10.0000002", "1e13", "2e13")])
+    r = run_pipeline(spark, RawInputs(T, A, D), new_run_dir(spark, "t-near"), fail_on_qa=True)
+    assert r.rows_written["fact_table"] == 4
+    with pytest.raises(EmptySourceError, match="fact"):
+        run_pipeline(spark, RawInputs(temps(spark, [t("Salem", "1.0")]), A, D), new_run_dir(spark, "t-none"))
+    with pytest.raises(EmptySourceError, match="demographics"):
+        run_pipeline(spark, RawInputs(T, A, demographics(spark, [demo(None, "Oregon", "1")])), new_run_dir(spark, "t-none"))
+
+
+def test_one_scan_per_source(spark):
+    """Every row of every input is read exactly once by the batch."""
+    raw = raw_inputs(spark, SF001)
+    base = new_run_dir(spark, "t-scan")
+    for name, df in (("t", raw.temperatures), ("a", raw.airports), ("d", raw.demographics)):
+        df.write.parquet(f"{base}/{name}")
+    counters = {n: spark.sparkContext.accumulator(0) for n in "tad"}
+
+    def counted(name):
+        df = spark.read.parquet(f"{base}/{name}")
+        acc = counters[name]
+
+        def pass_on(batches):
+            for b in batches:
+                acc.add(b.num_rows)
+                yield b
+        return df.mapInArrow(pass_on, df.schema), df.count()
+
+    from climastar.plans.pipeline import RawInputs
+    frames = {n: counted(n) for n in "tad"}
+    run_pipeline(spark, RawInputs(*(frames[n][0] for n in "tad")), new_run_dir(spark, "t-scan-out"), STANDIN_COUNTRY, STANDIN_COUNTRY)
+    assert {n: counters[n].value for n in "tad"} == {n: frames[n][1] for n in "tad"}

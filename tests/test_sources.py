@@ -28,7 +28,7 @@ def test_json_lines_and_array(spark):
     d = new_run_dir(spark, "t-json")
     os.makedirs(d + "/lines")
     os.makedirs(d + "/array")
-    recs = [{"city": "A", "Median Age": 30.5, "count": 3}, {"city": "B", "median_age": "31", "count": 4}]
+    recs = [{"city": "A", "Median Age": 30.5, "count": 3}, {"City": "B", "median_age": "31", "Count": 4}, {"City": "C"}]
     with open(d + "/lines/x.json", "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
     with open(d + "/array/x.json", "w") as f:
@@ -36,7 +36,7 @@ def test_json_lines_and_array(spark):
     a = read_demographics_json(spark, d + "/lines").collect()
     b = read_demographics_json(spark, d + "/array", multi_line=True).collect()
     assert sorted(a) == sorted(b)
-    assert {r["Median Age"] for r in a} == {"30.5", None}
+    assert {(r.city, r.median_age, r["count"]) for r in a} == {("A", "30.5", "3"), ("B", "31", "4"), ("C", None, None)}
 
 
 def test_overwrite_is_idempotent(spark):
@@ -73,15 +73,42 @@ def test_not_null_rule(spark):
     assert rows[("average_temperature", "not_null")] == 1
 
 
-def test_table_reset_starts_empty_and_enforces_length(spark):
-    base = new_run_dir(spark, "t-tables")
-    contracts.reset_tables(spark, ["cities_demog"], base)
+def test_table_reset_starts_empty_and_enforces_rules(spark):
+    base, db = new_run_dir(spark, "t-tables"), "climastar_reset_test"
+    spark.sql("CREATE TABLE IF NOT EXISTS cities_demog (own INT) USING parquet")
+    contracts.reset_tables(spark, ["cities_demog", "city_surface_temps"], base, db)
     ok = spark.createDataFrame([("Austin", "TX")], "city string, state_code string")
-    contracts.load_table(ok, "cities_demog")
-    assert spark.table("cities_demog").count() == 1
-    contracts.reset_tables(spark, ["cities_demog"], base)
-    assert spark.table("cities_demog").count() == 0
+    contracts.load_table(ok, "cities_demog", db)
+    assert spark.table(f"{db}.cities_demog").count() == 1
+    contracts.reset_tables(spark, ["cities_demog", "city_surface_temps"], base, db)
+    assert spark.table(f"{db}.cities_demog").count() == 0
+    # the reset leaves no rows behind, and a user's own table alone
+    files = [f for d, _, names in os.walk(base.replace("file:", "")) for f in names if f.startswith("part-")]
+    assert files == [] and spark.table("cities_demog").columns == ["own"]
     bad = spark.createDataFrame([("Austin", "CAL")], "city string, state_code string")
     with pytest.raises(Exception, match="(?i)length|limit"):
-        contracts.load_table(bad, "cities_demog")
-    spark.sql("DROP TABLE IF EXISTS cities_demog")
+        contracts.load_table(bad, "cities_demog", db)
+    null = spark.createDataFrame([(2000, None)], "year int, average_temperature double")
+    with pytest.raises(Exception, match="NULL in city_surface_temps.average_temperature"):
+        contracts.load_table(null, "city_surface_temps", db)
+    assert "NOT NULL" in contracts.create_table_sql("state_surface_temps", db)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    spark.sql("DROP TABLE cities_demog")
+
+
+def test_conform_keeps_large_integers(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, str(big + 2))], "cicid bigint, admnum string")
+    r = contracts.conform(df, "immigration").first()
+    assert (r.cicid, r.admnum) == (big, big + 2)
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from climastar.session import shared_root
+
+    remote = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default),
+                             sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(remote)
