@@ -406,8 +406,15 @@ def layouts(t: Tree, rng: random.Random, how_many: int) -> Iterator[str]:
                 w = s.split(" ")
                 k = rng.randrange(len(w))
                 s = " ".join(w[:k] + [f'<a href="/y">{w[k]}</a>'] + w[k + 1:])
+            few = [esc(w) for w in r.split(" ")[:rng.randint(2, 8)]]
             parts.append(f"<{pick(('h1', 'h1', 'h2'))}>{s}</h1>" if i == 0 else pick(
-                (f"<p>{s}</p>",) * 8 + (f"<p>{s}", f"<div>{s}</div>", f"<blockquote>{s}</blockquote>", f"<ul><li>{s}</li></ul>", f"<h3>{s[:60]}</h3><p>{s}</p>")))
+                (f"<p>{s}</p>",) * 10 + (
+                    f"<p>{s}", f"<div>{s}</div>", f"<blockquote>{s}</blockquote>", f"<ul><li>{s}</li></ul>",
+                    f"<h3>{' '.join(few)}</h3><p>{s}</p>", f"<p>{s}</p><pre>{' '.join(few)}</pre>",
+                    f"<figure><img src=x><figcaption>{' '.join(few)}</figcaption></figure><p>{s}</p>",
+                    f"<p>{s}</p><{(x := pick(('ul', 'ol')))}>" + "".join(f"<li>{w}</li>" for w in few) + f"</{x}>",
+                    f"<p>{s}</p><table>" + "".join(f"<tr><td>{w}</td><td>{few[0]}</td></tr>" for w in few) + "</table>",
+                    f"<table><tr><th>{few[0]}<th>{few[-1]}<tr><td>{few[0]}<td>{s}</table>")))
             if rng.random() < 0.06:
                 parts.append(junk(True))
         body = "".join(parts)
