@@ -23,12 +23,18 @@ OUTER_BUCKETS = 256
 ROWS_PER_BUCKET = 50_000
 
 
-def term_votes(text: Column) -> Column:
-    """array<struct<h bigint, w bigint>> of a text; NULL and blank texts give an empty array."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
-    return words, lambda col: F.transform(col, lambda x, i: F.struct(
-        F.xxhash64(x, F.get(col, i + 1)).alias("h"),
-        F.least(F.length(x) + F.coalesce(F.length(F.get(col, i + 1)), F.lit(0)), F.lit(MAX_WEIGHT)).cast("long").alias("w")))
+def words_of(text: Column) -> Column:
+    """Lower-cased words; NULL and blank texts have none."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
+
+
+def votes_of(words: Column) -> Column:
+    """array<struct<h bigint, w bigint>>: hash and weight of each term occurrence."""
+    def vote(x: Column, i: Column) -> Column:
+        after = F.get(words, i + 1)
+        weight = F.least(F.length(x) + F.coalesce(F.length(after), F.lit(0)), F.lit(MAX_WEIGHT))
+        return F.struct(F.xxhash64(x, after).alias("h"), weight.cast("long").alias("w"))
+    return F.transform(words, vote)
 
 
 def _vote_sums() -> list[Column]:
@@ -45,8 +51,8 @@ def _fingerprint() -> Column:
 
 def fingerprints(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """One row (keys.., fingerprint long) per distinct value of ``keys``, which must identify a text."""
-    words, votes = term_votes(F.col(text))
-    rows = docs.select(*keys, words.alias("__words")).select(*keys, F.explode_outer(votes(F.col("__words"))).alias("__t"))
+    rows = docs.select(*keys, words_of(F.col(text)).alias("__words"))
+    rows = rows.select(*keys, F.explode_outer(votes_of(F.col("__words"))).alias("__t"))
     return rows.groupBy(*keys).agg(*_vote_sums()).select(*keys, _fingerprint().alias("fingerprint"))
 
 
@@ -118,13 +124,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lined = lined.withColumns({"__n": n.cast("long"), "__edited": F.when(~F.col("__guest"), F.concat(
         F.substring("__text", F.lit(1), n - cut), F.substring("__next", F.lit(1), cut)))})
     lined = lined.withColumn("__sha", F.sha2(F.col("__edited"), 256))
-    words, votes = term_votes(F.col("__side.__x"))
     keys = ["__bucket", "__rn", "__id", "__guest", "__n", "__sha", "__edit"]
     sides = lined.select(*keys[:-1], F.explode(F.filter(F.array(
         F.struct(F.lit(False).alias("e"), F.col("__text").alias("__x")),
         F.struct(F.lit(True).alias("e"), F.col("__edited").alias("__x"))), lambda s: s["__x"].isNotNull())).alias("__side"))
-    voted = (sides.select(*keys[:-1], F.col("__side.e").alias("__edit"), words.alias("__words"))
-             .select(*keys, F.explode_outer(votes(F.col("__words"))).alias("__t"))
+    voted = (sides.select(*keys[:-1], F.col("__side.e").alias("__edit"), words_of(F.col("__side.__x")).alias("__words"))
+             .select(*keys, F.explode_outer(votes_of(F.col("__words"))).alias("__t"))
              .groupBy(*keys).agg(*_vote_sums()).select(*keys, _fingerprint().alias("__fp")))
     both = voted.groupBy(*keys[:-1]).agg(F.max(F.when(~F.col("__edit"), F.col("__fp"))).alias("__fp"),
                                          F.max(F.when(F.col("__edit"), F.col("__fp"))).alias("__efp"))
@@ -160,6 +165,20 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3) -> Data
         return (df.select(F.col("fingerprint").alias(name)).where(F.col(name).isNotNull()).distinct()
                 .select(name, F.explode(block_keys(F.col(name), radius)).alias("__b")).select(name, "__b.*"))
 
-    pairs = keyed(queries, "query_fp").join(keyed(index, "fp"), ["t", "k"])
+    q, x = keyed(queries, "query_fp"), keyed(index, "fp")
     d = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp")))
-    return pairs.where(d <= radius).select("query_fp", "fp", d.alias("distance")).distinct()
+    # Verified in the join itself: candidates are never rows.
+    pairs = q.join(x, (q["t"] == x["t"]) & (q["k"] == x["k"]) & (d <= radius))
+    return pairs.select("query_fp", "fp", d.alias("distance")).distinct()
+
+
+def count_neighbours(prints: DataFrame, is_query: Column, radius: int = 3, fp_col: str = "fingerprint") -> DataFrame:
+    """All rows and columns of ``prints`` and ``n_within``: for the rows that ``is_query`` selects, the number of
+    distinct fingerprints (16 hex digits in ``fp_col``) of all rows within ``radius`` bits of theirs, itself included;
+    NULL for other rows.  ``prints`` is read three times and should be a written table."""
+    value = F.conv(F.col(fp_col), 16, -10).cast("long")
+    asked, rest = prints.where(is_query), prints.where(~F.coalesce(is_query, F.lit(False)))
+    found = within_radius(asked.select(value.alias("fingerprint")), prints.select(value.alias("fingerprint")), radius)
+    counts = found.groupBy("query_fp").agg(F.count("*").alias("n_within"))
+    return (asked.join(counts, value == F.col("query_fp"), "left").drop("query_fp")
+            .unionByName(rest.withColumn("n_within", F.lit(None).cast("long"))))

@@ -22,6 +22,7 @@ BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 500
 EPOCHS = 3
+SALTS = 16
 BLOCK = 1 << 20
 UNDETERMINED = "und"
 
@@ -38,23 +39,24 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
         return None
     total, any_ = np.zeros(BUCKETS, np.int64), False
     text = text.lower()
+    tail = np.array([32], np.uint32)                         # what n-grams of the next block begin with
     for at in range(0, len(text), BLOCK):
-        c = np.frombuffer(text[max(0, at - 2):at + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
+        c = np.frombuffer(text[at:at + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters()[c]
         any_ |= bool(letter.any())
-        c = np.where(letter, c, 32)
-        if at == 0:
-            c = np.concatenate([[32], c])
+        c = np.where(letter, c, np.uint32(32))
         if at + BLOCK >= len(text):
-            c = np.concatenate([c, [32]])
-        keep = (c != 32) | np.concatenate([[True], c[:-1] != 32])
-        c = c[keep].astype(np.uint64)
+            c = np.append(c, np.uint32(32))
+        c = c[(c != 32) | (np.concatenate([tail[-1:], c[:-1]]) != 32)]
+        whole = np.concatenate([tail, c]).astype(np.uint64)
         for n in ORDERS:
-            h = np.full(max(0, len(c) - n + 1), n * 0x9E3779B1, np.uint64)
+            part = whole[max(0, len(tail) - n + 1):]
+            h = np.full(max(0, len(part) - n + 1), n * 0x9E3779B1, np.uint64)
             for i in range(n):
-                h = (h ^ c[i:i + len(h)]) * np.uint64(0x100000001B3) + np.uint64(0x51ED27)
+                h = (h ^ part[i:i + len(h)]) * np.uint64(0x100000001B3) + np.uint64(0x51ED27)
             h ^= h >> np.uint64(17)
             total += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        tail = whole[-(max(ORDERS) - 1):].astype(np.uint32)
     return total if any_ else None
 
 
@@ -147,8 +149,12 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1.0
 
     narrow = rows.select("id", "lang", F.xxhash64(F.col("id").cast("string"), F.lit(7)).alias("o"))
-    first = (narrow.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "id")))
-             .where(F.col("r") <= min(per_language, 1000)).select(F.col("id").alias("chosen"), F.col("lang").alias("chosen_lang")).distinct())
+    # The least of each salt first, so that no task sees what every task keeps of a common language.
+    few = min(per_language, 1000)
+    part = (narrow.withColumn("s", F.pmod(F.col("o"), F.lit(SALTS)))
+            .withColumn("r", F.row_number().over(Window.partitionBy("lang", "s").orderBy("o", "id"))).where(F.col("r") <= few))
+    first = (part.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "id"))).where(F.col("r") <= few)
+             .select(F.col("id").alias("chosen"), F.col("lang").alias("chosen_lang")).distinct())
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from climastar.session import new_run_dir
 
 from . import bpe, decontaminate, fingerprints, html_extract, langid, maxent_lm, simhash_dedup, suffix_dedup, url_filter, warc
-from .common import table
+from .common import staged, table
 
 # Fixed values of the contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -77,7 +77,9 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    prints = staged(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
+    # The search's query set: every document whose id is divisible by 20, against all.
+    return fingerprints.count_neighbours(prints, F.col("doc_id") % 20 == 0, radius=3)
 
 
 QUERIES = {

@@ -261,6 +261,9 @@ def test_ngrams_ignore_block_ends(monkeypatch):
     whole = langid.ngram_counts(text)
     assert langid.ngram_counts("123 !?") is None and langid.ngram_counts(None) is None
     assert whole.sum() > 0 and (langid.ngram_counts(text.upper()) == whole).all()
+    for size in (1, 7, 50):
+        monkeypatch.setattr(langid, "BLOCK", size)
+        assert (langid.ngram_counts(text) == whole).all()
 
 
 # --- language model
@@ -371,6 +374,18 @@ def test_block_tables_find_all(spark, radius):
     assert got == {x for x in want if x[2] <= radius}
 
 
+def test_neighbours_are_counted(spark):
+    rng = random.Random(9)
+    fps = [rng.getrandbits(64) for _ in range(30)]
+    fps += [f ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for f in fps] + fps[:5]
+    prints = spark.createDataFrame([(i if i != 7 else None, f"{f:016x}") for i, f in enumerate(fps)], "doc_id long, fingerprint string")
+    got = fingerprints.count_neighbours(prints, F.col("doc_id") % 4 == 0, 3).collect()
+    assert len(got) == len(fps)
+    for r in got:
+        near = sum((int(r.fingerprint, 16) ^ f).bit_count() <= 3 for f in set(fps))
+        assert r.n_within == (near if r.doc_id is not None and r.doc_id % 4 == 0 else None)
+
+
 # --- empty tables
 
 @pytest.mark.parametrize("run", [
