@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 def _canonical_sql(name: str, dtype: T.DataType) -> str:
-    """A text from which the value can be told again: its length, a colon
-    and the value, or a dash for NULL.  The text of a double is the one that
-    reads back as the same double (NaN and the infinities have their own);
-    -0.0 is 0.0, as in grouping."""
+    """A text from which the value can be told again, whatever follows it.
+
+    Strings: the length, a colon and the string, or a dash for NULL.  Other
+    types: their text, which has no bar, and a bar; nothing before the bar
+    for NULL.  The text of a double is the one that reads back as the same
+    double (NaN and the infinities have their own); -0.0 is 0.0, as in
+    grouping."""
     c = f"`{name}`"
+    if isinstance(dtype, T.StringType):
+        return f"coalesce(concat(length({c}), ':', {c}), '-')"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         c = f"({c} + 0.0D)"
-    text = f"CAST({c} AS STRING)"
-    return f"coalesce(concat(length({text}), ':', {text}), '-')"
+    return f"coalesce(CAST({c} AS STRING), ''), '|'"
 
 
 KEY_HEX_CHARS = 32   # 128 bits
@@ -25,8 +29,8 @@ KEY_HEX_CHARS = 32   # 128 bits
 
 def stable_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """First 128 bits (32 hex characters) of SHA-256 over the business
-    columns, each with its length before it, so that different rows never
-    give the same text.
+    columns, written so that different rows never give the same text
+    (``_canonical_sql``).
 
     Unlike ``monotonically_increasing_id`` the value depends only on the row,
     so reruns, retries after executor loss and other engines give the same

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Target join output rows of one cell of a hot key's grid.
-ROWS_PER_CELL = 250_000
+ROWS_PER_CELL = 50_000
 
 
 @dataclass(frozen=True)

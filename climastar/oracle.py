@@ -136,9 +136,14 @@ dim_demographics AS (
          state_code, race, "count"
   FROM d_clean)"""
 
+_STRING_COLUMNS = {"city", "country", "ident", "type", "continent", "iso_country", "iso_region", "gps_code", "iata_code",
+                   "local_code", "state", "state_code"}
+
+
 def _canon(col: str) -> str:
-    text = f'CAST("{col}" AS VARCHAR)'
-    return f"COALESCE(length({text}) || ':' || {text}, '-')"
+    if col in _STRING_COLUMNS:
+        return f"""COALESCE(length("{col}") || ':' || "{col}", '-')"""
+    return f"""COALESCE(CAST("{col}" AS VARCHAR), '') || '|'"""
 
 
 def _key(cols: list[str]) -> str:
