@@ -100,23 +100,30 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
         raise ValueError("max_distance must be 0, 1 or 2")
     if max_distance == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("a <> b")
+    bucket = max(BUCKET, 2)                                  # of one bit, a variant has at most two members
     index = fps.select("fp", _variants(max_distance).alias("v")).select("fp", "v.*")
     by_variant = Window.partitionBy("slot", "part").orderBy("fp")
     seen = index.select(
-        "fp",
-        F.collect_list("fp").over(by_variant.rowsBetween(1, BUCKET)).alias("after"),
-        F.count("*").over(by_variant.rowsBetween(-BUCKET, BUCKET)).alias("around")).where("around > 1")
-    found = staged(seen.where(F.col("around") > BUCKET).select(F.col("fp").alias("a"), F.lit(None).cast("long").alias("b")).distinct()
-                   .union(seen.where(F.col("around") <= BUCKET).select(F.col("fp").alias("a"), F.explode("after").alias("b"))
-                          .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance).distinct()), "simhash-links")
+        "fp", "slot",
+        F.collect_list("fp").over(by_variant.rowsBetween(1, bucket)).alias("after"),
+        F.count("*").over(by_variant.rowsBetween(-bucket, bucket)).alias("around")).where("around > 1")
+    # Verified before it is a row; a pair with an equal segment is in all variants of it and counts in the first.
+    width = 64 // (max_distance // 2 + 1)
+    first = F.col("slot") % width == 0
+
+    def linked(other):
+        d = F.col("fp").bitwiseXOR(other)
+        inside = F.expr(f"shiftleft({(1 << width) - 1 if width < 64 else -1}L, slot - slot % {width})")
+        return (F.bit_count(d) <= max_distance) & (first | (d.bitwiseAND(inside) != 0))
+
+    pairs = F.when(F.col("around") > bucket, F.array(F.lit(None).cast("long"))).otherwise(F.filter("after", linked))
+    found = staged(seen.select(F.col("fp").alias("a"), F.explode(pairs).alias("b")).distinct(), "simhash-links")
     hot = found.where("b is null").select(F.col("a").alias("fp"))
     flips = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(64)]
     ball = hot.select("fp", F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(f)) for f in flips])).alias("z"))
     # At most 65 values are within a bit of one value.
     stars = ball.groupBy("z").agg(F.min("fp").alias("b"), F.collect_list("fp").alias("m")).where(F.size("m") > 1)
     stars = stars.select(F.explode("m").alias("a"), "b").where("a <> b")
-    if max_distance == 1:
-        stars = stars.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 1)
     return found.where("b is not null").union(stars)
 
 
