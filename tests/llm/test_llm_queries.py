@@ -53,6 +53,63 @@ def test_stages_in_order(spark, tmp_path):
     assert last.where("text <> was or n_tokens <> size(ids)").count() == 0
 
 
+def test_stages_against_brute_force(spark, tmp_path):
+    """Ids and texts that each stage keeps, computed plainly."""
+    from collections import Counter
+
+    from test_llm_text import brute_components, brute_simhash
+    from tokenizers import Tokenizer
+
+    from climastar.llm.queries import tokenizer_path
+
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").orderBy("doc_id").limit(50)
+    long = docs.where("n_chars > 900").first()
+    item = spark.read.parquet(f"{SF0001}/benchmark.parquet").orderBy("item_id").first().text
+    more = spark.createDataFrame([(90001, "?! 1", "en", "s", 4), (90002, long.text, "en", "s", 1), (90003, "Zo " + long.text[100:700] + " yes", "en", "s", 1),
+                                  (90004, "a quite new text with " + item, "en", "s", 1)], SCHEMA)
+    now = docs.union(more)
+    rows = {r.doc_id: r.text for r in now.collect()}
+    assert len(rows) == 54
+
+    def run(name, df):
+        dict(corpus_pipeline.STAGES)[name](spark, df, SF0001).write.parquet(f"{tmp_path}/{name}")
+        out = spark.read.parquet(f"{tmp_path}/{name}")
+        return out, {r.doc_id: r.text for r in out.collect()}
+
+    now, got = run("language_id", now)
+    rows = {d: t for d, t in rows.items() if any(c.isalpha() for c in t)}
+    assert got == rows and 90001 not in rows
+
+    now, got = run("simhash_near_dedup", now)
+    prints = [(d, brute_simhash(t, 3)) for d, t in rows.items()]
+    rows = {d: rows[d] for (d, _), c in zip(prints, brute_components(prints)) if d == c}
+    assert got == rows and 90002 not in rows
+
+    now, got = run("suffix_array_dedup", now)
+    data = {d: t.encode() for d, t in rows.items()}
+    seen = Counter(b[i:i + 200] for b in data.values() for i in range(len(b) - 199))
+    for d, b in data.items():
+        gone = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if seen[b[i:i + 200]] > 1:
+                gone[i:i + 200] = b"x" * 200
+        rows[d] = bytes(c for c, g in zip(b, gone) if not g).decode("utf-8", "ignore")
+    assert got == rows and len(rows[90003]) < 20
+
+    now, got = run("benchmark_decontamination", now)
+    def shingles(t):
+        w = t.encode().lower().split()
+        return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    items = [s for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect() if (s := shingles(r.text))]
+    rows = {d: t for d, t in rows.items() if not any(5 * len(s & shingles(t)) >= 4 * len(s) for s in items)}
+    assert got == rows
+
+    now, got = run("bpe", now)
+    lib = Tokenizer.from_file(tokenizer_path())
+    assert got == rows
+    assert {r.doc_id: list(r.ids) for r in now.collect()} == {d: lib.encode(t, add_special_tokens=False).ids for d, t in rows.items()}
+
+
 def test_run_applies_the_stages(spark):
     got = corpus_pipeline.run(spark, SF0001)
     assert 0 < got.count() < spark.read.parquet(f"{SF0001}/documents.parquet").count()
