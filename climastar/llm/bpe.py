@@ -18,15 +18,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words kept encoded in a Python worker, and the text taken into one index.
-CACHE_WORDS = 400_000
-BATCH_CHARS = 4_000_000
+CACHE_WORDS = 200_000
+BATCH_CHARS = 2_000_000
+#: Words in one index; its lists take some 100 bytes a character.
+LEARN_WORDS = 25_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -90,8 +92,8 @@ class Tokenizer:
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
             new = sorted(words)
-        for at in range(0, len(new), 100_000):
-            part = new[at:at + 100_000]
+        for at in range(0, len(new), LEARN_WORDS):
+            part = new[at:at + LEARN_WORDS]
             plain = [w for w in part if w not in self.added]
             self.cache.update({w: (self.added[w],) for w in part if w in self.added})
             self.cache.update(zip(plain, merge_words(plain, self.byte_ids, self.rank)))
@@ -185,39 +187,62 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _batches(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= BATCH_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about BATCH_CHARS bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    first, size = 0, 0
+    for i, n in enumerate(sizes):
+        size += n
+        if size >= BATCH_CHARS or i == len(sizes) - 1:
+            yield first, i + 1
+            first, size = i + 1, 0
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """All columns of ``docs`` and ``out``, an array of token ids of the whole text (NULL and empty texts: no ids)."""
-    @F.pandas_udf("array<int>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _texts(column: pa.Array, first: int, end: int) -> list[str]:
+    return ["" if t is None else t for t in column.slice(first, end - first).to_pylist()]
+
+
+def _ddl(fields) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """All columns of ``docs`` and ``out``, an array of token ids of the whole text (NULL and empty texts: no ids);
+    with ``decoded``, also a column of that name with the text decoded from the ids.  Columns that have these names
+    are replaced.  A task holds the ids of a few megabytes of text at a time."""
+    kept = [f for f in docs.schema.fields if f.name not in (out, decoded)]
+    fields = f"{_ddl(kept)}, `{out}` array<int>" + (f", `{decoded}` string" if decoded else "")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
-        for s in parts:
-            yield pd.Series([ids.astype(np.int32) for part in _batches(["" if t is None else t for t in s])
-                             for ids in tok.encode_batch(part)], dtype=object)
+        for b in batches:
+            for first, end in _spans(b.column(text_col)):
+                found = list(tok.encode_batch(_texts(b.column(text_col), first, end)))
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                columns = [b.column(f.name).slice(first, end - first) for f in kept]
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))))
+                if decoded:
+                    columns.append(pa.array([tok.decode_bytes(x).decode("utf-8", "replace") for x in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + [out] + ([decoded] if decoded else []))
 
-    return docs.withColumn(out, run(F.col(text_col)))
+    return docs.mapInArrow(run, fields)
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """All columns and ``out``, the text of the ids; bytes that are no UTF-8 become U+FFFD, NULL ids stay NULL."""
-    @F.pandas_udf("string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kept = [f for f in tokens.schema.fields if f.name != out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
-        for s in parts:
-            yield s.map(lambda x: None if x is None else tok.decode_bytes(np.asarray(x)).decode("utf-8", "replace"))
+        for b in batches:
+            for first in range(0, b.num_rows, 500):
+                part = b.slice(first, 500)
+                texts = [tok.decode_bytes(x.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") if x.is_valid else None
+                         for x in part.column(ids_col)]
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(texts, pa.string())],
+                                                 names=[f.name for f in kept] + [out])
 
-    return tokens.withColumn(out, run(F.col(ids_col)))
+    return tokens.mapInArrow(run, f"{_ddl(kept)}, `{out}` string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,8 +255,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         tok = _tokenizer(path)
         for b in batches:
             n, ids_sha, text_sha = [], [], []
-            for part in _batches(["" if t is None else t for t in b.column("text").to_pylist()]):
-                for ids in tok.encode_batch(part):
+            for first, end in _spans(b.column("text")):
+                for ids in tok.encode_batch(_texts(b.column("text"), first, end)):
                     n.append(len(ids))
                     ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
                     text_sha.append(hashlib.sha256(tok.decode_bytes(ids).decode("utf-8", "replace").encode()).hexdigest())

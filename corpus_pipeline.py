@@ -41,9 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text decoded from them."""
-    path = tokenizer_path()
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    return bpe.decode(ids, path).withColumn("n_tokens", F.size("ids").cast("long"))
+    rows = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(), decoded="text")
+    return rows.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
