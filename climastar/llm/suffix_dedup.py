@@ -208,26 +208,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [segments(t.as_py(), length) for t in b.column("text")]
-            packed = [pa.array([x[i].astype("<i8").tobytes() for x in found], pa.binary()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("digest"), *packed], names=["id", "digest", "key", "lo", "hi"])
+            # 16 bytes a segment; a segment has at most BLOCK windows
+            found = [(k.astype("<i8"), lo.astype("<i4"), (((hi >> 1) - lo) << 1 | hi & 1).astype("<i4")) for k, lo, hi in found]
+            packed = [pa.array([x[i].tobytes() for x in found], pa.binary()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("digest"), *packed], names=["id", "digest", "key", "lo", "more"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    all_rows = staged(rows.select("id", "digest", "text").mapInArrow(
-        cut, f"id {id_type}, digest binary, key binary, lo binary, hi binary"), "suffix-rows")
+    all_rows = rows.select("id", "digest", "text").mapInArrow(
+        cut, f"id {id_type}, digest binary, key binary, lo binary, more binary")
     texts = staged(all_rows.groupBy("digest").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("key", "lo", "hi")])
+        F.min("id").alias("id"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("key", "lo", "more")])
         .withColumn("did", F.monotonically_increasing_id()), "suffix-texts")    # a label, fixed by the written table
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = [[np.frombuffer(x, "<i8") for x in b.column(c).to_pylist()] for c in ("key", "lo", "hi")]
+            cols = [[np.frombuffer(x, kind) for x in b.column(c).to_pylist()] for c, kind in (("key", "<i8"), ("lo", "<i4"), ("more", "<i4"))]
             for at in range(0, len(cols[0]), 500):
-                key, lo, hi = (np.concatenate(c[at:at + 500]) if c else np.zeros(0, np.int64) for c in cols)
+                key, lo, more = (np.concatenate(c[at:at + 500]).astype(np.int64) for c in cols)
                 did = np.repeat(b.column("did").slice(at, 500).to_numpy(), [len(x) for x in cols[0][at:at + 500]])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (did, key, lo, hi >> 1, (hi & 1) + 1)],
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (did, key, lo, lo + (more >> 1), (more & 1) + 1)],
                                                  names=["did", "key", "lo", "hi", "n"])
 
-    segs = texts.select("did", "key", "lo", "hi").mapInArrow(spread, "did long, key long, lo long, hi long, n long")
+    segs = texts.select("did", "key", "lo", "more").mapInArrow(spread, "did long, key long, lo long, hi long, n long")
     counts = segs.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select(
         F.col("key").alias("k"), F.ceil(F.col("n") / KEY_SEGMENTS).cast("int").alias("cuts"),
         F.explode(F.array(*map(F.lit, range(SALTS)))).alias("j"))
