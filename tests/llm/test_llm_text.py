@@ -227,6 +227,24 @@ def test_contaminated(spark, texts):
     assert decontaminate.contaminated(frame(spark, docs), df.limit(0)).count() == 0
 
 
+def test_contaminated_search_by_sketch(spark):
+    """Only a hash of an item's sketch makes a document a candidate, and only with room for enough shingles; two
+    texts of one item, of equal size, are counted by themselves."""
+    words = [f"w{i}" for i in range(44)]
+    one, two = " ".join(words[:14]), " ".join(words[30:])
+    items = spark.createDataFrame([(7, one), (7, two)], "item_id long, text string")
+    index = decontaminate.item_shingles(items, "item_id", "text", 5)
+    row = index.where(F.array_contains("shingles", F.lit(" ".join(words[:5]).encode()))).first()
+    assert (row.n, row.k) == (10, decontaminate.sketch_size(10)) and row.hashes == sorted(row.hashes)
+    docs = [(1, 10, row.hashes[:1]), (2, 10, row.hashes[row.k:]), (3, 7, row.hashes), (None, 8, row.hashes)]
+    found = spark.createDataFrame([(i, 0, m, h) for i, m, h in docs], "id long, text_hash long, m int, probes array<bigint>")
+    got = [(r.id, r.item_id, r.item_hash) for r in decontaminate.search(found, index).collect()]
+    assert sorted(got, key=str) == [(1, 7, row.item_hash), (None, 7, row.item_hash)]
+    # Five shingles of each text: ten of ten together, but half of either.
+    docs = frame(spark, [(1, " ".join(words[:9] + words[30:39])), (2, "x " + two)])
+    assert [(r.doc_id, r.n_shared) for r in decontaminate.contaminated(docs, items).collect()] == [(2, 10)]
+
+
 def test_sketches_miss_nothing():
     """Every size up to 300: a document that misses a fifth of the shingles still has one of the sketch."""
     for n in range(1, 300):
