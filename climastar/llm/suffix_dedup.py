@@ -8,7 +8,9 @@ A shard is a few megabytes of segments, whole keys at a time; its suffix array
 is refined as Larsson and Sadakane do (only groups not yet sorted, by the rank ``h`` symbols on,
 ``h`` doubling), and common prefixes follow Kasai's bound.
 
-A key with very many segments is cut into sub-shards.  Each sends its distinct windows' digests,
+A segment that two places have is repeated from end to end: its places become spans as they
+stream by, and a shard holds the distinct bytes and one place of each.  A key with very many segments, or long ones,
+is cut into sub-shards.  Each sends its distinct windows' digests,
 sorted and cut into ranges, and each range is merged by binary search, so no
 task sees a whole hot key.  Equal segments are collapsed before the shuffle and again in the
 shard; documents with equal texts are compared once.
@@ -34,6 +36,8 @@ SHARD_BYTES = 2 << 20
 KEY_SEGMENTS = 500
 SALTS = 8
 BLOCK = 1 << 20
+#: Places of repeated segments in a batch of spans.
+PLACES = 1 << 15
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
 
 
@@ -196,6 +200,96 @@ def _digests(ctx: bytes, starts: np.ndarray, length: int) -> list[bytes]:
     return [xxhash.xxh3_128_digest(ctx[s:s + length]) for s in starts.tolist()]
 
 
+_SOLVED = "did long, lo long, hi long, key long, part int, windows binary"
+
+
+def _solved(did, lo, hi, windows: dict[tuple[int, int, int], bytes] | None = None) -> pa.RecordBatch:
+    n, windows = len(did), windows or {}
+    m = len(windows)
+    longs = [pa.concat_arrays([pa.array(np.asarray(x, np.int64)), pa.nulls(m, pa.int64())]) for x in (did, lo, hi)]
+    return pa.RecordBatch.from_arrays(
+        [*longs, pa.array([None] * n + [k[0] for k in windows], pa.int64()), pa.array([None] * n + [k[2] for k in windows], pa.int32()),
+         pa.array([None] * n + list(windows.values()), pa.binary())],
+        names=[x.split(" ")[0] for x in _SOLVED.split(", ")])
+
+
+class _Segment:
+    """Distinct bytes of one key: the first place that has them, and whether another one does."""
+
+    __slots__ = ("salt", "cuts", "first", "many")
+
+    def __init__(self, salt: int, cuts: int, first: tuple[int, int]):
+        self.salt, self.cuts, self.first, self.many = salt, cuts, first, False
+
+
+def shard(found: dict[tuple[int, bytes], _Segment], length: int) -> Iterator[pa.RecordBatch]:
+    """Spans of the segments that one place has; windows of those whose key is cut."""
+    did, lo, hi = [], [], []
+    rows: dict[tuple[int, int, int], list] = {}
+    for ((key, ctx), seg), hit in zip(found.items(), repeated_windows([k[1] for k in found], length)):
+        d, at = seg.first
+        if seg.many:
+            hit = np.ones_like(hit)                              # its places' spans are out already
+        else:
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
+            did += [d] * (len(edge) // 2)
+            lo += (edge[::2] + at).tolist()
+            hi += (edge[1::2] + at + length - 1).tolist()
+        if seg.cuts > 1:
+            for s, g in enumerate(_digests(ctx, np.arange(len(hit)), length)):
+                part = int.from_bytes(g[:4], "big") * seg.cuts >> 32
+                # A window known to be repeated is only told to others; one that is not waits for them.
+                rows.setdefault((key, seg.salt, part), []).append((g, -1 if hit[s] else d, at + s))
+    yield _solved(did, lo, hi, {k: np.array(sorted(set(v)), dtype=[("g", "S16"), ("d", "<i8"), ("s", "<i8")]).tobytes()
+                                for k, v in rows.items()})
+
+
+def solve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Rows (key, salt, cuts, ctx, refs) sorted by key and salt, to rows of ``_SOLVED``.
+
+    Of the places (text, start) of a segment only the first is held.  As soon as another one comes, the segment is repeated
+    from end to end, and its places go out as spans while they stream by."""
+    found: dict[tuple[int, bytes], _Segment] = {}
+    out: list[tuple[np.ndarray, int]] = []
+    size, held, last = 0, 0, None
+
+    def spans() -> pa.RecordBatch:
+        places = np.concatenate([p for p, _ in out])
+        n = np.repeat([n for _, n in out], [len(p) for p, _ in out])
+        return _solved(places[:, 0], places[:, 1], places[:, 1] + n)
+
+    for b in batches:
+        for key, salt, cuts, ctx, refs in zip(*(b.column(i) for i in range(5))):
+            key, salt, ctx = key.as_py(), salt.as_py(), ctx.as_py()
+            if (key, salt) != last:
+                if size >= SHARD_BYTES:
+                    yield from shard(found, length)
+                    found, size = {}, 0
+                last = (key, salt)
+            places = np.frombuffer(refs.as_buffer(), "<i8").reshape(-1, 2)
+            seg = found.get((key, ctx))
+            if seg is None:
+                seg = found[key, ctx] = _Segment(salt, cuts.as_py(), tuple(places[0].tolist()))
+                size += len(ctx)
+            if not seg.many:
+                # Repeated rows bring the same place again.
+                seg.many = bool((places != seg.first).any())
+                if not seg.many:
+                    continue
+                out.append((np.array([seg.first], np.int64), len(ctx)))
+                held += 1
+            for at in range(0, len(places), PLACES):
+                out.append((places[at:at + PLACES], len(ctx)))
+                held += len(out[-1][0])
+                if held >= PLACES:
+                    yield spans()
+                    out, held = [], 0
+    if out:
+        yield spans()
+    if found:
+        yield from shard(found, length)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """One row (id, digest, copies, spans) per distinct text: ``id`` is the least of its ids,
     ``spans`` (array<struct<lo bigint, hi bigint>>) cover all windows of it that other distinct
@@ -230,8 +324,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                  names=["did", "key", "lo", "hi", "n"])
 
     segs = texts.select("did", "key", "lo", "more").mapInArrow(spread, "did long, key long, lo long, hi long, n long")
-    counts = segs.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select(
-        F.col("key").alias("k"), F.ceil(F.col("n") / KEY_SEGMENTS).cast("int").alias("cuts"),
+    # Bytes count with repetitions, so cuts are small enough.
+    by_count, by_bytes = F.ceil(F.col("n") / KEY_SEGMENTS), F.ceil(F.col("bytes") / SHARD_BYTES)
+    counts = segs.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("hi") - F.col("lo") + length).alias("bytes")).where("n > 1").select(
+        F.col("key").alias("k"), F.greatest(by_count, by_bytes).cast("int").alias("cuts"),
         F.explode(F.array(*map(F.lit, range(SALTS)))).alias("j"))
     again = (segs.withColumn("i", F.pmod(F.xxhash64("did", "lo"), F.lit(SALTS)).cast("int"))
              .join(counts, (F.col("key") == F.col("k")) & (F.col("i") == F.col("j"))))
@@ -269,54 +365,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shipped = (sources.select("did", "text", "wanted").mapInArrow(ship, "key long, salt int, cuts int, ctx binary, refs binary")
                .repartition("key", "salt").sortWithinPartitions("key", "salt"))
 
-    def shard(found: dict[tuple[int, bytes], tuple]) -> pa.RecordBatch:
-        ctxs = [k[1] for k in found]
-        did, lo, hi, merges = [], [], [], []
-        for (key, ctx), (salt, cuts, refs), hit in zip(found, found.values(), repeated_windows(ctxs, length)):
-            pairs = {tuple(p) for r in refs for p in np.frombuffer(r, "<i8").reshape(-1, 2).tolist()}
-            if len(pairs) > 1:
-                hit = np.ones_like(hit)
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-            for d, at in pairs:
-                did += [d] * (len(edge) // 2)
-                lo += (edge[::2] + at).tolist()
-                hi += (edge[1::2] + at + length - 1).tolist()
-            if cuts > 1:
-                one = next(iter(pairs))
-                merges.append((key, salt, cuts, ctx, hit, one))
-        rows: dict[tuple[int, int, int], list] = {}
-        for key, salt, cuts, ctx, hit, (d, at) in merges:
-            for s, g in enumerate(_digests(ctx, np.arange(len(hit)), length)):
-                part = int.from_bytes(g[:4], "big") * cuts >> 32
-                # A window known to be repeated is only told to others; one that is not waits for them.
-                rows.setdefault((key, salt, part), []).append((g, -1 if hit[s] else d, at + s))
-        packed = {k: np.array(sorted(set(v)), dtype=[("g", "S16"), ("d", "<i8"), ("s", "<i8")]) for k, v in rows.items()}
-        n, m = len(did), len(packed)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(did + [None] * m, pa.int64()), pa.array(lo + [None] * m, pa.int64()), pa.array(hi + [None] * m, pa.int64()),
-             pa.array([None] * n + [k[0] for k in packed], pa.int64()), pa.array([None] * n + [k[2] for k in packed], pa.int32()),
-             pa.array([None] * n + [v.tobytes() for v in packed.values()], pa.binary())],
-            names=["did", "lo", "hi", "key", "part", "windows"])
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[int, bytes], tuple] = {}
-        size, last = 0, None
-        for b in batches:
-            for key, salt, cuts, ctx, refs in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if (key, salt) != last:
-                    if size >= SHARD_BYTES:
-                        yield shard(found)
-                        found, size = {}, 0
-                    last = (key, salt)
-                if (key, ctx) in found:
-                    found[key, ctx][2].append(refs)
-                else:
-                    found[key, ctx] = (salt, cuts, [refs])
-                    size += len(ctx)
-        if found:
-            yield shard(found)
-
-    solved = staged(shipped.mapInArrow(solve, "did long, lo long, hi long, key long, part int, windows binary"), "suffix-spans")
+    solved = staged(shipped.mapInArrow(lambda batches: solve(batches, length), _SOLVED), "suffix-spans")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows of several sub-shards in one range of one key; a sorted run is searched for in the runs before it."""

@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -179,6 +180,30 @@ def test_suffix_removal(spark, per_shard, monkeypatch):
     assert sorted((str(r.doc_id), *r[1:]) for r in got) == brute_removal([(d, (t or "").encode()) for d, t in rows])
 
 
+def test_suffix_places_stream(spark, monkeypatch):
+    """A segment that very many texts have: its places go out while they come, in small batches, and none is kept."""
+    monkeypatch.setattr(suffix_dedup, "PLACES", 100)
+    ctx, other = bytes(range(1, 251)), bytes(range(250, 0, -1))
+    taken = []
+
+    def batches():
+        names = ["key", "salt", "cuts", "ctx", "refs"]
+        for i in range(50):
+            taken.append(i)
+            refs = np.array([(1000 * i + j, j) for j in range(70)], "<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([5]), pa.array([0], pa.int32()), pa.array([1], pa.int32()), pa.array([ctx]), pa.array([refs])], names)
+        same = np.array([(9, 9)], "<i8").tobytes()                # a repeated row's place, twice
+        yield pa.RecordBatch.from_arrays([pa.array([6, 6]), pa.array([0, 0], pa.int32()), pa.array([1, 1], pa.int32()),
+                                          pa.array([other, other]), pa.array([same, same])], names)
+    got, first = [], None
+    for b in suffix_dedup.solve(batches(), 200):
+        first = first or len(taken)
+        assert b.num_rows <= 2 * 100
+        got += zip(*(b.column(i).to_pylist() for i in range(3)))
+    assert first < 5
+    assert set(got) == {(1000 * i + j, j, j + 250) for i in range(50) for j in range(70)}
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(4)
     for n in (0, 1, 2, 50, 700):
