@@ -218,7 +218,7 @@ class _Segment:
 
     __slots__ = ("salt", "cuts", "first", "many")
 
-    def __init__(self, salt: int, cuts: int, first: tuple[int, int]):
+    def __init__(self, salt: int, cuts: int, first: bytes):
         self.salt, self.cuts, self.first, self.many = salt, cuts, first, False
 
 
@@ -227,7 +227,7 @@ def shard(found: dict[tuple[int, bytes], _Segment], length: int) -> Iterator[pa.
     did, lo, hi = [], [], []
     rows: dict[tuple[int, int, int], list] = {}
     for ((key, ctx), seg), hit in zip(found.items(), repeated_windows([k[1] for k in found], length)):
-        d, at = seg.first
+        d, at = np.frombuffer(seg.first, "<i8").tolist()
         if seg.many:
             hit = np.ones_like(hit)                              # its places' spans are out already
         else:
@@ -250,37 +250,35 @@ def solve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
     Of the places (text, start) of a segment only the first is held.  As soon as another one comes, the segment is repeated
     from end to end, and its places go out as spans while they stream by."""
     found: dict[tuple[int, bytes], _Segment] = {}
-    out: list[tuple[np.ndarray, int]] = []
+    out: list[tuple[bytes, int]] = []                            # 16 bytes a place, length of the segment
     size, held, last = 0, 0, None
 
     def spans() -> pa.RecordBatch:
-        places = np.concatenate([p for p, _ in out])
-        n = np.repeat([n for _, n in out], [len(p) for p, _ in out])
+        places = np.frombuffer(b"".join(p for p, _ in out), "<i8").reshape(-1, 2)
+        n = np.repeat([n for _, n in out], [len(p) // 16 for p, _ in out])
         return _solved(places[:, 0], places[:, 1], places[:, 1] + n)
 
     for b in batches:
-        for key, salt, cuts, ctx, refs in zip(*(b.column(i) for i in range(5))):
-            key, salt, ctx = key.as_py(), salt.as_py(), ctx.as_py()
+        for key, salt, cuts, ctx, refs in zip(*(b.column(i).to_pylist() for i in range(5))):
             if (key, salt) != last:
                 if size >= SHARD_BYTES:
                     yield from shard(found, length)
                     found, size = {}, 0
                 last = (key, salt)
-            places = np.frombuffer(refs.as_buffer(), "<i8").reshape(-1, 2)
             seg = found.get((key, ctx))
             if seg is None:
-                seg = found[key, ctx] = _Segment(salt, cuts.as_py(), tuple(places[0].tolist()))
+                seg = found[key, ctx] = _Segment(salt, cuts, refs[:16])
                 size += len(ctx)
             if not seg.many:
                 # Repeated rows bring the same place again.
-                seg.many = bool((places != seg.first).any())
+                seg.many = refs != seg.first * (len(refs) // 16)
                 if not seg.many:
                     continue
-                out.append((np.array([seg.first], np.int64), len(ctx)))
+                out.append((seg.first, len(ctx)))
                 held += 1
-            for at in range(0, len(places), PLACES):
-                out.append((places[at:at + PLACES], len(ctx)))
-                held += len(out[-1][0])
+            for at in range(0, len(refs), 16 * PLACES):
+                out.append((refs[at:at + 16 * PLACES], len(ctx)))
+                held += len(out[-1][0]) // 16
                 if held >= PLACES:
                     yield spans()
                     out, held = [], 0
