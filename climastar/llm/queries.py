@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from climastar.session import new_run_dir
 
-from . import bpe, decontaminate, fingerprints, html_extract, langid, maxent_lm, simhash_dedup, suffix_dedup, url_filter, warc
+from . import (
+    bpe, decontaminate, fingerprints, html_extract, kdtree_topk, langid, maxent_lm, merkle_manifest, simhash_dedup, suffix_dedup, url_filter, warc,
+)
 from .common import staged, table
 
 # Fixed values of the contract.
@@ -82,6 +84,14 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.count_neighbours(prints, F.col("doc_id") % 20 == 0, radius=3)
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered=merkle_manifest.every_third())
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -93,4 +103,6 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_lm_score": op9_lm_score,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_exact_topk": op11_exact_topk,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
