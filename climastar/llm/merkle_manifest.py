@@ -143,6 +143,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     bad = F.lit(False) if tampered is None else F.coalesce(tampered, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(group_col).cast("string").alias("grp"), F.unhex(leaf).alias("leaf"),
                        F.unhex(F.when(bad, changed).otherwise(leaf)).alias("folded"))
+    rows = staged(rows, "merkle-digests")                    # ranging reads them twice
     placed, sizes = numbered(rows, "grp", ["doc_id", "leaf"], "merkle-leaves")
     named, _ = numbered(sizes.withColumn("all", F.lit(0)), "all", ["grp"], "merkle-groups")
     named = staged(named.select(F.col("grp").alias("of"), "n", F.col("ix").alias("g")), "merkle-groups")
