@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from climastar.session import new_run_dir
 
 from . import (
-    bpe, decontaminate, fingerprints, html_extract, kdtree_topk, langid, maxent_lm, merkle_manifest, simhash_dedup, suffix_dedup, url_filter, warc,
+    bpe, decontaminate, fingerprints, html_extract, kdtree_topk, langid, maxent_lm, merkle_manifest, prefix_trie, simhash_dedup, suffix_dedup,
+    url_filter, warc,
 )
 from .common import staged, table
 
@@ -92,6 +93,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.manifest(table(spark, sf_dir, "documents"), tampered=merkle_manifest.every_third())
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), base=conv - conv % 20,
+                                   heads=F.crc32(conv.cast("string").cast("binary")) % 4, most=3)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -105,4 +112,5 @@ QUERIES = {
     "op10_document_fingerprints": op10_document_fingerprints,
     "op11_exact_topk": op11_exact_topk,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
