@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 TRAIN_PAGES = 300
 LAYOUTS = 4                  # other layouts of each training page
@@ -467,10 +468,11 @@ def _training_nodes(page: str | None, key: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", how_many: int = TRAIN_PAGES) -> Boosted | None:
-    """Fit on the ``how_many`` pages with the least hash of their id; None if none of them has labels."""
+    """Fit on the ``how_many`` pages with the least hash of their id (equal pages of an id count once); None if none of them has labels."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).where("id is not null and html is not null")
     key = F.xxhash64(F.col("id").cast("string"), F.lit(11))
-    ids = rows.select("id", key.alias("o")).orderBy("o", "id").limit(how_many).select(F.col("id").alias("chosen"), "o").distinct()
+    narrow = rows.select("id", key.alias("o"), F.xxhash64("html").alias("h")).distinct()
+    ids = narrow.orderBy("o", "id", "h").limit(how_many).select(F.col("id").alias("chosen"), "o", F.col("h").alias("chosen_h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -478,8 +480,8 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", how
             yield pa.RecordBatch.from_arrays([b.column("o"), pa.array([x.tobytes() for x, _ in found], pa.binary()),
                                               pa.array([y.astype(np.int8).tobytes() for _, y in found], pa.binary())], names=["o", "x", "y"])
 
-    got = sorted(rows.join(F.broadcast(ids), F.col("id") == F.col("chosen")).select("o", "html")
-                 .mapInArrow(run, "o long, x binary, y binary").collect(), key=lambda r: (r.o, bytes(r.x)))[:how_many]
+    chosen = rows.join(F.broadcast(ids), (F.col("id") == F.col("chosen")) & (F.xxhash64("html") == F.col("chosen_h"))).select("o", "html")
+    got = sorted(chosen.distinct().mapInArrow(run, "o long, x binary, y binary").collect(), key=lambda r: (r.o, bytes(r.x)))      # how_many rows
     x = np.concatenate([np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in got] or [np.zeros((0, N_FEATURES))])
     y = np.concatenate([np.frombuffer(r.y, np.int8) for r in got] or [np.zeros(0)]).astype(float)
     return boost(x, y) if len(y) and 0 < y.mean() < 1 else None
@@ -487,15 +489,16 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", how
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", out: str = "text",
             model: Boosted | None = None) -> DataFrame:
-    """All columns of ``pages`` and ``out``, the main text of the whole page.
+    """All columns of ``pages`` and ``out``, the main text of the whole page, in place of a column of that name.
 
     Character references are decoded, white space in a block becomes one space, blocks are joined by two line
     feeds.  NULL and empty pages have an empty text, and so has every page if no page has an article to
     learn from.  Repeated rows are extracted each; an empty table gives an empty result."""
     model = model or train(pages, id_col, html_col)
     shared = pages.sparkSession.sparkContext.broadcast(model)
-    rows = pages.withColumn("__html", F.coalesce(F.col(html_col), F.lit("")))
-    names = pages.columns
+    names = [c for c in pages.columns if c != out]
+    # By place: the page itself comes first, whatever the others are called.
+    rows = pages.select(F.coalesce(F.col(html_col), F.lit("")).alias("page"), *[F.col(f"`{c}`") for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -512,13 +515,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", o
                 else:
                     texts.extend("" for _ in held)
                 held.clear()
-            for page in b.column("__html"):
+            for page in b.column(0):
                 t = parse(page.as_py())
                 held.append((t, features(t)))
                 if len(held) >= 64:
                     settle()
             settle()
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(texts, pa.string())], names=[*names, out])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return rows.mapInArrow(run, f"{fields}, `{out}` string")
+    return rows.mapInArrow(run, StructType([*(f for f in pages.schema.fields if f.name != out), StructField(out, StringType())]))

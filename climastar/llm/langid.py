@@ -22,7 +22,7 @@ BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 500
 EPOCHS = 3
-SALTS = 16
+OVER = 4
 BLOCK = 1 << 20
 UNDETERMINED = "und"
 
@@ -148,13 +148,17 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         df[f] = n
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1.0
 
-    narrow = rows.select("id", "lang", F.xxhash64(F.col("id").cast("string"), F.lit(7)).alias("o"))
-    # The least of each salt first, so that no task sees what every task keeps of a common language.
+    # Equal rows of an id count once.  Per language a threshold on the hash lets through about OVER times as many as wanted,
+    # so that what the exact limit sorts does not grow with the rows or the tasks.
     few = min(per_language, 1000)
-    part = (narrow.withColumn("s", F.pmod(F.col("o"), F.lit(SALTS)))
-            .withColumn("r", F.row_number().over(Window.partitionBy("lang", "s").orderBy("o", "id"))).where(F.col("r") <= few))
-    first = (part.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "id"))).where(F.col("r") <= few)
-             .select(F.col("id").alias("chosen"), F.col("lang").alias("chosen_lang")).distinct())
+    keyed = rows.withColumn("o", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string"), F.lit(7)), 11)).withColumn("h", F.xxhash64("text", "id"))
+    size = keyed.groupBy("lang").agg(F.approx_count_distinct(F.struct("o", "h")).alias("n")).select(F.col("lang").alias("of"), "n")
+    share = F.least(F.lit(1.0), F.lit(float(OVER * few)) / F.col("n"))
+    near = F.col("o") * F.lit(2.0 ** -53) <= share           # 53 bits as a fraction
+    narrow = keyed.select("id", "lang", "o", "h").join(size, F.col("lang") == F.col("of")).where(near).select("id", "lang", "o", "h").distinct()
+    order = Window.partitionBy("lang").orderBy("o", "id", "h")
+    first = (narrow.withColumn("r", F.row_number().over(order)).where(F.col("r") <= few)
+             .select(F.col("id").alias("chosen"), F.col("lang").alias("chosen_lang"), F.col("h").alias("chosen_h")))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -166,15 +170,11 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
                 [b.column("lang").filter(ok), b.column("o").filter(ok), pa.array([x.astype("<i4").tobytes() for x in at], pa.binary()),
                  pa.array([c[x].astype("<i4").tobytes() for c, x in zip(found, at)], pa.binary())], names=["lang", "o", "f", "n"])
 
-    # The chosen ids are bounded by per_language times the languages.
-    chosen = (rows.join(F.broadcast(first), (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("chosen_lang")))
-              .select("lang", F.xxhash64("text", "id").alias("o"), "text").mapInArrow(sample, "lang string, o long, f binary, n binary"))
-    taken: dict[str, int] = {}
-    samples = []
-    for r in sorted(chosen.collect(), key=lambda r: (r.lang, r.o)):
-        taken[r.lang] = taken.get(r.lang, 0) + 1
-        if taken[r.lang] <= per_language:                    # repeated rows
-            samples.append((np.frombuffer(r.f, "<i4"), np.frombuffer(r.n, "<i4"), r.lang))
+    # At most per_language rows of each language.
+    same = (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("chosen_lang")) & (F.col("h") == F.col("chosen_h"))
+    chosen = (keyed.join(F.broadcast(first), same).select("lang", F.col("h").alias("o"), "text").distinct()
+              .mapInArrow(sample, "lang string, o long, f binary, n binary"))
+    samples = [(np.frombuffer(r.f, "<i4"), np.frombuffer(r.n, "<i4"), r.lang) for r in sorted(chosen.collect(), key=lambda r: (r.lang, r.o))]
     return fit(samples, idf)
 
 
@@ -185,14 +185,21 @@ def held_out(id_col: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              per_language: int = PER_LANGUAGE) -> DataFrame:
-    """All columns of ``docs`` with ``held_out`` boolean, ``lang_pred`` string and ``score`` double (calibrated probability).
+    """All columns of ``docs`` with ``held_out`` boolean, ``lang_pred`` string and ``score`` double (calibrated probability),
+    which replace columns of these names.
 
     Learns from text and language of the rows that are not held out; predictions see the text only.  A text
     that is NULL or has no letter is ``und`` with score 0, and so is every text if there is nothing to learn from.
     Repeated rows are predicted each; an empty table gives an empty result."""
-    out = held_out(id_col)
-    model = train(docs.where(~out).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")),
-                  per_language)
+    return _predicted(docs, _model(docs, id_col, text_col, lang_col, per_language), id_col, text_col)
+
+
+def _model(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> Model | None:
+    learn = docs.where(~held_out(id_col))
+    return train(learn.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), per_language)
+
+
+def _predicted(docs: DataFrame, model: Model | None, id_col: str, text_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -209,5 +216,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                     found.append((m.labels[int(p.argmax())], float(p.max())))
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    return (docs.withColumn("__p", predict(F.col(text_col))).withColumns(
-        {"held_out": out, "lang_pred": F.col("__p.lang_pred"), "score": F.col("__p.score")}).drop("__p"))
+    made = "predicted"
+    while made in docs.columns:
+        made += "_"
+    return (docs.withColumn(made, predict(F.col(text_col))).withColumns(
+        {"held_out": held_out(id_col), "lang_pred": F.col(f"{made}.lang_pred"), "score": F.col(f"{made}.score")}).drop(made))
+
+
+def keep_identified(docs: DataFrame, over_chance: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language can be told: with a letter, and a calibrated probability of at least
+    ``over_chance`` times that of a guess among the learned languages.  Without anything to learn from no row is rejected.  Any column names may occur."""
+    rows = docs.select(F.struct(F.col("*")).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    model = _model(rows, "id", "text", "lang", per_language)
+    if model is None:
+        return docs
+    told = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min(1.0, over_chance / len(model.labels)))
+    return _predicted(rows, model, "id", "text").where(told).select("row.*")

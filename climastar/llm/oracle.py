@@ -12,8 +12,7 @@ _PARTS = r"""
 OP1 = rf"""
 WITH p AS ({_PARTS}),
 c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') AS canonical_url FROM p),
-l AS (SELECT DISTINCT canonical_url FROM c
-      WHERE regexp_replace(host, '^www\.', '') IN ('cheap-pills.example.com', 'spam-farm.example.org')),
+l AS (SELECT DISTINCT canonical_url FROM c WHERE regexp_matches(url, '^[^#]*[?&]utm_') AND canonical_url <> ''),
 r(rhost, rpath, rverdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
       ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
 j AS (SELECT c.*, c.canonical_url IN (SELECT canonical_url FROM l) AS listed,

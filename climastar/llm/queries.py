@@ -20,14 +20,14 @@ from .common import staged, table
 # Fixed values of the contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
-#: Hosts reported for spam: every canonical URL that the crawl has of them is listed.
-REPORTED_HOSTS = ["cheap-pills.example.com", "spam-farm.example.org"]
+#: Listed is every canonical URL that the crawl reached by a campaign link, one with a ``utm_`` parameter.
+CAMPAIGN = r"^[^#]*[?&]utm_"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     host, path = url_filter.url_host(F.col("url")), url_filter.url_path(F.col("url"))
-    listed = (pages.where(F.regexp_replace(host, r"^www\.", "").isin(REPORTED_HOSTS))
+    listed = (pages.where(F.col("url").rlike(CAMPAIGN))
               .select(url_filter.canonical(host, path).alias("url")))
     return (url_filter.url_filter(pages, listed, URL_RULES)
             .select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed"))

@@ -129,11 +129,11 @@ def links(fps: DataFrame, max_distance: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """(id, text_hash long, fingerprint long, component_id) of every row of ``docs``.
+    """(id, text_hash long, fingerprint long, component_id, class long) of every row of ``docs``.
 
     Rows with equal fingerprints, or linked by a chain of fingerprints at most
     ``max_distance`` bits apart, have the same component_id, the smallest id among
-    them (NULL if none has an id).  NULL and blank texts have fingerprint zero and are
+    them (NULL if none has an id), and the same class, the smallest fingerprint.  NULL and blank texts have fingerprint zero and are
     linked like any other.  Repeated rows are returned each; other columns are
     ignored; an empty table gives an empty result.
     """
@@ -143,21 +143,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = (firsts.join(parts, firsts["fp"] == parts["node"], "left")
                .select("fp", "first", F.coalesce("component", "fp").alias("class")))
     smallest = classes.groupBy(F.col("class").alias("c")).agg(F.min("first").alias("component_id"))
-    named = classes.join(smallest, F.col("class") == F.col("c")).select("fp", "component_id")
+    named = classes.join(smallest, F.col("class") == F.col("c")).select("fp", "component_id", "class")
     return (prints.join(named, prints["fingerprint"] == named["fp"])
-            .select(F.col("id").alias(id_col), "text_hash", "fingerprint", "component_id"))
+            .select(F.col("id").alias(id_col), "text_hash", "fingerprint", "component_id", "class"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
     """The rows of ``docs``, all columns, of which one of each component stays: that with the smallest id.
 
-    Among rows with that id it is one with the least hash of its text.  Rows without an id go by their
-    text's hash instead."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col), F.lit("no id")))
-    rows = docs.withColumn("__key", key)
-    found = near_duplicates(rows, "__key", text_col, shingle, max_distance)
-    kept = (found.where("__key = component_id").groupBy(F.col("__key").alias("__k")).agg(F.min("text_hash").alias("__h")))
-    first = F.row_number().over(Window.partitionBy("__key", "__hash").orderBy("__key"))
-    return (rows.withColumn("__hash", F.xxhash64(text_col))
-            .join(kept.hint("shuffle_hash"), (F.col("__key") == F.col("__k")) & (F.col("__hash") == F.col("__h")))
-            .withColumn("__first", first).where("__first = 1").select(docs.columns))
+    Among rows with that id it is one with the least hash of its text.  Rows without an id come after
+    all others, by their text's hash.  An id with several texts has each of them in its own component.  Any
+    column names may occur."""
+    rows = docs.select(F.struct(F.col("*")).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("hash"))
+    found = near_duplicates(rows, "id", "text", shingle, max_distance)
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))
+    kept = found.groupBy("class").agg(least.alias("m")).select(F.col("m.id").alias("kept"), F.col("m.text_hash").alias("kept_hash"))
+    first = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id"))
+    return (rows.join(kept.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("kept")) & (F.col("hash") == F.col("kept_hash")))
+            .withColumn("first", first).where("first = 1").select("row.*"))

@@ -18,7 +18,7 @@ from .common import LOWER, UPPER
 WORDS = 8
 BITS_PER_KEY = 16
 MAX_BLOCKS = 65_536          # 4.7 MB broadcast at most
-SALTS = 8
+HEAVY = 1024                 # a URL with over one in so many of the rows is dealt to several tasks
 
 #: (host, path, verdict)
 Rule = tuple[str, str, str]
@@ -101,10 +101,16 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule],
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "__v": verdict})
     rows = may_contain(rows, "canonical_url", bloom, n_blocks, "__hit")
-    # Only possible hits are shuffled.  A URL that very many rows share is spread over salts.
-    salted = rows.where("__hit").withColumn("__s", F.pmod(F.xxhash64(id_col, "url"), F.lit(SALTS)).cast("int"))
-    exact = (keys.distinct().select(F.col("key").alias("__k"), F.explode(F.array(*map(F.lit, range(SALTS)))).alias("__t"),
-                                    F.lit(True).alias("__l")))
+    # Only possible hits are shuffled.  URLs with over a HEAVY-th of them, fewer than HEAVY, are dealt to as many tasks as they have
+    # such parts; the list's row is copied to these.
+    hit = rows.where("__hit")
+    count = hit.groupBy(F.col("canonical_url").alias("__u")).agg(F.count("*").alias("__n"))
+    part = F.greatest(F.lit(1), F.ceil(F.lit(hit.count()) / HEAVY))
+    heavy = count.withColumn("__parts", F.ceil(F.col("__n") / part)).where("__parts > 1").select("__u", "__parts")
+    salted = (hit.join(F.broadcast(heavy), F.col("canonical_url") == F.col("__u"), "left")
+              .withColumn("__s", F.pmod(F.xxhash64(id_col, "url"), F.coalesce("__parts", F.lit(1)))).drop("__u", "__parts"))
+    exact = (keys.distinct().join(F.broadcast(heavy), F.col("key") == F.col("__u"), "left")
+             .select(F.col("key").alias("__k"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__parts", F.lit(1)) - 1)).alias("__t"), F.lit(True).alias("__l")))
     hits = (salted.join(exact, (F.col("canonical_url") == F.col("__k")) & (F.col("__s") == F.col("__t")), "left")
             .withColumn("listed", F.coalesce("__l", F.lit(False))))
     misses = rows.where("not __hit").withColumn("listed", F.lit(False))

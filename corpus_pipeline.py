@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over table ``documents``, each written as Parquet and read again.
 
 Every stage but the last returns the columns of ``documents``; it works on all rows that the stage
-before it kept.
+before it kept.  Any further columns of the table, whatever their names, are handed on as they are by all stages but the last.
 """
 
 from __future__ import annotations
@@ -14,9 +14,14 @@ from climastar.llm.common import staged, table
 from climastar.llm.queries import tokenizer_path
 
 
+#: A language is told if its calibrated probability is at least so many times that of a guess.
+OVER_CHANCE = 1.2
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter go."""
-    return langid.identify(docs).where(F.col("lang_pred") != langid.UNDETERMINED).select(docs.columns)
+    """Documents whose language can be told: texts without a letter go, and those that are about as likely in any learned
+    language, as in an unknown script.  Without a labelled document to learn from all stay."""
+    return langid.keep_identified(docs, OVER_CHANCE)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,17 +31,18 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the passages of 200 bytes or more that also are elsewhere; n_chars is that of the text left."""
-    found = suffix_dedup.remove_repeats(docs, as_text=True)
+    found = suffix_dedup.remove_repeats(docs.select(F.struct(F.col("*")).alias("row"), "doc_id", "text"), as_text=True)
     new = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast(docs.schema["n_chars"].dataType)}
-    return found.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    bad = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash"))
-    return docs.join(bad.hint("shuffle_hash"), same, "left_anti")
+    rows = docs.select(F.struct(F.col("*")).alias("row"), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    bad = decontaminate.contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select(
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash"))
+    return rows.join(bad.hint("shuffle_hash"), same, "left_anti").select("row.*")
 
 
 def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
