@@ -2,8 +2,9 @@
 
 The tree is built level by level and every level is written: a row of the node table is one run, with the digests of its
 members packed in order, its own digest, and a link to the run and slot that it fills itself.  A recursive
-Spark query then climbs from every leaf: each step finds the leaf's run by that link, notes its siblings there, puts the digest
-folded so far into the leaf's slot and hashes the run anew.
+Spark query then climbs from every leaf: each step finds the leaf's run by that link, appends its siblings there to the proof, puts
+the digest folded so far into the leaf's slot and hashes the run anew.  The climb through low runs, which hold few leaves each, is
+a shuffle join; from the few runs above, whose keys would be hot, it goes on over a broadcast table of bounded size.
 
 Positions of leaves are counted without a global window: rows are ranged by (group, order), numbered inside
 their partition by the written table, and shifted by the number of rows of the group in earlier partitions.
@@ -67,16 +68,6 @@ def _hash(packed: Column) -> Column:
     return F.unhex(F.sha2(F.lower(F.hex(packed)).cast("binary"), 256))
 
 
-def _links(groups: int) -> dict[str, Column]:
-    """The run (group, level, place) and the slot that a node fills.  A group's last node is a member of the tree over the
-    groups, if there is more than one; ``n``: nodes of the node's group on its level."""
-    inside, over = F.col("n") > 1, (F.col("n") == 1) & (F.col("g") != TOP) & F.lit(groups > 1)
-    pick = lambda a, b: F.when(inside, a).when(over, b)      # noqa: E731
-    return {"up_g": pick(F.col("g"), F.lit(TOP).cast("long")), "up_lv": pick(F.col("lv") + 1, F.lit(1)),
-            "up_ix": pick(F.floor(F.col("ix") / WIDTH), F.floor(F.col("g") / WIDTH)),
-            "slot": pick(F.col("ix") % WIDTH, F.col("g") % WIDTH).cast("int")}
-
-
 def build_levels(nodes: DataFrame, largest: int, label: str) -> list[DataFrame]:
     """Levels of runs over ``nodes`` (g, n, ix, digest, weight), each written: (g, lv, ix, n, packed, digest, weight).  ``weight``: leaves
     below; ``largest``: the most nodes of a group."""
@@ -104,29 +95,57 @@ def _no_row_limit(spark: SparkSession):
         spark.conf.set(key, was) if was is not None else spark.conf.unset(key)
 
 
+#: Runs that hold more than one in so many of all leaves: at most SHARE on a level of the tree, about 12 MB in all, which are
+#: broadcast.  The others hold few leaves each, so that no key of their join is hot.
+SHARE = 32_768
+
+
+def _holds(lv: Column, ix: Column, leaves: Column) -> Column:
+    """Leaves below place ``ix`` of level ``lv`` in a group of ``leaves``."""
+    width = F.pow(F.lit(float(WIDTH)), lv)
+    return F.least(width, leaves - ix * width)
+
+
+def _linked(nodes: DataFrame, groups: DataFrame, over: DataFrame | None, rows: int) -> DataFrame:
+    """``nodes`` (g, lv, ix, n and more) with the run they fill: (up_g, up_lv, up_ix, slot), NULL for the root, and ``low``: whether
+    that run is a low one.  ``n``: nodes of the group on that level; ``groups``: (of, leaves); ``over``: runs of the tree over the groups.  A
+    group's last node is a member of that tree, if there is one."""
+    inside = F.col("n") > 1
+    leaves = nodes.join(groups, F.col("g") == F.col("of"), "left").drop("of")
+    light = F.when(inside & (F.col("g") != TOP), _holds(F.col("lv") + 1, F.floor(F.col("ix") / WIDTH), F.col("leaves")) * SHARE <= rows)
+    if over is None:
+        up = {c: F.when(inside, v) for c, v in (("up_g", F.col("g")), ("up_lv", F.col("lv") + 1), ("up_ix", F.floor(F.col("ix") / WIDTH)), ("slot", F.col("ix") % WIDTH))}
+        return leaves.withColumns({**up, "slot": up["slot"].cast("int"), "low": F.coalesce(light, F.lit(False))}).drop("leaves")
+    at_top = F.col("g") == TOP
+    place = F.when(at_top, F.col("ix")).otherwise(F.col("g"))
+    level = F.when(at_top, F.col("lv") + 1).otherwise(F.lit(1))
+    joins = inside == at_top                                 # of the tree over the groups, or a group's last node
+    tops = over.select(F.col("lv").alias("t_lv"), F.col("ix").alias("t_ix"), (F.col("weight") * SHARE <= rows).alias("t_low"))
+    both = leaves.join(tops, joins & (level == F.col("t_lv")) & (F.floor(place / WIDTH) == F.col("t_ix")), "left")
+    top = F.col("t_lv").isNotNull()
+    up = {"up_g": F.when(top, F.lit(TOP).cast("long")).when(inside, F.col("g")), "up_lv": F.when(top, F.col("t_lv")).when(inside, F.col("lv") + 1),
+          "up_ix": F.when(top, F.col("t_ix")).when(inside, F.floor(F.col("ix") / WIDTH)),
+          "slot": F.when(top, place % WIDTH).when(inside, F.col("ix") % WIDTH).cast("int"), "low": F.coalesce("t_low", light, F.lit(False))}
+    return both.withColumns(up).drop("leaves", "t_lv", "t_ix", "t_low")
+
+
 _CLIMB = f"""
-WITH RECURSIVE climb (g, ix, step, up_g, up_lv, up_ix, slot, folded, siblings, doc_id, leaf) AS (
-  SELECT g, ix, step, up_g, up_lv, up_ix, slot, folded, CAST(NULL AS BINARY), doc_id, leaf FROM {{start}}
+WITH RECURSIVE climb (g, doc_id, leaf, up_g, up_lv, up_ix, slot, low, folded, proof) AS (
+  SELECT g, doc_id, leaf, up_g, up_lv, up_ix, slot, low, folded, proof FROM {{start}}
   UNION ALL
-  SELECT {{hint}} c.g, c.ix, c.step + 1, r.up_g, r.up_lv, r.up_ix, r.slot,
+  SELECT {{hint}} c.g, c.doc_id, c.leaf, r.up_g, r.up_lv, r.up_ix, r.slot, r.low,
          unhex(sha2(CAST(lower(hex(concat(substring(r.packed, 1, c.slot * {DIGEST}), c.folded,
                                           substring(r.packed, c.slot * {DIGEST} + {DIGEST + 1})))) AS BINARY), 256)),
-         concat(substring(r.packed, 1, c.slot * {DIGEST}), substring(r.packed, c.slot * {DIGEST} + {DIGEST + 1})),
-         CAST(NULL AS BIGINT), CAST(NULL AS BINARY)
+         concat(c.proof, substring(r.packed, 1, c.slot * {DIGEST}), substring(r.packed, c.slot * {DIGEST} + {DIGEST + 1}))
   FROM climb c JOIN {{runs}} r ON c.up_g = r.of_g AND c.up_lv = r.of_lv AND c.up_ix = r.of_ix)
 SELECT * FROM climb"""
 
 
-def _climb(start: DataFrame, runs: DataFrame, few: bool, label: str) -> DataFrame:
-    """The recursive query, written: a row for every leaf of ``start`` and every step up through ``runs``."""
-    spark = start.sparkSession
+def _climb(start: DataFrame, runs: DataFrame, few: bool) -> DataFrame:
+    """The recursive query: a row for every leaf of ``start`` and every step up through ``runs``, with the digest folded and the
+    siblings met so far."""
     hint = "/*+ BROADCAST(r) */" if few else ""
-    with _no_row_limit(spark):
-        return staged(spark.sql(_CLIMB.replace("{hint}", hint), start=start, runs=runs), label)
-
-
-#: Runs that hold more than one in so many of all leaves are few on each level and are broadcast to the climb.
-SHARE = 1024
+    return start.sparkSession.sql(_CLIMB.replace("{hint}", hint), start=start, runs=runs)
 
 
 def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", group_col: str = "lang", chars_col: str = "n_chars",
@@ -140,6 +159,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     fields = [F.col(c) for c in (id_col, source_col, group_col, chars_col)]
     leaf = leaf_digest(*fields, F.col(text_col))
     changed = leaf_digest(*fields, ascii_lower(F.col(text_col)))
+    spark = docs.sparkSession
     bad = F.lit(False) if tampered is None else F.coalesce(tampered, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(group_col).cast("string").alias("grp"), F.unhex(leaf).alias("leaf"),
                        F.unhex(F.when(bad, changed).otherwise(leaf)).alias("folded"))
@@ -161,32 +181,31 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
                         total.groups, "merkle-top")
     root = (over[-1] if over else subroots).select(F.lower(F.hex("digest"))).first()
 
-    links = _links(total.groups)
-    start = leaves.withColumn("lv", F.lit(0)).select("g", "ix", F.lit(0).alias("step"), *[c.alias(k) for k, c in links.items()], "folded", "doc_id", "leaf")
+    root = F.lit(root[0] if root else None).cast("string")
+    top = None
+    for x in over:
+        top = x if top is None else top.union(x)
+    sizes = named.select(F.col("g").alias("of"), F.col("n").alias("leaves"))
+    start = (_linked(leaves.withColumn("lv", F.lit(0)), sizes, top, total.rows)
+             .select("g", "doc_id", "leaf", "up_g", "up_lv", "up_ix", "slot", "low", "folded", F.lit(b"").alias("proof")))
     runs = None
     for x in (*levels, *over):
-        x = x.select(F.col("g").alias("of_g"), F.col("lv").alias("of_lv"), F.col("ix").alias("of_ix"), *[c.alias(k) for k, c in links.items()], "packed", "weight")
         runs = x if runs is None else runs.union(x)
-    if runs is None:                                         # one leaf at most
-        steps = start.withColumn("siblings", F.lit(None).cast("binary"))
-    else:
-        # Low runs hold few leaves each, so that no key of the join is hot; of the others there are at most SHARE on a level.
-        runs = staged(runs, "merkle-runs")
-        heavy = F.col("weight") * SHARE > total.rows
-        low = _climb(start, runs.where(~heavy), False, "merkle-climb")
-        high_runs = runs.where(heavy)
-        # Where the first climb ended: at a leaf or run whose own run is not a low one.
-        ends = low.groupBy("g", "ix").agg(F.max_by(F.struct("step", "up_g", "up_lv", "up_ix", "slot", "folded"), "step").alias("e")).select("g", "ix", "e.*")
-        high = _climb(ends.withColumns({"doc_id": F.lit(None).cast("long"), "leaf": F.lit(None).cast("binary")}), high_runs, True, "merkle-climb")
-        steps = low.unionByName(high.where("siblings is not null"))
-    proof = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("step", "siblings")))),
-                                     lambda s: F.hex(s.siblings)), "")
-    climbed = steps.groupBy("g", "ix").agg(F.max("doc_id").alias("doc_id"), F.max("leaf").alias("leaf"),
-                                           F.sha2(F.lower(proof).cast("binary"), 256).alias("proof_sha256"),
-                                           F.lower(F.hex(F.max_by("folded", "step"))).alias("folded_root"))
-    out = climbed.join(subroots.select(F.col("g").alias("of"), F.lower(F.hex("digest")).alias("subroot")), F.col("g") == F.col("of"))
-    root = F.lit(root[0] if root else None).cast("string")
-    return out.select(F.col("doc_id").alias(id_col), F.lower(F.hex("leaf")).alias("leaf"), "subroot", root.alias("root"), "proof_sha256", "folded_root",
+    with _no_row_limit(spark):
+        if runs is not None:                                 # else there is one leaf at most
+            light = F.when(F.col("g") == TOP, F.col("weight") * SHARE <= total.rows).otherwise(
+                _holds(F.col("lv"), F.col("ix"), F.col("leaves_")) * SHARE <= total.rows)
+            named_ = sizes.select(F.col("of").alias("of_"), F.col("leaves").alias("leaves_"))
+            runs = runs.join(named_, F.col("g") == F.col("of_"), "left").withColumn("light", light)
+            runs = staged(_linked(runs, sizes, top, total.rows).select(
+                F.col("g").alias("of_g"), F.col("lv").alias("of_lv"), F.col("ix").alias("of_ix"), "up_g", "up_lv", "up_ix", "slot", "low", "packed", "light"), "merkle-runs")
+            if runs.where("light").limit(1).count():
+                start = staged(_climb(start, runs.where("light"), False).where("not low"), "merkle-climb")
+            start = _climb(start, runs.where("not light"), True).where("up_g is null")
+        done = staged(start.select("g", "doc_id", F.lower(F.hex("leaf")).alias("leaf"), F.lower(F.hex("folded")).alias("folded_root"),
+                                   F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256")), "merkle-climbed")
+    out = done.join(subroots.select(F.col("g").alias("of"), F.lower(F.hex("digest")).alias("subroot")), F.col("g") == F.col("of"))
+    return out.select(F.col("doc_id").alias(id_col), "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
                       (F.col("folded_root") == root).alias("verified"))
 
 

@@ -153,7 +153,7 @@ def test_climb_in_two_parts(spark, monkeypatch):
     """Low runs are joined, heavy ones broadcast; whichever way, the digests are the same."""
     rows = [(i, f"T{i}", "en" if i % 5 else "de", "s", i) for i in range(600)]
     want = brute_manifest(rows)
-    for share in (0, 9, 100):
+    for share in (0, 1, 9, 100):
         monkeypatch.setattr(merkle_manifest, "SHARE", share)
         assert manifest_rows(spark, rows) == want
 
