@@ -2,9 +2,10 @@
 
 The tree is built level by level and every level is written: a row of the node table is one run, with the digests of its
 members packed in order, its own digest, and a link to the run and slot that it fills itself.  A recursive
-Spark query then climbs from every leaf: each step finds the leaf's run by that link, appends its siblings there to the proof, puts
-the digest folded so far into the leaf's slot and hashes the run anew.  The climb through low runs, which hold few leaves each, is
-a shuffle join; from the few runs above, whose keys would be hot, it goes on over a broadcast table of bounded size.
+Spark query then climbs from every leaf: each step finds the leaf's run by that link, appends the run and slot, which are its siblings
+there, to the path, puts the digest folded so far into the slot and hashes the run anew.  The siblings' digests are read from the path's
+runs afterwards.  The climb through low runs, which hold few leaves each, is a shuffle join; from the few runs above, whose keys
+would be hot, it goes on over a broadcast table of bounded size.
 
 Positions of leaves are counted without a global window: rows are ranged by (group, order), numbered inside
 their partition by the written table, and shifted by the number of rows of the group in earlier partitions.
@@ -95,9 +96,9 @@ def _no_row_limit(spark: SparkSession):
         spark.conf.set(key, was) if was is not None else spark.conf.unset(key)
 
 
-#: Runs that hold more than one in so many of all leaves: at most SHARE on a level of the tree, about 12 MB in all, which are
+#: Runs that hold more than one in so many of all leaves: at most SHARE on a level of the tree, about 3 MB in all, which are
 #: broadcast.  The others hold few leaves each, so that no key of their join is hot.
-SHARE = 32_768
+SHARE = 8192
 
 
 def _holds(lv: Column, ix: Column, leaves: Column) -> Column:
@@ -129,25 +130,50 @@ def _linked(nodes: DataFrame, groups: DataFrame, over: DataFrame | None, rows: i
     return both.withColumns(up).drop("leaves", "t_lv", "t_ix", "t_low")
 
 
+# A step's element of the path: number of the run, a bit for low ones, the slot.
 _CLIMB = f"""
-WITH RECURSIVE climb (g, doc_id, leaf, up_g, up_lv, up_ix, slot, low, folded, proof) AS (
-  SELECT g, doc_id, leaf, up_g, up_lv, up_ix, slot, low, folded, proof FROM {{start}}
+WITH RECURSIVE climb (g, doc_id, up_g, up_lv, up_ix, slot, low, folded, path) AS (
+  SELECT g, doc_id, up_g, up_lv, up_ix, slot, low, folded, path FROM {{start}}
   UNION ALL
-  SELECT {{hint}} c.g, c.doc_id, c.leaf, r.up_g, r.up_lv, r.up_ix, r.slot, r.low,
+  SELECT {{hint}} c.g, c.doc_id, r.up_g, r.up_lv, r.up_ix, r.slot, r.low,
          unhex(sha2(CAST(lower(hex(concat(substring(r.packed, 1, c.slot * {DIGEST}), c.folded,
                                           substring(r.packed, c.slot * {DIGEST} + {DIGEST + 1})))) AS BINARY), 256)),
-         concat(c.proof, substring(r.packed, 1, c.slot * {DIGEST}), substring(r.packed, c.slot * {DIGEST} + {DIGEST + 1}))
+         concat(c.path, array(r.run * 16 + int(c.low) * 8 + c.slot))
   FROM climb c JOIN {{runs}} r ON c.up_g = r.of_g AND c.up_lv = r.of_lv AND c.up_ix = r.of_ix)
 SELECT * FROM climb"""
 
 
 def _climb(start: DataFrame, runs: DataFrame, few: bool) -> DataFrame:
-    """The recursive query: a row for every leaf of ``start`` and every step up through ``runs``, with the digest folded and the
-    siblings met so far."""
+    """The recursive query: a row for every leaf of ``start`` and every step up through ``runs``, with the digest folded and the path so
+    far, whose siblings the runs of the path hold.  Spark shuffles the rows of every step, so they carry no digests but the folded one."""
     hint = "/*+ BROADCAST(r) */" if few else ""
     return start.sparkSession.sql(_CLIMB.replace("{hint}", hint), start=start, runs=runs)
 
 
+def _siblings(climbed: DataFrame, runs: DataFrame, steps: int, low_levels: list[int]) -> DataFrame:
+    """``climbed`` with ``proof`` binary, the siblings on its path in order, and ``member`` binary, the leaf itself (NULL without a path)."""
+    few = F.broadcast(runs.where("not light").select(F.col("run").alias("h_run"), F.col("packed").alias("h_packed")))
+    rows = climbed.withColumns({"proof": F.lit(b""), "member": F.lit(None).cast("binary")})
+    for k in range(steps):
+        rows = rows.withColumn("step", F.get("path", F.lit(k)))
+        low = F.col("step").bitwiseAND(F.lit(8)) != 0
+        number = F.shiftright("step", 4)
+        rows = rows.join(few, ~low & (number == F.col("h_run")), "left").withColumn("packed", F.col("h_packed")).drop("h_run", "h_packed")
+        if k + 1 in low_levels or TOP in low_levels:
+            # Rows that are elsewhere match nothing and are spread.
+            rows = rows.withColumn("find", F.when(low, number).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "folded"), F.lit(1 << 20))))
+            some = runs.where(F.col("light") & ((F.col("of_lv") == k + 1) | (F.col("of_g") == TOP))).select(F.col("run").alias("l_run"), F.col("packed").alias("l_packed"))
+            rows = (rows.join(some, F.col("find") == F.col("l_run"), "left").withColumn("packed", F.coalesce("packed", "l_packed"))
+                    .drop("find", "l_run", "l_packed"))
+        at = (F.col("step").bitwiseAND(F.lit(7)) * DIGEST).cast("int")
+        others = F.concat(F.substring(F.col("packed"), F.lit(1), at), F.substring(F.col("packed"), at + DIGEST + 1, F.lit(WIDTH * DIGEST)))
+        new = {"proof": F.concat("proof", F.coalesce(others, F.lit(b"")))}
+        if k == 0:
+            new["member"] = F.substring(F.col("packed"), at + 1, F.lit(DIGEST))
+        rows = rows.withColumns(new).drop("step", "packed")
+    return rows
+
+
 def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", group_col: str = "lang", chars_col: str = "n_chars",
              text_col: str = "text", tampered: Column | None = None) -> DataFrame:
     """(id, leaf, subroot, root, proof_sha256, folded_root, verified) of every row; digests in lower-case hex.
@@ -187,26 +213,34 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         top = x if top is None else top.union(x)
     sizes = named.select(F.col("g").alias("of"), F.col("n").alias("leaves"))
     start = (_linked(leaves.withColumn("lv", F.lit(0)), sizes, top, total.rows)
-             .select("g", "doc_id", "leaf", "up_g", "up_lv", "up_ix", "slot", "low", "folded", F.lit(b"").alias("proof")))
+             .select("g", "doc_id", "up_g", "up_lv", "up_ix", "slot", "low", "folded", F.array().cast("array<bigint>").alias("path"), "leaf"))
     runs = None
     for x in (*levels, *over):
         runs = x if runs is None else runs.union(x)
-    with _no_row_limit(spark):
-        if runs is not None:                                 # else there is one leaf at most
-            light = F.when(F.col("g") == TOP, F.col("weight") * SHARE <= total.rows).otherwise(
-                _holds(F.col("lv"), F.col("ix"), F.col("leaves_")) * SHARE <= total.rows)
-            named_ = sizes.select(F.col("of").alias("of_"), F.col("leaves").alias("leaves_"))
-            runs = runs.join(named_, F.col("g") == F.col("of_"), "left").withColumn("light", light)
-            runs = staged(_linked(runs, sizes, top, total.rows).select(
-                F.col("g").alias("of_g"), F.col("lv").alias("of_lv"), F.col("ix").alias("of_ix"), "up_g", "up_lv", "up_ix", "slot", "low", "packed", "light"), "merkle-runs")
-            if runs.where("light").limit(1).count():
-                start = staged(_climb(start, runs.where("light"), False).where("not low"), "merkle-climb")
-            start = _climb(start, runs.where("not light"), True).where("up_g is null")
-        done = staged(start.select("g", "doc_id", F.lower(F.hex("leaf")).alias("leaf"), F.lower(F.hex("folded")).alias("folded_root"),
-                                   F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256")), "merkle-climbed")
+    if runs is None:                                         # one leaf at most
+        done = start.select("g", "doc_id", "leaf", "folded", F.lit(b"").alias("proof"))
+    else:
+        light = F.when(F.col("g") == TOP, F.col("weight") * SHARE <= total.rows).otherwise(
+            _holds(F.col("lv"), F.col("ix"), F.col("leaves_")) * SHARE <= total.rows)
+        named_ = sizes.select(F.col("of").alias("of_"), F.col("leaves").alias("leaves_"))
+        runs = runs.join(named_, F.col("g") == F.col("of_"), "left").withColumn("light", light)
+        runs = staged(_linked(runs, sizes, top, total.rows).select(
+            F.monotonically_increasing_id().alias("run"), F.col("g").alias("of_g"), F.col("lv").alias("of_lv"), F.col("ix").alias("of_ix"),
+            "up_g", "up_lv", "up_ix", "slot", "low", "packed", "light"), "merkle-runs")
+        # Levels with low runs, TOP for those of the tree over the groups.
+        low_levels = [r[0] for r in runs.where("light").select(F.when(F.col("of_g") == TOP, TOP).otherwise(F.col("of_lv"))).distinct().collect()]
+        with _no_row_limit(spark):
+            climb = start.drop("leaf")
+            if low_levels:
+                climb = staged(_climb(climb, runs.where("light"), False).where("not low"), "merkle-climb")
+            climb = staged(_climb(climb, runs.where("not light"), True).where("up_g is null"), "merkle-climb")
+        steps = climb.agg(F.coalesce(F.max(F.size("path")), F.lit(0))).first()[0]
+        done = _siblings(climb, runs, steps, low_levels).withColumn("leaf", F.col("member"))
     out = done.join(subroots.select(F.col("g").alias("of"), F.lower(F.hex("digest")).alias("subroot")), F.col("g") == F.col("of"))
-    return out.select(F.col("doc_id").alias(id_col), "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
-                      (F.col("folded_root") == root).alias("verified"))
+    folded = F.lower(F.hex("folded"))
+    return out.select(F.col("doc_id").alias(id_col), F.lower(F.hex("leaf")).alias("leaf"), "subroot", root.alias("root"),
+                      F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"), folded.alias("folded_root"),
+                      (folded == root).alias("verified"))
 
 
 def every_third(id_col: str = "doc_id") -> Column:
