@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from climastar.functions.digests import content_sums
 from climastar.functions.keys import row_fingerprint
 from climastar.sources.contracts import conform, constraint_rules
+from climastar.sources.sinks import Receipt
 
 
 class EmptySourceError(RuntimeError):
@@ -99,6 +101,48 @@ def row_count_match(table: str, rows_written: int, read_back: DataFrame) -> Data
     )
 
 
+def content_match(table: str, written: Receipt, read_back: DataFrame) -> DataFrame:
+    """(table, rows_written, rows_read, passed) for one written table: ``passed`` if what is read back is the same multiset
+    of rows, by the digest observed during the write.  Equal counts with one changed value fail."""
+    return read_back.agg(*content_sums(read_back)).select(
+        F.lit(table).alias("table"), F.lit(written.rows).cast("long").alias("rows_written"), F.col("rows").alias("rows_read"),
+        ((F.col("rows") == written.rows) & (F.col("sum1") == written.sum1) & (F.col("sum2") == written.sum2)).alias("passed"))
+
+
+def file_manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(file, bytes, rows, digest) of every Parquet file under ``path``; rows and digest are NULL if nothing of it could be decoded.
+
+    The files are listed with their size; every column of every row is
+    decoded and digested, grouped by the file that Spark's metadata column
+    names.  A damaged file ends early or gives no rows instead of failing the
+    others.  ``file`` is the path below ``path``.
+    """
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+              .select("path", F.col("length").alias("bytes")))
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
+    one, two = row_fingerprint(rows, [f.name for f in schema.fields])
+    marked = rows.select(F.col("_metadata.file_path").alias("of"), one, two)
+    total = [F.sum(F.col(c).cast("decimal(38,0)")).cast("string").alias(c) for c in ("__fp1", "__fp2")]
+    decoded = (marked.groupBy("of").agg(F.count(F.lit(1)).alias("rows"), *total)
+               .select("of", "rows", F.concat_ws(":", "rows", "__fp1", "__fp2").alias("digest")))
+    # Both name a file by its URI, which may have one or three slashes after the scheme.
+    name = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")                          # noqa: E731
+    root = path.split(":", 1)[-1].rstrip("/") if ":" in path.split("/", 1)[0] else path.rstrip("/")
+    short = F.expr(f"substring(file, {len('/' + root.lstrip('/')) + 2})")
+    return (listed.join(decoded, name(F.col("path")) == name(F.url_decode("of")), "left")
+            .select(name(F.col("path")).alias("file"), "bytes", "rows", "digest").withColumn("file", short))
+
+
+def audit_files(manifest: DataFrame, now: DataFrame) -> DataFrame:
+    """(file, bytes, rows, rows_expected, status) of every file of either manifest (see ``file_manifest``): ``ok``, ``damaged`` (other rows
+    than written, or none that can be decoded), ``missing`` or ``added``."""
+    was = manifest.select(F.col("file").alias("was_file"), F.col("rows").alias("rows_expected"), F.col("digest").alias("was_digest"))
+    both = was.join(now, F.col("was_file") == F.col("file"), "full_outer")
+    status = (F.when(F.col("file").isNull(), "missing").when(F.col("was_file").isNull(), "added")
+              .when(F.col("digest").eqNullSafe(F.col("was_digest")), "ok").otherwise("damaged"))
+    return both.select(F.coalesce("file", "was_file").alias("file"), "bytes", "rows", "rows_expected", status.alias("status"))
+
+
 def readable(spark: SparkSession, tables: Mapping[str, str], expected: Mapping[str, T.StructType]) -> DataFrame:
     """(table, readable, schema_matches, rows_decoded) of written tables
     (name -> path): the schema is that of the files' footers, and every

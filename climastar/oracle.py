@@ -10,7 +10,7 @@ star join).
 
 from __future__ import annotations
 
-from climastar.plans.catalog import VETERAN_MAX_TEMPERATURE, VETERAN_MIN_TEMPERATURE
+from climastar.plans.catalog import CLUSTERED_CITY, CLUSTERED_YEAR, DELIVERY, VETERAN_MAX_TEMPERATURE, VETERAN_MIN_TEMPERATURE
 from climastar.plans.model import FACT_COLUMNS
 from climastar.plans.reports import LAPSE_RATE_PER_FT
 from climastar.sources.contracts import constraint_rules
@@ -210,6 +210,17 @@ def _constraints() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _broken(table: str) -> str:
+    """Broken rules of a row in declared order, joined."""
+    texts = []
+    for r in constraint_rules(table):
+        col = f'CAST("{r.column}" AS VARCHAR)'
+        bad, text = ((f'"{r.column}" IS NULL', f"{r.column}: not null") if r.rule == "not_null" else
+                     (f"length({col}) > {r.limit}", f"{r.column}: at most {r.limit} characters"))
+        texts.append(f"CASE WHEN {bad} THEN '{text}' END")
+    return f"concat_ws('; ', {', '.join(texts)})"
+
+
 _MODEL_TABLES = [("fact_table", "fact0"), ("dimension_table_airport", "dim_airport"),
                  ("dimension_table_demographics", "dim_demographics")]
 
@@ -246,12 +257,39 @@ def oracle_sql() -> dict[str, str]:
     q["table_reset"] = _with() + (
         "SELECT year, mon, average_temperature, average_temperature_uncertainty, city, country, "
         "CAST(latitude AS VARCHAR) AS latitude, CAST(longitude AS VARCHAR) AS longitude FROM t_clean")
-    q["table_reset_all"] = _with(IMMIGRATION, STATE_TEMPERATURES) + (
-        "SELECT 'cities_demog' AS \"table\", count(*) AS rows FROM d_clean "
-        "UNION ALL SELECT 'airport_codes', count(*) FROM a_clean "
-        "UNION ALL SELECT 'immigration', count(*) FROM v_immigration WHERE length(gender) <= 1 "
-        "UNION ALL SELECT 'city_surface_temps', count(*) FROM t_clean "
-        "UNION ALL SELECT 'state_surface_temps', count(*) FROM v_state")
+    q["table_reset_all"] = _with(IMMIGRATION, STATE_TEMPERATURES) + " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM {src}" for t, src in (
+            ("cities_demog", "d_clean"), ("airport_codes", "a_clean"), ("immigration", "orders"),
+            ("city_surface_temps", "t_clean"), ("state_surface_temps", "v_state")))
+    q["quarantine_load"] = _with(IMMIGRATION) + " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", {_broken(t)} AS violations, count(*) AS rows FROM {src} GROUP BY ALL" for t, src in (
+            ("airport_codes", "a_clean"), ("immigration", "v_immigration")))
+    q["scan_csv_malformed"] = _with() + (
+        "SELECT CASE WHEN \"type\" <> 'heliport' THEN ident END AS ident, "
+        "CASE WHEN \"type\" = 'heliport' THEN ident || ',' || \"type\" || ',' || \"name\" END AS malformed FROM v_airport")
+    q["scan_json_malformed"] = _with() + """SELECT CASE WHEN race <> 'BUILDING' THEN city END AS city, CASE WHEN race <> 'BUILDING' THEN race END AS race,
+  CASE WHEN race = 'BUILDING' THEN '{"city":"' || city || '","race":"' || race || '","state_code":"' || state_code || '"' END AS malformed
+FROM v_demographics"""
+    q["publish_versions"] = _with() + (
+        "SELECT 1 AS version, municipality, ident FROM a_clean WHERE \"type\" = 'heliport' "
+        "UNION ALL SELECT 2, municipality, ident FROM a_clean")
+    q["incremental_rebuild"] = _with(f"late AS (SELECT DISTINCT year FROM t_clean WHERE year > {DELIVERY[0]} OR (year = {DELIVERY[0]} AND mon >= {DELIVERY[1]}))") + (
+        "SELECT year, count(*) AS fact_rows, year IN (SELECT year FROM late) AS rewritten FROM fact0 GROUP BY year")
+    q["fact_clustered_city"] = _with(FACT) + f"SELECT * FROM fact WHERE city = '{CLUSTERED_CITY}' AND year = {CLUSTERED_YEAR}"
+    q["dq_content_match"] = _with() + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows_written, count(*) AS rows_read, true AS passed FROM {rel}" for name, rel in _MODEL_TABLES)
+    q["dq_file_audit"] = _with() + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", 'ok' AS status, count(*) AS rows FROM {rel}" for name, rel in _MODEL_TABLES)
+    q["adjust_joint"] = _with("""m AS (
+  SELECT t.city, t.t, a.e, a.l FROM (SELECT city, round(favg(average_temperature), 6) AS t FROM (SELECT DISTINCT average_temperature, average_temperature_uncertainty, city, country, year, mon FROM t_clean) GROUP BY city) t
+  JOIN (SELECT municipality, favg(elevation_ft) AS e, favg(latitude) AS l FROM dim_airport GROUP BY municipality) a ON t.city = a.municipality
+  WHERE t.city IN (SELECT city FROM dim_demographics)),
+f AS (SELECT avg(t) AS mt, avg(e) AS me, avg(l) AS ml, covar_pop(e, e) AS ee, covar_pop(l, l) AS ll, covar_pop(e, l) AS el, covar_pop(t, e) AS te, covar_pop(t, l) AS tl
+      FROM m WHERE t IS NOT NULL AND e IS NOT NULL AND l IS NOT NULL),
+s AS (SELECT *, CASE WHEN ee * ll - el * el > 1e-9 * ee * ll THEN ee * ll - el * el END AS det FROM f),
+b AS (SELECT *, (te * ll - tl * el) / det AS be, (tl * ee - te * el) / det AS bl FROM s)""") + """SELECT city, t AS average_temperature, round(e, 6) AS mean_elevation_ft, round(l, 6) AS mean_latitude,
+  round(be, 4) AS elevation_slope, round(bl, 4) AS latitude_slope, round(mt + be * (e - me) + bl * (l - ml), 4) AS expected_temperature,
+  round(t - (mt + be * (e - me) + bl * (l - ml)), 4) AS residual FROM m CROSS JOIN b"""
     q["schema_conform_immigration"] = _with(IMMIGRATION) + "SELECT * FROM v_immigration"
     q["schema_conform_state_temperatures"] = _with(STATE_TEMPERATURES) + "SELECT * FROM v_state"
     q["schema_conform_demographics"] = _with() + "SELECT * FROM d_clean"

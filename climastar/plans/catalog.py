@@ -21,26 +21,29 @@ from climastar.operators.filters import drop_missing, equals
 from climastar.operators.joins import fanout_join
 from climastar.operators.projection import drop, rename
 from climastar.operators.quality import (
-    constraint_violations, duplicate_summary, non_empty_flags, qa_report, readable,
-    row_count_match,
+    audit_files, constraint_violations, content_match, duplicate_summary, file_manifest, non_empty_flags, qa_report,
+    readable, row_count_match,
 )
 from climastar.plans import reports as R
 from climastar.plans.clean import (
     TEMPERATURE_RENAMES, CleanInputs, clean_airports, clean_all, clean_demographics,
     clean_temperatures, gate,
 )
+from climastar.plans.incremental import read_fact, rebuild_fact
 from climastar.plans.model import (
     DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, FACT_COLUMNS, FACT_TEMPERATURE_COLUMNS,
-    StarModel, build_dim_airport, build_dim_demographics, build_fact, model_from_clean, read_model,
+    FactSource, StarModel, build_dim_airport, build_dim_demographics, build_fact, model_from_clean, read_model,
     table_schema, write_model,
 )
 from climastar.plans.pipeline import RawInputs, run_pipeline
 from climastar.session import new_run_dir
 from climastar.sources import contracts
+from climastar.sources.publish import publish, read_published
+from climastar.sources.quarantine import quarantine_load
 from climastar.sources.readers import (
-    read_csv_strings, read_demographics_json, read_parquet, source_path,
+    read_csv_checked, read_csv_strings, read_demographics_checked, read_demographics_json, read_parquet, source_path,
 )
-from climastar.sources.sinks import write_parquet_overwrite
+from climastar.sources.sinks import clustered, write_parquet_overwrite, write_parquet_receipt
 from climastar.sources.standins import (
     STANDIN_COUNTRY, raw_airports, raw_demographics, raw_immigration, raw_temperatures,
     state_temperatures,
@@ -115,6 +118,77 @@ def q_sink_parquet_overwrite(spark, sf):
     return read_parquet(spark, path)
 
 
+AIRPORT_COLUMNS = ["ident", "type", "name", "elevation_ft", "continent", "iso_country", "iso_region", "municipality", "gps_code", "iata_code",
+                   "local_code", "coordinates"]
+
+
+def q_scan_csv_malformed(spark, sf):
+    """Airports in a CSV whose lines of heliports end after three fields: (ident, malformed), the id of a good record or the text of
+    a damaged one."""
+    path = new_run_dir(spark, "csv-damaged") + "/airports"
+    raw = raw_airports(spark, sf)
+    cut = F.col("type") == "heliport"
+    line = F.to_csv(F.struct(*AIRPORT_COLUMNS))
+    text = F.when(cut, F.concat_ws(",", "ident", "type", "name")).otherwise(line)
+    # The header of every file is its first line.
+    header = F.lit(",".join(AIRPORT_COLUMNS))
+    files = raw.select(F.spark_partition_id().alias("p"), text.alias("value"))
+    heads = files.select("p").distinct().select("p", header.alias("value"), F.lit(0).alias("o"))
+    tagged = heads.unionByName(files.withColumn("o", F.lit(1))).repartition(4, "p").sortWithinPartitions("p", "o")
+    tagged.select("p", "value").write.partitionBy("p").text(path)
+    checked = read_csv_checked(spark, path, AIRPORT_COLUMNS)
+    return checked.rows.select(F.when(F.col("malformed").isNull(), F.col("ident")).alias("ident"), "malformed")
+
+
+def q_scan_json_malformed(spark, sf):
+    """Demographics in JSON lines, those of one segment without their closing brace: (city, race, malformed)."""
+    path = new_run_dir(spark, "json-damaged") + "/demographics"
+    raw = raw_demographics(spark, sf)
+    text = F.to_json(F.struct("city", "race", "state_code"))
+    damaged = F.when(F.col("race") == "BUILDING", F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    raw.select("race", text.alias("value")).select(damaged.alias("value")).write.text(path)
+    return read_demographics_checked(spark, path).rows.select("city", "race", "malformed")
+
+
+def q_publish_versions(spark, sf):
+    """Two versions of the airports, published one after the other: (version, municipality, ident) of both as they are read back."""
+    base = new_run_dir(spark, "published")
+    air = cleaned(spark, sf, "airports")
+    for rows in (air.where("type = 'heliport'"), air):
+        publish(spark, base, lambda path, rows=rows: {"airports": write_parquet_overwrite(rows, source_path(path, "airports"))})
+    schema = air.schema
+    return _union([read_published(spark, base, "airports", version, schema).select(F.lit(shown).alias("version"), "municipality", "ident")
+                   for version, shown in ((1, 1), (None, 2))])
+
+
+#: Day of the stand-in's last but one delivery.
+DELIVERY = (2001, 7)
+
+
+def q_incremental_rebuild(spark, sf):
+    """The fact built from a delivery that ends before ``DELIVERY``, then brought up to date with all temperatures:
+    (year, fact_rows, rewritten) of the stored fact."""
+    c = clean_inputs(spark, sf)
+    base = new_run_dir(spark, "incremental")
+    year, mon = DELIVERY
+    before = c.temperatures.where((F.col("year") < year) | ((F.col("year") == year) & (F.col("mon") < mon)))
+    rebuild_fact(FactSource(before, c.airports, c.demographics, "stable"), base)
+    done = rebuild_fact(FactSource(c.temperatures, c.airports, c.demographics, "stable"), base)
+    return read_fact(spark, base).groupBy("year").agg(F.count(F.lit(1)).alias("fact_rows")).withColumn("rewritten", F.col("year").isin(done.rewritten))
+
+
+#: City and year that are read from the clustered fact.
+CLUSTERED_CITY, CLUSTERED_YEAR, CLUSTERED_FILES = "NATION_6", 1997, 16
+
+
+def q_fact_clustered_city(spark, sf):
+    """One city's year from the fact written in ranges of city and year, whose other files are skipped by their statistics."""
+    path = new_run_dir(spark, "clustered")
+    write_parquet_overwrite(clustered(model(spark, sf).fact, ["city", "year"], CLUSTERED_FILES), path)
+    stored = spark.read.schema(table_schema("fact_table")).parquet(path)
+    return stored.where((F.col("city") == CLUSTERED_CITY) & (F.col("year") == CLUSTERED_YEAR))
+
+
 def q_preview_top20(spark, sf):
     return R.preview(R.report_city_climate(model(spark, sf)), 20)
 
@@ -151,21 +225,43 @@ def contract_inputs(spark, sf) -> dict[str, DataFrame]:
             "immigration": raw_immigration(spark, sf), "city_surface_temps": t, "state_surface_temps": state_temperatures(t)}
 
 
+def loadable_immigration(immigration: DataFrame) -> DataFrame:
+    """Immigration with a gender of one letter, as declared: ``U`` for anything but M and F."""
+    gender = F.when(F.col("gender").isin("M", "F"), F.col("gender")).when(F.col("gender").isNotNull(), "U")
+    return immigration.withColumn("gender", gender)
+
+
 def q_table_reset_all(spark, sf):
-    """Reset and load all five declared tables twice: (table, rows).  Rows of
-    ``immigration`` with a gender longer than declared are left out, as the
-    table enforces the length."""
+    """Reset and load all rows of all five declared tables twice, rows that break a rule into quarantine: (table, rows, rejected)."""
     loads = contract_inputs(spark, sf)
     loads["airport_codes"] = loadable_airports(loads["airport_codes"])
-    loads["immigration"] = loads["immigration"].where(F.length("gender") <= 1)
+    loads["immigration"] = loadable_immigration(loads["immigration"])
     base, db = _own_database(spark)
     names = list(contracts.CONTRACTS)
     for _ in range(2):
         contracts.reset_tables(spark, names, base, db)
-        for name, df in loads.items():
-            contracts.load_table(df, name, db)
-    parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
-             for n in names]
+        done = {name: quarantine_load(spark, df, name, db) for name, df in loads.items()}
+    parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(n).alias("table"), "rows", F.lit(done[n].rejected).cast("long").alias("rejected")) for n in names]
+    return _union(parts)
+
+
+def q_quarantine_load(spark, sf):
+    """Airports and immigration as they come, both with values longer than declared: (table, violations, rows) of the accepted rows
+    (no violations) and of the rejected ones by the rules they break."""
+    loads = {name: df for name, df in contract_inputs(spark, sf).items() if name in ("airport_codes", "immigration")}
+    base, db = _own_database(spark)
+    contracts.reset_tables(spark, list(loads), base, db)
+    parts = []
+    for name, df in loads.items():
+        quarantine_load(spark, df, name, db)
+        accepted = spark.table(f"{db}.{name}").select(F.lit("").alias("violations"))
+        rejected = spark.table(f"{db}.{name}_rejected").select(F.array_join("violations", "; ").alias("violations"))
+        parts.append(accepted.union(rejected).groupBy("violations").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "violations", "rows"))
+    return _union(parts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -368,6 +464,31 @@ def q_dq_row_count_match(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def q_dq_content_match(spark, sf):
+    """Content of the three tables as read back against the digest observed while each was written: (table, rows_written, rows_read, passed)."""
+    out = new_run_dir(spark, "content")
+    parts = []
+    for name, df in model(spark, sf).tables().items():
+        path = source_path(out, name)
+        receipt = write_parquet_receipt(df, path, name)
+        parts.append(content_match(name, receipt, spark.read.schema(df.schema).parquet(path)))
+    return _union(parts)
+
+
+def q_dq_file_audit(spark, sf):
+    """Files of the three written tables against the manifest taken after the write: (table, status, rows)."""
+    out, _, stored = _written_model(spark, sf)
+    parts = []
+    for name in stored.tables():
+        path, schema = source_path(out, name), table_schema(name)
+        kept = new_run_dir(spark, "manifest")
+        write_parquet_overwrite(file_manifest(spark, path, schema), kept)
+        manifest = spark.read.schema("file string, bytes long, rows long, digest string").parquet(kept)
+        parts.append(audit_files(manifest, file_manifest(spark, path, schema)).groupBy("status").agg(F.sum("rows").alias("rows"))
+                     .select(F.lit(name).alias("table"), "status", "rows"))
+    return _union(parts)
+
+
 def q_dq_duplicates(spark, sf):
     """Of the written tables, on their business columns.  The fact's key is a
     hash of exactly those, so it stands for them."""
@@ -441,6 +562,10 @@ def q_adjust_latitude(spark, sf):
     return R.adjust_latitude(model(spark, sf))
 
 
+def q_adjust_joint(spark, sf):
+    return R.adjust_joint(model(spark, sf))
+
+
 def q_report_city_female(spark, sf):
     return R.report_city_female(model(spark, sf))
 
@@ -448,11 +573,16 @@ def q_report_city_female(spark, sf):
 QUERIES: dict[str, Query] = {
     "scan_csv_strings": q_scan_csv_strings,
     "scan_json": q_scan_json,
+    "scan_csv_malformed": q_scan_csv_malformed,
+    "scan_json_malformed": q_scan_json_malformed,
     "scan_parquet": q_scan_parquet,
     "sink_parquet_overwrite": q_sink_parquet_overwrite,
+    "publish_versions": q_publish_versions,
+    "incremental_rebuild": q_incremental_rebuild,
     "preview_top20": q_preview_top20,
     "table_reset": q_table_reset,
     "table_reset_all": q_table_reset_all,
+    "quarantine_load": q_quarantine_load,
     "schema_conform": q_schema_conform,
     "schema_conform_demographics": q_schema_conform_demographics,
     "schema_conform_temperatures": q_schema_conform_temperatures,
@@ -480,13 +610,16 @@ QUERIES: dict[str, Query] = {
     "hemisphere_coordinate_udf": q_hemisphere_coordinate_udf,
     "dq_non_empty": q_dq_non_empty,
     "dq_readable": q_dq_readable,
+    "dq_file_audit": q_dq_file_audit,
     "dq_row_count_match": q_dq_row_count_match,
+    "dq_content_match": q_dq_content_match,
     "dq_duplicates": q_dq_duplicates,
     "dq_report": q_dq_report,
     "clean_demographics": q_clean_demographics,
     "clean_airports": q_clean_airports,
     "clean_temperatures": q_clean_temperatures,
     "fact_city_airport": q_fact_city_airport,
+    "fact_clustered_city": q_fact_clustered_city,
     "dim_airport": q_dim_airport,
     "dim_demographics": q_dim_demographics,
     "report_city_climate": q_report_city_climate,
@@ -496,5 +629,6 @@ QUERIES: dict[str, Query] = {
     "rank_veteran_cities": q_rank_veteran_cities,
     "adjust_elevation": q_adjust_elevation,
     "adjust_latitude": q_adjust_latitude,
+    "adjust_joint": q_adjust_joint,
     "report_city_female": q_report_city_female,
 }

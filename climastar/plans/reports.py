@@ -162,6 +162,10 @@ def adjust_elevation(model: StarModel, lapse_rate_per_ft: float = LAPSE_RATE_PER
                 MEAN_DIGITS).alias("sea_level_temperature"))
 
 
+#: Of the product of the variances: a determinant below this share counts as zero.
+COLLINEAR = 1e-9
+
+
 def adjust_latitude(model: StarModel) -> DataFrame:
     """(city, average_temperature, mean_latitude, expected_temperature,
     residual): the temperature that a straight line over the cities' mean
@@ -183,3 +187,30 @@ def adjust_latitude(model: StarModel) -> DataFrame:
         "city", "average_temperature", F.round("mean_latitude", MEAN_DIGITS).alias("mean_latitude"),
         F.round(fitted, 4).alias("expected_temperature"),
         F.round(F.col("average_temperature") - fitted, 4).alias("residual"))
+
+
+def adjust_joint(model: StarModel) -> DataFrame:
+    """(city, average_temperature, mean_elevation_ft, mean_latitude, elevation_slope, latitude_slope, expected_temperature, residual):
+    the plane of least squares over elevation and latitude together, fitted over the cities' means, and what is left of a city's mean.
+
+    The fit needs the variances and covariances of three columns, which merge from
+    partial aggregates; the two normal equations are solved in one
+    expression.  With fewer than three cities, or if elevation and latitude lie on a line, there is no plane and the
+    last four are NULL.
+    """
+    temp = city_mean_temperature(model)
+    where = model.dim_airport.groupBy("municipality").agg(F.avg("elevation_ft").alias("e"), F.avg("latitude").alias("l"))
+    demo = model.dim_demographics.select(F.col("city").alias("__d_city")).distinct()
+    j = (temp.join(where, temp.city == where.municipality).join(demo, temp.city == demo.__d_city, "left_semi")
+         .select("city", F.col("average_temperature").alias("t"), "e", "l"))
+    both = j.where("t is not null and e is not null and l is not null")
+    fit = both.agg(*[F.avg(c).alias(f"m{c}") for c in "tel"], *[F.covar_pop(a, b).alias(a + b) for a, b in ("ee", "ll", "el", "te", "tl")])
+    det = F.col("ee") * F.col("ll") - F.col("el") * F.col("el")
+    solvable = det > F.lit(COLLINEAR) * F.col("ee") * F.col("ll")
+    fit = fit.select("mt", "me", "ml", F.when(solvable, (F.col("te") * F.col("ll") - F.col("tl") * F.col("el")) / det).alias("be"),
+                     F.when(solvable, (F.col("tl") * F.col("ee") - F.col("te") * F.col("el")) / det).alias("bl"))
+    plane = F.col("mt") + F.col("be") * (F.col("e") - F.col("me")) + F.col("bl") * (F.col("l") - F.col("ml"))
+    return j.join(fit.withColumn("one", F.lit(1)), F.lit(1) == F.col("one")).select(
+        "city", F.col("t").alias("average_temperature"), F.round("e", MEAN_DIGITS).alias("mean_elevation_ft"), F.round("l", MEAN_DIGITS).alias("mean_latitude"),
+        F.round("be", 4).alias("elevation_slope"), F.round("bl", 4).alias("latitude_slope"),
+        F.round(plane, 4).alias("expected_temperature"), F.round(F.col("t") - plane, 4).alias("residual"))

@@ -4,8 +4,9 @@ same code reads ``file:``, ``hdfs://`` or object-store locations."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +81,53 @@ def read_demographics_json(spark: SparkSession, path: str, multi_line: bool = Fa
                            for c, names in DEMOGRAPHICS_SPELLINGS.items()])
 
 
+@dataclass
+class Checked:
+    """A scan with its damaged records: ``rows`` has column ``malformed``, the text of a record that could not be read, NULL for a good
+    one.  ``counts()`` gives the records and the malformed ones, observed during the first full scan of ``rows``."""
+
+    rows: DataFrame
+    observed: Observation
+
+    @property
+    def records(self) -> DataFrame:
+        return self.rows.where("malformed is null").drop("malformed")
+
+    @property
+    def damaged(self) -> DataFrame:
+        """The texts of the damaged records."""
+        return self.rows.where("malformed is not null").select("malformed")
+
+    def counts(self) -> tuple[int, int]:
+        got = self.observed.get
+        return got["records"], got["malformed"]
+
+
+def _checked(rows: DataFrame) -> Checked:
+    seen = Observation()
+    return Checked(rows.observe(seen, F.count(F.lit(1)).alias("records"), F.count("malformed").alias("malformed")), seen)
+
+
+def read_csv_checked(spark: SparkSession, path: str, columns: Sequence[str]) -> Checked:
+    """CSV with a header row and the given columns, all text.  A line with fewer or more fields, or with a quote that does not end, is
+    malformed and keeps its text."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "malformed")])
+    rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "malformed")
+            .option("enforceSchema", True).option("columnPruning", False).csv(path))     # else a short line shows only if its last field is asked for
+    # Spark refuses to read the text of damaged lines alone; this one also asks for nothing of the first field.
+    text = F.concat("malformed", F.substring(F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")), 1, 0))
+    return _checked(rows.withColumn("malformed", text))
+
+
+def read_demographics_checked(spark: SparkSession, path: str) -> Checked:
+    """City demographics in JSON lines, as ``read_demographics_json`` reads them; a line that is no JSON object is malformed and keeps its
+    text.  Blank lines are no records."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}).alias("m"))
+    fields = [F.coalesce(*[F.try_element_at("m", F.lit(n)) for n in names]).alias(c) for c, names in DEMOGRAPHICS_SPELLINGS.items()]
+    return _checked(parsed.select(*fields, F.when(F.col("m").isNull(), F.col("value")).alias("malformed")))
+
+
 def read_parquet(spark: SparkSession, path: str,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan; a column list shows up as the scan's ReadSchema."""
