@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections import defaultdict
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,10 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words kept encoded in a Python worker, and the text taken into one index.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+CACHE_CHARS = 20_000_000
 BATCH_CHARS = 2_000_000
-#: Words in one index; its lists take some 100 bytes a character.
+#: Words in one index, and their characters; a longer word has an index of its own, of some 30 bytes a character.
 LEARN_WORDS = 25_000
+LEARN_CHARS = 1_000_000
+_MANY = 48                   # occurrences merged by numpy,
+_BLOCK = 1 << 20             # so many at a time
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -58,7 +62,7 @@ class Tokenizer:
             self.bytes_of[i] = bytes(alphabet[c] for c in token)
         ids = {b: i for i, b in self.bytes_of.items()}
         self.byte_ids = np.array([ids[bytes([b])] for b in range(256)], np.int64)
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[int, tuple[int, int]] = {}           # by both symbols
         vocab = model["vocab"]
         made: set[str] = set(alphabet)
         for r, m in enumerate(model["merges"]):
@@ -66,7 +70,7 @@ class Tokenizer:
             if a not in made or b not in made or a + b in made:
                 raise ValueError("merges must be in the order in which their parts are made")
             made.add(a + b)
-            self.rank[vocab[a], vocab[b]] = (r, vocab[a + b])
+            self.rank[(vocab[a] << 32) + vocab[b]] = (r, vocab[a + b])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("added tokens with strip or single_word are not supported")
@@ -75,7 +79,10 @@ class Tokenizer:
         self.words = words.findall
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")").split \
             if self.added else None
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}                    # ids of a word, as 32-bit integers
+        self.older: dict[str, bytes] = {}
+        self.cached = 0                                      # characters of the words in the younger cache
+        self.pieces = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
 
     def split(self, text: str) -> list[str]:
         """Words in order; added tokens stand as words of their own."""
@@ -87,16 +94,31 @@ class Tokenizer:
         return out
 
     def learn(self, words: set[str]) -> None:
-        """Encode words that are not in the cache yet, together, by the pair index."""
-        new = sorted(words - self.cache.keys())
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = sorted(words)
-        for at in range(0, len(new), LEARN_WORDS):
-            part = new[at:at + LEARN_WORDS]
-            plain = [w for w in part if w not in self.added]
-            self.cache.update({w: (self.added[w],) for w in part if w in self.added})
-            self.cache.update(zip(plain, merge_words(plain, self.byte_ids, self.rank)))
+        """Encode words that are not in the cache yet, together, by the pair index.
+
+        The cache has two generations: when the younger one is full, it becomes the older one, whose words are taken
+        over when they are met again, so that frequent words stay."""
+        if len(self.cache) > CACHE_WORDS // 2 or self.cached > CACHE_CHARS // 2:
+            self.older, self.cache, self.cached = self.cache, {}, 0
+        new = words - self.cache.keys()
+        again = new & self.older.keys()
+        self.cache.update((w, self.older[w]) for w in again)
+        part: list[str] = []
+        size = 0
+        for w in new - again:
+            if part and (len(part) == LEARN_WORDS or size + len(w) > LEARN_CHARS):
+                self._encode(part)
+                part, size = [], 0
+            part.append(w)
+            size += len(w)
+        if part:
+            self._encode(part)
+        self.cached += sum(map(len, new))
+
+    def _encode(self, part: list[str]) -> None:
+        plain = [w for w in part if w not in self.added]
+        self.cache.update({w: np.array([self.added[w]], "<u4").tobytes() for w in part if w in self.added})
+        self.cache.update(zip(plain, merge_words(plain, self.byte_ids, self.rank)))
 
     def encode_batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [self.split(t) for t in texts]
@@ -104,53 +126,88 @@ class Tokenizer:
         self.learn(distinct)
         get = self.cache.__getitem__
         for words in split:
-            out: list[int] = []
-            for ids in map(get, words):
-                out += ids
-            yield np.array(out, "<u4")
+            yield np.frombuffer(b"".join(map(get, words)), "<u4")
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
 
-def merge_words(words: list[str], byte_ids: np.ndarray, rank: dict) -> list[tuple[int, ...]]:
-    """Token ids of each word.
+def merge_words(words: list[str], byte_ids: np.ndarray, rank: dict[int, tuple[int, int]]) -> list[bytes]:
+    """Token ids of each word, as little-endian unsigned 32-bit integers.
 
     ``sym`` holds the symbols of all words, each word followed by a separator -1;
-    ``nxt``/``prv`` link the living symbols.  Positions in an index list may be stale;
+    ``nxt``/``prv`` link the living symbols.  Positions in an index list may be stale or repeated;
     they are tested before use.  Merges only make pairs of higher rank (the vocabulary is
     checked for that), so ascending ranks over all words give what each word alone
-    would; positions of one list are merged from left to right.
+    would; positions of one list are merged from left to right, long lists a block at a time.
     """
     blobs = [w.encode("utf-8", "surrogatepass") for w in words]
     data = np.frombuffer(b"\0".join(blobs) + b"\0", np.uint8)
-    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
-    ends = np.cumsum(sizes + 1) - 1
-    symbols = byte_ids[data]
+    ends = np.cumsum(np.fromiter(map(len, blobs), np.int64, len(blobs)) + 1) - 1
+    n = len(data)
+    symbols = byte_ids.astype(np.int32)[data]
     symbols[ends] = -1
-    n = len(symbols)
-    # The first index: all adjacent pairs at once.
-    pairs = symbols[:-1] * (1 << 32) + symbols[1:]
-    pairs[(symbols[:-1] < 0) | (symbols[1:] < 0)] = -1
-    order = np.argsort(pairs, kind="stable")
-    keys, starts = np.unique(pairs[order], return_index=True)
-    lists = np.split(order, starts[1:])
-    where: dict[tuple[int, int], list[int]] = {}
-    heap: list[tuple[int, tuple[int, int]]] = []
-    for k, at in zip(keys.tolist(), lists):
-        if k >= 0 and (p := (k >> 32, k & 0xFFFFFFFF)) in rank:
-            where[p] = at.tolist()
-            heap.append((rank[p][0], p))
-    heapq.heapify(heap)
-    sym, nxt, prv = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+    # Arrays for single symbols, and numpy views of the same memory for many.
+    sym, nxt, prv = (array("i", x.tobytes()) for x in (symbols, np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)))
+    sym_, nxt_, prv_ = (np.frombuffer(x, np.int32) for x in (sym, nxt, prv))
+    del symbols
+    few: dict[int, list[int]] = {}                           # pair -> positions
+    many: dict[int, list[np.ndarray]] = {}                   # and more of them
+    heap: list[tuple[int, int]] = []
+
+    def found(pairs: np.ndarray, at: np.ndarray) -> None:
+        """Enters the positions of pairs into the index."""
+        order = np.argsort(pairs, kind="stable")
+        keys, at = pairs[order], at[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        for k, lo, hi in zip(keys[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]):
+            r = rank.get(k)
+            if r is not None:
+                mine = few.get(k)
+                if mine is None:
+                    mine = few[k] = []
+                    heapq.heappush(heap, (r[0], k))
+                if hi - lo < _MANY:
+                    mine.extend(at[lo:hi].tolist())
+                else:
+                    many.setdefault(k, []).append(at[lo:hi].astype(np.int32))
+
+    for lo in range(0, n - 1, _BLOCK):
+        one, two = sym_[lo:lo + _BLOCK].astype(np.int64), sym_[lo + 1:lo + 1 + _BLOCK].astype(np.int64)
+        good = np.flatnonzero((one[:len(two)] >= 0) & (two >= 0))
+        if len(good):
+            found((one[good] << 32) + two[good], good + lo)
     while heap:
-        _, pair = heapq.heappop(heap)
-        at = where.pop(pair, None)
+        pair = heapq.heappop(heap)[1]
+        at = few.pop(pair, None)
         if at is None:
             continue
-        a, b = pair
-        made = rank[pair][1]
-        fresh: dict[tuple[int, int], list[int]] = defaultdict(list)
+        large = many.pop(pair, [])
+        a, b, made = pair >> 32, pair & 0xFFFFFFFF, rank[pair][1]
+        if large or len(at) >= _MANY:
+            places = np.unique(np.concatenate([*large, np.array(at, np.int32)]))
+            for lo in range(0, len(places), _BLOCK):
+                i = places[lo:lo + _BLOCK]
+                i = i[sym_[i] == a]
+                i = i[sym_[nxt_[i]] == b]
+                if a == b and len(i):                        # of a run of equal symbols every second one begins a pair
+                    starts = np.concatenate([[True], nxt_[i[:-1]] != i[1:]])
+                    number = np.arange(len(i))
+                    i = i[(number - np.maximum.accumulate(np.where(starts, number, 0))) % 2 == 0]
+                if not len(i):
+                    continue
+                j = nxt_[i]
+                k = nxt_[j]
+                sym_[i], sym_[j] = made, -2                  # -2: merged into a symbol to its left
+                nxt_[i], prv_[k] = k, i
+                h = prv_[i]
+                left, right = np.where(h >= 0, sym_[h], -1).astype(np.int64), sym_[k].astype(np.int64)
+                x, y = left >= 0, right >= 0
+                new = np.concatenate([(left[x] << 32) + made, (made << 32) + right[y]])
+                if len(new):
+                    found(new, np.concatenate([h[x], i[y]]))
+            continue
+        at.sort()
         for i in at:
             if sym[i] != a:
                 continue
@@ -158,26 +215,27 @@ def merge_words(words: list[str], byte_ids: np.ndarray, rank: dict) -> list[tupl
             if sym[j] != b:
                 continue
             k, h = nxt[j], prv[i]
-            sym[i], sym[j] = made, -2                 # -2: merged into a symbol to its left
+            sym[i] = made
+            sym[j] = -2
             nxt[i], prv[k] = k, i
-            if h >= 0 and sym[h] >= 0:
-                fresh[sym[h], made].append(h)
+            beside = [(sym[h] << 32) + made, h] if h >= 0 and sym[h] >= 0 else []
             if sym[k] >= 0:
-                fresh[made, sym[k]].append(i)
-        for p, more in fresh.items():
-            if p in rank:
-                if p in where:
-                    where[p] = sorted(where[p] + more)
-                else:
-                    where[p] = sorted(more)
-                    heapq.heappush(heap, (rank[p][0], p))
-    left = np.array(sym, np.int64)
-    alive = np.flatnonzero(left != -2)
-    flat = left[alive].tolist()
+                beside += [(made << 32) + sym[k], i]
+            for p, q in zip(beside[::2], beside[1::2]):
+                r = rank.get(p)
+                if r is not None:
+                    mine = few.get(p)
+                    if mine is None:
+                        few[p] = [q]
+                        heapq.heappush(heap, (r[0], p))
+                    else:
+                        mine.append(q)
+    alive = np.flatnonzero(sym_ != -2)
+    flat = sym_[alive].astype("<u4").tobytes()
     out, start = [], 0
-    for end in np.searchsorted(alive, ends).tolist():
-        out.append(tuple(flat[start:end]))
-        start = end + 1
+    for end in (4 * np.searchsorted(alive, ends)).tolist():
+        out.append(flat[start:end])
+        start = end + 4
     return out
 
 

@@ -131,8 +131,11 @@ def test_bpe_columns_and_null_ids(spark):
     assert bpe.decode(spark.createDataFrame([(None,)], "ids array<int>"), tokenizer_path()).first().text is None
 
 
-def test_merges_by_rank_and_place():
-    """Against merging one pair at a time, lowest rank first, leftmost first."""
+@pytest.mark.parametrize("many,block", [(48, 1 << 20), (1, 7), (3, 1 << 20)])
+def test_merges_by_rank_and_place(monkeypatch, many, block):
+    """Against merging one pair at a time, lowest rank first, leftmost first; one by one, and all of a block at once."""
+    monkeypatch.setattr(bpe, "_MANY", many)
+    monkeypatch.setattr(bpe, "_BLOCK", block)
     ids = {bytes([b]): b for b in range(256)}
     rank, made = {}, {}
     for r, (a, b) in enumerate([(b"a", b"a"), (b"a", b"b"), (b"aa", b"aa"), (b"ab", b"ab"), (b"aa", b"b")]):
@@ -140,7 +143,7 @@ def test_merges_by_rank_and_place():
         rank[ids[a], ids[b]] = (r, 256 + r)
     rng = random.Random(1)
     words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 20))) for _ in range(200)]
-    got = bpe.merge_words(words, np.arange(256), rank)
+    got = bpe.merge_words(words, np.arange(256), {(a << 32) + b: r for (a, b), r in rank.items()})
     for w, ids_ in zip(words, got):
         s = list(w.encode())
         while True:
@@ -148,7 +151,37 @@ def test_merges_by_rank_and_place():
             if best is None:
                 break
             s[best[1]:best[1] + 2] = [best[0][1]]
-        assert list(ids_) == s
+        assert np.frombuffer(ids_, "<u4").tolist() == s
+
+
+def test_one_word_of_twenty_million_letters():
+    """Its memory stays within a few dozen bytes a letter, and the ids are those of the library on a part cut where no merge can cross."""
+    import resource
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(3)
+    part = "".join(rng.choice("abcdefghijklmnop") for _ in range(100_000)) + "a" * 100_000 + "ÿþ"
+    tok = bpe.Tokenizer(tokenizer_path())
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    ids, = tok.encode_batch([part * 100])
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_500_000       # kilobytes
+    assert tok.decode_bytes(ids).decode() == part * 100
+    one, = tok.encode_batch([part])
+    assert one.tolist() == Tokenizer.from_file(tokenizer_path()).encode(part, add_special_tokens=False).ids
+
+
+def test_cache_generations(monkeypatch):
+    """Words come and go; ids stay right."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 20)
+    monkeypatch.setattr(bpe, "LEARN_WORDS", 3)
+    tok, fresh = bpe.Tokenizer(tokenizer_path()), bpe.Tokenizer(tokenizer_path())
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [prose(rng, 12) for _ in range(3)]
+        got = [x.tolist() for x in tok.encode_batch(texts)]
+        assert got == [next(iter(fresh.encode_batch([t]))).tolist() for t in texts]
+        assert len(tok.cache) + len(tok.older) < 90
 
 
 # --- suffix arrays
