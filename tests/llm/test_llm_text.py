@@ -369,11 +369,126 @@ def test_lm_learns_context(spark):
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
 
 
-def test_lm_classes_are_a_distribution():
-    rng = np.random.default_rng(0)
-    w, bias = rng.normal(size=(maxent_lm.ROWS, 64)).astype(np.float32), np.zeros(64, np.float32)
-    feats = maxent_lm.contexts(rng.integers(0, 1 << 40, 50), np.zeros(50, np.int64))
-    assert np.allclose(maxent_lm.class_scores(w, bias, feats).sum(1), 1, atol=1e-5) and (feats >= 0).all() and (feats < maxent_lm.ROWS).all()
+@pytest.fixture(scope="module")
+def lm(spark):
+    """A small corpus, its vocabulary and model."""
+    rng = random.Random(9)
+    rows = [(i, prose(rng, rng.randint(1, 40)) if i % 9 else prose(rng, 30) + " rare" + str(i)) for i in range(300)]
+    learn = frame(spark, rows).select("text")
+    counts, follow = maxent_lm.count_words(learn)
+    voc = maxent_lm.vocabulary(counts, follow)
+    return rows, learn, voc, maxent_lm.train(learn, voc)
+
+
+def brute_rows(history, cls, bits):
+    """Rows of the table for one token: history has the hashes of the three words before, nearest first."""
+    mask = (1 << 64) - 1
+    p1, p2, p3 = history
+    keys = [p1 + 1, p1 * 31 + p2 * 0xC2B2AE3D + 2, p2 + (3 << 40), p3 + (5 << 40)]
+    one = (1 << bits) + 24 * (1 << bits - 4)
+    out = []
+    for j, k in enumerate(keys):
+        h = (k & mask) * 0x9E3779B97F4A7C15 & mask
+        out.append(j * one + ((h >> 64 - bits) if cls is None else (1 << bits) + (cls << bits - 4) + (h >> 64 - bits + 4)))
+    return out
+
+
+def brute_tokens(text, voc):
+    """(history, class, outcome in it or None) of every token."""
+    words = text.encode().lower().split() + [b"\n"]
+    hashes = [0x5EED + 3, 0x5EED + 2, 0x5EED + 1]
+    for i, w in enumerate(words):
+        before = [xxhash.xxh32_intdigest(words[i - k]) if i >= k else 0x5EED + k for k in (1, 2, 3)]
+        cls, member = voc.place.get(w) or (int(voc.shared[maxent_lm.ending(w)]), 0)
+        yield w, before, cls, (member if cls >= 40 else None)
+
+
+def brute_probability(model, history, cls, member):
+    out = 0.0
+    for kind, row_class, choice in [(0, None, cls)] + ([(cls - 39, cls - 40, member)] if member is not None else []):
+        s = np.log(model.vocabulary.prior[kind])
+        for r in brute_rows(history, row_class, model.bits):
+            s = s + model.size[model.place[r]] * model.steps[r]
+        out += s[choice] - np.log(np.exp(s - s.max()).sum()) - s.max()
+    return out
+
+
+def test_lm_feature_counts_and_weights_against_brute_force(spark, lm):
+    rows, learn, voc, model = lm
+    want = collections.Counter()
+    for _, t in rows:
+        for _, before, cls, member in brute_tokens(t, voc):
+            want.update((r, cls) for r in brute_rows(before, None, model.bits))
+            if member is not None:
+                want.update((r, member) for r in brute_rows(before, cls - 40, model.bits))
+    got = maxent_lm.feature_counts(learn, voc, model.bits)
+    assert {(r, o): got[r, o] for r, o in zip(*np.nonzero(got))} == want
+    assert np.allclose(maxent_lm.Model(voc, model.bits, got, model.size).steps, model.steps)
+    kinds, _ = maxent_lm.row_kinds(model.bits)
+    (r, o), n = want.most_common(1)[0]
+    prior = voc.prior[kinds[r], o]
+    assert math.isclose(model.steps[r, o], math.log((n + 4 * prior) / ((got[r].sum() + 4) * prior)), rel_tol=1e-4)
+
+
+def test_lm_scores_against_brute_force(spark, lm):
+    """Probabilities of held-out texts, token by token; those of all words and an unknown one sum to one at most."""
+    rows, learn, voc, model = lm
+    scorer = model.scorer()
+    layout = maxent_lm._Layout()
+    texts = ["the zebra of a zebra", "", "unseen WORDS rain, niño the of 7", "été"]
+    for i, c, context, _ in maxent_lm._pieces(iter(texts), maxent_lm._Codes(voc)):
+        layout.add(i, c, context)
+    d = layout.decisions(model.bits)
+    got = np.bincount(np.concatenate(layout.doc)[d.token], scorer(d), minlength=len(texts))
+    want = [sum(brute_probability(model, h, c, m) for _, h, c, m in brute_tokens(t, voc)) for t in texts]
+    assert np.allclose(got, want, atol=1e-3)
+    counts = collections.Counter(w for _, t in rows for w, *_ in brute_tokens(t, voc))
+    history = [xxhash.xxh32_intdigest(w) for w in (b"the", b"of", b"rain,")]
+    total, rest = 0.0, collections.defaultdict(float)
+    for w, c in counts.items():
+        cls, member = voc.place.get(w) or (int(voc.shared[maxent_lm.ending(w)]), 0)
+        if cls >= 40 and member == 0:
+            rest[cls] += c + 0.1
+        else:
+            total += math.exp(brute_probability(model, history, cls, member if cls >= 40 else None))
+    for cls in rest:
+        total += math.exp(brute_probability(model, history, cls, 0))
+    assert 0.9 < total < 1 + 1e-6
+
+
+def test_lm_slopes_are_those_of_the_likelihood(lm):
+    _, _, voc, model = lm
+    layout = maxent_lm._Layout()
+    for i, c, context, _ in maxent_lm._pieces(iter(["the of a zebra", "of the rain, zebra niño"]), maxent_lm._Codes(voc)):
+        layout.add(i, c, context)
+    d = layout.decisions(model.bits)
+    small = maxent_lm.Model(voc, model.bits, np.exp(model.steps).astype(int) % 7, model.size.copy())
+    grad, curve, value = small.slopes(d)
+    assert math.isclose(value, small.scorer()(d).sum(), rel_tol=1e-5)
+    curve = curve.reshape(len(grad), len(grad))
+    for at in np.argsort(-np.abs(grad))[:3]:
+        ends = []
+        for e in (0.01, -0.01):
+            other = maxent_lm.Model(voc, model.bits, np.exp(model.steps).astype(int) % 7, model.size.copy())
+            other.size[at] += e
+            ends.append(other.slopes(d))
+        assert math.isclose((ends[0][2] - ends[1][2]) / 0.02, grad[at], rel_tol=0.02, abs_tol=1e-3)
+        assert math.isclose((ends[1][0][at] - ends[0][0][at]) / 0.02, curve[at, at], rel_tol=0.02, abs_tol=1e-3)
+
+
+def test_lm_does_not_depend_on_tasks_or_blocks(spark, texts, monkeypatch):
+    rows = texts + [(400 + i, prose(random.Random(i), 60)) for i in range(60)]
+
+    def scores(parts):
+        return sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in maxent_lm.score(frame(spark, rows, parts)).collect())
+
+    want = scores(1)
+    assert scores(16) == want
+    monkeypatch.setattr(simhash_dedup, "_BLOCK", 64)                                # of a text: the context goes on over its ends
+    codes = maxent_lm._Codes(maxent_lm.Vocabulary(1, 1, {}, np.zeros(1), {}, np.full(256, 40), np.ones((25, 64))))
+    pieces = list(maxent_lm._pieces(iter([prose(random.Random(1), 100)]), codes))
+    assert len(pieces) > 3 and [context for _, _, context, _ in pieces] == [0] + [3] * (len(pieces) - 1)
+    assert all((b[:3] == a[-3:]).all() for (_, a, _, _), (_, b, _, _) in zip(pieces, pieces[1:]))
 
 
 # --- fingerprints
