@@ -38,11 +38,21 @@ def stable_key(df: DataFrame, columns: Sequence[str]) -> Column:
     two distinct rows share a key with probability about n^2 / 2^129
     (1e-15 for 10^12 rows).  128 bits instead of 256 halves the key, which is
     most of the fact table's bytes (random hex does not compress).
-    Built as one SQL expression (one JVM call instead of one per column part).
     """
+    return key_of_texts(key_text(df, columns))
+
+
+def key_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The text of ``columns`` that ``stable_key`` hashes.  Texts of the parts of a joined row, in order, make up the
+    row's text, so that each is built once, before the join repeats it.
+    Built as one SQL expression (one JVM call instead of one per column part)."""
     types = dict((f.name, f.dataType) for f in df.schema.fields)
-    parts = ", ".join(_canonical_sql(c, types[c]) for c in columns)
-    return F.expr(f"substring(sha2(concat({parts}), 256), 1, {KEY_HEX_CHARS})")
+    return F.expr(f"concat({', '.join(_canonical_sql(c, types[c]) for c in columns)})")
+
+
+def key_of_texts(*texts: Column) -> Column:
+    """``stable_key`` of a row whose parts have these texts."""
+    return F.substring(F.sha2(F.concat(*texts), 256), 1, KEY_HEX_CHARS)
 
 
 def monotonic_key() -> Column:

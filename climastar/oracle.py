@@ -385,6 +385,7 @@ FROM v_temperature"""
     q["dim_airport"] = _with() + "SELECT * FROM dim_airport"
     q["dim_demographics"] = _with() + "SELECT * FROM dim_demographics"
     q["report_city_climate"] = _with(_report_cte("total_population")) + "SELECT * FROM report"
+    q["report_city_climate_colocated"] = q["report_city_climate"]
     q["report_city_veterans"] = _with(_report_cte("veteran_population")) + "SELECT * FROM report"
     q["report_city_female"] = _with(_report_cte("female_population")) + "SELECT * FROM report"
     q["pipeline_end_to_end"] = _with() + _qa_rows()

@@ -29,6 +29,7 @@ from climastar.plans.clean import (
     TEMPERATURE_RENAMES, CleanInputs, clean_airports, clean_all, clean_demographics,
     clean_temperatures, gate,
 )
+from climastar.plans.colocated import bucket_count, read_colocated, write_colocated
 from climastar.plans.incremental import read_fact, rebuild_fact
 from climastar.plans.model import (
     DIM_AIRPORT_COLUMNS, DIM_DEMOGRAPHICS_COLUMNS, FACT_COLUMNS, FACT_TEMPERATURE_COLUMNS,
@@ -533,6 +534,15 @@ def q_report_city_climate(spark, sf):
     return R.report_city_climate(model(spark, sf))
 
 
+def q_report_city_climate_colocated(spark, sf):
+    """Report 1 over the tables bucketed by city."""
+    m = read_model(spark, _written_model(spark, sf)[0])
+    base, db = _own_database(spark)
+    buckets = bucket_count(m.fact.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_colocated(spark, m, base, db, buckets)
+    return R.report_city_climate(read_colocated(spark, db))
+
+
 def q_report_city_veterans(spark, sf):
     return R.report_city_veterans(model(spark, sf))
 
@@ -623,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "dim_airport": q_dim_airport,
     "dim_demographics": q_dim_demographics,
     "report_city_climate": q_report_city_climate,
+    "report_city_climate_colocated": q_report_city_climate_colocated,
     "report_city_veterans": q_report_city_veterans,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "influence_correlation": q_influence_correlation,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from climastar.functions.keys import monotonic_key, stable_key
+from climastar.functions.keys import key_of_texts, key_text, monotonic_key
 from climastar.operators.aggregates import dedup
 from climastar.operators.joins import Side, grid_join, key_counts
 from climastar.sources.readers import source_path
@@ -95,13 +95,19 @@ def _parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Columns that carry the key texts of the three parts through the join.
+_KEY_TEXTS = ("__t_text", "__a_text", "__d_text")
+
+
 def join_parts(t: DataFrame, a: DataFrame, d: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
-    """The fact from its three distinct parts."""
+    """The fact from its three distinct parts.  A part's share of the key's text is built before the join, once
+    a row; after it, where a row is repeated for every combination, the three are only put together and hashed."""
+    if key != "monotonic":
+        t, a, d = (part.withColumn(name, key_text(part, columns)) for part, name, columns in zip(
+            (t, a, d), _KEY_TEXTS, (FACT_TEMPERATURE_COLUMNS, FACT_AIRPORT_COLUMNS, FACT_DEMOGRAPHICS_COLUMNS)))
     tad = grid_join([Side(t, "city", True), Side(a, "municipality", True), Side(d, "__d_city", True)], tasks=tasks)
-    fact = tad.select(*[F.col(f"`{c}`") for c in FACT_COLUMNS])
-    if key == "monotonic":
-        return fact.withColumn("id", monotonic_key())
-    return fact.withColumn("id", stable_key(fact, FACT_COLUMNS))
+    columns = [F.col(f"`{c}`") for c in FACT_COLUMNS]
+    return tad.select(*columns, (monotonic_key() if key == "monotonic" else key_of_texts(*map(F.col, _KEY_TEXTS))).alias("id"))
 
 
 def build_fact(temperatures: DataFrame, airports: DataFrame, demographics: DataFrame,

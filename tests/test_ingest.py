@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from climastar.operators.quality import audit_files, content_match, file_manifest
+from climastar.plans.colocated import bucket_count, read_colocated, write_colocated
 from climastar.plans.incremental import read_fact, rebuild_fact
-from climastar.plans.model import FactSource, StarModel, build_fact
-from climastar.plans.reports import adjust_joint
+from climastar.plans.model import FactSource, StarModel, build_fact, build_model
+from climastar.plans.reports import adjust_joint, report_city_climate, report_city_veterans
 from climastar.session import new_run_dir
 from climastar.sources import contracts, publish as pub
 from climastar.sources.quarantine import quarantine_load
@@ -248,7 +249,27 @@ def test_a_rebuild_killed_before_its_digests_is_repeated(spark, parts, monkeypat
     assert rows_of(read_fact(spark, base)) == rows_of(build_fact(t2, a, d))
 
 
-# --- clustering, joint adjustment
+# --- layouts, joint adjustment
+
+def test_colocated_reports_need_no_exchange(spark, parts):
+    model = build_model(*parts)
+    base = new_run_dir(spark, "t-colocated")
+    db = "climastar_t_" + base.rsplit("-", 1)[1]
+    write_colocated(spark, model, base, db, 4)
+    write_colocated(spark, model, base, db, 4)                                     # replaces
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for report in (report_city_climate, report_city_veterans):
+            got = report(read_colocated(spark, db))
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "SortMergeJoin" in plan, plan
+            assert rows_of(got) == rows_of(report(model)) and got.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert (bucket_count(0, 1), bucket_count(5_000_001, 1), bucket_count(10, 5)) == (1, 2, 8)
+
+
 
 def test_clustered_files_hold_few_keys(spark):
     path = new_run_dir(spark, "t-clustered")
