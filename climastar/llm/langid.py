@@ -155,7 +155,8 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     size = keyed.groupBy("lang").agg(F.approx_count_distinct(F.struct("o", "h")).alias("n")).select(F.col("lang").alias("of"), "n")
     share = F.least(F.lit(1.0), F.lit(float(OVER * few)) / F.col("n"))
     near = F.col("o") * F.lit(2.0 ** -53) <= share           # 53 bits as a fraction
-    narrow = keyed.select("id", "lang", "o", "h").join(size, F.col("lang") == F.col("of")).where(near).select("id", "lang", "o", "h").distinct()
+    # A row for each language, of which the model has a column each: else all rows would be shuffled to their language.
+    narrow = keyed.select("id", "lang", "o", "h").join(F.broadcast(size), F.col("lang") == F.col("of")).where(near).select("id", "lang", "o", "h").distinct()
     order = Window.partitionBy("lang").orderBy("o", "id", "h")
     first = (narrow.withColumn("r", F.row_number().over(order)).where(F.col("r") <= few)
              .select(F.col("id").alias("chosen"), F.col("lang").alias("chosen_lang"), F.col("h").alias("chosen_h")))

@@ -412,8 +412,8 @@ def merged_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   as_text: bool = False) -> DataFrame:
-    """All columns of ``docs`` and ``__kept`` (binary, the bytes left), ``__n_bytes``, ``__n_removed``, ``__n_spans``.
+                   as_text: bool = False, drop_text: bool = False) -> DataFrame:
+    """All columns of ``docs`` (with ``drop_text`` all but the text, which then is shuffled once) and ``__kept`` (binary, the bytes left), ``__n_bytes``, ``__n_removed``, ``__n_spans``.
     With ``as_text``, ``__kept`` is a string, without the bytes of characters that lost some of theirs.
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else, in the same
@@ -422,14 +422,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shorter than ``length`` stay.  An empty table gives an empty result."""
     spans = repeated_spans(docs, id_col, text_col, length).select(
         F.col("id").alias("__rep"), F.col("digest").alias("__d"), F.col("copies").alias("__copies"), F.col("spans").alias("__spans"))
-    rows = docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    kept_fields = [f for f in docs.schema.fields if not (drop_text and f.name == text_col)]
+    names = [f.name for f in kept_fields]
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
     rows = rows.withColumn("__digest", text_digest(F.col("__text")))
     joined = rows.join(spans.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__rep")) & (F.col("__digest") == F.col("__d")), "left")
     # Rows without a partner are copies of another row's text.
     joined = joined.withColumn("__whole", F.coalesce(F.col("__copies") > 1, F.lit(True))).drop("__rep", "__d", "__digest", "__copies")
     extra = f"__kept {'string' if as_text else 'binary'}, __n_bytes long, __n_removed long, __n_spans long"
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    names = docs.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

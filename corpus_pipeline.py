@@ -31,7 +31,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the passages of 200 bytes or more that also are elsewhere; n_chars is that of the text left."""
-    found = suffix_dedup.remove_repeats(docs.select(F.struct(F.col("*")).alias("row"), "doc_id", "text"), as_text=True)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    found = suffix_dedup.remove_repeats(docs.select(others.alias("row"), "doc_id", "text"), as_text=True, drop_text=True)
     new = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast(docs.schema["n_chars"].dataType)}
     return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
