@@ -461,6 +461,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row; see ``remove_repeats``."""
-    found = remove_repeats(docs.select(id_col, text_col), id_col, text_col, length)
+    found = remove_repeats(docs.select(id_col, text_col), id_col, text_col, length, drop_text=True)
     return found.select(id_col, F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"),
                         F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))

@@ -52,6 +52,15 @@ def test_filter_passes_all_and_join_decides(spark, blocks, monkeypatch):
     assert url_filter.may_contain(keys, "key", bloom, blocks, "hit").where("not hit").count() == 0
 
 
+def test_heavy_urls_are_dealt_by_their_count(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "HEAVY", 4)
+    urls = ["http://hot.org/p"] * 600 + [f"http://h{i}.org/" for i in range(200)] + ["http://warm.org/q?x"] * 150
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame([("hot.org/p",), ("h7.org",), ("hot.org/p",)], "url string")
+    got = {r.page_id: (r.verdict, r.listed) for r in url_filter.url_filter(pages, listed, []).collect()}
+    assert got == {i: ("block", True) if u in ("http://hot.org/p", "http://h7.org/") else ("allow", False) for i, u in enumerate(urls)}
+
+
 def test_url_filter_empty(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.url_filter(none, none, RULES).count() == 0
@@ -68,13 +77,31 @@ def article(page):
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return html_extract.train(spark.read.parquet(PAGES))
+    """Fitted on half of the pages."""
+    return html_extract.train(spark.read.parquet(PAGES).where("page_id % 2 = 0"))
 
 
 def test_pages_give_their_article(spark, model):
+    """Those that the model was not fitted on, too."""
     pages = spark.read.parquet(PAGES).withColumns({"x": F.lit(1), "o": F.lit(2)})
     got = html_extract.extract(pages, model=model).collect()
     assert len(got) == 250 and sum(r.text == article(r.html) for r in got) >= 248
+    assert sum(r.text == article(r.html) for r in got if r.page_id % 2) >= 123
+
+
+def test_extract_replaces_a_column_of_its_name(spark, model):
+    pages = spark.read.parquet(PAGES).limit(5).select(F.lit("mine").alias("text"), "*", F.lit("p").alias("page"), F.lit("h").alias("__html"), F.lit(1).alias("a b"))
+    got = html_extract.extract(pages, model=model)
+    assert got.columns == ["page_id", "url", "html", "page", "__html", "a b", "text"]
+    rows = got.collect()
+    assert all(r.text != "mine" and r.text == article(r.html) and (r.page, r["__html"], r["a b"]) == ("p", "h", 1) for r in rows) and len(rows) == 5
+
+
+def test_training_pages_are_limited_in_spark(spark):
+    """A page id with very many equal rows counts once."""
+    pages = spark.read.parquet(PAGES)
+    many = pages.where("page_id < 20").union(pages.where("page_id = 1").crossJoin(spark.range(400)).select(*pages.columns))
+    assert html_extract.train(many, how_many=15) is not None
 
 
 def test_other_layouts(spark, model):

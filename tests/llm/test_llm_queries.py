@@ -120,3 +120,54 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF0001)
         assert docs.count() == 0
+
+
+def test_every_group_keeps_a_document_though_ids_repeat(spark):
+    """Two unrelated texts under one id, each with a copy under another id."""
+    from climastar.llm import simhash_dedup
+
+    a, b = " ".join(f"alpha{i}" for i in range(40)), " ".join(f"beta{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, "x y z"), (None, None), (None, ""), (4, "x y z")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text or "") for r in simhash_dedup.keep_one(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, a), (1, b), (4, "x y z"), (None, "")]))
+
+
+def test_language_id_stage_rejects_only_what_it_can_tell(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert stage(spark, unlabelled, SF0001).count() == docs.count()                 # nothing to learn from
+    odd = spark.createDataFrame([(90001, "Γειά σου κόσμε, τι κάνεις σήμερα φίλε μου", None, "s", 1), (90002, "12 !?", "en", "s", 1)], SCHEMA)
+    kept = {r.doc_id for r in stage(spark, docs.union(odd), SF0001).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+    one = stage(spark, docs.where("lang = 'de'"), SF0001)                            # a single language is never a guess
+    assert one.count() == docs.where("lang = 'de'").count()
+
+
+def test_stages_hand_on_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").orderBy("doc_id").limit(40)
+    names = ["score", "held_out", "lang_pred", "__p", "predicted", "__id", "__hash", "__key", "__kept", "__text", "row", "id", "hash", "class", "h", "o",
+             "bad_id", "a`b", "with space"]
+    more = docs
+    for c in names:
+        more = more.withColumn(c, F.concat(F.lit(c), F.lit("!")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, more, SF0001)
+        assert got.columns == more.columns and got.dtypes == more.dtypes, name
+        rows = got.collect()
+        assert rows and all(r[c] == c + "!" for r in rows for c in names), name
+
+
+def test_samples_are_bounded_before_they_are_collected(spark):
+    """An id with very many equal rows counts once; a language keeps at most its number of rows."""
+    from climastar.llm import langid
+
+    rng = __import__("random").Random(1)
+    rows = [(1, "the same text again", "en")] * 300
+    rows += [(i, " ".join(rng.choice(("der", "und", "nicht", "haus")) for _ in range(12)), "de") for i in range(10, 120)]
+    rows += [(i, " ".join(rng.choice(("the", "and", "house", "not")) for _ in range(12)), "en") for i in range(200, 240)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = langid.train(df, per_language=30)
+    assert model.labels == ["de", "en"]
+    assert model.probabilities(langid.ngram_counts("das haus und der hund nicht"))[0] > 0.6
