@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from climastar.plans.catalog import CLUSTERED_CITY, CLUSTERED_YEAR, DELIVERY, VETERAN_MAX_TEMPERATURE, VETERAN_MIN_TEMPERATURE
 from climastar.plans.model import FACT_COLUMNS
-from climastar.plans.reports import LAPSE_RATE_PER_FT
+from climastar.plans.reports import LAPSE_RATE_PER_FT, poisson_steps
 from climastar.sources.contracts import constraint_rules
 from climastar.sources.standins import STANDIN_COUNTRY
 
@@ -400,6 +400,23 @@ FROM (SELECT count(*) AS cities,
              round(CASE WHEN count(*) > 1 THEN corr(total_population, average_temperature) END, 6)
                AS corr_population_temperature
       FROM report)"""
+    drawn = " + ".join(f"CASE WHEN u >= {x!r} THEN 1 ELSE 0 END" for x in poisson_steps())
+    spread = lambda c, d: f"(x{c}{d} - s{c} * s{d} / n)"                                  # noqa: E731
+    corr = lambda c: (f"CASE WHEN n > 0 AND {spread(c, c)} > 1e-9 * x{c}{c} AND {spread('t', 't')} > 1e-9 * xtt "        # noqa: E731
+                      f"THEN {spread(c, 't')} / sqrt({spread(c, c)} * {spread('t', 't')}) END")
+    q["influence_certainty"] = _with(_report_cte("total_population"), """c AS (
+  SELECT city, total_airports - avg(total_airports) OVER () AS a, total_population - avg(total_population) OVER () AS p,
+         average_temperature - avg(average_temperature) OVER () AS t FROM report
+  WHERE total_airports IS NOT NULL AND total_population IS NOT NULL AND average_temperature IS NOT NULL)""",
+        "u AS (SELECT *, CAST(('0x' || substr(md5(city || ':' || b), 1, 8)) AS BIGINT) / 4294967296.0 AS u FROM c, (SELECT unnest(range(1, 201)) AS b))",
+        f"w AS (SELECT *, {drawn} AS w FROM u)",
+        "s AS (SELECT b, sum(w) AS n, sum(w * a) AS sa, sum(w * p) AS sp, sum(w * t) AS st, sum(w * a * a) AS xaa, sum(w * p * p) AS xpp, "
+        "sum(w * t * t) AS xtt, sum(w * a * t) AS xat, sum(w * p * t) AS xpt FROM w GROUP BY b)",
+        f"r AS (SELECT {corr('a')} AS ca, {corr('p')} AS cp FROM s)",
+        "e AS (SELECT 'airports' AS measure, ca AS x FROM r UNION ALL SELECT 'population', cp FROM r "
+        "UNION ALL SELECT 'airports less population', abs(ca) - abs(cp) FROM r)") + (
+        "SELECT measure, round(quantile_cont(x, 0.05), 4) AS low, round(quantile_cont(x, 0.5), 4) AS median, round(quantile_cont(x, 0.95), 4) AS high, "
+        "count(x) AS replicates FROM e WHERE x IS NOT NULL GROUP BY measure")
     q["rank_veteran_cities"] = _with(_report_cte("veteran_population")) + (
         f"SELECT * FROM report WHERE average_temperature >= {VETERAN_MIN_TEMPERATURE} "
         f"AND average_temperature <= {VETERAN_MAX_TEMPERATURE} "

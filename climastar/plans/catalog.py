@@ -559,6 +559,10 @@ def q_influence_correlation(spark, sf):
     return R.influence_correlation(model(spark, sf))
 
 
+def q_influence_certainty(spark, sf):
+    return R.influence_certainty(model(spark, sf))
+
+
 def q_rank_veteran_cities(spark, sf):
     return R.rank_veteran_cities(model(spark, sf), VETERAN_MIN_TEMPERATURE,
                                  VETERAN_MAX_TEMPERATURE, top=10)
@@ -637,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "report_city_veterans": q_report_city_veterans,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "influence_correlation": q_influence_correlation,
+    "influence_certainty": q_influence_certainty,
     "rank_veteran_cities": q_rank_veteran_cities,
     "adjust_elevation": q_adjust_elevation,
     "adjust_latitude": q_adjust_latitude,

@@ -18,6 +18,8 @@ which keeps the inner-join meaning: only cities present on all sides.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from climastar.operators.aggregates import distinct_count_per_group, first_per_g
 from climastar.plans.model import StarModel
 
 MEAN_DIGITS = 6
+#: Of the sum of squares: a spread below this share counts as none.
+FLAT = 1e-9
 DEMOGRAPHICS_ORDER = ["state", "race"]
 
 
@@ -127,6 +131,51 @@ def influence_correlation(model: StarModel) -> DataFrame:
          .otherwise(F.lit("tie")))
 
 
+def poisson_steps(most: int = 12) -> list[float]:
+    """Cumulative probabilities of 0, 1, .. under a Poisson distribution of mean one."""
+    out, term = [], math.exp(-1)
+    for k in range(most):
+        out.append((out[-1] if out else 0.0) + term)
+        term /= k + 1
+    return out
+
+
+def influence_certainty(model: StarModel, replicates: int = 200) -> DataFrame:
+    """How certain ``influence_correlation`` is: (measure, low, median, high, replicates) of both correlations and of the difference of
+    their absolute values (airports less population), with the 5 %, 50 % and 95 % points over bootstrap replicates.
+
+    In each replicate a city counts as often as a Poisson variable of mean one says, drawn by a hash of city and replicate: no
+    resampling, one pass of sums per replicate, the same result on every run and engine.  Replicates in which
+    a measure does not vary have no correlation and are left out; ``replicates`` is the number of the others.
+    """
+    r = city_report(model, "total_population").select("city", F.col("total_airports").cast("double").alias("a"), F.col("total_population").cast("double").alias("p"),
+                                                      F.col("average_temperature").alias("t")).where("a is not null and p is not null and t is not null")
+    # Centred, so that the sums keep their digits.
+    mean = r.agg(*[F.avg(c).alias(f"m{c}") for c in "apt"]).withColumn("one", F.lit(1))
+    r = r.join(mean, F.lit(1) == F.col("one")).select("city", *[(F.col(c) - F.col(f"m{c}")).alias(c) for c in "apt"])
+    drawn = r.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", "city", F.col("b").cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    w = F.lit(0)
+    for step in poisson_steps():
+        w = w + F.when(u >= step, 1).otherwise(0)
+    drawn = drawn.withColumn("w", w.cast("double"))
+    sums = drawn.groupBy("b").agg(F.sum("w").alias("n"), *[F.sum(F.col("w") * F.col(c)).alias(f"s{c}") for c in "apt"],
+                                  *[F.sum(F.col("w") * F.col(c) * F.col(d)).alias(c + d) for c, d in ("aa", "pp", "tt", "at", "pt")])
+
+    def spread(c: str, d: str):
+        return F.col(c + d) - F.try_divide(F.col(f"s{c}") * F.col(f"s{d}"), F.col("n"))
+
+    def corr(c: str):
+        varies = (F.col("n") > 0) & (spread(c, c) > F.lit(FLAT) * F.col(c + c)) & (spread("t", "t") > F.lit(FLAT) * F.col("tt"))
+        return F.when(varies, spread(c, "t") / F.sqrt(spread(c, c) * spread("t", "t")))
+
+    both = sums.select(corr("a").alias("ca"), corr("p").alias("cp"))
+    each = both.select(F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), v.alias("x")) for n, v in (
+        ("airports", F.col("ca")), ("population", F.col("cp")), ("airports less population", F.abs("ca") - F.abs("cp")))])).alias("e")).select("e.*")
+    points = [F.round(F.percentile("x", F.lit(q)), 4).alias(n) for n, q in (("low", 0.05), ("median", 0.5), ("high", 0.95))]
+    return each.where("x is not null").groupBy("measure").agg(*points, F.count("x").alias("replicates"))
+
+
 def rank_veteran_cities(model: StarModel, min_temperature: float | None = None,
                         max_temperature: float | None = None, top: int = 10) -> DataFrame:
     """Top ``top`` cities for a veteran: mean temperature within the

@@ -11,7 +11,7 @@ from climastar.operators.quality import audit_files, content_match, file_manifes
 from climastar.plans.colocated import bucket_count, read_colocated, write_colocated
 from climastar.plans.incremental import read_fact, rebuild_fact
 from climastar.plans.model import FactSource, StarModel, build_fact, build_model
-from climastar.plans.reports import adjust_joint, report_city_climate, report_city_veterans
+from climastar.plans.reports import adjust_joint, influence_certainty, poisson_steps, report_city_climate, report_city_veterans
 from climastar.session import new_run_dir
 from climastar.sources import contracts, publish as pub
 from climastar.sources.quarantine import quarantine_load
@@ -296,3 +296,18 @@ def test_joint_adjustment(spark, latitudes, plane):
     assert len(rows) == 4
     for r in rows:
         assert ((r.elevation_slope, r.latitude_slope, r.residual) == (-0.01, 2.0, 0.0)) if plane else (r.elevation_slope is r.residual is None)
+
+
+def test_certainty_of_the_stronger_influence(spark):
+    """Temperature follows the airports, not the population: the interval of the difference says so, and the same on every run."""
+    rows = [(f"c{i}", i % 9 + 1, (i * 7919) % 101) for i in range(60)]
+    fact = spark.createDataFrame([(c, 3.0 * a + p % 3 / 10) for c, a, p in rows], "city string, average_temperature double")
+    air = spark.createDataFrame([(c, f"n{k}") for c, a, _ in rows for k in range(a)], "municipality string, airport_name string")
+    demo = spark.createDataFrame([(c, "S", "r", p) for c, _, p in rows], "city string, state string, race string, total_population int")
+    runs = [{r.measure: r for r in influence_certainty(StarModel(f, air, demo), 50).collect()} for f in (fact, fact.repartition(7))]
+    assert runs[0] == runs[1]
+    got = runs[0]
+    assert got["airports"].low > 0.99 and got["airports less population"].low > 0.4 and got["population"].replicates == 50
+    flat = StarModel(fact.withColumn("average_temperature", F.lit(1.0)), air, demo)
+    assert influence_certainty(flat, 5).count() == 0
+    assert abs(poisson_steps()[1] - 2 / 2.718281828459045) < 1e-12 and poisson_steps()[-1] > 1 - 1e-8
