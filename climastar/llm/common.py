@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder under the shared root and read it back: later
     steps neither recompute it nor depend on executors that made it."""

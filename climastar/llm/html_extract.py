@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .common import quoted
+
 TRAIN_PAGES = 300
 LAYOUTS = 4                  # other layouts of each training page
 NODES_PER_PAGE = 400         # of a training page
@@ -497,8 +499,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", o
     model = model or train(pages, id_col, html_col)
     shared = pages.sparkSession.sparkContext.broadcast(model)
     names = [c for c in pages.columns if c != out]
-    # By place: the page itself comes first, whatever the others are called.
-    rows = pages.select(F.coalesce(F.col(html_col), F.lit("")).alias("page"), *[F.col(f"`{c}`") for c in names])
+    # By place, whatever they are called: the page itself comes first.
+    rows = pages.select(F.coalesce(F.col(html_col), F.lit("")).alias("page"), *[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

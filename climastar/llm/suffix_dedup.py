@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import staged
+from .common import quoted, staged
 
 LENGTH = 200
 GRAM = 32
@@ -424,13 +425,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("id").alias("__rep"), F.col("digest").alias("__d"), F.col("copies").alias("__copies"), F.col("spans").alias("__spans"))
     kept_fields = [f for f in docs.schema.fields if not (drop_text and f.name == text_col)]
     names = [f.name for f in kept_fields]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
+    rows = docs.select(*[F.col(quoted(c)) for c in names], F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
     rows = rows.withColumn("__digest", text_digest(F.col("__text")))
     joined = rows.join(spans.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__rep")) & (F.col("__digest") == F.col("__d")), "left")
     # Rows without a partner are copies of another row's text.
     joined = joined.withColumn("__whole", F.coalesce(F.col("__copies") > 1, F.lit(True))).drop("__rep", "__d", "__digest", "__copies")
-    extra = f"__kept {'string' if as_text else 'binary'}, __n_bytes long, __n_removed long, __n_spans long"
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_fields)
+    schema = StructType([*kept_fields, StructField("__kept", StringType() if as_text else BinaryType()),
+                         *(StructField(c, LongType()) for c in ("__n_bytes", "__n_removed", "__n_spans"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -456,7 +457,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                               *(pa.array(x, pa.int64()) for x in (total, removed, count))],
                                              names=[*names, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
 
-    return joined.mapInArrow(run, f"{fields}, {extra}")
+    return joined.mapInArrow(run, schema)
 
 
 def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:

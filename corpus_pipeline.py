@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climastar.llm import bpe, decontaminate, langid, simhash_dedup, suffix_dedup
-from climastar.llm.common import staged, table
+from climastar.llm.common import quoted, staged, table
 from climastar.llm.queries import tokenizer_path
 
 
@@ -31,10 +31,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the passages of 200 bytes or more that also are elsewhere; n_chars is that of the text left."""
-    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    others = F.struct(*[F.col(quoted(c)) for c in docs.columns if c != "text"])
     found = suffix_dedup.remove_repeats(docs.select(others.alias("row"), "doc_id", "text"), as_text=True, drop_text=True)
     new = {"text": F.col("__kept"), "n_chars": F.length("__kept").cast(docs.schema["n_chars"].dataType)}
-    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return found.select(*[new.get(c, F.col(f"row.{quoted(c)}")).alias(c) for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
