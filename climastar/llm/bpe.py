@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words kept encoded in a Python worker, and the text taken into one index.
-CACHE_WORDS = 400_000
-CACHE_CHARS = 20_000_000
+CACHE_WORDS = 200_000
+CACHE_CHARS = 10_000_000
 BATCH_CHARS = 2_000_000
 #: Words in one index, and their characters; a longer word has an index of its own, of some 30 bytes a character.
 LEARN_WORDS = 25_000
