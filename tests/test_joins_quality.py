@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from climastar.operators.joins import Side, fanout_join, grid_join
-from climastar.operators.quality import duplicate_summary, qa_report
+from climastar.operators.joins import Side, fanout_join, grid_join, hot_keys
+from climastar.operators.quality import duplicate_summary, long_key_summary, qa_report
 from conftest import SF001
 
 
@@ -48,6 +48,32 @@ def test_identical_rows_are_spread(spark):
     assert _rows(joined.groupBy("w").count()) == [(i, 2000) for i in range(50)]
 
 
+def test_copied_rows_grow_with_the_input(spark):
+    """Ten times the rows of both sides: a hundred times the output, but ten times the rows that are copied into cells."""
+    def copied(n):
+        a = spark.range(100 * n).select(F.lit("a").alias("k"), F.col("id").alias("v"))
+        b = spark.range(10 * n).select(F.lit("a").alias("ok"), F.col("id").alias("w"))
+        h = hot_keys([Side(a, "k", True), Side(b, "ok", True)], 1000, 4).first()
+        assert h.s_0 * h.s_1 * 64 >= 0.9 * 1000 * n * n
+        return 100 * n * h.g_1 + 10 * n * h.g_0
+
+    assert copied(200) <= 12 * copied(20)
+
+
+def test_long_keys(spark):
+    """Any bigint, with duplicates and NULL."""
+    keys = [0, 1, 63, 64, 64, -1, -64, -65, 2**63 - 1, -2**63, 1 << 33, (1 << 33) + 1, None, None]
+    got = long_key_summary(spark.createDataFrame([(k,) for k in keys], "id long"), "id").first()
+    assert (got.rows, got.distinct_ids) == (14, 12)
+    assert tuple(long_key_summary(spark.range(0), "id").first()) == (0, 0)
+
+
+def test_running_keys_shuffle_a_row_for_64(spark):
+    plan = long_key_summary(spark.range(64_000, numPartitions=4), "id")
+    masks = spark.range(64_000, numPartitions=4).groupBy(F.shiftright("id", 6)).count().count()
+    assert masks == 1000 and tuple(plan.first()) == (64_000, 64_000)
+
+
 def test_three_sides_and_equal_names(spark):
     a = spark.range(400).select((F.col("id") % 3).alias("k"), F.col("id").alias("x"))
     b = spark.range(90).select((F.col("id") % 2).alias("k"), F.col("id").alias("y"))
