@@ -7,6 +7,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF0001
+
 from climastar.operators.quality import audit_files, content_match, file_manifest
 from climastar.plans.colocated import bucket_count, read_colocated, write_colocated
 from climastar.plans.incremental import read_fact, rebuild_fact
@@ -311,3 +313,36 @@ def test_certainty_of_the_stronger_influence(spark):
     flat = StarModel(fact.withColumn("average_temperature", F.lit(1.0)), air, demo)
     assert influence_certainty(flat, 5).count() == 0
     assert abs(poisson_steps()[1] - 2 / 2.718281828459045) < 1e-12 and poisson_steps()[-1] > 1 - 1e-8
+
+
+def test_year_without_fact_rows_left_is_emptied(spark):
+    """A city's airports move away: its year keeps its temperatures, but no fact row."""
+    from climastar.plans.catalog import clean_inputs
+    from climastar.plans.incremental import read_fact, rebuild_fact
+    from climastar.plans.model import FactSource
+
+    c = clean_inputs(spark, SF0001)
+    base = new_run_dir(spark, "t-emptied")
+    t = c.temperatures.where("year = 1997 OR year = 1998")
+    src = lambda airports: FactSource(t, airports, c.demographics, "stable")          # noqa: E731
+    rebuild_fact(src(c.airports), base)
+    assert read_fact(spark, base).count() > 0
+    done = rebuild_fact(src(c.airports.withColumn("municipality", F.lit("elsewhere"))), base)
+    assert done.rewritten == [1997, 1998] and done.rows_written == 0 and read_fact(spark, base).count() == 0
+
+
+def test_clustered_fact_shuffles_no_fact_row(spark, monkeypatch):
+    """The fact ranged before the fan-out: the same rows, and nothing but the ranged temperatures is exchanged above the parts."""
+    import climastar.plans.model as M
+    from climastar.plans.catalog import model
+
+    m = model(spark, SF0001)
+    got = M.clustered_fact(m.source, ["city", "year"], 4)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("RepartitionByExpression")
+    want = m.fact.select("id")
+    assert got.count() == want.count() and got.select("id").exceptAll(want).count() == 0
+    parts = got.select(F.spark_partition_id().alias("p"), "city", "year").distinct().groupBy("p").count().collect()
+    assert len(parts) > 1
+    monkeypatch.setattr(M, "BROADCAST_ROWS", 0)
+    assert M.clustered_fact(m.source, ["city", "year"], 4).select("id").exceptAll(want).count() == 0
