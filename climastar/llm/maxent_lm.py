@@ -52,7 +52,7 @@ FOLDS = 8, 128               # at least and at most: one of them, of about
 FOLD_TOKENS = 250_000        # so many tokens, fits the step sizes
 ROUNDS = 3
 BATCH = 1 << 18              # tokens laid out at a time,
-COUNTED = 1 << 20            # and when features are counted
+COUNTED = 1 << 19            # and when features are counted
 CHUNK = 1 << 9               # decisions in one softmax
 BLOCKS = 64                  # slices in which the table is summed
 CACHE = 300_000
@@ -380,6 +380,7 @@ def feature_counts(docs: DataFrame, vocabulary: Vocabulary, bits: int) -> np.nda
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     schema = "block int, salt int, w binary"
     size = row_count(bits) * OUT
+    per = size // FEATURES
 
     def packed(block, salt, parts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(salt, pa.int32()), pa.array([x.astype("<i8" if x.max(initial=0) >> 31 else "<i4").tobytes()
@@ -389,8 +390,15 @@ def feature_counts(docs: DataFrame, vocabulary: Vocabulary, bits: int) -> np.nda
         total = None
         for now in _laid_out(batches, shared.value, COUNTED):
             d = now.decisions(bits)
-            new = np.bincount((d.rows * OUT + d.out).ravel(), minlength=size)
-            total = new if total is None else np.add(total, new, out=total)
+            if total is None:
+                total = np.zeros(size, np.int64)
+            for f, rows in enumerate(d.rows):                # a feature's rows lie together
+                part = total[f * per:(f + 1) * per]
+                rows *= OUT
+                rows += d.out
+                rows -= f * per
+                part += np.bincount(rows, minlength=per)
+            del d
         if total is not None:
             part = TaskContext.get().partitionId() % 16
             for i, x in enumerate(np.split(total, BLOCKS)):
