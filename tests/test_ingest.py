@@ -346,3 +346,10 @@ def test_clustered_fact_shuffles_no_fact_row(spark, monkeypatch):
     assert len(parts) > 1
     monkeypatch.setattr(M, "BROADCAST_ROWS", 0)
     assert M.clustered_fact(m.source, ["city", "year"], 4).select("id").exceptAll(want).count() == 0
+
+
+def test_keys_take_little_more_than_their_bits(spark, tmp_path):
+    """32 hexadecimal characters hold 16 bytes, and little more than that is stored."""
+    rows = spark.range(50_000, numPartitions=1).select(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 32).alias("id"))
+    write_parquet_overwrite(rows, f"{tmp_path}/keys")
+    assert sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/keys/*.parquet")) < 50_000 * 22
