@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 
 from climastar.operators.quality import audit_files, content_match, file_manifest
-from climastar.plans.colocated import bucket_count, read_colocated, write_colocated
+from climastar.plans.colocated import bucket_count, colocated_fact, read_colocated, write_colocated
 from climastar.plans.incremental import read_fact, rebuild_fact
 from climastar.plans.model import FactSource, StarModel, build_fact, build_model
-from climastar.plans.reports import adjust_joint, influence_certainty, poisson_steps, report_city_climate, report_city_veterans
+from climastar.plans.reports import adjust_joint, city_mean_temperature, influence_certainty, poisson_steps, report_city_climate, report_city_veterans
 from climastar.session import new_run_dir
 from climastar.sources import contracts, publish as pub
 from climastar.sources.quarantine import quarantine_load
@@ -272,6 +272,30 @@ def test_colocated_reports_need_no_exchange(spark, parts):
     assert (bucket_count(0, 1), bucket_count(5_000_001, 1), bucket_count(10, 5)) == (1, 2, 8)
 
 
+def test_colocated_fact_is_written_from_the_join(spark, parts, monkeypatch):
+    from climastar.plans import colocated
+
+    model = build_model(*parts)
+    fact = colocated_fact(model.source, 4)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("Exchange")                             # parts are shuffled, fact rows are not
+    assert rows_of(fact) == rows_of(model.fact) and fact.rdd.getNumPartitions() == 4
+    base = new_run_dir(spark, "t-colocated")
+    db = "climastar_t_" + base.rsplit("-", 1)[1]
+    was = spark.conf.get(colocated._WRITERS)
+    write_colocated(spark, model, base, db, 4)
+    assert spark.conf.get(colocated._WRITERS) == was
+    files = [f.rsplit("_", 1)[1][:5] for f in glob.glob(f"{local(base)}/{db}.db/fact_table/part-*.parquet")]
+    assert files and len(files) == len(set(files))                                 # a file for a bucket
+    stored = read_colocated(spark, db).fact
+    assert rows_of(stored) == rows_of(model.fact) and set(f.name for f in stored.schema) == set(model.fact.columns)
+
+def test_mean_of_a_large_fact_in_one_task_keeps_its_digits(spark):
+    value = F.when(F.col("id") >= 0, 250000.1)
+    fact = spark.range(0, 3_000_000, 1, 1).select(F.lit("X").alias("city"), value.alias("average_temperature"))
+    fact = fact.union(spark.createDataFrame([("X", None), ("Y", None)], fact.schema))
+    assert rows_of(city_mean_temperature(StarModel(fact, None, None))) == rows_of(spark.createDataFrame([("X", 250000.1), ("Y", None)], fact.schema))
+
 
 def test_clustered_files_hold_few_keys(spark):
     path = new_run_dir(spark, "t-clustered")
