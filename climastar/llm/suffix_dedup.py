@@ -4,7 +4,7 @@ A window is a run of ``length`` bytes; it is repeated if it also starts somewher
 Windows are routed so that equal ones meet in one shard: each window's key is the least
 hash of the 32-byte strings inside it, and a maximal run of windows with one key is a
 segment.  Only segments whose key occurs elsewhere leave their document, as their bytes.
-A shard is a few megabytes of segments, whole keys at a time; its suffix array
+A shard is a megabyte or two of segments, whole keys at a time; its suffix array
 is refined as Larsson and Sadakane do (only groups not yet sorted, by the rank ``h`` symbols on,
 ``h`` doubling), and common prefixes follow Kasai's bound.
 
@@ -32,11 +32,13 @@ from .common import quoted, staged
 
 LENGTH = 200
 GRAM = 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Segments of one key in a (sub-)shard, about.
 KEY_SEGMENTS = 500
 SALTS = 8
 BLOCK = 1 << 20
+#: Texts cut at a time.
+ROWS = 2048
 #: Places of repeated segments in a batch of spans.
 PLACES = 1 << 15
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
@@ -47,32 +49,38 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and its inverse of an array of uint16 symbols."""
     n = len(sym)
+    kind = np.int32 if n < 1 << 31 else np.int64                # half the memory
     if n == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, kind), np.zeros(0, kind)
     pad = np.concatenate([sym.astype(np.uint64) + np.uint64(1), np.zeros(3, np.uint64)])    # 0: past the end
     key = np.zeros(n, np.uint64)
     for j in range(3):
-        key = key * np.uint64(1 << 17) + pad[j:j + n]
-    sa = np.argsort(key, kind="stable")
-    ordered = key[sa]
-    first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    heads = np.flatnonzero(first)
-    rank = np.empty(n, np.int64)
-    rank[sa] = heads[np.cumsum(first) - 1]
-    sizes = np.diff(np.append(heads, n))
-    idx = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        key *= np.uint64(1 << 17)
+        key += pad[j:j + n]
+    del pad
+    sa = np.argsort(key, kind="stable").astype(kind)
+    key = key[sa]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    del key
+    heads = np.flatnonzero(first).astype(kind)
+    rank = np.empty(n, kind)
+    rank[sa] = heads[np.cumsum(first, dtype=kind) - 1]
+    sizes = np.diff(heads, append=kind(n))
+    idx = np.flatnonzero(np.repeat(sizes > 1, sizes)).astype(kind)
     h = 3
     while len(idx):
         s = sa[idx]
-        ahead = s + h
-        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        pair = rank[s] * (n + 1) + second
+        pair = s.astype(np.int64) + h
+        pair = np.where(pair < n, rank[np.minimum(pair, n - 1)] + 1, 0).astype(np.int64)
+        pair += rank[s] * np.int64(n + 1)
         order = np.argsort(pair, kind="stable")
         s, pair = s[order], pair[order]
+        del order
         sa[idx] = s
         first = np.concatenate([[True], pair[1:] != pair[:-1]])
+        del pair
         heads = np.flatnonzero(first)
-        rank[s] = idx[heads][np.cumsum(first) - 1]
+        rank[s] = idx[heads][np.cumsum(first, dtype=kind) - 1]
         sizes = np.diff(np.append(heads, len(s)))
         idx = idx[np.repeat(sizes > 1, sizes)]
         h *= 2
@@ -89,28 +97,35 @@ def common_prefixes(sym: np.ndarray, sa: np.ndarray, rank: np.ndarray, most: int
     n = len(sym)
     before = np.where(rank > 0, sa[np.maximum(rank - 1, 0)], -1)
     pad = np.concatenate([sym, np.zeros(most + 4, sym.dtype)])
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int16 if most < 1 << 15 else np.int64)
     step = 64
-    at = np.arange(0, n, step)
     while True:
-        have = np.maximum(out[at - at % (2 * step)] - at % (2 * step), 0) if step < 64 else np.zeros(len(at), np.int64)
-        live = np.flatnonzero(before[at] >= 0)
-        have[before[at] < 0] = 0
-        while len(live):
-            i, j, l = at[live], before[at[live]], have[live]
-            room = np.minimum(most, n - np.maximum(i, j))
-            same = (pad[np.minimum(i + l, n)] == pad[np.minimum(j + l, n)]) & (l < room)
-            wide = same.copy()
-            for k in range(1, 8):
-                wide &= (pad[np.minimum(i + l + k, n + k)] == pad[np.minimum(j + l + k, n + k)])
-            wide &= l + 8 <= room
-            have[live] += np.where(wide, 8, same)
-            live = live[same]
-        out[at] = have
+        # Positions at this distance that no pass has had, so many at a time.
+        gap = step if step == 64 else 2 * step
+        for lo in range(gap - step, n, PLACES * gap):
+            _extend(out, np.arange(lo, min(n, lo + PLACES * gap), gap), step, before, pad, most)
         if step == 1:
             return out
         step //= 2
-        at = np.arange(step, n, 2 * step)
+
+
+def _extend(out: np.ndarray, at: np.ndarray, step: int, before: np.ndarray, pad: np.ndarray, most: int) -> None:
+    """Common prefixes of the positions ``at``, from the bounds that those known give."""
+    n = len(out)
+    have = np.maximum(out[at - at % (2 * step)] - at % (2 * step), 0) if step < 64 else np.zeros(len(at), np.int64)
+    live = np.flatnonzero(before[at] >= 0)
+    have[before[at] < 0] = 0
+    while len(live):
+        i, j, l = at[live], before[at[live]], have[live]
+        room = np.minimum(most, n - np.maximum(i, j))
+        same = (pad[np.minimum(i + l, n)] == pad[np.minimum(j + l, n)]) & (l < room)
+        wide = same.copy()
+        for k in range(1, 8):
+            wide &= (pad[np.minimum(i + l + k, n + k)] == pad[np.minimum(j + l + k, n + k)])
+        wide &= l + 8 <= room
+        have[live] += np.where(wide, 8, same)
+        live = live[same]
+    out[at] = have
 
 
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -299,7 +314,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("digest", text_digest(F.col("text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             found = [segments(t.as_py(), length) for t in b.column("text")]
             # 16 bytes a segment; a segment has at most BLOCK windows
             found = [(k.astype("<i8"), lo.astype("<i4"), (((hi >> 1) - lo) << 1 | hi & 1).astype("<i4")) for k, lo, hi in found]
@@ -434,7 +449,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          *(StructField(c, LongType()) for c in ("__n_bytes", "__n_removed", "__n_spans"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             kept, total, removed, count = [], [], [], []
             for text, spans_, whole in zip(b.column("__text"), b.column("__spans"), b.column("__whole").to_pylist()):
                 data = text.as_py()
