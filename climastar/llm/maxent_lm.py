@@ -51,12 +51,14 @@ RIDGE = 10.0                 # and how much they are held there
 FOLDS = 8, 128               # at least and at most: one of them, of about
 FOLD_TOKENS = 250_000        # so many tokens, fits the step sizes
 ROUNDS = 3
-BATCH = 1 << 18              # tokens laid out at a time,
-COUNTED = 1 << 19            # and when features are counted
+BATCH = 1 << 16              # tokens laid out at a time,
+COUNTED = 1 << 19            # whose features are counted at once,
+MOST_COUNTED = 1 << 30       # and in one table of 32-bit counts
+ROWS = 2048                  # texts scored at a time
 CHUNK = 1 << 9               # decisions in one softmax
 BLOCKS = 64                  # slices in which the table is summed
-CACHE = 300_000
-_FLUSH = 400_000
+CACHE = 100_000
+_FLUSH = 150_000
 PLACES = 2 * FEATURES * SEEN
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -67,12 +69,20 @@ def ending(word: bytes) -> int:
 
 
 class _Endings(dict):
-    """last eight bytes of a word -> ending"""
+    """last four bytes of a word -> ending, -1 where it hangs on the bytes before them"""
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = code = ending(word)
+    def __missing__(self, last: bytes) -> int:
+        if len(self) > CACHE:
+            self.clear()
+        self[last] = code = -1 if len(last) == 4 and len(last.rstrip(b".,;:!?")) < 3 else ending(last)
         return code
 
+    def of(self, words: list[bytes]) -> list[int]:
+        codes = [self[w[-4:]] for w in words]
+        if -1 in codes:
+            codes = [ending(w) if c < 0 else c for w, c in zip(words, codes)]
+        return codes
+
 
 # --- counts ------------------------------------------------------------------------------------
 
@@ -86,7 +96,7 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
         def out() -> pa.RecordBatch:
             words = list(seen)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([codes[w[-8:]] for w in words], pa.int32()),
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(codes.of(words), pa.int32()),
                                                pa.array(list(seen.values()), pa.int64())], names=["token", "ending", "c"])
 
         def settle() -> None:
@@ -102,9 +112,7 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 last = []
                 for words in word_blocks(text.as_py() or ""):
                     seen.update(words)
-                    if len(codes) > CACHE:
-                        codes.clear()
-                    follow.append(np.array(last + [codes[w[-8:]] for w in words], np.int64))
+                    follow.append(np.array(last + codes.of(words), np.int64))
                     last = follow[-1][-1:].tolist()
                     held += len(words)
                     if held > BATCH:
@@ -170,14 +178,16 @@ class _Codes(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.place, self.top, self.shared = vocabulary.place, vocabulary.top, vocabulary.shared.tolist()
+        self.place, self.top, self.shared, self.endings = vocabulary.place, vocabulary.top, vocabulary.shared.tolist(), _Endings()
 
     def __missing__(self, word: bytes) -> int:
-        cls, member = self.place.get(word) or (self.shared[ending(word)], 0)
-        top = self.top.get(word, 0)
-        code = member << 56 | cls << 50 | top << 32 | xxhash.xxh32_intdigest(word)
-        if top:                                              # other words seldom come again
-            self[word] = code
+        top = self.top.get(word)
+        at = self.endings[word[-4:]]
+        shared = self.shared[ending(word) if at < 0 else at]
+        if top is None:                                      # such words seldom come again, and are no outcomes
+            return shared << 50 | xxhash.xxh32_intdigest(word)
+        cls, member = self.place.get(word) or (shared, 0)
+        self[word] = code = member << 56 | cls << 50 | top << 32 | xxhash.xxh32_intdigest(word)
         return code
 
 
@@ -291,7 +301,7 @@ class Model:
                     weights.take(rows[part], axis=0, out=more, mode="clip")
                     mine += more
                 decided = mine[np.arange(m), d.out[part]].astype(float)
-                out[part] = decided - np.log(np.exp(mine, out=mine).sum(axis=1))
+                out[part] = decided - np.log(np.einsum("ij->i", np.exp(mine, out=mine)))
             return out
 
         return log_probability
@@ -387,23 +397,40 @@ def feature_counts(docs: DataFrame, vocabulary: Vocabulary, bits: int) -> np.nda
                                           for x in parts], pa.binary())], names=["block", "salt", "w"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for now in _laid_out(batches, shared.value, COUNTED):
-            d = now.decisions(bits)
-            if total is None:
-                total = np.zeros(size, np.int64)
-            for f, rows in enumerate(d.rows):                # a feature's rows lie together
-                part = total[f * per:(f + 1) * per]
-                rows *= OUT
-                rows += d.out
-                rows -= f * per
-                part += np.bincount(rows, minlength=per)
-            del d
-        if total is not None:
-            part = TaskContext.get().partitionId() % 16
+        total, counted, held, found = None, 0, 0, []
+        part = TaskContext.get().partitionId() % 16
+
+        def settle() -> None:
+            """Counts the places held, a feature at a time: its rows lie together."""
+            for f in range(FEATURES):
+                mine = total[f * per:(f + 1) * per]
+                np.add(mine, np.bincount(np.concatenate([x[f] for x in found]), minlength=per), out=mine, casting="unsafe")
+            found.clear()
+
+        def out() -> Iterator[pa.RecordBatch]:
             for i, x in enumerate(np.split(total, BLOCKS)):
                 yield packed([i], [part], [x])
 
+        for now in _laid_out(batches, shared.value, BATCH):
+            if total is None:
+                total = np.zeros(size, np.int32)
+            d = now.decisions(bits)
+            found.append([((rows - f * per // OUT) * OUT + d.out).astype(np.int32) for f, rows in enumerate(d.rows)])
+            held += now.size
+            counted += now.size
+            if held >= COUNTED:
+                settle()
+                held = 0
+            if counted >= MOST_COUNTED:
+                if found:
+                    settle()
+                yield from out()
+                total[:], counted, held = 0, 0, 0
+        if total is not None:
+            if found:
+                settle()
+            yield from out()
+
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sum of the slices of each (block, salt), as they stream by."""
         last, total = None, None
@@ -497,7 +524,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         voc, model = shared.value
         log_probability = model.scorer() if model else None
         codes, prior = _Codes(voc), np.log(voc.prior)
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             k = b.num_rows
             n, known, base, gain = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k), np.zeros(k)
             rare: list[Counter] = [Counter() for _ in range(k)]

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -237,6 +238,21 @@ def test_suffix_places_stream(spark, monkeypatch):
     assert set(got) == {(1000 * i + j, j, j + 250) for i in range(50) for j in range(70)}
 
 
+def test_suffix_shard_takes_little_memory():
+    rng = random.Random(5)
+    texts = [prose(rng, 400).encode() for _ in range(400)]
+    texts += texts[:20]
+    n = sum(map(len, texts))
+    tracemalloc.start()
+    try:
+        hit = suffix_dedup.repeated_windows(texts, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(h.all() for t, h in zip(texts[:20], hit) if len(t) >= 200)
+    assert peak < 70 * n and suffix_dedup.SHARD_BYTES <= 1 << 20             # bytes of arrays for a byte of text
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(4)
     for n in (0, 1, 2, 50, 700):
@@ -430,6 +446,22 @@ def test_lm_feature_counts_and_weights_against_brute_force(spark, lm):
     assert math.isclose(model.steps[r, o], math.log((n + 4 * prior) / ((got[r].sum() + 4) * prior)), rel_tol=1e-4)
 
 
+def test_lm_endings_of_words_by_their_last_bytes():
+    words = [b"", maxent_lm.END, b"a", b".", b"ab.", b"abc", b"abcd", b"xabc,", b"xab.,", b"xa.,;", b"word....", b"longword!!!!!!!!!", b"o.k.", "ni\u00f1o?".encode()] * 2
+    codes = maxent_lm._Endings()
+    assert codes.of(words) == [maxent_lm.ending(w) for w in words]
+    assert all(len(w) <= 4 for w in codes)
+
+
+def test_lm_feature_counts_in_several_tables(spark, lm, monkeypatch):
+    _, learn, voc, _ = lm
+    want = maxent_lm.feature_counts(learn, voc, 10)
+    monkeypatch.setattr(maxent_lm, "BATCH", 50)
+    monkeypatch.setattr(maxent_lm, "COUNTED", 120)
+    monkeypatch.setattr(maxent_lm, "MOST_COUNTED", 400)
+    assert want.sum() > 0 and (maxent_lm.feature_counts(learn, voc, 10) == want).all()
+
+
 def test_lm_scores_against_brute_force(spark, lm):
     """Probabilities of held-out texts, token by token; those of all words and an unknown one sum to one at most."""
     rows, learn, voc, model = lm
