@@ -37,8 +37,10 @@ SHARD_BYTES = 1 << 20
 KEY_SEGMENTS = 500
 SALTS = 8
 BLOCK = 1 << 20
-#: Texts cut at a time.
+#: Texts cut at a time,
 ROWS = 2048
+#: and bytes of theirs laid end to end.
+TOGETHER = 1 << 16
 #: Places of repeated segments in a batch of spans.
 PLACES = 1 << 15
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
@@ -52,13 +54,16 @@ def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     kind = np.int32 if n < 1 << 31 else np.int64                # half the memory
     if n == 0:
         return np.zeros(0, kind), np.zeros(0, kind)
-    pad = np.concatenate([sym.astype(np.uint64) + np.uint64(1), np.zeros(3, np.uint64)])    # 0: past the end
-    key = np.zeros(n, np.uint64)
-    for j in range(3):
-        key *= np.uint64(1 << 17)
-        key += pad[j:j + n]
-    del pad
-    sa = np.argsort(key, kind="stable").astype(kind)
+    # So many symbols as fit into 63 bits; 0: past the end.
+    bits = (int(sym.max()) + 1).bit_length()
+    h = 63 // bits
+    key = np.zeros(n, np.int64)
+    for j in range(h):
+        key <<= bits
+        if j < n:
+            key[:n - j] += sym[j:]
+            key[:n - j] += 1
+    sa = np.argsort(key).astype(kind)
     key = key[sa]
     first = np.concatenate([[True], key[1:] != key[:-1]])
     del key
@@ -67,13 +72,12 @@ def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rank[sa] = heads[np.cumsum(first, dtype=kind) - 1]
     sizes = np.diff(heads, append=kind(n))
     idx = np.flatnonzero(np.repeat(sizes > 1, sizes)).astype(kind)
-    h = 3
     while len(idx):
         s = sa[idx]
         pair = s.astype(np.int64) + h
         pair = np.where(pair < n, rank[np.minimum(pair, n - 1)] + 1, 0).astype(np.int64)
         pair += rank[s] * np.int64(n + 1)
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         s, pair = s[order], pair[order]
         del order
         sa[idx] = s
@@ -162,47 +166,79 @@ def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
 
 def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, first start, last start << 1 | whether the key's string is there twice) of the maximal runs of windows with one key."""
-    out = []
+    return segments_of([text], length)[0]
+
+
+def segments_of(texts: list[bytes], length: int = LENGTH) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``segments`` of each text.  Texts are cut some at a time, laid end to end; very long ones in pieces of ``BLOCK`` windows."""
+    out: list[list] = [[] for _ in texts]
+    laid: list[tuple[int, int, bytes]] = []                      # text, place of the piece in it, piece
+    size = 0
+
+    def settle() -> None:
+        counts = np.array([len(x) - length + 1 for _, _, x in laid])
+        begins = np.cumsum([0, *(len(x) for _, _, x in laid[:-1])])
+        data = np.frombuffer(laid[0][2] if len(laid) == 1 else b"".join(x for _, _, x in laid), np.uint8)
+        key, first, last, twice = _runs(data, begins, counts, length)
+        edges = np.append(np.searchsorted(first, begins), len(first)).tolist()
+        for (i, at, _), begin, a, b in zip(laid, begins.tolist(), edges, edges[1:]):
+            out[i].append((key[a:b].view(np.int64), first[a:b] - begin + at, (last[a:b] - begin + at) << 1 | twice[a:b]))
+
+    for i, text in enumerate(texts):
+        for at in range(0, len(text) - length + 1, BLOCK):
+            piece = text if len(text) < BLOCK + length else text[at:at + BLOCK + length - 1]
+            if laid and size + len(piece) > TOGETHER:
+                settle()
+                laid, size = [], 0
+            laid.append((i, at, piece))
+            size += len(piece)
+    if laid:
+        settle()
+    return [tuple(np.concatenate(c) for c in zip(*x)) if x else (np.zeros(0, np.int64),) * 3 for x in out]
+
+
+def _runs(data: np.ndarray, begins: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first start, last start, whether the key's string is there twice) of the maximal runs of windows with one key, among the
+    ``counts`` windows from each of ``begins`` on: a run never leaves its text."""
     gram = min(GRAM, length // 8 * 8)
     w = length - gram + 1
-    for at in range(0, max(0, len(text) - length + 1), BLOCK):
-        h = gram_hashes(np.frombuffer(text, np.uint8, min(len(text) - at, BLOCK + length - 1), at), gram)
-        table, span = [h], 1
-        while 2 * span <= w:
-            table.append(np.minimum(table[-1][:-span], table[-1][span:]))
-            span *= 2
-
-        def least(a, b):                                     # minimum of h[a .. b], element-wise
-            level = np.frexp((b - a + 1).astype(float))[1] - 1
-            res = np.empty(len(a), np.uint64)
-            for k in np.unique(level):
-                q = level == k
-                res[q] = np.minimum(table[k][a[q]], table[k][b[q] - (1 << k) + 1])
-            return res
-
-        t = table[-1]
-        low = np.minimum(t[:len(h) - w + 1], t[w - span:w - span + len(h) - w + 1])
-        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-        last = np.append(first[1:], len(low)) - 1
-        key = low[first]
-        # The leftmost place of the key in the first window, by halving; then whether it comes again.
-        p, stop = first.copy(), first + w - 1
-        while (open_ := p < stop).any():
-            a, b = p[open_], stop[open_]
-            mid = (a + b) // 2
-            here = least(a, mid) == key[open_]
-            stop[open_] = np.where(here, mid, b)
-            p[open_] = np.where(here, a, mid + 1)
-        more = p + 1 <= last + w - 1
-        twice = np.zeros(len(p), bool)
-        if more.any():
-            a, b = p[more] + 1, (last + w - 1)[more]
-            far = b - a + 1 >= 2 * span                      # beyond the table: surely more than one place
-            twice[more] = np.where(far, True, least(a, np.where(far, a, b)) == key[more])
-        out.append((key.view(np.int64), first + at, (last + at) << 1 | twice))
-    if not out:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(c) for c in zip(*out))
+    h = gram_hashes(data, gram)
+    table, span = [h], 1
+    while 2 * span <= w:
+        table.append(np.minimum(table[-1][:-span], table[-1][span:]))
+        span *= 2
+
+    def least(a, b):                                             # minimum of h[a .. b], element-wise
+        level = np.frexp((b - a + 1).astype(float))[1] - 1
+        res = np.empty(len(a), np.uint64)
+        for k in np.unique(level):
+            q = level == k
+            res[q] = np.minimum(table[k][a[q]], table[k][b[q] - (1 << k) + 1])
+        return res
+
+    t = table[-1]
+    low = np.minimum(t[:len(h) - w + 1], t[w - span:w - span + len(h) - w + 1])
+    new = np.concatenate([[True], low[1:] != low[:-1]])
+    new[begins] = True
+    first = np.flatnonzero(new)
+    stop = (begins + counts)[np.searchsorted(begins, first, side="right") - 1]
+    first, last = first[first < stop], np.minimum(np.append(first[1:], len(low)), stop)[first < stop] - 1
+    key = low[first]
+    # The leftmost place of the key in the first window, by halving; then whether it comes again.
+    p, stop = first.copy(), first + w - 1
+    while (open_ := p < stop).any():
+        a, b = p[open_], stop[open_]
+        mid = (a + b) // 2
+        here = least(a, mid) == key[open_]
+        stop[open_] = np.where(here, mid, b)
+        p[open_] = np.where(here, a, mid + 1)
+    more = p + 1 <= last + w - 1
+    twice = np.zeros(len(p), bool)
+    if more.any():
+        a, b = p[more] + 1, (last + w - 1)[more]
+        far = b - a + 1 >= 2 * span                              # beyond the table: surely more than one place
+        twice[more] = np.where(far, True, least(a, np.where(far, a, b)) == key[more])
+    return key, first, last, twice
 
 
 # --- Spark -------------------------------------------------------------------------------------
@@ -315,7 +351,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
-            found = [segments(t.as_py(), length) for t in b.column("text")]
+            found = segments_of([t.as_py() for t in b.column("text")], length)
             # 16 bytes a segment; a segment has at most BLOCK windows
             found = [(k.astype("<i8"), lo.astype("<i4"), (((hi >> 1) - lo) << 1 | hi & 1).astype("<i4")) for k, lo, hi in found]
             packed = [pa.array([x[i].tobytes() for x in found], pa.binary()) for i in range(3)]

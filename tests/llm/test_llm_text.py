@@ -279,6 +279,20 @@ def test_segments_cover_all_windows():
         assert bool(more) == ((h[a:b + 169] == k).sum() > 1)
 
 
+def test_segments_of_many_texts_at_once(monkeypatch):
+    """Short texts are cut together, with the segments that each has alone."""
+    rng = random.Random(9)
+    texts = [b"", b"a" * 199, b"a" * 200, b"a" * 500] + [bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 900))) for _ in range(150)]
+    texts[60] = b"ab" * 20_000                                    # in pieces
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 10_000)
+    want = [suffix_dedup.segments(t) for t in texts]
+    hashed, gram_hashes = [], suffix_dedup.gram_hashes
+    monkeypatch.setattr(suffix_dedup, "gram_hashes", lambda data, size: hashed.append(len(data)) or gram_hashes(data, size))
+    got = suffix_dedup.segments_of(texts)
+    assert all(x.tolist() == y.tolist() for g, w in zip(got, want) for x, y in zip(g, w))
+    assert len(hashed) <= 6 and max(hashed) <= suffix_dedup.TOGETHER
+
+
 # --- decontamination
 
 def test_contaminated(spark, texts):
