@@ -7,9 +7,12 @@ remaining ones one more, shared out by smoothed counts.
 
 Training is synchronous: every round sums over all tasks before anything is updated, so that the result does not depend on how the
 corpus is dealt.  The first round is closed: from weights of zero the expected counts of a feature are its total times the
-prior, and the step (as in iterative scaling) is the smoothed logarithm of observed over expected.  Later rounds sum the gradient and
-the curvature of the likelihood along these steps, by feature kind and by how often the feature was seen, over a fold of documents that the first
-round has not counted, and take Newton steps on the step sizes.  In the end the features of that fold are counted too.
+prior, and the step (as in iterative scaling) is the smoothed logarithm of observed over expected, over all training text.  Later rounds fit the step
+sizes, by feature kind and by how often the feature was seen, on all training text too: each takes the next, larger part of the documents, sums the
+gradient of the likelihood and its outer products (whose expectation is the curvature), and takes a Newton step by the curvature of all rounds so
+far.  So every document counts in the steps and, once, in their sizes; there each decision is left out of the counts that judge it.
+
+Words are looked up once: a written table has the codes of every text, which counting, fitting and scoring read.
 
 The feature table has a row for every ``DECISIONS_PER_ROW`` training tokens, up to ``MOST_ROWS``, for each feature.  Unigram counts cover all
 training text and stay distributed: only words of at least a threshold frequency, at most ``TOP_WORDS`` of them, are broadcast;
@@ -20,13 +23,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -48,9 +52,8 @@ SEEN = 16                    # buckets of how often a feature was seen
 MOST_STEP, MOST_SIZE = 12.0, 1.6      # four of them stay within single precision under an exponential
 STEP = 0.4                   # step sizes at first,
 RIDGE = 10.0                 # and how much they are held there
-FOLDS = 8, 128               # at least and at most: one of them, of about
-FOLD_TOKENS = 250_000        # so many tokens, fits the step sizes
-ROUNDS = 3
+PARTS = 64                   # of the documents; the rounds take
+ROUNDS = 1, 7, 56            # so many of them, all in the end
 BATCH = 1 << 16              # tokens laid out at a time,
 COUNTED = 1 << 19            # whose features are counted at once,
 MOST_COUNTED = 1 << 30       # and in one table of 32-bit counts
@@ -168,6 +171,14 @@ class Vocabulary:
     place: dict[bytes, tuple[int, int]]   # words that are an outcome: class, and outcome in it
     shared: np.ndarray                    # class by ending
     prior: np.ndarray                     # P(outcome) by counts: of classes, then in each shared class
+    codes: np.ndarray | None = None       # see _Codes, by index in top
+
+    def slim(self) -> Vocabulary:
+        """Without the words, for texts that are packed."""
+        codes, words = np.zeros(len(self.top) + 1, np.int64), _Codes(self)
+        for word, at in self.top.items():
+            codes[at] = words.__missing__(word)
+        return replace(self, top={}, logp=np.zeros(1), place={}, codes=codes)
 
     def base(self, c):
         return np.log10((c + ALPHA) / (self.n + ALPHA * (self.v + 1)))
@@ -280,6 +291,7 @@ class Model:
             part = slice(at, at + (1 << 12))
             prior, n = vocabulary.prior[kinds[part]], total[part, None]
             self.steps[part] = np.log((counts[part] + SMOOTH * prior) / ((n + SMOOTH) * prior)).clip(-MOST_STEP, MOST_STEP)
+        self.total = total.astype(np.float32)
         seen = np.minimum(np.log2(total + 1).astype(np.int64), SEEN - 1)
         self.place = (((kinds > 0) * FEATURES + features) * SEEN + seen).astype(np.int32)
         self.size = np.full(PLACES, STEP) if size is None else size
@@ -335,6 +347,49 @@ class Model:
         return grad, curve, likelihood
 
 
+    def slopes_left_out(self, d: Decisions) -> tuple[np.ndarray, np.ndarray, float]:
+        """As ``slopes``, with each decision left out of the counts that it is judged by, and the sum of the gradients' outer products
+        for the curvature."""
+        n, sizes = len(d.out), self.size.astype(np.float32)
+        decided, norm = np.empty(n, np.float32), np.empty(n, np.float32)
+        own, mean = np.empty((FEATURES, n), np.float32), np.empty((FEATURES, n), np.float32)
+        places = self.place[d.rows]
+        weight = sizes[places]
+        steps, s, one = [np.empty((CHUNK, OUT), np.float32) for _ in range(FEATURES)], np.empty((CHUNK, OUT), np.float32), np.empty((CHUNK, OUT), np.float32)
+        for at in range(0, n, CHUNK):
+            part = slice(at, at + CHUNK)
+            m = len(d.out[part])
+            mine, more, each = s[:m], one[:m], np.arange(m)
+            self.base.take(d.kind[part], axis=0, out=mine, mode="clip")
+            for j in range(FEATURES):
+                x = self.steps.take(d.rows[j, part], axis=0, out=steps[j][:m], mode="clip")
+                own[j, part] = x[each, d.out[part]]
+                mine += np.multiply(x, weight[j, part, None], out=more)
+            np.exp(mine, out=mine)
+            decided[part] = mine[each, d.out[part]]
+            np.einsum("ij->i", mine, out=norm[part])
+            for j in range(FEATURES):
+                np.einsum("ij,ij->i", mine, steps[j][:m], out=mean[j, part])
+        # Only the step of what was decided has one less in its count; a smaller total moves all outcomes alike.
+        prior = self.vocabulary.prior[d.kind, d.out].astype(np.float32)
+        count = np.exp(own) * (self.total[d.rows] + np.float32(SMOOTH)) * prior
+        less = own + np.log(np.maximum(count - 1, np.float32(SMOOTH) * prior) / count)
+        less = np.clip(less, -MOST_STEP, MOST_STEP)
+        without = decided * np.exp(((less - own) * weight).sum(axis=0))
+        total = np.maximum(norm - decided, 0) + without
+        slope = (less - (mean - decided * own + without * less) / total).astype(float)
+        places = places.astype(np.int64)
+        grad, curve = np.zeros(PLACES), np.zeros(PLACES * PLACES)
+        for j in range(FEATURES):
+            grad += np.bincount(places[j], slope[j], minlength=PLACES)
+            for k in range(j, FEATURES):
+                both = np.bincount(places[j] * PLACES + places[k], slope[j] * slope[k], minlength=PLACES * PLACES)
+                curve += both
+                if k > j:
+                    curve += both.reshape(PLACES, PLACES).T.ravel()
+        return grad, curve, float(np.log(np.maximum(without / total, 1e-30)).sum(dtype=float))
+
+
 # --- passes over texts ---------------------------------------------------------------------------
 
 def _pieces(texts: Iterator[str | None], codes: _Codes) -> Iterator[tuple[int, np.ndarray, int, list[bytes]]]:
@@ -372,10 +427,45 @@ class _Layout:
         return decisions(*(np.concatenate(x) for x in (self.codes, self.starts, self.real)), bits)
 
 
+def _packed(codes: np.ndarray) -> tuple[bytes, bytes]:
+    """Five bytes a token: index in top and 0, or hash and 1 + shared class."""
+    top = codes >> 32 & 0x3FFFF
+    return (np.where(top > 0, top, codes & 0xFFFFFFFF).astype("<u4").tobytes(),
+            np.where(top > 0, 0, (codes >> 50 & 63) - OWN_CLASSES + 1).astype(np.uint8).tobytes())
+
+
+def _unpacked(b: pa.RecordBatch, table: np.ndarray, size: int) -> Iterator[_Layout]:
+    """Layouts of ``size`` tokens of whole packed texts; a text that goes on has the three codes before."""
+    lengths = pc.binary_length(b.column("kind")).to_numpy(zero_copy_only=False)
+    begin = np.cumsum(lengths) - lengths
+    code = np.frombuffer(b"".join(b.column("code").to_pylist()), "<u4")
+    kind = np.frombuffer(b"".join(b.column("kind").to_pylist()), np.uint8)
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    for at in range(0, len(code), size):
+        context = min(3, at)
+        part = slice(at - context, at + size)
+        c, k = code[part], kind[part].astype(np.int64)
+        now = _Layout()
+        now.codes = [np.where(k == 0, table[np.where(k == 0, c, 0)], k + (OWN_CLASSES - 1) << 50 | c)]
+        now.starts = [np.maximum(begin[doc[part]] - (at - context), 0)]
+        now.real = [np.arange(len(c)) >= context]
+        now.doc = [doc[at:at + size]]
+        now.size = len(c)
+        yield now
+
+
+def _columns(docs: DataFrame) -> list[str]:
+    """Column ``text``, or without it ``code`` and ``kind`` of the packed text."""
+    return ["text"] if "text" in docs.columns else ["code", "kind"]
+
+
 def _laid_out(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, size: int) -> Iterator[_Layout]:
     codes, now = _Codes(vocabulary), _Layout()
     for b in batches:
-        for i, c, context, _ in _pieces((t.as_py() for t in b.column(0)), codes):
+        if "text" not in b.schema.names:
+            yield from _unpacked(b, vocabulary.codes, size)
+            continue
+        for i, c, context, _ in _pieces((t.as_py() for t in b.column("text")), codes):
             now.add(i, c, context)
             if now.size >= size:
                 yield now
@@ -385,7 +475,7 @@ def _laid_out(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, size: i
 
 
 def feature_counts(docs: DataFrame, vocabulary: Vocabulary, bits: int) -> np.ndarray:
-    """How often each row of the table met each outcome in column ``text``: rows x OUT, summed exactly over all tasks, and
+    """How often each row of the table met each outcome in column ``text`` (or packed ones): rows x OUT, summed exactly over all tasks, and
     returned in single precision."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     schema = "block int, salt int, w binary"
@@ -447,7 +537,7 @@ def feature_counts(docs: DataFrame, vocabulary: Vocabulary, bits: int) -> np.nda
         if last is not None:
             yield packed([last[0]], [last[1]], [total])
 
-    part = docs.select("text").mapInArrow(run, schema)
+    part = docs.select(*_columns(docs)).mapInArrow(run, schema)
     for keys in (["block", "salt"], ["block"]):              # two steps, so that no task reads a slice of every task
         part = part.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(summed, schema)
         part = part.withColumn("salt", F.lit(0))
@@ -460,47 +550,45 @@ def feature_counts(docs: DataFrame, vocabulary: Vocabulary, bits: int) -> np.nda
 
 
 def newton_round(docs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, float]:
-    """Gradient, curvature and log likelihood (see ``Model.slopes``) summed over column ``text``."""
+    """Gradient, curvature and log likelihood (see ``Model.slopes_left_out``) summed over column ``text`` (or packed ones)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     size = PLACES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, total = shared.value, np.zeros(size + size * size + 1)
         for now in _laid_out(batches, m.vocabulary, BATCH):
-            grad, curve, likelihood = m.slopes(now.decisions(m.bits))
+            grad, curve, likelihood = m.slopes_left_out(now.decisions(m.bits))
             total += np.concatenate([grad, curve, [likelihood]])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "x"])
 
     out = np.zeros(size + size * size + 1)
-    for at, x in docs.select("text").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x")).collect():     # a row for each sum
+    for at, x in docs.select(*_columns(docs)).mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x")).collect():     # a row for each sum
         out[at] = x
     shared.destroy()
     return out[:size], out[size:-1].reshape(size, size), float(out[-1])
 
 
-def train(learn: DataFrame, vocabulary: Vocabulary, rounds: int | None = None) -> Model:
-    """Fits all rows of column ``text``; a fold of the documents, by the hash of their text, fits the step sizes."""
+def part_of(text: Column) -> Column:
+    """One of ``PARTS`` parts by a text's hash: equal texts lie in one."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(PARTS)).cast("int")
+
+
+def train(learn: DataFrame, vocabulary: Vocabulary) -> Model:
+    """Fits all rows of column ``text``, or of ``code``, ``kind`` and ``part``: all of them are counted, and each is in the part of
+    one round that fits the step sizes."""
     wanted = max(LEAST_ROWS, min(MOST_ROWS, vocabulary.n // DECISIONS_PER_ROW))
     bits = int(wanted).bit_length() - 1
-    folds = max(FOLDS[0], min(FOLDS[1], vocabulary.n // FOLD_TOKENS))
-    tuning = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(folds)) == 0
-    counts = feature_counts(learn.where(~tuning), vocabulary, bits)
-    model = Model(vocabulary, bits, counts)
-    best, best_size, now = -np.inf, model.size, model.size
-    for _ in range(ROUNDS if rounds is None else rounds):
-        model.size = now
-        grad, curve, likelihood = newton_round(learn.where(tuning), model)
-        off = now - STEP
-        likelihood -= RIDGE / 2 * float(off @ off)
-        if likelihood < best:                                # too far: half the way back
-            now = (now + best_size) / 2
-            continue
-        best, best_size = likelihood, now
-        now = now + np.linalg.solve(curve + RIDGE * np.eye(len(off)), grad - RIDGE * off)
-    del model
-    counts += feature_counts(learn.where(tuning), vocabulary, bits)
-    return Model(vocabulary, bits, counts, best_size.clip(-MOST_SIZE, MOST_SIZE))
+    model = Model(vocabulary, bits, feature_counts(learn, vocabulary, bits))
+    if "part" not in learn.columns:
+        learn = learn.withColumn("part", part_of(F.col("text")))
+    known, first = RIDGE * np.eye(PLACES), 0
+    for parts in ROUNDS:
+        grad, curve, _ = newton_round(learn.where(F.col("part").between(first, first + parts - 1)), model)
+        known += curve
+        model.size = (model.size + np.linalg.solve(known, grad)).clip(-MOST_SIZE, MOST_SIZE)
+        first += parts
+    return model
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -515,57 +603,61 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     learn = rows.where(~F.col("held")).select("text")
     counts, follow = count_words(learn)
     voc = vocabulary(counts, follow)
-    # Without training rows no decision is made.
-    model = train(learn, voc) if voc.n else None
-    shared = docs.sparkSession.sparkContext.broadcast((voc, model))
+    shared = docs.sparkSession.sparkContext.broadcast(voc)
     id_type = rows.schema["id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc, model = shared.value
-        log_probability = model.scorer() if model else None
-        codes, prior = _Codes(voc), np.log(voc.prior)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voc = shared.value
+        codes = _Codes(voc)
         for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             k = b.num_rows
-            n, known, base, gain = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k), np.zeros(k)
+            n, known, base = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k)
             rare: list[Counter] = [Counter() for _ in range(k)]
-            now = _Layout()
-
-            def settle(now: _Layout) -> None:
-                d = now.decisions(model.bits)
-                better = log_probability(d) - prior[d.kind, d.out]
-                gain[:] += np.bincount(np.concatenate(now.doc)[d.token], better / np.log(10), minlength=k)
-
+            packed: list[list[tuple[bytes, bytes]]] = [[] for _ in range(k)]
             for i, c, context, words in _pieces((t.as_py() for t in b.column("text")), codes):
-                if voc.n:
-                    now.add(i, c, context)
                 c = c[context:]
+                packed[i].append(_packed(c))
                 top = c >> 32 & 0x3FFFF
                 n[i] += len(c)
                 known[i] += np.count_nonzero(top)
                 base[i] += voc.logp[top].sum()
                 rare[i].update([words[j] for j in np.flatnonzero(top == 0).tolist()])
-                if now.size >= BATCH:
-                    settle(now)
-                    now = _Layout()
-            if now.size:
-                settle(now)
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
             words = pa.ListArray.from_arrays(pa.array(offsets), pa.array([x for r in rare for x in r], pa.binary()))
             times = pa.ListArray.from_arrays(pa.array(offsets), pa.array([x for r in rare for x in r.values()], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held"), pa.array(n), pa.array(known), pa.array(base),
-                                              pa.array(gain), words, times],
-                                             names=["id", "held", "n", "known", "base", "gain", "rare", "times"])
+            code, kind = (pa.array([b"".join(x[j] for x in p) for p in packed], pa.binary()) for j in range(2))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held"), b.column("part"), pa.array(n), pa.array(known), pa.array(base),
+                                              code, kind, words, times],
+                                             names=["id", "held", "part", "n", "known", "base", "code", "kind", "rare", "times"])
+
+    first = staged(rows.withColumn("part", part_of(F.col("text")))
+                   .mapInArrow(encode, f"id {id_type}, held boolean, part int, n long, known long, base double, code binary, kind binary, "
+                                       "rare array<binary>, times array<long>")
+                   .withColumn("row", F.monotonically_increasing_id()), "lm-codes")       # a label, fixed by the written table
+    # Without training rows no decision is made.
+    model = train(first.where(~F.col("held")).select("code", "kind", "part"), voc.slim()) if voc.n else None
+    fitted = docs.sparkSession.sparkContext.broadcast(model)
+
+    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fitted.value
+        log_probability = model.scorer() if model else None
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            gain = np.zeros(b.num_rows)
+            for now in _unpacked(b, model.vocabulary.codes, BATCH) if model else ():
+                d = now.decisions(model.bits)
+                better = log_probability(d) - np.log(model.vocabulary.prior)[d.kind, d.out]
+                gain += np.bincount(np.concatenate(now.doc)[d.token], better / np.log(10), minlength=len(gain))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(gain)], names=[*kept, "gain"])
 
-    first = staged(rows.mapInArrow(run, f"id {id_type}, held boolean, n long, known long, base double, gain double, "
-                                        "rare array<binary>, times array<long>")
-                   .withColumn("row", F.monotonically_increasing_id()), "lm-scores")       # a label, fixed by the written table
+    kept = ["row", "id", "held", "n", "known", "base"]
+    scored = first.select(*kept, "code", "kind").mapInArrow(gains, f"row long, id {id_type}, held boolean, n long, known long, base double, gain double")
     # Counts of the words that are not broadcast.
     rare = (first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
             .select("row", F.col("x.rare").alias("token"), F.col("x.times").alias("times")))
     one = F.log10((F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(voc.n + ALPHA * (voc.v + 1)))
     tail = (rare.join(counts.select("token", "c"), "token", "left").groupBy("row")
             .agg(F.sum(one * F.col("times")).alias("tail"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more")))
-    joined = first.drop("rare", "times").join(tail, "row", "left")
+    joined = scored.join(tail, "row", "left")
     base = F.col("base") + F.coalesce("tail", F.lit(0.0))
     return joined.select(F.col("id").alias(id_col), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"),
                          (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(voc.n).cast("long").alias("train_tokens"),

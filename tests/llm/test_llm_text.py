@@ -522,6 +522,69 @@ def test_lm_slopes_are_those_of_the_likelihood(lm):
         assert math.isclose((ends[1][0][at] - ends[0][0][at]) / 0.02, curve[at, at], rel_tol=0.02, abs_tol=1e-3)
 
 
+def test_lm_fits_steps_and_their_sizes_on_all_training_texts(spark, lm, monkeypatch):
+    _, learn, voc, model = lm
+    counted, fitted = [], []
+    feature_counts, newton_round = maxent_lm.feature_counts, maxent_lm.newton_round
+
+    def texts_of(df):
+        return [r.text for r in df.select("text").collect()]
+
+    monkeypatch.setattr(maxent_lm, "feature_counts", lambda docs, *a: counted.extend(texts_of(docs)) or feature_counts(docs, *a))
+    monkeypatch.setattr(maxent_lm, "newton_round", lambda docs, m: fitted.extend(texts_of(docs)) or newton_round(docs, m))
+    again = maxent_lm.train(learn, voc)
+    assert sorted(counted) == sorted(fitted) == sorted(texts_of(learn))
+    assert np.allclose(again.size, model.size, atol=1e-6) and np.ptp(again.size) > 0.01
+
+
+def test_lm_slopes_with_each_decision_left_out(lm):
+    rows, _, voc, model = lm
+    layout = maxent_lm._Layout()
+    for i, c, context, _ in maxent_lm._pieces(iter([t for _, t in rows[:3]]), maxent_lm._Codes(voc)):
+        layout.add(i, c, context)
+    d = layout.decisions(model.bits)
+    counts = np.zeros(model.steps.shape)
+    for r in d.rows:
+        np.add.at(counts, (r, d.out), 1)
+    small = maxent_lm.Model(voc, model.bits, counts, model.size.copy())
+    grad, outer, likelihood = small.slopes_left_out(d)
+    want, value, squares = np.zeros(len(grad)), 0.0, np.zeros((len(grad), len(grad)))
+    for at in range(len(d.out)):
+        steps = small.steps[d.rows[:, at]].astype(float)
+        prior = voc.prior[d.kind[at], d.out[at]]
+        for j, r in enumerate(d.rows[:, at]):
+            steps[j, d.out[at]] = np.log((counts[r, d.out[at]] - 1 + 4 * prior) / ((counts[r].sum() + 4) * prior)).clip(-12, 12)
+        place = small.place[d.rows[:, at]]
+        s = np.log(voc.prior[d.kind[at]]) + small.size[place] @ steps
+        p = np.exp(s - s.max())
+        p /= p.sum()
+        slope = steps[:, d.out[at]] - steps @ p
+        np.add.at(want, place, slope)
+        np.add.at(squares, (place[:, None], place[None]), np.outer(slope, slope))
+        value += np.log(p[d.out[at]])
+    assert np.allclose(grad, want, rtol=1e-3, atol=1e-2) and np.allclose(outer.reshape(squares.shape), squares, rtol=1e-2, atol=0.1)
+    assert math.isclose(likelihood, value, rel_tol=1e-4)
+
+
+def test_lm_packed_texts_are_laid_out_as_texts(lm, monkeypatch):
+    """Words in the vocabulary and others, in pieces of any size."""
+    rows, _, voc, model = lm
+    small = maxent_lm.replace(voc, top={w: i for w, i in voc.top.items() if i < 20}, logp=voc.logp[:20])
+    texts = [t for _, t in rows[:40]] + [""]
+    want, packed = maxent_lm._Layout(), []
+    for i, c, context, _ in maxent_lm._pieces(iter(texts), maxent_lm._Codes(small)):
+        want.add(i, c, context)
+        packed.append(maxent_lm._packed(c))
+    want, docs = want.decisions(10), np.concatenate(want.doc)
+    b = pa.RecordBatch.from_arrays([pa.array([x[j] for x in packed], pa.binary()) for j in range(2)], names=["code", "kind"])
+    for size in (1, 2, 7, 100, 1 << 16):
+        got = [(now.decisions(10), np.concatenate(now.doc)) for now in maxent_lm._unpacked(b, small.slim().codes, size)]
+        assert np.concatenate([x for _, x in got]).tolist() == docs.tolist()
+        def flat(d, doc):
+            return sorted(zip(doc[d.token].tolist(), d.kind.tolist(), d.out.tolist(), *d.rows.tolist()))
+        assert sorted(x for g in got for x in flat(*g)) == flat(want, docs)
+
+
 def test_lm_does_not_depend_on_tasks_or_blocks(spark, texts, monkeypatch):
     rows = texts + [(400 + i, prose(random.Random(i), 60)) for i in range(60)]
 
