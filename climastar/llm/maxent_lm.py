@@ -50,6 +50,7 @@ LEAST_ROWS, MOST_ROWS = 1 << 10, 1 << 13       # of each feature
 SMOOTH = 4.0                 # prior decisions of a feature
 SEEN = 16                    # buckets of how often a feature was seen
 MOST_STEP, MOST_SIZE = 12.0, 1.6      # four of them stay within single precision under an exponential
+LEAST_SIZE = 1e-3            # weights are divided by it
 STEP = 0.4                   # step sizes at first,
 RIDGE = 10.0                 # and how much they are held there
 PARTS = 64                   # of the documents; the rounds take
@@ -58,7 +59,7 @@ BATCH = 1 << 16              # tokens laid out at a time,
 COUNTED = 1 << 19            # whose features are counted at once,
 MOST_COUNTED = 1 << 30       # and in one table of 32-bit counts
 ROWS = 2048                  # texts scored at a time
-CHUNK = 1 << 9               # decisions in one softmax
+CHUNK = 1 << 10              # decisions in one softmax
 BLOCKS = 64                  # slices in which the table is summed
 CACHE = 100_000
 _FLUSH = 150_000
@@ -104,7 +105,7 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
         def settle() -> None:
             """Counts the pairs of endings in the arrays held."""
-            for x in (np.concatenate([x[1:] * ENDINGS + x[:-1] for x in follow]),) if follow else ():
+            for x in (np.concatenate([x[1:].astype(np.int64) * ENDINGS + x[:-1] for x in follow]),) if follow else ():
                 pairs[:] += np.bincount(x, minlength=len(pairs))
             follow.clear()
 
@@ -115,7 +116,7 @@ def count_words(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 last = []
                 for words in word_blocks(text.as_py() or ""):
                     seen.update(words)
-                    follow.append(np.array(last + codes.of(words), np.int64))
+                    follow.append(np.frombuffer(bytes(last + codes.of(words)), np.uint8))
                     last = follow[-1][-1:].tolist()
                     held += len(words)
                     if held > BATCH:
@@ -262,18 +263,23 @@ def decisions(codes: np.ndarray, starts: np.ndarray, real: np.ndarray, bits: int
     """Of the tokens that are ``real``; ``starts``: place of the document's first token known for each."""
     h = (codes & 0xFFFFFFFF).astype(np.uint64)
     at = np.flatnonzero(real)
+    before = at - starts[at]                                 # tokens of the document
 
     def back(k: int) -> np.ndarray:
-        return np.where(at - k >= starts[at], h[np.maximum(at - k, 0)], np.uint64(0x5EED + k))
+        return np.where(before >= k, h.take(at - k, mode="wrap"), np.uint64(0x5EED + k))
 
     p1, p2, p3 = back(1), back(2), back(3)
     seen = np.stack([p1 + np.uint64(1), p1 * np.uint64(31) + p2 * np.uint64(0xC2B2AE3D) + np.uint64(2), p2 + np.uint64(3 << 40), p3 + np.uint64(5 << 40)]) * _MIX
-    cls, member = codes[at] >> 50 & 63, codes[at] >> 56
+    mine = codes[at]
+    cls, member = mine >> 50 & 63, mine >> 56
     inner = np.flatnonzero(cls >= OWN_CLASSES)
     kind = cls[inner] - OWN_CLASSES
-    low = (seen[:, inner] >> np.uint64(64 - (bits - 4))).astype(np.int64)
-    rows = np.concatenate([(seen >> np.uint64(64 - bits)).astype(np.int64), (1 << bits) + (kind << bits - 4) + low], axis=1)
-    rows += np.arange(FEATURES)[:, None] * (row_count(bits) // FEATURES)
+    n, low = len(at), (kind << bits - 4) + (1 << bits)
+    rows = np.empty((FEATURES, n + len(inner)), np.int64)
+    for f, x in enumerate(seen):
+        first = f * (row_count(bits) // FEATURES)
+        np.add((x >> np.uint64(64 - bits)).view(np.int64), first, out=rows[f, :n])
+        np.add((x[inner] >> np.uint64(64 - (bits - 4))).view(np.int64), low + first, out=rows[f, n:])
     return Decisions(rows, np.concatenate([np.zeros(len(at), np.int64), kind + 1]), np.concatenate([cls, member[inner]]),
                      np.concatenate([np.arange(len(at)), inner]))
 
@@ -299,7 +305,7 @@ class Model:
 
     def scorer(self) -> Callable[[Decisions], np.ndarray]:
         """Natural logarithm of every decision's probability."""
-        weights = self.steps * self.size.astype(np.float32)[self.place][:, None]
+        weights = self.weights()
 
         def log_probability(d: Decisions) -> np.ndarray:
             out = np.zeros(len(d.out))
@@ -347,29 +353,35 @@ class Model:
         return grad, curve, likelihood
 
 
-    def slopes_left_out(self, d: Decisions) -> tuple[np.ndarray, np.ndarray, float]:
+    def weights(self) -> np.ndarray:
+        return self.steps * self.size.astype(np.float32)[self.place][:, None]
+
+    def slopes_left_out(self, d: Decisions, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """As ``slopes``, with each decision left out of the counts that it is judged by, and the sum of the gradients' outer products
         for the curvature."""
-        n, sizes = len(d.out), self.size.astype(np.float32)
+        n = len(d.out)
         decided, norm = np.empty(n, np.float32), np.empty(n, np.float32)
         own, mean = np.empty((FEATURES, n), np.float32), np.empty((FEATURES, n), np.float32)
-        places = self.place[d.rows]
-        weight = sizes[places]
-        steps, s, one = [np.empty((CHUNK, OUT), np.float32) for _ in range(FEATURES)], np.empty((CHUNK, OUT), np.float32), np.empty((CHUNK, OUT), np.float32)
+        rows, s = [np.empty((CHUNK, OUT), np.float32) for _ in range(FEATURES)], np.empty((CHUNK, OUT), np.float32)
         for at in range(0, n, CHUNK):
             part = slice(at, at + CHUNK)
             m = len(d.out[part])
-            mine, more, each = s[:m], one[:m], np.arange(m)
+            mine, each = s[:m], np.arange(m)
             self.base.take(d.kind[part], axis=0, out=mine, mode="clip")
             for j in range(FEATURES):
-                x = self.steps.take(d.rows[j, part], axis=0, out=steps[j][:m], mode="clip")
+                x = weights.take(d.rows[j, part], axis=0, out=rows[j][:m], mode="clip")
                 own[j, part] = x[each, d.out[part]]
-                mine += np.multiply(x, weight[j, part, None], out=more)
+                mine += x
             np.exp(mine, out=mine)
             decided[part] = mine[each, d.out[part]]
             np.einsum("ij->i", mine, out=norm[part])
             for j in range(FEATURES):
-                np.einsum("ij,ij->i", mine, steps[j][:m], out=mean[j, part])
+                np.einsum("ij,ij->i", mine, rows[j][:m], out=mean[j, part])
+        # Sums of weights are those of steps times the sizes.
+        places = self.place[d.rows]
+        weight = self.size.astype(np.float32)[places]
+        own /= weight
+        mean /= weight
         # Only the step of what was decided has one less in its count; a smaller total moves all outcomes alike.
         prior = self.vocabulary.prior[d.kind, d.out].astype(np.float32)
         count = np.exp(own) * (self.total[d.rows] + np.float32(SMOOTH)) * prior
@@ -556,8 +568,9 @@ def newton_round(docs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, total = shared.value, np.zeros(size + size * size + 1)
+        weights = m.weights()
         for now in _laid_out(batches, m.vocabulary, BATCH):
-            grad, curve, likelihood = m.slopes_left_out(now.decisions(m.bits))
+            grad, curve, likelihood = m.slopes_left_out(now.decisions(m.bits), weights)
             total += np.concatenate([grad, curve, [likelihood]])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "x"])
@@ -586,7 +599,8 @@ def train(learn: DataFrame, vocabulary: Vocabulary) -> Model:
     for parts in ROUNDS:
         grad, curve, _ = newton_round(learn.where(F.col("part").between(first, first + parts - 1)), model)
         known += curve
-        model.size = (model.size + np.linalg.solve(known, grad)).clip(-MOST_SIZE, MOST_SIZE)
+        size = (model.size + np.linalg.solve(known, grad)).clip(-MOST_SIZE, MOST_SIZE)
+        model.size = np.where(np.abs(size) < LEAST_SIZE, LEAST_SIZE, size)
         first += parts
     return model
 

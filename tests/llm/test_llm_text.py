@@ -547,7 +547,7 @@ def test_lm_slopes_with_each_decision_left_out(lm):
     for r in d.rows:
         np.add.at(counts, (r, d.out), 1)
     small = maxent_lm.Model(voc, model.bits, counts, model.size.copy())
-    grad, outer, likelihood = small.slopes_left_out(d)
+    grad, outer, likelihood = small.slopes_left_out(d, small.weights())
     want, value, squares = np.zeros(len(grad)), 0.0, np.zeros((len(grad), len(grad)))
     for at in range(len(d.out)):
         steps = small.steps[d.rows[:, at]].astype(float)
