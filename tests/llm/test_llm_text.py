@@ -585,6 +585,44 @@ def test_lm_packed_texts_are_laid_out_as_texts(lm, monkeypatch):
         assert sorted(x for g in got for x in flat(*g)) == flat(want, docs)
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 20])
+def test_lm_words_are_numbered_as_they_are_split(texts, size):
+    column = pa.array([None, *[t for _, t in texts], "", "A\x0bb\x1cC\u00a0d\x85 \0e", "x" * 300, "long " * 90 + "É" * 200, "f", "g", ""])
+    for part in (column, column.slice(2, len(column) - 3), column.slice(0, 1), column.slice(0, 0)):
+        got: list[list[bytes]] = [[]]
+        for piece in maxent_lm._numbered(part, size):
+            assert len(set(piece.distinct.to_pylist())) == len(piece.distinct)
+            words, at = piece.distinct.take(pa.array(piece.index)).to_pylist(), 0
+            for end in piece.ends.tolist():
+                got[-1] += words[at:end]
+                got.append([])
+                at = end
+            got[-1] += words[at:]
+        assert got == [[w for ws in simhash_dedup.word_blocks(t or "") for w in ws] for t in part.to_pylist()] + [[]]
+
+
+def test_lm_codes_of_a_column_of_words(lm):
+    _, _, voc, _ = lm
+    small = maxent_lm.replace(voc, top={w: i for w, i in voc.top.items() if i < 60})
+    words = [b"", maxent_lm.END, b".", b"ab.", b"xabc,", b"xa.,;", b"word....", b"\0a", b"\0\0", b"longword!!!!!!!!!", "ni\u00f1o?".encode(), *voc.top]
+    column = pa.array([b"before", *words], pa.binary())[1:]
+    assert maxent_lm._Endings().of_array(column).tolist() == [maxent_lm.ending(w) for w in words]
+    codes = maxent_lm._Codes(small)
+    got = codes.of_array(column, pa.array(small.top, pa.binary()), small.slim().codes)
+    assert got.tolist() == [maxent_lm._Codes(small)[w] for w in words] and not codes
+
+
+def test_lm_odds_are_products_of_the_rows(lm):
+    """Without an exponential for each outcome of a decision."""
+    _, _, voc, model = lm
+    weights = model.weights()
+    odds, per = model.odds(weights), len(weights) // maxent_lm.FEATURES
+    for at, kind in ((0, 0), (1 << model.bits, 1), (per - 1, maxent_lm.SHARED)):
+        assert np.allclose(odds[at], voc.prior[kind] * np.exp(weights[at]), rtol=1e-5)
+        assert np.allclose(odds[at + per], np.exp(weights[at + per]), rtol=1e-5)
+    assert np.isfinite(odds).all()
+
+
 def test_lm_does_not_depend_on_tasks_or_blocks(spark, texts, monkeypatch):
     rows = texts + [(400 + i, prose(random.Random(i), 60)) for i in range(60)]
 
