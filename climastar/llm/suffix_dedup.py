@@ -6,7 +6,7 @@ hash of the 32-byte strings inside it, and a maximal run of windows with one key
 segment.  Only segments whose key occurs elsewhere leave their document, as their bytes.
 A shard is a megabyte or two of segments, whole keys at a time; its suffix array
 is refined as Larsson and Sadakane do (only groups not yet sorted, by the rank ``h`` symbols on,
-``h`` doubling), and common prefixes follow Kasai's bound.
+``h`` doubling) up to the length of a window: places that then are in one group have the same window.
 
 A segment that two places have is repeated from end to end: its places become spans as they
 stream by, and a shard holds the distinct bytes and one place of each.  A key with very many segments, or long ones,
@@ -48,21 +48,24 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 
 # --- suffix arrays -----------------------------------------------------------------------------
 
-def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array and its inverse of an array of uint16 symbols."""
+def suffix_array(sym: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array and its inverse of an array of uint16 symbols.  With ``depth``, suffixes are only told apart by so many
+    symbols: those that share them stay in any order, and have one rank, the place of the first."""
     n = len(sym)
     kind = np.int32 if n < 1 << 31 else np.int64                # half the memory
     if n == 0:
         return np.zeros(0, kind), np.zeros(0, kind)
-    # So many symbols as fit into 63 bits; 0: past the end.
-    bits = (int(sym.max()) + 1).bit_length()
-    h = 63 // bits
+    # So many symbols as fit into 63 bits, numbered as far as they occur; 0: past the end.
+    there = np.bincount(sym) > 0
+    dense = np.cumsum(there).astype(np.uint16)[sym]
+    bits = int(there.sum()).bit_length()
+    h = min(63 // bits, depth or n)
     key = np.zeros(n, np.int64)
     for j in range(h):
         key <<= bits
         if j < n:
-            key[:n - j] += sym[j:]
-            key[:n - j] += 1
+            key[:n - j] += dense[j:]
+    del dense
     sa = np.argsort(key).astype(kind)
     key = key[sa]
     first = np.concatenate([[True], key[1:] != key[:-1]])
@@ -72,9 +75,11 @@ def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rank[sa] = heads[np.cumsum(first, dtype=kind) - 1]
     sizes = np.diff(heads, append=kind(n))
     idx = np.flatnonzero(np.repeat(sizes > 1, sizes)).astype(kind)
-    while len(idx):
+    while len(idx) and (depth is None or h < depth):
+        # The rank of the next h symbols; of those that end at the depth, in the last round.
+        step = h if depth is None else min(h, depth - h)
         s = sa[idx]
-        pair = s.astype(np.int64) + h
+        pair = s.astype(np.int64) + step
         pair = np.where(pair < n, rank[np.minimum(pair, n - 1)] + 1, 0).astype(np.int64)
         pair += rank[s] * np.int64(n + 1)
         order = np.argsort(pair)
@@ -87,13 +92,13 @@ def suffix_array(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank[s] = idx[heads][np.cumsum(first, dtype=kind) - 1]
         sizes = np.diff(np.append(heads, len(s)))
         idx = idx[np.repeat(sizes > 1, sizes)]
-        h *= 2
+        h += step
     return sa, rank
 
 
 def common_prefixes(sym: np.ndarray, sa: np.ndarray, rank: np.ndarray, most: int) -> np.ndarray:
     """For each position, the length (at most ``most``) of the prefix that its suffix shares with
-    the suffix before it in the array.
+    the suffix before it in the whole array (``repeated_windows`` asks for one length only, and does without).
 
     Kasai's bound: the next position shares at least one symbol less.  Positions are taken in
     passes, at distance 64, then half of it, and so on; each starts from the bound
@@ -140,12 +145,9 @@ def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
     body = np.ones(len(sym), bool)
     body[ends - 1] = False
     sym[body] = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1     # 0 ends a text: no window holds it
-    sa, rank = suffix_array(sym)
-    shared = common_prefixes(sym, sa, rank, length) >= length
-    hit = shared.copy()
-    hit[sa[rank[shared] - 1]] = True
-    left = np.repeat(ends - 1, sizes) - np.arange(len(sym))
-    hit &= left >= length
+    rank = suffix_array(sym, length)[1]
+    hit = np.bincount(rank)[rank] > 1
+    hit &= np.repeat(ends - 1, sizes) - np.arange(len(sym)) >= length
     return [hit[e - n:max(e - length, e - n)] for e, n in zip(ends.tolist(), sizes.tolist())]
 
 

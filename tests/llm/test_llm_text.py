@@ -267,6 +267,23 @@ def test_suffix_array_and_prefixes():
                 assert lcp[sa[k]] == min(40, next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))))
 
 
+def test_windows_are_sorted_no_deeper_than_their_length(monkeypatch):
+    """Ranks tell apart the first symbols only, and long repeats take no further rounds of sorting."""
+    rng = random.Random(6)
+    for n in (0, 1, 40, 700):
+        s = np.array([rng.choice((1, 1, 2)) for _ in range(n)], np.uint16)
+        for depth in (1, 16, 50, 200):
+            sa, rank = suffix_dedup.suffix_array(s, depth)
+            heads = [s[i:i + depth].tolist() for i in range(n)]
+            assert sorted(sa.tolist()) == list(range(n)) and [heads[i] for i in sa] == sorted(heads)
+            assert rank.tolist() == [sorted(heads).index(h) for h in heads] if n < 100 else len(set(rank.tolist())) == len(set(map(tuple, heads)))
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a: sorts.append(len(a)) or argsort(a))
+    text = bytes(rng.choice(b"abcdefgh") for _ in range(20_000))
+    hit = suffix_dedup.repeated_windows([text, b"x" + text, text[:199]], 200)
+    assert [int(h.sum()) for h in hit] == [len(text) - 199] * 2 + [0] and len(sorts) <= 6
+
+
 def test_segments_cover_all_windows():
     rng = random.Random(8)
     text = bytes(rng.choice(b"abcd") for _ in range(3000)) + b"z" * 500
