@@ -10,10 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: (table, rows)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-             for name, df in tables.items()]
+def row_counts(tables: Mapping[str, DataFrame], by_key: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row per table: (table, rows).
+
+    ``by_key`` has, for tables that are joins, the rows of each key in a column
+    ``rows``: the product of the counts of the joined parts.  Their sum is the
+    count of the joined rows, which need not be formed for it."""
+    by_key = by_key or {}
+    counts = {name: by_key[name].agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows")) if name in by_key
+              else df.agg(F.count(F.lit(1)).alias("rows")) for name, df in tables.items()}
+    parts = [df.select(F.lit(name).alias("table"), "rows") for name, df in counts.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

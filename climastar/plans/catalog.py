@@ -400,11 +400,13 @@ def q_join_star_report(spark, sf):
 
 
 def q_agg_count(spark, sf):
+    """Rows of the inputs and of the model's tables; those of the fact, a join by
+    city, are the products of its parts' counts by city."""
     c = clean_inputs(spark, sf)
     m = model_from_clean(c)
     tables = {"temperatures": c.temperatures, "airports": c.airports, "demographics": c.demographics}
     tables.update(m.tables())
-    return row_counts(tables)
+    return row_counts(tables, {"fact_table": R.city_fact_rows(m).withColumnRenamed("fact_rows", "rows")})
 
 
 def q_agg_group_city(spark, sf):

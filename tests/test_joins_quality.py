@@ -232,3 +232,27 @@ def test_unreadable_and_wrong_tables_are_reported(spark, tmp_path):
     names = ["good", "typed", "narrow", "cut", "absent"]
     got = {r.table: (r.readable, r.schema_matches) for r in readable(spark, {n: f"{tmp_path}/{n}" for n in names}, dict.fromkeys(names, want)).collect()}
     assert got == {"good": (True, True), "typed": (True, False), "narrow": (True, False), "cut": (False, False), "absent": (False, False)}
+
+
+def test_rows_of_a_join_are_counted_without_forming_them(spark, monkeypatch):
+    """3000 x 3000 x 3000 rows of one city, and a city that one part lacks."""
+    from climastar.plans import catalog
+    from climastar.plans.clean import CleanInputs
+    from climastar.plans.model import table_schema
+
+    def rows(name, city, fields, value):
+        types = {f.name: f.dataType for n in ("fact_table", "dimension_table_airport", "dimension_table_demographics") for f in table_schema(n).fields}
+        df = spark.range(3001)
+        cols = [F.when(F.col("id") < 3000, F.lit("a")).otherwise(F.lit(name)).alias(city)]
+        return df.select(*cols, *[(F.col("id") if c == value else F.lit(None)).cast(types[c]).alias(c) for c in fields])
+
+    inputs = CleanInputs(
+        rows("b", "city", ["average_temperature", "average_temperature_uncertainty", "country", "year", "mon"], "average_temperature"),
+        rows("b", "municipality", ["ident", "type", "airport_name", "elevation_ft", "continent", "iso_country", "iso_region", "gps_code", "iata_code",
+                                   "local_code", "latitude", "longitude"], "ident"),
+        rows("c", "city", ["state", "median_age", "male_population", "female_population", "total_population", "veteran_population", "foreign_born",
+                           "ave_household_size", "state_code", "race", "count"], "total_population"))
+    monkeypatch.setattr(catalog, "clean_inputs", lambda spark, sf: inputs)
+    df = catalog.q_agg_count(spark, "")
+    assert "explode" not in df._jdf.queryExecution().optimizedPlan().toString()      # the cells of the grid join
+    assert {r["table"]: r["rows"] for r in df.collect()}["fact_table"] == 3000 ** 3
