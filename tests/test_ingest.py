@@ -290,6 +290,27 @@ def test_colocated_fact_is_written_from_the_join(spark, parts, monkeypatch):
     stored = read_colocated(spark, db).fact
     assert rows_of(stored) == rows_of(model.fact) and set(f.name for f in stored.schema) == set(model.fact.columns)
 
+
+def test_a_city_with_most_rows_is_written_into_its_bucket_by_several_tasks(spark, parts, monkeypatch):
+    from climastar.operators import joins
+
+    temperatures, airports, demographics = parts
+    city = temperatures.where("city is not null").first().city
+    more = spark.range(600).select(*[(F.col("id").cast("double") if f.name == "average_temperature" else F.lit(city if f.name == "city" else None))
+                                     .cast(f.dataType).alias(f.name) for f in temperatures.schema])
+    model = build_model(temperatures.union(more), airports, demographics)
+    monkeypatch.setattr(joins, "ROWS_PER_CELL", 10)
+    fact = colocated_fact(model.source, 8)
+    tasks = [r["count"] for r in fact.where(F.col("city") == city).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(tasks) >= 600 and max(tasks) <= sum(tasks) / 2
+    base = new_run_dir(spark, "t-colocated")
+    db = "climastar_t_" + base.rsplit("-", 1)[1]
+    write_colocated(spark, model, base, db, 8)
+    stored = read_colocated(spark, db)
+    assert rows_of(stored.fact) == rows_of(model.fact)
+    assert rows_of(report_city_climate(stored)) == rows_of(report_city_climate(model))
+
+
 def test_mean_of_a_large_fact_in_one_task_keeps_its_digits(spark):
     value = F.when(F.col("id") >= 0, 250000.1)
     fact = spark.range(0, 3_000_000, 1, 1).select(F.lit("X").alias("city"), value.alias("average_temperature"))
