@@ -198,6 +198,23 @@ def written_files(base):
     return {f: os.stat(f).st_mtime_ns for f in glob.glob(local(base) + "/fact_table/year=*/*.parquet")}
 
 
+def test_a_rebuild_of_many_years_reads_each_input_once(spark, parts):
+    counters = [spark.sparkContext.accumulator(0) for _ in parts]
+
+    def counted(df, acc):
+        def pass_on(batches):
+            for b in batches:
+                acc.add(b.num_rows)
+                yield b
+        return df.mapInArrow(pass_on, df.schema)
+
+    base = new_run_dir(spark, "t-incremental")
+    done = rebuild_fact(FactSource(*map(counted, parts, counters), "stable"), base)
+    assert done.rewritten == [None, 1999, 2000, 2001] and done.rows_written == 4 * 2 * 3
+    assert [acc.value for acc in counters] == [df.count() for df in parts]
+    assert rows_of(read_fact(spark, base)) == rows_of(build_fact(*parts))
+
+
 def test_only_the_changed_year_is_rewritten(spark, parts):
     t, a, d = parts
     base = new_run_dir(spark, "t-incremental")
